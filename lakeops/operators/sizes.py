@@ -1,0 +1,22 @@
+"""Size checks used before choosing a cheaper plan."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate, the one its own broadcast rule uses.
+
+    Joins are over-estimated, so a small value is a safe upper bound. None when the
+    session does not expose it.
+    """
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except AttributeError:
+        return None
+
+
+def is_small(df: DataFrame, limit_bytes: int) -> bool:
+    size = estimated_bytes(df)
+    return size is not None and size <= limit_bytes

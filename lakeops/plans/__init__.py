@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-THEMES = ("analytics",)
+THEMES = ("analytics", "sales", "silver")
 
 
 def load_all():

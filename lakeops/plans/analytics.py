@@ -9,8 +9,8 @@ from lakeops.functions.text import is_digits
 from lakeops.operators.aggregates import (
     group_averages,
     group_ratios,
-    pivot_first,
-    pivot_mean,
+    pivot_first as first_by_column,
+    pivot_mean as mean_by_column,
     range_profile as profile_range,
     run_stats as stats_of_runs,
 )
@@ -279,13 +279,13 @@ def _pivot_sql(cell: str) -> str:
 
 
 @query(_pivot_sql("min_by(value, event_id) FILTER (WHERE event_type = '{e}')"))
-def pivot_first_value(t: Tables) -> DataFrame:
-    return pivot_first(t.read("events"), ["user_id"], "event_type", EVENT_TYPES, "value", "event_id")
+def pivot_first(t: Tables) -> DataFrame:
+    return first_by_column(t.read("events"), ["user_id"], "event_type", EVENT_TYPES, "value", "event_id")
 
 
 @query(_pivot_sql("CAST(ROUND(CAST(AVG({case}) AS DECIMAL(18,9)), 2) AS DOUBLE)"))
-def pivot_mean_value(t: Tables) -> DataFrame:
-    return pivot_mean(t.read("events"), ["user_id"], "event_type", EVENT_TYPES, "value")
+def pivot_mean(t: Tables) -> DataFrame:
+    return mean_by_column(t.read("events"), ["user_id"], "event_type", EVENT_TYPES, "value")
 
 
 @query(

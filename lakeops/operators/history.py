@@ -12,13 +12,13 @@ from pyspark.sql import types as T
 from lakeops.operators.dedupe import first_per_key
 from lakeops.sources.files import read_parquet_merged, write_table
 
-META = ("_version", "_committed_at", "_op")
+META = ("_version", "_op")
 UPSERT, DELETE = "upsert", "delete"
 
 
 @dataclass(frozen=True)
 class VersionedTable:
-    """Change rows in Parquet, one partition per version.
+    """Change rows in Parquet, one partition per version, and one record per commit.
 
     A version stores the rows it changed, so an as-of read costs as much as the changes
     up to it; ``compact`` starts again from one state.
@@ -30,41 +30,38 @@ class VersionedTable:
 
     def commit(self, rows: DataFrame, version: int, committed_at: str, op: str = UPSERT) -> None:
         """Store changed rows as one version. Repeating a commit replaces it."""
-        stamped = rows.withColumns(
-            {
-                "_committed_at": F.lit(committed_at).cast("timestamp_ntz"),
-                "_op": F.lit(op),
-                "_version": F.lit(version).cast("long"),
-            }
-        )
-        write_table(
-            stamped, self.path, mode="overwrite", partition_by=["_version"], dynamic=True
-        )
+        folder = f"_version={version}"
+        write_table(rows.withColumn("_op", F.lit(op)), f"{self.path}/rows/{folder}", mode="overwrite")
+        record = self.spark.createDataFrame([(committed_at, op)], "committed_at string, operation string")
+        write_table(record, f"{self.path}/commits/{folder}", mode="overwrite")
 
     def changes(self) -> DataFrame:
-        rows = read_parquet_merged(self.spark, self.path)
+        rows = read_parquet_merged(self.spark, f"{self.path}/rows")
         return rows.withColumn("_version", F.col("_version").cast("long"))
 
     def as_of(self, version: int) -> DataFrame:
         """Rows as they were after ``version``; later partitions are not read."""
-        seen = self.changes().where(F.col("_version") <= version)
-        newest = first_per_key(seen, list(self.keys), [F.col("_version").desc()])
-        return newest.where(F.col("_op") != DELETE).drop(*META)
+        return self._newest(self.changes().where(F.col("_version") <= version))
 
     def latest(self) -> DataFrame:
-        newest = first_per_key(self.changes(), list(self.keys), [F.col("_version").desc()])
+        return self._newest(self.changes())
+
+    def _newest(self, changes: DataFrame) -> DataFrame:
+        newest = first_per_key(changes, list(self.keys), [F.col("_version").desc()])
         return newest.where(F.col("_op") != DELETE).drop(*META)
 
     def log(self) -> DataFrame:
         """(version, committed_at, operation, changed_rows), newest first."""
+        commits = read_parquet_merged(self.spark, f"{self.path}/commits")
+        counts = self.changes().groupBy("_version").agg(F.count("*").alias("changed_rows"))
         return (
-            self.changes()
-            .groupBy(
-                F.col("_version").alias("version"),
-                F.col("_committed_at").alias("committed_at"),
-                F.col("_op").alias("operation"),
+            commits.join(counts, "_version", "left")
+            .select(
+                F.col("_version").cast("long").alias("version"),
+                F.col("committed_at").cast("timestamp_ntz").alias("committed_at"),
+                "operation",
+                F.coalesce("changed_rows", F.lit(0)).alias("changed_rows"),
             )
-            .agg(F.count("*").alias("changed_rows"))
             .orderBy(F.col("version").desc())
         )
 

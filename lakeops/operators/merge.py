@@ -120,10 +120,8 @@ def upsert_table(
         one_of = F.coalesce(one_of, F.lit(False)) | F.col(partition).isNull()
 
     merged = new_folder(spark, "merge-result")
-    write_table(
-        upsert(target.where(one_of), rows, keys, newer_by=newer_by), merged, partition_by=[partition]
-    )
-    result = spark.read.schema(schema).parquet(merged).select(*columns)
+    upsert(target.where(one_of), rows, keys, newer_by=newer_by).write.parquet(merged)
+    result = spark.read.schema(schema).parquet(merged)
     write_table(result, path, mode="overwrite", partition_by=[partition], dynamic=True)
 
     # dynamic overwrite leaves a partition alone when all of its rows moved away

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-THEMES = ("analytics", "sales", "silver")
+THEMES = ("analytics", "sales", "silver", "feeds", "history", "storage")
 
 
 def load_all():

@@ -31,26 +31,34 @@ def upsert(
     A matched row takes every source value, NULL included; an unmatched source row is
     inserted. NULL keys match nothing. Target columns the source lacks stay as they are.
     With ``newer_by`` an older source row does not replace a newer target row.
+
+    The target is the streamed side of each join: it is not shuffled when the source is
+    small enough to broadcast, and a key that many target rows share can be split. The
+    source is read three times; store it first if it is costly.
     """
     given = set(source.columns)
     new = source.select(*[F.col(c).alias(f"_s_{c}") for c in source.columns]).withColumn(
         "_in_source", F.lit(True)
     )
-    joined = target.join(
-        new,
-        _all([F.col(k) == F.col(f"_s_{k}") for k in keys]),
-        "full_outer" if insert else "left",
-    )
+    joined = target.join(new, _all([F.col(k) == F.col(f"_s_{k}") for k in keys]), "left")
     take = F.col("_in_source").isNotNull()
     if newer_by:
         older = F.col(f"_s_{newer_by}") < F.col(newer_by)
         take = take & ~F.coalesce(older, F.lit(False))
-    return joined.select(
+    updated = joined.select(
         *[
             (F.when(take, F.col(f"_s_{c}")).otherwise(F.col(c)) if c in given else F.col(c)).alias(c)
             for c in target.columns
         ]
     )
+    if not insert:
+        return updated
+    source_keys = source.select(*keys)
+    matched = target.select(*keys).join(source_keys, list(keys), "left_semi").distinct()
+    added = source.join(matched, list(keys), "left_anti")
+    return updated.unionByName(
+        added.select(*[c for c in target.columns if c in given]), allowMissingColumns=True
+    )
 
 
 def update_matched(

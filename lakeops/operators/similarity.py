@@ -1,10 +1,11 @@
 """Best match of names in a registry, by edit distance or by matching blocks.
 
 Names that agree exactly are joined directly. For the others, pairs come from an equi join
-on (two-character piece, its position, registry name length) and are kept when they share
-as many pieces as the threshold needs. Length, position and count limits are upper bounds
-for either measure, so no pair at or above the threshold is lost. (Positional q-gram
-filtering: Gravano et al., "Approximate String Joins in a Database (Almost) for Free", 2001.)
+on (piece of a few characters, its position, registry name length). The join emits a pair
+only if the letters of both names are nearly the same, and it is kept when it shares as many
+pieces as the threshold needs. All limits are upper bounds for the measure, so no pair at or
+above the threshold is lost. (Positional q-gram filtering: Gravano et al., "Approximate
+String Joins in a Database (Almost) for Free", 2001.)
 """
 
 from __future__ import annotations
@@ -36,10 +37,14 @@ def block_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
 
 @dataclass(frozen=True)
 class Measure:
-    """Limits that any pair of lengths n and m at or above the threshold must meet."""
+    """Limits that names of lengths n and m at or above the threshold must meet."""
 
     threshold: float = THRESHOLD
 
+    def piece_size(self) -> int:
+        """Longest piece of which such names always share at least one."""
+        raise NotImplementedError
+
     def shortest(self, n: Column) -> Column:
         raise NotImplementedError
 
@@ -47,9 +52,15 @@ class Measure:
         raise NotImplementedError
 
     def max_shift(self, n: Column, m: Column) -> Column:
+        """How far apart a shared piece may be."""
+        raise NotImplementedError
+
+    def max_letters(self, n: Column, m: Column) -> Column:
+        """How many letters may occur in one of the names only."""
         raise NotImplementedError
 
     def min_shared(self, n: Column, m: Column) -> Column:
+        """How many pieces are shared at least."""
         raise NotImplementedError
 
     def score(self, left: Column, right: Column) -> Column:
@@ -57,7 +68,10 @@ class Measure:
 
 
 class EditSimilarity(Measure):
-    """1 - edits / longer length. An edit breaks at most two pieces."""
+    """1 - edits / longer length. An edit breaks at most q pieces and changes two letters."""
+
+    def piece_size(self) -> int:
+        return min(6, int(1 / (1 - self.threshold) + _SLACK))
 
     def _edits(self, n: Column, m: Column) -> Column:
         return F.floor((1 - self.threshold) * F.greatest(n, m) + _SLACK)
@@ -71,8 +85,12 @@ class EditSimilarity(Measure):
     def max_shift(self, n: Column, m: Column) -> Column:
         return self._edits(n, m)
 
+    def max_letters(self, n: Column, m: Column) -> Column:
+        return 2 * self._edits(n, m)
+
     def min_shared(self, n: Column, m: Column) -> Column:
-        return F.greatest(n, m) + 1 - 2 * self._edits(n, m)
+        q = self.piece_size()
+        return F.greatest(n, m) + (q - 1) - q * self._edits(n, m)
 
     def score(self, left: Column, right: Column) -> Column:
         longer = F.greatest(F.length(left), F.length(right))
@@ -80,8 +98,12 @@ class EditSimilarity(Measure):
 
 
 class BlockRatio(Measure):
-    """2M / T with M matched characters of T. M >= threshold * T / 2; the matched runs are
-    separated by unmatched characters, so at least 3M - T + 1 pieces are shared."""
+    """2M / T with M matched characters of T, so U = T - 2M are unmatched. The matched runs
+    are separated by unmatched characters: at most U + 1 runs, each of which breaks q - 1
+    pieces; markers at both ends add q - 1 pieces each."""
+
+    def piece_size(self) -> int:
+        return min(6, 1 + int(self.threshold / 2 / (1 - self.threshold) + _SLACK))
 
     def _matched(self, n: Column, m: Column) -> Column:
         return F.ceil(self.threshold * (n + m) / 2 - _SLACK)
@@ -95,32 +117,57 @@ class BlockRatio(Measure):
     def max_shift(self, n: Column, m: Column) -> Column:
         return F.greatest(n, m) - self._matched(n, m)
 
+    def max_letters(self, n: Column, m: Column) -> Column:
+        return n + m - 2 * self._matched(n, m)
+
     def min_shared(self, n: Column, m: Column) -> Column:
-        return 3 * self._matched(n, m) - (n + m) + 1
+        q = self.piece_size()
+        return self._matched(n, m) + (q - 1) - (q - 1) * self.max_letters(n, m)
 
     def score(self, left: Column, right: Column) -> Column:
         return block_ratio(left, right)
 
 
-def _pieces(df: DataFrame, name: str) -> DataFrame:
-    """(name, n, pos, piece): two-character pieces with markers at both ends."""
-    text = F.concat(F.lit("\u0002"), F.col(name), F.lit("\u0003"))
+def _letters(name: Column) -> Column:
+    """Bit set of the characters; two characters may share a bit."""
+
+    def add(bits: Column, char: Column) -> Column:
+        return bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.ascii(char) % 64))
+
+    return F.aggregate(F.split(name, ""), F.lit(0).cast("long"), add)
+
+
+def _pieces(df: DataFrame, name: str, size: int) -> DataFrame:
+    """(name, n, letters, pos, piece): pieces of ``size`` with markers at both ends."""
+    before, after = F.lit("\u0002" * (size - 1)), F.lit("\u0003" * (size - 1))
+    text = F.concat(before, F.col(name), after)
     length = F.length(name)
-    at = F.sequence(F.lit(1), length + 1)
-    cut = F.transform(at, lambda i: F.substring(text, i, F.lit(2)))
-    return df.select(F.col(name), length.alias("n"), F.posexplode(cut).alias("pos", "piece"))
+    at = F.sequence(F.lit(1), length + (size - 1))
+    cut = F.transform(at, lambda i: F.substring(text, i, F.lit(size)))
+    return df.select(
+        F.col(name),
+        length.alias("n"),
+        _letters(F.col(name)).alias("letters"),
+        F.posexplode(cut).alias("pos", "piece"),
+    )
 
 
 def candidate_pairs(names: DataFrame, registry: DataFrame, measure: Measure) -> DataFrame:
     """(name, reg_name) pairs that may reach the threshold; both inputs are distinct."""
-    if measure.threshold < 0.7:
-        raise ValueError("below 0.7 a pair need not share a piece")
-    right = _pieces(registry.select("reg_name"), "reg_name").select(
-        "reg_name", F.col("n").alias("m"), F.col("pos").alias("reg_pos"), "piece"
+    size = measure.piece_size()
+    if size < 2:
+        raise ValueError(f"threshold {measure.threshold} is too low to find pairs by shared pieces")
+    right = _pieces(registry.select("reg_name"), "reg_name", size).select(
+        "reg_name",
+        F.col("n").alias("m"),
+        F.col("letters").alias("reg_letters"),
+        F.col("pos").alias("reg_pos"),
+        "piece",
     )
     n, m = F.col("n"), F.col("m")
+    # each name looks in the few lengths and positions where a match can be
     left = (
-        _pieces(names.select("name"), "name")
+        _pieces(names.select("name"), "name", size)
         .withColumn("m", F.explode(F.sequence(measure.shortest(n), measure.longest(n))))
         .withColumn("m", m.cast("int"))
         .withColumn("shift", measure.max_shift(n, m).cast("int"))
@@ -130,12 +177,17 @@ def candidate_pairs(names: DataFrame, registry: DataFrame, measure: Measure) ->
                 F.sequence(F.greatest(F.col("pos") - F.col("shift"), F.lit(0)), F.col("pos") + F.col("shift"))
             ),
         )
-        .where(F.col("reg_pos") <= m)
-        .drop("pos", "shift")
+        .withColumn("max_letters", measure.max_letters(n, m))
+        .select("name", "n", "m", "letters", "max_letters", "reg_pos", "piece")
     )
+    same_place = ["piece", "m", "reg_pos"]
+    different = F.bit_count(F.col("letters").bitwiseXOR(F.col("reg_letters")))
+    condition = different <= F.col("max_letters")
+    for column in same_place:
+        condition = condition & (left[column] == right[column])
     return (
-        left.join(right, ["piece", "m", "reg_pos"])
-        .groupBy("name", "reg_name", "n", "m")
+        left.join(right, condition)
+        .groupBy("name", "reg_name", "n", left["m"].alias("m"))
         .agg(F.count("*").alias("shared"))
         .where(F.col("shared") >= measure.min_shared(n, m))
         .select("name", "reg_name")

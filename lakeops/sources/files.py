@@ -76,7 +76,7 @@ def read_period(table: DataFrame, year: int, month: int) -> DataFrame:
 
 
 def available_periods(table: DataFrame) -> DataFrame:
-    """Distinct (year, month), answered from the partition directories."""
+    """Distinct (year, month); both are partition columns, so no data column is read."""
     return table.select("year", "month").distinct().orderBy("year", "month")
 
 

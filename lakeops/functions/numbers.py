@@ -15,15 +15,19 @@ def round_to(value: Column | str, digits: int = 2) -> Column:
     return F.round(as_column(value).cast("decimal(18,9)"), digits).cast("double")
 
 
-def exact_sum(value: Column | str, scale: int = 2) -> Column:
-    """Sum without floating-point order effects, as DOUBLE."""
-    return F.sum(as_column(value).cast(f"decimal(18,{scale})")).cast("double")
+def cents(value: Column | str) -> Column:
+    """Money as a whole number of cents, half up. Integers add up exactly in any order."""
+    return F.floor(as_column(value) * 100 + 0.5).cast("bigint")
 
 
-def exact_avg(value: Column | str, scale: int = 2) -> Column:
-    """Mean of the non-null values from an exact sum; NULL for an empty group."""
-    col = as_column(value)
-    return exact_sum(col, scale) / F.nullif(F.count(col), F.lit(0))
+def exact_sum(value: Column | str) -> Column:
+    """Sum of money amounts without floating-point order effects, as DOUBLE."""
+    return F.sum(cents(value)) / F.lit(100.0)
+
+
+def exact_avg(value: Column | str) -> Column:
+    """Mean of the non-null amounts from an exact sum; NULL for an empty group."""
+    return exact_sum(value) / F.nullif(F.count(as_column(value)), F.lit(0))
 
 
 def ratio(part: Column | str, whole: Column | str) -> Column:

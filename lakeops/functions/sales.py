@@ -5,32 +5,35 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lakeops.functions.numbers import as_column
+from lakeops.functions.numbers import as_column, cents
 
-# Fixed values of the commission rule: base rate, extra for a sale above the amount,
-# extra for an employee hired more than so many days before the sale.
-BASE_RATE = "0.03"
-LARGE_SALE_RATE, LARGE_SALE_AMOUNT = "0.02", 1000
-TENURE_RATE, TENURE_DAYS = "0.01", 180
+# Fixed values of the commission rule, in percent: base rate, extra for a sale above the
+# amount, extra for an employee hired more than so many days before the sale.
+BASE_PERCENT = 3
+LARGE_SALE_PERCENT, LARGE_SALE_AMOUNT = 2, 1000
+TENURE_PERCENT, TENURE_DAYS = 1, 180
 
 
-def commission_rate(amount: Column | str, sale_date: Column | str, hire_date: Column | str) -> Column:
-    """Rate as DECIMAL(3,2); an unknown amount counts as 0, an unknown date as short tenure."""
-    zero = F.lit("0.00").cast("decimal(3,2)")
-
-    def extra(condition: Column, rate: str) -> Column:
-        return F.when(condition, F.lit(rate).cast("decimal(3,2)")).otherwise(zero)
-
+def commission_percent(
+    amount: Column | str, sale_date: Column | str, hire_date: Column | str
+) -> Column:
+    """Whole percent; an unknown amount counts as 0, an unknown date as short tenure."""
     tenure = F.datediff(as_column(sale_date), as_column(hire_date))
-    rate = (
-        F.lit(BASE_RATE).cast("decimal(3,2)")
-        + extra(as_column(amount) > LARGE_SALE_AMOUNT, LARGE_SALE_RATE)
-        + extra(tenure > TENURE_DAYS, TENURE_RATE)
+    return (
+        F.lit(BASE_PERCENT)
+        + F.when(as_column(amount) > LARGE_SALE_AMOUNT, LARGE_SALE_PERCENT).otherwise(0)
+        + F.when(tenure > TENURE_DAYS, TENURE_PERCENT).otherwise(0)
     )
-    return rate.cast("decimal(3,2)")
 
 
-def commission(amount: Column | str, rate: Column | str) -> Column:
-    """Amount times rate, rounded to cents."""
-    exact = as_column(amount).cast("decimal(18,2)") * as_column(rate)
-    return F.round(exact, 2).cast("decimal(18,2)")
+def commission_rate(
+    amount: Column | str, sale_date: Column | str, hire_date: Column | str
+) -> Column:
+    """Rate as a fraction, for example 0.05."""
+    return commission_percent(amount, sale_date, hire_date) / F.lit(100.0)
+
+
+def commission(amount: Column | str, percent: Column | str) -> Column:
+    """Commission on an amount of whole cents, rounded half up to cents in integers."""
+    parts = cents(amount) * as_column(percent)
+    return F.floor((parts + 50) / F.lit(100.0)) / F.lit(100.0)

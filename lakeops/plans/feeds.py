@@ -17,7 +17,7 @@ from lakeops.operators.incremental import (
     run_record,
 )
 from lakeops.plans.registry import query
-from lakeops.plans.sales import _SALES_SQL, _doubles
+from lakeops.plans.sales import SALES_SQL
 from lakeops.plans.views import SALES_VIEWS, Tables, sales
 from lakeops.schemas import DRIVER_TABLES
 from lakeops.sources.files import available_periods as periods_of, read_period, write_sorted, write_table
@@ -85,9 +85,9 @@ def available_periods(t: Tables) -> DataFrame:
     return periods_of(_periods_table(t))
 
 
-@query(_SALES_SQL + " FROM sales WHERE year(salesdate) = 1998 AND month(salesdate) = 3", SALES_VIEWS)
+@query(SALES_SQL + " FROM sales WHERE year(salesdate) = 1998 AND month(salesdate) = 3", SALES_VIEWS)
 def partition_period_scan(t: Tables) -> DataFrame:
-    return _doubles(read_period(_periods_table(t), 1998, 3).drop("year", "month"))
+    return read_period(_periods_table(t), 1998, 3).drop("year", "month")
 
 
 @query(

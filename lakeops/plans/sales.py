@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.functions.dates import days_between
+from lakeops.functions.numbers import exact_sum
 from lakeops.operators import marts
 from lakeops.operators.aggregates import row_counts
 from lakeops.operators.joins import with_child_count
@@ -18,19 +19,14 @@ from lakeops.workspace import new_folder
 TENURE_DATE = "2002-01-01"
 
 
-def _doubles(df: DataFrame) -> DataFrame:
-    decimals = [name for name, kind in df.dtypes if kind.startswith("decimal")]
-    return df.withColumns({c: F.col(c).cast("double") for c in decimals})
-
-
-_SALES_SQL = """
+SALES_SQL = """
     SELECT salesid, salesdate, salespersonid, customerid, productid, quantity,
            CAST(totalprice AS DOUBLE) AS totalprice, CAST(discount AS DOUBLE) AS discount"""
 
 
-@query(_SALES_SQL + " FROM sales", SALES_VIEWS)
+@query(SALES_SQL + " FROM sales", SALES_VIEWS)
 def sales_dedup(t: Tables) -> DataFrame:
-    return _doubles(sales(t))
+    return sales(t)
 
 
 @query(
@@ -42,7 +38,7 @@ def sales_dedup(t: Tables) -> DataFrame:
     PROCESSED_VIEWS,
 )
 def sales_enriched(t: Tables) -> DataFrame:
-    return _doubles(sales_processed(t))
+    return sales_processed(t)
 
 
 @query(
@@ -52,10 +48,10 @@ def sales_enriched(t: Tables) -> DataFrame:
     PROCESSED_VIEWS,
 )
 def commission(t: Tables) -> DataFrame:
-    return _doubles(
+    return (
         sales_processed(t)
         .groupBy("commissionrate")
-        .agg(F.count("*").alias("sales_count"), F.sum("commission").alias("total_commission"))
+        .agg(F.count("*").alias("sales_count"), exact_sum("commission").alias("total_commission"))
     )
 
 

@@ -24,8 +24,8 @@ from lakeops.operators.dedupe import first_per_key, latest_per_key
 from lakeops.operators.merge import update_matched, upsert, upsert_table
 from lakeops.operators.quality import coverage as match_coverage
 from lakeops.operators.similarity import THRESHOLD, BlockRatio, EditSimilarity, best_match
-from lakeops.plans.registry import query, with_views
-from lakeops.plans.views import BOX_NEWEST, SALARY_YEARS, Tables, box, salary_wide
+from lakeops.plans.registry import query
+from lakeops.plans.views import SALARY_YEARS, Tables, box, games, salary_wide
 from lakeops.sources.files import write_table
 from lakeops.workspace import new_folder
 
@@ -323,8 +323,7 @@ _UNPIVOT_SQL = " UNION ALL ".join(
 
 @query(_UNPIVOT_SQL, ["salary_wide"])
 def salary_unpivot(t: Tables) -> DataFrame:
-    long = unpivot_positive(salary_wide(t), ["personid"], _SALARY_COLUMNS, "season", "salary_usd")
-    return long.withColumn("salary_usd", F.col("salary_usd").cast("double"))
+    return unpivot_positive(salary_wide(t), ["personid"], _SALARY_COLUMNS, "season", "salary_usd")
 
 
 @query(
@@ -394,12 +393,9 @@ def coverage(t: Tables) -> DataFrame:
     return match_coverage(_edit_matches(t), F.col("match_id").isNotNull(), F.col("match_score"))
 
 
-_GAMES_SQL = f"""SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY personid, gameid
-    ORDER BY {', '.join(c + ' DESC' for c in BOX_NEWEST)}) AS rn FROM box) b WHERE rn = 1"""
-
-
-def _games(t: Tables) -> DataFrame:
-    return latest_per_key(box(t), ["personid", "gameid"], BOX_NEWEST)
+_GAMES_SQL = """SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY personid, gameid
+    ORDER BY gamedatetimeest DESC, linenumber DESC, points DESC, price DESC, reboundsdefensive DESC,
+             reboundsoffensive DESC) AS rn FROM box) b WHERE rn = 1"""
 
 
 @query(
@@ -419,7 +415,7 @@ def game_logs(t: Tables) -> DataFrame:
     games_per_person = t.read("lineitem").select(
         F.col("l_suppkey").alias("personid"), F.col("l_shipdate").cast("date").alias("game_date")
     )
-    return marts.game_logs(_games(t), sizes_from=games_per_person)
+    return marts.game_logs(games(t), sizes_from=games_per_person)
 
 
 @query(

@@ -10,7 +10,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.functions.sales import commission, commission_rate
+from lakeops.functions.numbers import exact_sum
+from lakeops.functions.sales import commission, commission_percent
 from lakeops.operators.dedupe import first_per_key
 from lakeops.operators.joins import enrich_left
 from lakeops.schemas import DRIVER_TABLES
@@ -37,46 +38,62 @@ def _name_parts(name: str) -> tuple:
     return part(1), part(2)
 
 
-def box(t: Tables, min_points: int | None = None) -> DataFrame:
-    """Box scores. ``min_points`` is applied to the scanned column, so it reaches the file."""
+def _persons(t: Tables) -> DataFrame:
+    """Name and team per person; names are split here, once per person."""
     first, last = _name_parts("s_name")
-    line = t.read("lineitem")
-    if min_points is not None:
-        line = line.where(F.col("l_quantity") >= float(min_points))
-    whole = F.col("l_quantity").cast("int")
-    defensive = F.round(F.col("l_discount") * 100).cast("int")
-    offensive = F.round(F.col("l_tax") * 100).cast("int")
     return (
-        line.join(t.read("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        t.read("supplier")
         .join(t.read("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         .select(
-            F.col("l_suppkey").alias("personid"),
+            F.col("s_suppkey").alias("personid"),
             first.alias("firstname"),
             last.alias("lastname"),
             F.col("n_name").alias("playerteamname"),
-            F.col("l_orderkey").alias("gameid"),
-            F.col("l_linenumber").alias("linenumber"),
-            F.col("l_shipdate").alias("gamedatetimeest"),
-            whole.alias("points"),
-            F.col("l_linenumber").alias("assists"),
-            defensive.alias("reboundsdefensive"),
-            offensive.alias("reboundsoffensive"),
-            whole.alias("fgm"),
-            (whole + F.col("l_linenumber")).alias("fga"),
-            offensive.alias("tpm"),
-            (offensive + defensive).alias("tpa"),
-            F.col("l_linenumber").alias("ftm"),
-            (F.col("l_linenumber") + defensive).alias("fta"),
-            (whole % 48).alias("numminutes"),
-            F.col("l_extendedprice").cast("decimal(18,2)").alias("price"),
         )
     )
 
 
-# Order that makes box rows of one person and game differ.
-BOX_NEWEST = (
-    "gamedatetimeest", "linenumber", "points", "price", "reboundsdefensive", "reboundsoffensive",
-)
+def _box_of(line: DataFrame, t: Tables) -> DataFrame:
+    whole = F.col("l_quantity").cast("int")
+    defensive = F.floor(F.col("l_discount") * 100 + 0.5).cast("int")
+    offensive = F.floor(F.col("l_tax") * 100 + 0.5).cast("int")
+    lines = line.select(
+        F.col("l_suppkey").alias("personid"),
+        F.col("l_orderkey").alias("gameid"),
+        F.col("l_linenumber").alias("linenumber"),
+        F.col("l_shipdate").alias("gamedatetimeest"),
+        whole.alias("points"),
+        F.col("l_linenumber").alias("assists"),
+        defensive.alias("reboundsdefensive"),
+        offensive.alias("reboundsoffensive"),
+        whole.alias("fgm"),
+        (whole + F.col("l_linenumber")).alias("fga"),
+        offensive.alias("tpm"),
+        (offensive + defensive).alias("tpa"),
+        F.col("l_linenumber").alias("ftm"),
+        (F.col("l_linenumber") + defensive).alias("fta"),
+        (whole % 48).alias("numminutes"),
+        F.col("l_extendedprice").alias("price"),
+    )
+    return lines.join(_persons(t), "personid")
+
+
+def box(t: Tables, min_points: int | None = None) -> DataFrame:
+    """Box scores. ``min_points`` is applied to the scanned column, so it reaches the file."""
+    line = t.read("lineitem")
+    if min_points is not None:
+        line = line.where(F.col("l_quantity") >= float(min_points))
+    return _box_of(line, t)
+
+
+def games(t: Tables) -> DataFrame:
+    """Latest box score per person and game. Every person is in one team, so lines are
+    deduplicated before the join."""
+    newest = [F.col(c).desc() for c in _GAME_NEWEST]
+    return _box_of(first_per_key(t.read("lineitem"), ["l_suppkey", "l_orderkey"], newest), t)
+
+
+_GAME_NEWEST = ("l_shipdate", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 
 def sched(t: Tables) -> DataFrame:
@@ -106,7 +123,9 @@ def adv(t: Tables) -> DataFrame:
 
 
 _SALE_KEYS = ("l_orderkey", "l_linenumber")
-_SALE_NEWEST = ("l_shipdate", "price", "l_partkey", "l_suppkey", "l_quantity", "l_discount")
+_SALE_NEWEST = (
+    "l_shipdate", "l_extendedprice", "l_partkey", "l_suppkey", "l_quantity", "l_discount",
+)
 
 
 def _sales_of(line: DataFrame, t: Tables) -> DataFrame:
@@ -117,8 +136,8 @@ def _sales_of(line: DataFrame, t: Tables) -> DataFrame:
         F.col("o_custkey").alias("customerid"),
         F.col("l_partkey").alias("productid"),
         F.col("l_quantity").cast("int").alias("quantity"),
-        F.col("l_extendedprice").cast("decimal(18,2)").alias("totalprice"),
-        F.col("l_discount").cast("decimal(4,2)").alias("discount"),
+        F.col("l_extendedprice").alias("totalprice"),
+        F.col("l_discount").alias("discount"),
     )
 
 
@@ -129,9 +148,8 @@ def sales_raw(t: Tables) -> DataFrame:
 def sales(t: Tables) -> DataFrame:
     """One row per sale. Every order has one customer, so lines are deduplicated before the
     join: fewer rows to shuffle, and at most a few lines per order are left."""
-    line = t.read("lineitem").withColumn("price", F.col("l_extendedprice").cast("decimal(18,2)"))
     newest = [F.col(c).desc() for c in _SALE_NEWEST]
-    return _sales_of(first_per_key(line, list(_SALE_KEYS), newest), t)
+    return _sales_of(first_per_key(t.read("lineitem"), list(_SALE_KEYS), newest), t)
 
 
 def emp(t: Tables) -> DataFrame:
@@ -151,8 +169,7 @@ def sales_processed(t: Tables) -> DataFrame:
         sales(t), emp(t), "salespersonid", "employeeid", ["hiredate", "firstname", "lastname"]
     )
     return (
-        joined.withColumn("commissionrate", commission_rate("totalprice", "salesdate", "hiredate"))
-        .withColumn("commission", commission("totalprice", "commissionrate"))
+        joined.withColumn("percent", commission_percent("totalprice", "salesdate", "hiredate"))
         .select(
             "salesid",
             "salesdate",
@@ -162,16 +179,17 @@ def sales_processed(t: Tables) -> DataFrame:
             F.col("firstname").alias("employeefirstname"),
             F.col("lastname").alias("employeelastname"),
             "hiredate", "customerid", "productid", "quantity", "totalprice", "discount",
-            "commissionrate", "commission",
+            (F.col("percent") / F.lit(100.0)).alias("commissionrate"),
+            commission("totalprice", "percent").alias("commission"),
         )
     )
 
 
 def salary_wide(t: Tables) -> DataFrame:
-    price = F.col("o_totalprice").cast("decimal(18,2)")
+    price = F.col("o_totalprice")
     year = F.year("o_orderdate")
     return t.read("orders").groupBy(F.col("o_custkey").alias("personid")).agg(
-        *[F.sum(F.when(year == y, price)).alias(f"y{y}") for y in SALARY_YEARS]
+        *[exact_sum(F.when(year == y, price)).alias(f"y{y}") for y in SALARY_YEARS]
     )
 
 
@@ -189,7 +207,7 @@ VIEW_SQL = {
                l.l_linenumber AS ftm,
                l.l_linenumber + CAST(ROUND(l.l_discount * 100) AS INT) AS fta,
                CAST(l.l_quantity AS INT) % 48 AS numminutes,
-               CAST(l.l_extendedprice AS DECIMAL(18,2)) AS price
+               l.l_extendedprice AS price
         FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
         JOIN nation n ON s.s_nationkey = n.n_nationkey""",
     "sched": """

@@ -11,10 +11,9 @@ def estimated_bytes(df: DataFrame) -> int | None:
     Joins are over-estimated, so a small value is a safe upper bound. None when the
     session does not expose it.
     """
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except AttributeError:
+    if not hasattr(df, "_jdf"):
         return None
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def is_small(df: DataFrame, limit_bytes: int) -> bool:

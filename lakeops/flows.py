@@ -1,0 +1,196 @@
+"""The lake's jobs, built from the operators: landing, processed and warehouse tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from lakeops import schemas
+from lakeops.functions.dates import days_between, month_start
+from lakeops.functions.numbers import lenient_long
+from lakeops.functions.sales import commission, commission_percent
+from lakeops.functions.text import normalize_id, to_messages, typed_defaults
+from lakeops.operators import marts
+from lakeops.operators.aggregates import unpivot_positive
+from lakeops.operators.dedupe import drop_duplicates_stable, latest_per_key, with_cast_keys
+from lakeops.operators.incremental import append_status, incremental_rows, run_record
+from lakeops.operators.joins import enrich_left, with_child_count
+from lakeops.operators.merge import upsert_table
+from lakeops.operators.quality import coverage, quality_report, require_non_empty
+from lakeops.operators.similarity import BlockRatio, best_match
+from lakeops.sources.files import (
+    ensure_table,
+    read_csv_lenient,
+    read_parquet_merged,
+    write_single_file,
+    write_table,
+)
+from lakeops.sources.layers import Lake
+from lakeops.streaming.ingest import ingest_json_stream
+
+BOX = "box_scores"
+SALARIES = "dim_salaries"
+
+BOX_MONTHLY = T.StructType([*schemas.BOX_SCORE_PROCESSED.fields, T.StructField("month", T.DateType())])
+
+# Partition columns of the sales reports; the others are small or unpartitioned.
+PERIOD_REPORTS = (
+    "sales_by_employee_period", "sales_by_customer_period", "products_by_period", "performance_detailed",
+)
+
+
+def create_tables(spark: SparkSession, lake: Lake) -> None:
+    """Empty tables of the box-score and salary layers; existing tables are kept."""
+    ensure_table(spark, lake.path("landing", BOX), schemas.BOX_SCORE_LANDING)
+    ensure_table(spark, lake.path("processed", BOX), BOX_MONTHLY, ["month"])
+    ensure_table(spark, lake.path("processed", SALARIES), schemas.SALARY_PROCESSED, ["season"])
+    ensure_table(spark, lake.path("warehouse", "game_logs"), schemas.GAME_LOGS, ["playerteamname"])
+    ensure_table(
+        spark, lake.path("warehouse", "player_season_stats"), schemas.SEASON_STATS, ["season_start_year"]
+    )
+
+
+def box_score_messages(spark: SparkSession, lake: Lake, csv_path: str) -> DataFrame:
+    """Messages for the box scores that are newer than the landing table, oldest first."""
+    feed = read_csv_lenient(spark, csv_path, schemas.BOX_SCORE_LANDING, schemas.BOX_SCORE_FILE_NAMES)
+    landed = lake.read(spark, "landing", BOX, schemas.BOX_SCORE_LANDING)
+    new = incremental_rows(feed, landed, "gameDateTimeEst", ["gameId", "personId"])
+    clean = new.withColumns({c: normalize_id(c) for c in ("personId", "gameId")})
+    return to_messages(typed_defaults(clean), key="gameId")
+
+
+def land_box_scores(
+    messages: DataFrame, lake: Lake, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Start appending a stream of box-score messages to the landing table."""
+    return ingest_json_stream(
+        messages, schemas.BOX_SCORE_LANDING, lake.path("landing", BOX), checkpoint, trigger=trigger
+    )
+
+
+def merge_box_scores(spark: SparkSession, lake: Lake) -> list:
+    """Merge the landed box scores into the processed table; returns the rewritten months."""
+    landed = lake.read(spark, "landing", BOX, schemas.BOX_SCORE_LANDING)
+    require_non_empty(landed, "landing table")
+    typed = with_cast_keys(landed, {"personId": "bigint", "gameId": "bigint"}).withColumns(
+        {"win": F.col("win").cast("boolean"), "home": F.col("home").cast("boolean")}
+    )
+    names = schemas.BOX_SCORE_PROCESSED.fieldNames()
+    # the other columns only order rows of the same moment
+    rest = [c for c in names if c not in ("gameDateTimeEst", "gameId", "personId")]
+    latest = latest_per_key(typed, ["gameId", "personId"], ["gameDateTimeEst", *rest])
+    return upsert_table(
+        spark,
+        lake.path("processed", BOX),
+        BOX_MONTHLY,
+        latest.withColumn("month", month_start("gameDateTimeEst")),
+        ["gameId", "personId"],
+        "month",
+        check_unique=False,
+    )
+
+
+def process_salaries(spark: SparkSession, lake: Lake, wide: DataFrame) -> DataFrame:
+    """Wide salaries to one row per player and season, with the id of the best matching name.
+
+    Seasons in the input are replaced, others are kept. Returns the coverage of the match.
+    """
+    seasons = {s: s for s in schemas.SALARY_SEASONS if s in wide.columns}
+    long = unpivot_positive(wide, ["fullname", "playerteamName"], seasons, "season", "salary_usd")
+    landed = lake.read(spark, "landing", BOX, schemas.BOX_SCORE_LANDING)
+    registry = landed.select(
+        lenient_long("personId").alias("personid"),
+        F.concat(F.trim("firstName"), F.lit(" "), F.trim("lastName")).alias("registered"),
+    ).distinct()
+    matched = best_match(long, registry, "fullname", "registered", "personid", BlockRatio())
+    found = F.col("match_id").isNotNull()
+    rows = matched.where(found).select(
+        F.col("match_id").alias("personid"),
+        F.col("fullname").alias("player_name"),
+        "playerteamName",
+        F.col("salary_usd").cast("bigint").alias("salary_usd"),
+        "season",
+    )
+    write_table(
+        rows, lake.path("processed", SALARIES), mode="overwrite", partition_by=["season"], dynamic=True
+    )
+    return coverage(matched, found, F.col("match_score"))
+
+
+def refresh_warehouse(spark: SparkSession, lake: Lake) -> None:
+    """Rebuild the marts from the processed tables."""
+    games = lake.read(spark, "processed", BOX, BOX_MONTHLY)
+    salaries = lake.read(spark, "processed", SALARIES, schemas.SALARY_PROCESSED)
+    logs = marts.game_logs(games).select(schemas.GAME_LOGS.fieldNames())
+    stats = marts.season_stats(games, salaries).select(schemas.SEASON_STATS.fieldNames())
+    write_table(
+        logs, lake.path("warehouse", "game_logs"), mode="overwrite", partition_by=["playerteamname"]
+    )
+    write_table(
+        stats,
+        lake.path("warehouse", "player_season_stats"),
+        mode="overwrite",
+        partition_by=["season_start_year"],
+    )
+
+
+def process_sales(spark: SparkSession, lake: Lake, *, run: int, timestamp: str, as_of: str) -> DataFrame:
+    """Landed sales, employees and customers to processed tables and the ten reports.
+
+    Months in the input are replaced. ``as_of`` is the date that tenure is measured to.
+    Returns the quality report of the processed sales.
+    """
+    raw = read_parquet_merged(spark, lake.path("landing", "sales"))
+    employees = read_parquet_merged(spark, lake.path("landing", "employees"))
+    customers = read_parquet_merged(spark, lake.path("landing", "customers"))
+
+    joined = enrich_left(
+        drop_duplicates_stable(raw, ["SalesID"]),
+        employees,
+        "SalesPersonID",
+        "EmployeeID",
+        ["HireDate", "FirstName", "LastName"],
+    ).withColumn("percent", commission_percent("TotalPrice", "SalesDate", "HireDate"))
+    processed = joined.select(
+        "SalesID",
+        "SalesDate",
+        F.year("SalesDate").alias("year"),
+        F.month("SalesDate").alias("month"),
+        "SalesPersonID",
+        F.col("FirstName").alias("EmployeeFirstName"),
+        F.col("LastName").alias("EmployeeLastName"),
+        "HireDate", "CustomerID", "ProductID", "Quantity", "TotalPrice", "Discount",
+        (F.col("percent") / F.lit(100.0)).alias("CommissionRate"),
+        commission("TotalPrice", "percent").alias("Commission"),
+    )
+    path = lake.path("processed", "sales")
+    write_table(processed, path, mode="overwrite", partition_by=["year", "month"], dynamic=True)
+    stored = spark.read.schema(processed.schema).parquet(path)
+
+    record = run_record(
+        stored,
+        "SalesDate",
+        seq=run,
+        timestamp=timestamp,
+        source=lake.path("landing", "sales"),
+        destination=path,
+        partitions=["year", "month"],
+    )
+    append_status(lake.path("processed", "_processing_status"), record)
+
+    days = days_between(F.lit(as_of).cast("date"), "HireDate")
+    tenure = employees.withColumn("DaysEmployed", days).withColumn("YearsEmployed", days / F.lit(365.0))
+    write_single_file(spark, tenure, lake.path("processed", "employees"))
+    counted = with_child_count(
+        drop_duplicates_stable(customers, ["CustomerID"]), raw, "CustomerID", "TotalPurchases"
+    )
+    write_single_file(spark, counted, lake.path("processed", "customers"))
+
+    for name, report in marts.SALES_MARTS.items():
+        periods = ["year", "month"] if name in PERIOD_REPORTS else []
+        write_table(
+            report(stored), lake.path("processed", name), mode="overwrite", partition_by=periods
+        )
+    return quality_report(stored, "SalesID", "TotalPrice", ["SalesID", "SalesDate", "TotalPrice"])

@@ -16,6 +16,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeops.functions.text import name_key
 
@@ -26,7 +27,7 @@ THRESHOLD = 0.80
 _SLACK = 1e-9
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def block_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     """Twice the matched characters over the total length, as SequenceMatcher counts them."""
     return pd.Series(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 LAYERS = ("landing", "processed", "warehouse")
 
@@ -20,9 +21,15 @@ class Lake:
             raise ValueError(f"unknown layer {layer!r}, expected one of {LAYERS}")
         return f"{self.base.rstrip('/')}/{layer}/{table}"
 
-    def read(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
-        return spark.read.parquet(self.path(layer, table))
+    def read(
+        self, spark: SparkSession, layer: str, table: str, schema: T.StructType | None = None
+    ) -> DataFrame:
+        """The table; a schema is needed while a partitioned table is still empty."""
+        reader = spark.read.schema(schema) if schema else spark.read
+        return reader.parquet(self.path(layer, table))
 
-    def register(self, spark: SparkSession, layer: str, table: str) -> None:
+    def register(
+        self, spark: SparkSession, layer: str, table: str, schema: T.StructType | None = None
+    ) -> None:
         """Make a table usable by name in SQL."""
-        self.read(spark, layer, table).createOrReplaceTempView(table)
+        self.read(spark, layer, table, schema).createOrReplaceTempView(table)

@@ -182,11 +182,11 @@ def process_sales(spark: SparkSession, lake: Lake, *, run: int, timestamp: str,
 
     days = days_between(F.lit(as_of).cast("date"), "HireDate")
     tenure = employees.withColumn("DaysEmployed", days).withColumn("YearsEmployed", days / F.lit(365.0))
-    write_single_file(spark, tenure, lake.path("processed", "employees"))
+    write_single_file(tenure, lake.path("processed", "employees"))
     counted = with_child_count(
         drop_duplicates_stable(customers, ["CustomerID"]), raw, "CustomerID", "TotalPurchases"
     )
-    write_single_file(spark, counted, lake.path("processed", "customers"))
+    write_single_file(counted, lake.path("processed", "customers"))
 
     for name, report in marts.SALES_MARTS.items():
         periods = ["year", "month"] if name in PERIOD_REPORTS else []

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from lakeops.operators.quality import assert_unique
 from lakeops.sources.files import write_table
-from lakeops.workspace import new_folder
+from lakeops.workspace import stored
 
 
 def _all(conditions: Sequence[Column]) -> Column:
@@ -34,7 +34,7 @@ def upsert(
 
     The target is the streamed side of each join: it is not shuffled when the source is
     small enough to broadcast, and a key that many target rows share can be split. The
-    source is read three times; store it first if it is costly.
+    source is read three times; store it first (see ``workspace.stored``) if it is costly.
     """
     given = set(source.columns)
     new = source.select(*[F.col(c).alias(f"_s_{c}") for c in source.columns]).withColumn(
@@ -109,9 +109,7 @@ def upsert_table(
     and a failed run can be repeated. Returns the values of the rewritten partitions.
     """
     columns = [f.name for f in schema.fields]
-    staged = new_folder(spark, "merge-source")
-    source.select(*columns).write.parquet(staged)
-    rows = spark.read.schema(schema).parquet(staged)
+    rows = stored(source.select(*columns), "merge-source")
     if check_unique:
         assert_unique(rows, keys)
 
@@ -127,9 +125,7 @@ def upsert_table(
     if None in touched:
         one_of = F.coalesce(one_of, F.lit(False)) | F.col(partition).isNull()
 
-    merged = new_folder(spark, "merge-result")
-    upsert(target.where(one_of), rows, keys, newer_by=newer_by).write.parquet(merged)
-    result = spark.read.schema(schema).parquet(merged)
+    result = stored(upsert(target.where(one_of), rows, keys, newer_by=newer_by), "merge-result")
     write_table(result, path, mode="overwrite", partition_by=[partition], dynamic=True)
 
     # dynamic overwrite leaves a partition alone when all of its rows moved away

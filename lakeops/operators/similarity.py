@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops.functions.text import name_key
+from lakeops.workspace import stored
 
 # Fixed value: least score of an accepted match.
 THRESHOLD = 0.80
@@ -206,16 +207,20 @@ def best_match(
     """Add ``match_id``, ``match_name`` and ``match_score`` to every row, NULL if unmatched.
 
     Names are compared trimmed and in lower case, each distinct name once. Equal scores go
-    to the smallest id.
+    to the smallest id. The distinct names of both sides are stored, as several joins read
+    them.
     """
-    known = (
+    known = stored(
         registry.select(name_key(reg_name).alias("reg_name"), F.col(reg_id).alias("reg_id"))
         .where("reg_name IS NOT NULL AND reg_name <> ''")
         .groupBy("reg_name")
-        .agg(F.min("reg_id").alias("reg_id"))
+        .agg(F.min("reg_id").alias("reg_id")),
+        "registry-names",
     )
     keyed = rows.withColumn("_name", name_key(name))
-    names = keyed.select(F.col("_name").alias("name")).where("name <> ''").distinct()
+    names = stored(
+        keyed.select(F.col("_name").alias("name")).where("name <> ''").distinct(), "names"
+    )
     exact = names.join(known, names["name"] == known["reg_name"]).select(
         "name", "reg_id", "reg_name", F.lit(1.0).alias("score")
     )
@@ -223,11 +228,12 @@ def best_match(
     scored = (
         candidate_pairs(others, known, measure)
         .withColumn("score", measure.score(F.col("name"), F.col("reg_name")))
-        .where(F.col("score") >= measure.threshold - _SLACK)
         .join(known, "reg_name")
         .groupBy("name")
         .agg(F.min(F.struct((-F.col("score")).alias("low"), "reg_id", "reg_name")).alias("best"))
         .select("name", "best.reg_id", "best.reg_name", (-F.col("best.low")).alias("score"))
+        # here and not on the pairs, where it would be pushed below the cheaper limits
+        .where(F.col("score") >= measure.threshold - _SLACK)
     )
     found = exact.unionByName(scored).select(
         F.col("name").alias("_name"),

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from lakeops.functions.numbers import round_to
 from lakeops.operators.sizes import is_small
-from lakeops.workspace import new_folder
+from lakeops.workspace import stored
 
 # A group above this many rows is split in time; below it, one task sorts it whole.
 MAX_GROUP_ROWS = 2_000_000
@@ -86,9 +86,7 @@ def _long_groups(df: DataFrame, keys: Sequence[str], column: str, max_rows: int)
         .where(F.col("_n") > max_rows)
         .withColumn("_pieces", F.ceil(F.col("_n") / max_rows) * PIECES)
     )
-    path = new_folder(df.sparkSession, "long-groups")
-    found.write.parquet(path)
-    return df.sparkSession.read.schema(found.schema).parquet(path)
+    return stored(found, "long-groups")
 
 
 def _with_piece(df: DataFrame, groups: DataFrame, keys: Sequence[str], column: str) -> DataFrame:

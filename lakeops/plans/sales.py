@@ -13,7 +13,7 @@ from lakeops.operators.joins import with_child_count
 from lakeops.operators.quality import quality_report
 from lakeops.plans.registry import query
 from lakeops.plans.views import PROCESSED_VIEWS, SALES_VIEWS, Tables, emp, sales, sales_processed, sales_raw
-from lakeops.workspace import new_folder
+from lakeops.workspace import stored
 
 # Date that tenure is measured to, instead of the day of the run.
 TENURE_DATE = "2002-01-01"
@@ -198,8 +198,5 @@ for _name in marts.SALES_MARTS:
 )
 def table_summary(t: Tables) -> DataFrame:
     """Rows of each report. Sales are processed and stored once, then read by every report."""
-    path = new_folder(t.spark, "sales-processed")
-    processed = sales_processed(t)
-    processed.write.parquet(path)
-    stored = t.spark.read.schema(processed.schema).parquet(path)
-    return row_counts({name: report(stored) for name, report in marts.SALES_MARTS.items()})
+    processed = stored(sales_processed(t), "sales-processed")
+    return row_counts({name: report(processed) for name, report in marts.SALES_MARTS.items()})

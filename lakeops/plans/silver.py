@@ -27,7 +27,7 @@ from lakeops.operators.similarity import THRESHOLD, BlockRatio, EditSimilarity,
 from lakeops.plans.registry import query
 from lakeops.plans.views import SALARY_YEARS, Tables, box, games, salary_wide
 from lakeops.sources.files import write_table
-from lakeops.workspace import new_folder
+from lakeops.workspace import new_folder, stored
 
 _LINE_KEYS = ["l_orderkey", "l_linenumber"]
 _LINE_NEWEST = [
@@ -89,7 +89,7 @@ def _merge_sides(t: Tables) -> tuple[DataFrame, DataFrame]:
 def merge_upsert(t: Tables) -> DataFrame:
     """Orders updated or inserted from the latest line of each order."""
     target, source = _merge_sides(t)
-    return upsert(target, source, ["gameid"])
+    return upsert(target, stored(source, "merge-source"), ["gameid"])
 
 
 @query(f"SELECT *, CAST(date_trunc('month', updated_at) AS DATE) AS month FROM ({_MERGE_SQL}) m")

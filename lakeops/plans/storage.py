@@ -147,7 +147,7 @@ def single_file_write(t: Tables) -> DataFrame:
     """A report stored as one file while its row count is small."""
     report = _orders_report(t.read("orders"), "o_custkey")
     path = new_folder(t.spark, "report")
-    write_single_file(t.spark, report, path)
+    write_single_file(report, path)
     return t.spark.read.schema(report.schema).parquet(path)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from lakeops.functions.numbers import lenient_flag, lenient_int, lenient_long
 from lakeops.functions.dates import lenient_timestamp
-from lakeops.workspace import new_folder
+from lakeops.workspace import stored
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -117,13 +117,9 @@ def write_sorted(
     df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(mode).parquet(path)
 
 
-def write_single_file(
-    spark: SparkSession, df: DataFrame, path: str, max_rows: int = 1_000_000
-) -> bool:
+def write_single_file(df: DataFrame, path: str, max_rows: int = 1_000_000) -> bool:
     """Overwrite ``path`` with one file if the result is small, else with many; True if one."""
-    staged = new_folder(spark, "single")
-    df.write.parquet(staged)
-    rows = spark.read.schema(df.schema).parquet(staged)
+    rows = stored(df, "single")
     small = rows.count() <= max_rows
     (rows.coalesce(1) if small else rows).write.mode("overwrite").parquet(path)
     return small

@@ -69,9 +69,9 @@ def test_sorted_files_are_disjoint(spark):
 def test_single_file(spark):
     path = new_folder(spark, "t")
     df = spark.range(100).repartition(3)
-    assert files.write_single_file(spark, df, path)
+    assert files.write_single_file(df, path)
     assert len(spark.read.parquet(path).inputFiles()) == 1
-    assert not files.write_single_file(spark, df, path, max_rows=99)
+    assert not files.write_single_file(df, path, max_rows=99)
     assert spark.read.parquet(path).count() == 100
 
 

@@ -42,21 +42,28 @@ def ratio_pct(part: Column | str, whole: Column | str, digits: int = 2) -> Colum
     return round_to(ratio(part, whole) * 100, digits)
 
 
+# Text that is a number; asked before a cast, as a failing cast is far dearer than a match.
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
+def lenient_double(text: Column | str) -> Column:
+    """Decimal text to DOUBLE; other text is NULL."""
+    col = as_column(text)
+    return F.when(col.rlike(NUMBER), col.try_cast("double"))
+
+
 def lenient_int(text: Column | str) -> Column:
     """Text to INT through DOUBLE ("12.0" is 12); bad text is NULL."""
-    return as_column(text).try_cast("double").try_cast("int")
+    return lenient_double(text).try_cast("int")
 
 
 def lenient_long(text: Column | str) -> Column:
     """Text to BIGINT; integers stay exact, "12.0" goes through DOUBLE, bad text is NULL."""
     col = as_column(text)
-    return F.coalesce(col.try_cast("bigint"), col.try_cast("double").try_cast("bigint"))
+    return F.coalesce(col.try_cast("bigint"), lenient_double(col).try_cast("bigint"))
 
 
 def lenient_flag(text: Column | str) -> Column:
     """0/1, true/false, yes/no text to BOOLEAN; anything else is NULL."""
     col = as_column(text)
-    number = col.try_cast("double")
-    return F.coalesce(
-        F.when(number.isNotNull(), number != 0), F.trim(col).try_cast("boolean")
-    )
+    return F.coalesce(lenient_double(col) != 0, F.trim(col).try_cast("boolean"))

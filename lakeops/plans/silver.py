@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.functions.dates import lenient_timestamp, month_start
-from lakeops.functions.numbers import lenient_flag, lenient_int, lenient_long
+from lakeops.functions.numbers import lenient_double, lenient_flag, lenient_int, lenient_long
 from lakeops.functions.text import (
     after_first_token,
     contains_flag,
@@ -206,7 +206,7 @@ def lenient_cast(t: Tables) -> DataFrame:
         "event_id",
         lenient_long("id_text").alias("personid"),
         lenient_int("points_text").alias("points"),
-        F.col("value_text").try_cast("double").alias("value"),
+        lenient_double("value_text").alias("value"),
         lenient_timestamp("date_text").alias("played_at"),
         lenient_flag("win_text").alias("win"),
     )

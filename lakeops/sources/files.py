@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeops.functions.numbers import lenient_flag, lenient_int, lenient_long
+from lakeops.functions.numbers import lenient_double, lenient_flag, lenient_int, lenient_long
 from lakeops.functions.dates import lenient_timestamp
 from lakeops.workspace import stored
 
@@ -36,6 +36,8 @@ def lenient_select(
             value = lenient_int(text)
         elif isinstance(kind, T.LongType):
             value = lenient_long(text)
+        elif isinstance(kind, (T.DoubleType, T.FloatType)):
+            value = lenient_double(text).cast(kind)
         elif isinstance(kind, T.BooleanType):
             value = lenient_flag(text)
         elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):

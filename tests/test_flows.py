@@ -8,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeops import flows, schemas
+from lakeops import schemas
+from lakeops.flows import box_scores, salaries, shots, tables
+from lakeops.flows import sales as sales_flow
 from lakeops.operators.incremental import current_status, status_history
 from lakeops.sources.files import write_table
 from lakeops.sources.layers import Lake
@@ -34,7 +36,7 @@ def box_row(person, game, when, first, last, team, **values):
 @pytest.fixture
 def lake(spark):
     lake = Lake(new_folder(spark, "lake"))
-    flows.create_tables(spark, lake)
+    tables.create_tables(spark, lake)
     return lake
 
 
@@ -47,11 +49,11 @@ def write_feed(spark, rows):
 
 
 def land(spark, lake, csv, checkpoint, topic):
-    messages = flows.box_score_messages(spark, lake, csv)
+    messages = box_scores.box_score_messages(spark, lake, csv)
     messages.write.mode("append").json(topic)
     schema = T.StructType().add("key", "string").add("value", "string")
     stream = read_files(spark, topic, schema, fmt="json")
-    flows.land_box_scores(stream, lake, checkpoint, UNTIL_DONE).awaitTermination()
+    box_scores.land_box_scores(stream, lake, checkpoint, UNTIL_DONE).awaitTermination()
 
 
 def test_box_scores(spark, lake, rows):
@@ -64,12 +66,12 @@ def test_box_scores(spark, lake, rows):
     ]
     checkpoint, topic = new_folder(spark, "cp"), new_folder(spark, "topic")
     land(spark, lake, write_feed(spark, first), checkpoint, topic)
-    landed = lake.read(spark, "landing", flows.BOX)
+    landed = lake.read(spark, "landing", tables.BOX)
     # the game before the default start date is not loaded; bad numbers are 0
     assert rows(landed, "personId", "gameId", "points", "plusMinus", "numMinutes") == [
         ("7", "100", 10, 4, 30), ("7", "101", 21, 0, 30), ("8", "100", 0, 0, 0),
     ]
-    assert flows.merge_box_scores(spark, lake) == [dt.date(2025, 10, 1)]
+    assert box_scores.merge_box_scores(spark, lake) == [dt.date(2025, 10, 1)]
 
     second = [
         *first,
@@ -77,11 +79,11 @@ def test_box_scores(spark, lake, rows):
         box_row("7", "102", day[3], "Santiago", "Aldama", "B", points="5", reboundsOffensive="2"),
     ]
     land(spark, lake, write_feed(spark, second), checkpoint, topic)
-    assert lake.read(spark, "landing", flows.BOX).count() == 5
+    assert lake.read(spark, "landing", tables.BOX).count() == 5
     # game 101 moves to November
     for _ in range(2):
-        flows.merge_box_scores(spark, lake)
-        processed = lake.read(spark, "processed", flows.BOX)
+        box_scores.merge_box_scores(spark, lake)
+        processed = lake.read(spark, "processed", tables.BOX)
         assert rows(processed, "personId", "gameId", "points", "month") == [
             (7, 100, 10, dt.date(2025, 10, 1)), (7, 101, 22, dt.date(2025, 11, 1)),
             (7, 102, 5, dt.date(2025, 11, 1)), (8, 100, 0, dt.date(2025, 10, 1)),
@@ -92,15 +94,15 @@ def test_box_scores(spark, lake, rows):
         T.StructType(schemas.SALARY_LANDING.fields[:6]),
     )
     for _ in range(2):
-        report = flows.process_salaries(spark, lake, wide).first()
+        report = salaries.process_salaries(spark, lake, wide).first()
     assert report.asDict() == {
         "total": 3, "matched": 2, "unmatched": 1, "coverage_pct": 66.7, "low_confidence": 2,
     }
-    salaries = lake.read(spark, "processed", flows.SALARIES)
-    assert rows(salaries, "personid", "season", "salary_usd") == [(7, "2025-26", 1000000), (7, "2026-27", 2000000)]
+    paid = lake.read(spark, "processed", tables.SALARIES)
+    assert rows(paid, "personid", "season", "salary_usd") == [(7, "2025-26", 1000000), (7, "2026-27", 2000000)]
 
     for _ in range(2):
-        flows.refresh_warehouse(spark, lake)
+        box_scores.refresh_warehouse(spark, lake)
         logs = lake.read(spark, "warehouse", "game_logs")
         assert rows(logs, "personid", "gameid", "prev_game_date", "is_back_to_back", "player_name") == [
             (7, 100, None, False, "Santiago Aldama"),
@@ -115,7 +117,7 @@ def test_box_scores(spark, lake, rows):
 
 def test_merge_needs_landed_rows(spark, lake):
     with pytest.raises(ValueError, match="landing table has no rows"):
-        flows.merge_box_scores(spark, lake)
+        box_scores.merge_box_scores(spark, lake)
 
 
 def test_sales(spark, rows):
@@ -140,7 +142,7 @@ def test_sales(spark, rows):
         write_table(df, lake.path("landing", name))
 
     for run in (1, 2):
-        checks = flows.process_sales(
+        checks = sales_flow.process_sales(
             spark, lake, run=run, timestamp=f"2026-01-0{run}T08:00:00", as_of="2020-01-01"
         )
         assert [r.status for r in checks.collect()] == ["PASS"] * 5
@@ -159,7 +161,85 @@ def test_sales(spark, rows):
 
 
 def test_tables_by_name_in_sql(spark, lake):
-    lake.register(spark, "processed", flows.BOX, flows.BOX_MONTHLY)
-    assert spark.sql(f"SELECT COUNT(*) FROM {flows.BOX} WHERE points >= 30").first()[0] == 0
+    lake.register(spark, "processed", tables.BOX, tables.BOX_MONTHLY)
+    assert spark.sql(f"SELECT COUNT(*) FROM {tables.BOX} WHERE points >= 30").first()[0] == 0
     with pytest.raises(ValueError, match="unknown layer"):
         lake.path("gold", "x")
+
+
+def write_csv(spark, rows, names):
+    path = new_folder(spark, "csv")
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    write_table(spark.createDataFrame(rows, schema), path, fmt="csv")
+    return path
+
+
+def test_salaries_land_and_grow(spark, lake, rows):
+    names = ["player", "team", *schemas.SALARY_SEASONS]
+    csv = write_csv(spark, [
+        (" Santi Aldama ", "A", "1000000", "2000000.5", "x", None, None, None),
+        ("santi aldama", "B", "5", "6", "7", "8", "9", "10"),
+        ("Nene", "C", "1", None, None, None, None, None),
+    ], names)
+    for _ in range(2):
+        salaries.land_salaries(spark, lake, csv)
+    wide = lake.read(spark, "landing", tables.SALARIES_RAW)
+    assert wide.schema.fieldNames() == schemas.SALARY_LANDING.fieldNames()
+    assert rows(wide, "fullname", "`2026-27`", "`2027-28`") == [
+        ("Nene", None, None), ("Santi Aldama", 2000000.5, None), ("santi aldama", 6.0, 7.0),
+    ]
+    table = spark.createDataFrame([("SANTI", "Aldama", 1.0), ("Nene", "Nene", 2.0)], "firstname string, lastname string, salary_usd double")
+    grown = salaries.add_later_seasons(table, wide, ["playerteamName"])
+    assert grown.columns[3:] == ["salary_2026_27", "salary_2027_28", "salary_2028_29", "salary_2029_30"]
+    assert rows(grown, "lastname", "salary_usd", "salary_2026_27", "salary_2027_28") == [
+        ("Aldama", 1.0, 2000000.5, None), ("Nene", 2.0, None, None),
+    ]
+
+
+def test_tiers(spark, lake, rows):
+    feed = spark.createDataFrame(
+        [("A", 1, dt.datetime(1947, 1, 2), None, 3), ("A", 1, dt.datetime(2015, 10, 1), 5, None), ("B", 2, None, 5, 4)],
+        "playerteamName string, personId int, gameDateTimeEst timestamp, points int, win int",
+    )
+    box_scores.write_tiers(lake, feed)
+    assert rows(lake.read(spark, "processed", "players_full"), "month", "points") == [
+        (None, 5), (dt.date(1947, 1, 1), None), (dt.date(2015, 10, 1), 5),
+    ]
+    assert rows(lake.read(spark, "processed", "players_500k"), "points") == [(5,)]
+    zero = {c: F.lit(0) for c in ("assists", "numMinutes")}
+    wide = feed.withColumns({**zero, "gameType": F.lit("x"), "reboundsDefensive": F.col("points"), "reboundsOffensive": F.col("win")})
+    got = {r.column_name: r.null_count for r in box_scores.feed_null_rates(wide).collect()}
+    assert got == {"points": 1, "assists": 0, "gameType": 0, "win": 1, "numMinutes": 0, "rebounds_total": 0}
+
+
+def test_shots(spark, lake, rows):
+    actions = spark.createDataFrame(
+        [
+            ("g", 1, 2, None, None), ("g", 2, 4, "2", "0"), ("g", 3, 7, "", "0"), ("g", 4, 8, "2", "3"),
+            ("g", 5, 4, None, None), ("h", 1, 4, "9", "9"), ("g", 6, 9, "5", None),
+        ],
+        "GAME_ID string, position int, actionNumber int, scoreHome string, scoreAway string",
+    )
+    want = [("g", 2, "0 - 0"), ("g", 4, "2 - 3"), ("g", 7, "2 - 0"), ("g", 8, "2 - 3"), ("g", 9, "2 - 3"), ("h", 4, "9 - 9")]
+    assert rows(shots.running_scores(actions)) == want
+    assert rows(shots.running_scores(actions, max_rows=2, small_bytes=0)) == want
+    names = [*shots.SHOT_FIELDS, "GAME_EVENT_ID", "SHOT_TYPE", "EVENT_TYPE"]
+    values = {"GAME_ID": "g", "PERIOD": 1, "SHOT_DISTANCE": 24, "LOC_X": 1, "LOC_Y": 2, "MINUTES_REMAINING": 3, "SECONDS_REMAINING": 4}
+    base = [values.get(n, "t") for n in shots.SHOT_FIELDS]
+    feed = spark.createDataFrame([(*base, 7, "3PT Field Goal", "Made Shot"), (*base, 99, "2PT Field Goal", "Missed Shot")], names)
+    chart = shots.shot_chart(feed, actions)
+    assert [(f.name, f.dataType) for f in chart.schema] == [(f.name, f.dataType) for f in schemas.SHOT_CHART_MESSAGE]
+    assert rows(chart, "valor_tiro", "anotado", "marcador_previo") == [(2, 0, "0 - 0"), (3, 1, "2 - 0")]
+
+    csv = write_csv(spark, [tuple(str(i) for i in range(20))], list(schemas.SHOT_LOG_NAMES))
+    shots.load_shot_log(spark, lake, csv)
+    log = lake.read(spark, "landing", "shots")
+    assert sorted(log.columns) == sorted(schemas.SHOT_LOG_NAMES.values()) and log.first().jugador_id == 19
+
+
+def test_new_table_from_csv(spark, lake):
+    csv = write_csv(spark, [("1", "Arena")], ["gameid", "arenaname"])
+    tables.load_csv_table(spark, lake, csv, "processed", "dim_schedule")
+    assert dict(lake.read(spark, "processed", "dim_schedule").dtypes)["gameid"] == "int"
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        tables.load_csv_table(spark, lake, csv, "processed", "dim_schedule")

@@ -38,21 +38,6 @@ def _name_parts(name: str) -> tuple:
     return part(1), part(2)
 
 
-def _persons(t: Tables) -> DataFrame:
-    """Name and team per person; names are split here, once per person."""
-    first, last = _name_parts("s_name")
-    return (
-        t.read("supplier")
-        .join(t.read("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .select(
-            F.col("s_suppkey").alias("personid"),
-            first.alias("firstname"),
-            last.alias("lastname"),
-            F.col("n_name").alias("playerteamname"),
-        )
-    )
-
-
 def _box_of(line: DataFrame, t: Tables) -> DataFrame:
     whole = F.col("l_quantity").cast("int")
     defensive = F.floor(F.col("l_discount") * 100 + 0.5).cast("int")
@@ -75,7 +60,19 @@ def _box_of(line: DataFrame, t: Tables) -> DataFrame:
         (whole % 48).alias("numminutes"),
         F.col("l_extendedprice").alias("price"),
     )
-    return lines.join(_persons(t), "personid")
+    # names are split once per person; each dimension is joined by itself, so that its own
+    # size decides whether it is broadcast
+    first, last = _name_parts("s_name")
+    persons = t.read("supplier").select(
+        F.col("s_suppkey").alias("personid"),
+        first.alias("firstname"),
+        last.alias("lastname"),
+        "s_nationkey",
+    )
+    teams = t.read("nation").select(
+        F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("playerteamname")
+    )
+    return lines.join(persons, "personid").join(teams, "s_nationkey").drop("s_nationkey")
 
 
 def box(t: Tables, min_points: int | None = None) -> DataFrame:

@@ -101,12 +101,17 @@ def upsert_table(
     *,
     newer_by: str | None = None,
     check_unique: bool = True,
+    fixed_partition: bool = False,
 ) -> list:
     """Merge ``source`` into the Parquet table at ``path``, partitioned by ``partition``.
 
     Only partitions that hold a matched key or get a new row are read and rewritten. The
     merged rows are staged first, so the table is never read and overwritten in one plan,
     and a failed run can be repeated. Returns the values of the rewritten partitions.
+
+    To find the partitions of matched keys, the keys of the whole target are read. That is
+    not needed with ``fixed_partition``: the partition follows from the key, so a row never
+    moves.
     """
     columns = [f.name for f in schema.fields]
     rows = stored(source.select(*columns), "merge-source")
@@ -114,11 +119,12 @@ def upsert_table(
         assert_unique(rows, keys)
 
     target = spark.read.schema(schema).parquet(path).select(*columns)
-    held = target.join(rows.select(*keys), list(keys), "left_semi").select(partition)
+    places = rows.select(partition)
+    if not fixed_partition:
+        held = target.join(rows.select(*keys), list(keys), "left_semi").select(partition)
+        places = places.unionByName(held)
     # one value per partition directory, not per row
-    touched = [
-        r[0] for r in held.unionByName(rows.select(partition)).distinct().collect()
-    ]
+    touched = [r[0] for r in places.distinct().collect()]
     if not touched:
         return []
     one_of = F.col(partition).isin([v for v in touched if v is not None])

@@ -29,6 +29,9 @@ from lakeops.workspace import new_folder
 # The target of the incremental feed was last loaded before this moment.
 LOADED_BEFORE = "2024-01-16"
 
+# Partitions of the table that keeps the latest event of each user.
+USER_BUCKETS = 8
+
 
 @query(
     f"""SELECT event_id, ts, user_id, event_type, value FROM events
@@ -149,15 +152,17 @@ def stream_json_ingest(t: Tables) -> DataFrame:
 
 
 @query(
-    """SELECT user_id, event_id, ts, event_type, value, CAST(ts AS DATE) AS day
+    """SELECT user_id, event_id, ts, event_type, value
        FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
              FROM events) e WHERE rn = 1"""
 )
 def stream_upsert(t: Tables) -> DataFrame:
-    """Latest event per user, kept by merging micro-batches into a table by day."""
-    stream = read_files(
-        t.spark, _stream_folder(t), DRIVER_TABLES["events"], max_files=2
-    ).select("user_id", "event_id", "ts", "event_type", "value", F.col("ts").cast("date").alias("day"))
+    """Latest event per user, kept by merging micro-batches into a table by bucket of users."""
+    events = read_files(t.spark, _stream_folder(t), DRIVER_TABLES["events"], max_files=2)
+    stream = events.select(
+        "user_id", "event_id", "ts", "event_type", "value",
+        F.pmod(F.xxhash64("user_id"), F.lit(USER_BUCKETS)).cast("int").alias("bucket"),
+    )
     path, checkpoint = new_folder(t.spark, "last-event"), new_folder(t.spark, "last-event-checkpoint")
     upsert_stream(
         stream,
@@ -166,7 +171,8 @@ def stream_upsert(t: Tables) -> DataFrame:
         stream.schema,
         ["user_id"],
         ["ts", "event_id"],
-        "day",
+        "bucket",
         UNTIL_DONE,
+        fixed_partition=True,
     ).awaitTermination()
-    return t.spark.read.schema(stream.schema).parquet(path).select(*stream.columns)
+    return t.spark.read.schema(stream.schema).parquet(path).drop("bucket")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.dates import month_start
 from lakeops.functions.numbers import exact_sum
+from lakeops.operators.analytics import count_of
 from lakeops.operators.history import add_columns
 from lakeops.plans.registry import query
 from lakeops.plans.views import SALES_VIEWS, Tables, box, sales
@@ -169,14 +170,9 @@ def data_skipping(t: Tables) -> DataFrame:
     write_sorted(rows, path, ["playerteamname", F.col("gamedatetimeest").desc(), "personid"])
     stored = t.spark.read.schema(rows.schema).parquet(path)
 
-    def count(name: str, condition) -> DataFrame:
-        return stored.where(condition).agg(F.count("*").alias("row_count")).select(
-            F.lit(name).alias("filter"), "row_count"
-        )
-
-    return count("team", F.col("playerteamname") == "NATION_7").unionAll(
-        count("person", F.col("personid") == 7)
-    )
+    team = count_of(stored, "playerteamname", "NATION_7").withColumn("filter", F.lit("team"))
+    person = count_of(stored, "personid", 7).withColumn("filter", F.lit("person"))
+    return team.unionAll(person).select("filter", "row_count")
 
 
 # Date ranges of the size tiers.

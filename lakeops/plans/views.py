@@ -51,12 +51,12 @@ def _box_of(line: DataFrame, t: Tables) -> DataFrame:
         F.col("l_linenumber").alias("assists"),
         defensive.alias("reboundsdefensive"),
         offensive.alias("reboundsoffensive"),
-        whole.alias("fgm"),
-        (whole + F.col("l_linenumber")).alias("fga"),
-        offensive.alias("tpm"),
-        (offensive + defensive).alias("tpa"),
-        F.col("l_linenumber").alias("ftm"),
-        (F.col("l_linenumber") + defensive).alias("fta"),
+        whole.alias("fieldgoalsmade"),
+        (whole + F.col("l_linenumber")).alias("fieldgoalsattempted"),
+        offensive.alias("threepointersmade"),
+        (offensive + defensive).alias("threepointersattempted"),
+        F.col("l_linenumber").alias("freethrowsmade"),
+        (F.col("l_linenumber") + defensive).alias("freethrowsattempted"),
         (whole % 48).alias("numminutes"),
         F.col("l_extendedprice").alias("price"),
     )
@@ -97,6 +97,7 @@ def sched(t: Tables) -> DataFrame:
     return t.read("orders").select(
         F.col("o_orderkey").alias("gameid"),
         F.col("o_orderpriority").alias("arenaname"),
+        F.year("o_orderdate").cast("string").alias("arenacity"),
         F.col("o_orderstatus").alias("gamelabel"),
     )
 
@@ -110,11 +111,16 @@ def adv(t: Tables) -> DataFrame:
             (F.max("l_discount") * 10).alias("tspct"),
             (F.max("l_tax") * 10).alias("usgpct"),
             (F.max("l_quantity") / F.lit(100.0)).alias("pie"),
+            F.max("l_extendedprice").alias("offrating"),
+            F.min("l_extendedprice").alias("defrating"),
+            F.max("l_returnflag").alias("teamname"),
         )
         .select(
             F.col("l_suppkey").alias("personid"),
             F.col("l_orderkey").cast("string").alias("gameid"),
-            "tspct", "usgpct", "pie",
+            F.concat(F.lit("Player "), F.col("l_suppkey").cast("string")).alias("playername"),
+            "teamname", "tspct", "usgpct", "pie", "offrating", "defrating",
+            (F.col("offrating") - F.col("defrating")).alias("netrating"),
         )
     )
 
@@ -198,22 +204,26 @@ VIEW_SQL = {
                CAST(l.l_quantity AS INT) AS points, l.l_linenumber AS assists,
                CAST(ROUND(l.l_discount * 100) AS INT) AS reboundsdefensive,
                CAST(ROUND(l.l_tax * 100) AS INT) AS reboundsoffensive,
-               CAST(l.l_quantity AS INT) AS fgm, CAST(l.l_quantity AS INT) + l.l_linenumber AS fga,
-               CAST(ROUND(l.l_tax * 100) AS INT) AS tpm,
-               CAST(ROUND(l.l_tax * 100) AS INT) + CAST(ROUND(l.l_discount * 100) AS INT) AS tpa,
-               l.l_linenumber AS ftm,
-               l.l_linenumber + CAST(ROUND(l.l_discount * 100) AS INT) AS fta,
+               CAST(l.l_quantity AS INT) AS fieldgoalsmade, CAST(l.l_quantity AS INT) + l.l_linenumber AS fieldgoalsattempted,
+               CAST(ROUND(l.l_tax * 100) AS INT) AS threepointersmade,
+               CAST(ROUND(l.l_tax * 100) AS INT) + CAST(ROUND(l.l_discount * 100) AS INT) AS threepointersattempted,
+               l.l_linenumber AS freethrowsmade,
+               l.l_linenumber + CAST(ROUND(l.l_discount * 100) AS INT) AS freethrowsattempted,
                CAST(l.l_quantity AS INT) % 48 AS numminutes,
                l.l_extendedprice AS price
         FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
         JOIN nation n ON s.s_nationkey = n.n_nationkey""",
     "sched": """
-        SELECT o_orderkey AS gameid, o_orderpriority AS arenaname, o_orderstatus AS gamelabel
+        SELECT o_orderkey AS gameid, o_orderpriority AS arenaname,
+               CAST(year(o_orderdate) AS VARCHAR) AS arenacity, o_orderstatus AS gamelabel
         FROM orders""",
     "adv": """
         SELECT l_suppkey AS personid, CAST(l_orderkey AS VARCHAR) AS gameid,
                MAX(l_discount) * 10 AS tspct, MAX(l_tax) * 10 AS usgpct,
-               MAX(l_quantity) / CAST(100 AS DOUBLE) AS pie
+               MAX(l_quantity) / CAST(100 AS DOUBLE) AS pie,
+               'Player ' || CAST(l_suppkey AS VARCHAR) AS playername, MAX(l_returnflag) AS teamname,
+               MAX(l_extendedprice) AS offrating, MIN(l_extendedprice) AS defrating,
+               MAX(l_extendedprice) - MIN(l_extendedprice) AS netrating
         FROM lineitem GROUP BY l_suppkey, l_orderkey""",
     "sales_raw": """
         SELECT l.l_orderkey * 10 + l.l_linenumber AS salesid, l.l_shipdate AS salesdate,

@@ -22,11 +22,14 @@ def upsert_stream(
     newest: Sequence[str],
     partition: str,
     trigger: dict,
+    fixed_partition: bool = False,
 ) -> StreamingQuery:
     """Start a query that keeps the newest row of each key.
 
     A batch is reduced to one row per key and merged; a row older than the stored one is
     left out. Merging the same batch again changes nothing, so a repeated batch is safe.
+    Partition by a bucket of the key (``fixed_partition``) where the table is large: a batch
+    then reads only the buckets it has rows for.
     """
     ensure_table(stream.sparkSession, path, schema, [partition])
 
@@ -41,6 +44,7 @@ def upsert_stream(
             partition,
             newer_by=newest[0],
             check_unique=False,
+            fixed_partition=fixed_partition,
         )
 
     return (

@@ -21,6 +21,8 @@ SCHEDULE_ROWS, ADVANCED_ROWS, EFFICIENT_ROWS, THREE_WAY_ROWS = 500, 1000, 100, 2
 MIN_TSPCT, MIN_USGPCT, MIN_PIE = 0.6, 0.25, 0.15
 
 BOX_KEY = ("gameid", "personid")
+_ARENA = ("gameid", "arenaname", "arenacity", "gamelabel")
+_RATINGS = ("personid", "gameid", "tspct", "pie", "netrating", "usgpct")
 _ID_TYPES = {"personid": "bigint", "gameid": "bigint"}
 
 
@@ -57,8 +59,8 @@ def rolling_points(box: DataFrame, **limits) -> DataFrame:
 
 def with_schedule(box: DataFrame, schedule: DataFrame, ties: Sequence[str] = BOX_KEY) -> DataFrame:
     """Top rows above 20 points with their arena."""
-    rows = box.where(F.col("points") > SCHEDULE_POINTS)
-    joined = typed_key_join(rows, schedule, {"gameid": "bigint"})
+    rows = box.where(F.col("points") > SCHEDULE_POINTS).drop("gamelabel")
+    joined = typed_key_join(rows, schedule.select(*_ARENA), {"gameid": "bigint"})
     top = top_rows(joined, [F.col("points").desc(), *ties], SCHEDULE_ROWS)
     return top.select(
         "firstname", "lastname", "points", "assists", "arenaname", "arenacity", "gamelabel", *ties
@@ -67,7 +69,8 @@ def with_schedule(box: DataFrame, schedule: DataFrame, ties: Sequence[str] = BOX
 
 def with_advanced(box: DataFrame, advanced: DataFrame, ties: Sequence[str] = BOX_KEY) -> DataFrame:
     """First rows with their advanced statistics; ids may be text on one side."""
-    top = top_rows(typed_key_join(box, advanced, _ID_TYPES), ["personid", *ties], ADVANCED_ROWS)
+    joined = typed_key_join(box, advanced.select(*_RATINGS), _ID_TYPES)
+    top = top_rows(joined, ["personid", *ties], ADVANCED_ROWS)
     others = [c for c in ties if c != "personid"]
     return top.select(
         "personid", "firstname", "lastname", "points", "tspct", "pie", "netrating", "usgpct", *others
@@ -78,10 +81,9 @@ def with_advanced_and_schedule(
     box: DataFrame, advanced: DataFrame, schedule: DataFrame, ties: Sequence[str] = BOX_KEY
 ) -> DataFrame:
     """Top rows of at least 25 points with advanced statistics and arena."""
-    rows = box.where(F.col("points") >= THREE_WAY_POINTS)
-    joined = typed_key_join(
-        typed_key_join(rows, advanced, _ID_TYPES), schedule, {"gameid": "bigint"}
-    )
+    rows = box.where(F.col("points") >= THREE_WAY_POINTS).drop("gamelabel")
+    rated = typed_key_join(rows, advanced.select(*_RATINGS), _ID_TYPES)
+    joined = typed_key_join(rated, schedule.select(*_ARENA), {"gameid": "bigint"})
     top = top_rows(joined, [F.col("points").desc(), *ties], THREE_WAY_ROWS)
     return top.select(
         "firstname", "lastname", "points", "assists", "tspct", "pie", "arenaname", "arenacity", *ties

@@ -36,7 +36,8 @@ def high_water_mark(target: DataFrame, column: str, default=DEFAULT_MARK):
 
 def newer_than(source: DataFrame, column: str, mark) -> DataFrame:
     """Rows strictly newer than the mark."""
-    return source.where(F.col(column) > F.lit(mark).cast(source.schema[column].dataType))
+    kind = source.select(column).schema[0].dataType
+    return source.where(F.col(column) > F.lit(mark).cast(kind))
 
 
 def incremental_rows(

@@ -21,7 +21,7 @@ def typed_key_join(
     """
 
     def typed(df: DataFrame) -> DataFrame:
-        current = dict(df.dtypes)
+        current = dict(zip(keys, (kind for _, kind in df.select(*keys).dtypes), strict=True))
         casts = {k: F.col(k).try_cast(t) for k, t in keys.items() if current[k] != t}
         return df.withColumns(casts) if casts else df
 

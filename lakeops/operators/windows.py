@@ -64,7 +64,7 @@ def over_long_groups(
 
 
 def _position(df: DataFrame, column: str) -> Column:
-    kind = df.schema[column].dataType
+    kind = df.select(column).schema[0].dataType
     col = F.col(column)
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return F.unix_micros(col.cast("timestamp")).cast("double")

@@ -199,3 +199,36 @@ def test_topic_options():
     }
     with pytest.raises(ValueError):
         streams.broker_options("broker:9092", "games", "middle")
+
+
+def test_large_partition_is_written_by_several_tasks(spark):
+    path = new_folder(spark, "t")
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "100k")
+    try:
+        df = spark.range(0, 200_000, 1, 6).select(
+            F.when(F.col("id") % 3 == 0, F.col("id") % 50).otherwise(99).alias("month"), F.xxhash64("id").alias("v")
+        )
+        files.write_table(df, path, partition_by=["month"], sort_by=["v"])
+    finally:
+        spark.conf.set(name, before)
+    per_month = {}
+    for f in spark.read.parquet(path).inputFiles():
+        month = f.split("month=")[1].split("/")[0]
+        per_month[month] = per_month.get(month, 0) + 1
+    assert len(per_month) == 51 and per_month["99"] > 3
+    # months that share a shuffle partition with the large one are split with it
+    assert sum(per_month.values()) < 6 * 51
+
+
+def test_fixed_partition_reads_only_its_buckets(spark, rows):
+    from lakeops.operators.merge import upsert_table
+
+    schema = T.StructType().add("id", "integer").add("v", "string").add("bucket", "integer")
+    path = new_folder(spark, "t")
+    state = spark.createDataFrame([(1, "a", 1), (2, "b", 0), (3, "c", 1)], schema)
+    files.write_table(state, path, partition_by=["bucket"])
+    feed = spark.createDataFrame([(3, "z", 1), (5, "e", 1)], schema)
+    assert upsert_table(spark, path, schema, feed, ["id"], "bucket", fixed_partition=True) == [1]
+    assert rows(spark.read.schema(schema).parquet(path), "id", "v") == [(1, "a"), (2, "b"), (3, "z"), (5, "e")]

@@ -12,12 +12,16 @@ from lakeops.functions.numbers import round_to
 from lakeops.operators.sizes import is_small
 from lakeops.workspace import stored
 
-# A group above this many rows is split in time; below it, one task sorts it whole.
+# A group above this many rows is split along its order; below it, one task sorts it whole.
 MAX_GROUP_ROWS = 2_000_000
 # Inputs below this size need no check: no group can be larger than the input.
 SMALL_BYTES = 64 * 1024 * 1024
-# Pieces per MAX_GROUP_ROWS, so that a piece stays small when time is unevenly filled.
+# Pieces per MAX_GROUP_ROWS, so that pieces stay small when the order is unevenly filled.
 PIECES = 16
+# Pieces that are still too large are split again, at most this often.
+MAX_LEVELS = 8
+# Where NULL stands among positions: it sorts first.
+BEFORE_ALL = -1e300
 
 WindowColumns = dict[str, Callable[[WindowSpec], Column]]
 
@@ -38,80 +42,133 @@ def over_long_groups(
 
     ``columns`` maps a name to a function of the ordered window. The functions may look at
     most ``back`` rows back, or, with ``relevant``, at the last relevant row and at rows
-    after it. ``order`` is ascending and total; its first column (number, date or
-    timestamp) is the one long groups are split on.
+    after it. ``order`` is ascending and total; long groups are split along its leading
+    columns that are numbers, dates or timestamps.
 
-    A long group is cut in pieces of time. Each piece gets copies of the ``back`` rows
-    before it, so the pieces are computed by different tasks with the same result.
-    ``sizes_from`` is a cheaper frame that has ``keys`` and the first order column and at
-    least as many rows per group.
+    Each piece of a long group gets copies of the ``back`` rows before it, so the pieces are
+    computed by different tasks with the same result. ``sizes_from`` is a cheaper frame that
+    has ``keys`` and ``order`` and at least as many rows per group.
     """
-    sizes_from = df if sizes_from is None else sizes_from.select(*keys, order[0])
+    sizes_from = df if sizes_from is None else sizes_from
+    sizes_from = sizes_from.select(*keys, *order)
     plain = Window.partitionBy(*keys).orderBy(*order)
-    if is_small(sizes_from, small_bytes):
-        return df.withColumns({name: f(plain) for name, f in columns.items()})
-    groups = _long_groups(sizes_from, keys, order[0], max_rows)
-    if groups.isEmpty():
+    levels = [] if is_small(sizes_from, small_bytes) else _levels(sizes_from, keys, order, max_rows)
+    if not levels:
         return df.withColumns({name: f(plain) for name, f in columns.items()})
 
-    pieces = _with_piece(df, groups, keys, order[0])
+    pieces = _with_pieces(df, levels, keys, order)
     rows = pieces.withColumn("_copy", F.lit(False)).unionByName(
         _rows_before(pieces, df.columns, keys, order, back, relevant)
     )
     window = Window.partitionBy(*keys, "_piece").orderBy(*order)
     added = rows.withColumns({name: f(window) for name, f in columns.items()})
-    return added.where(~F.col("_copy")).drop("_copy", "_piece", "_long")
+    return added.where(~F.col("_copy")).drop("_copy", "_piece")
 
 
-def _position(df: DataFrame, column: str) -> Column:
-    kind = df.select(column).schema[0].dataType
-    col = F.col(column)
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(col.cast("timestamp")).cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(col).cast("double")
-    return col.cast("double")
+def _positions(df: DataFrame, order: Sequence[str]) -> list[Column]:
+    """The leading order columns as numbers that never decrease along the order."""
+    found = []
+    for column in order:
+        kind = df.select(column).schema[0].dataType
+        col = F.col(column)
+        if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            number = F.unix_micros(col.cast("timestamp"))
+        elif isinstance(kind, T.DateType):
+            number = F.unix_date(col)
+        elif isinstance(kind, T.NumericType):
+            number = col
+        else:
+            break
+        found.append(F.coalesce(number.cast("double"), F.lit(BEFORE_ALL)))
+    return found
 
 
-def _long_groups(df: DataFrame, keys: Sequence[str], column: str, max_rows: int) -> DataFrame:
-    """Groups of more than ``max_rows`` rows, at most (all rows / max_rows) of them."""
-    position = _position(df, column)
-    found = (
-        df.groupBy(*keys)
-        .agg(
-            F.count("*").alias("_n"),
-            F.min(position).alias("_low"),
-            F.max(position).alias("_high"),
-        )
-        .where(F.col("_n") > max_rows)
-        .withColumn("_pieces", F.ceil(F.col("_n") / max_rows) * PIECES)
+def _levels(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int
+) -> list[DataFrame]:
+    """Tables of (keys, piece, low, high, ..) of pieces to split; the first has whole groups.
+
+    A table has at most (all rows / max_rows) rows. Only rows of the pieces being split are
+    read for the next table.
+    """
+    names = [f"_p{i}" for i in range(len(_positions(df, order)))]
+    values = [f"_v{i}" for i in range(len(names))]
+    rows = df.select(
+        *keys,
+        *[p.alias(n) for p, n in zip(_positions(df, order), names, strict=True)],
+        *[F.col(c).alias(v) for c, v in zip(order, values, strict=False)],
+        F.array().cast("array<bigint>").alias("_piece"),
     )
-    return stored(found, "long-groups")
+    levels: list[DataFrame] = []
+    while names and len(levels) < MAX_LEVELS:
+        crowded = (
+            rows.groupBy(*keys, "_piece")
+            .agg(
+                F.count("*").alias("_n"),
+                *[F.min(n).alias(f"_low{n}") for n in names],
+                *[F.max(n).alias(f"_high{n}") for n in names],
+                # numbers beyond 2^53 may differ although their positions are equal
+                *[F.min(v).alias(f"_low{v}") for v in values],
+                *[F.max(v).alias(f"_high{v}") for v in values],
+            )
+            .where(F.col("_n") > max_rows)
+        )
+        # split along the first order column that is not the same in the whole piece
+        at = F.lit(None).cast("int")
+        low = high = F.lit(None).cast("double")
+        for i in reversed(range(len(names))):
+            first, last = F.col(f"_low_p{i}"), F.col(f"_high_p{i}")
+            varies = (first < last) | F.coalesce(F.col(f"_low_v{i}") != F.col(f"_high_v{i}"), F.lit(False))
+            at = F.when(varies, F.lit(i)).otherwise(at)
+            low, high = F.when(varies, first).otherwise(low), F.when(varies, last).otherwise(high)
+        chosen = crowded.select(
+            *keys,
+            "_piece",
+            at.alias("_at"),
+            low.alias("_low"),
+            ((high - low) / (F.ceil(F.col("_n") / max_rows) * PIECES)).alias("_width"),
+        ).where(F.col("_width") > 0)
+        level = stored(chosen, "long-groups")
+        if level.isEmpty():
+            break
+        levels.append(level)
+        rows = _split(rows, level, keys, names, "inner")
+    return levels
 
 
-def _with_piece(df: DataFrame, groups: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
-    """Add the piece a row falls in; it never decreases along ``column``."""
-    marks = groups.select(*[F.col(k).alias(f"_g_{k}") for k in keys], "_low", "_high", "_pieces")
-    same_group = F.lit(True)
+def _split(
+    rows: DataFrame, level: DataFrame, keys: Sequence[str], positions: Sequence[str], how: str
+) -> DataFrame:
+    """Append the place within its piece to ``_piece`` for rows of the pieces in ``level``."""
+    marks = level.select(
+        *[F.col(k).alias(f"_g_{k}") for k in keys],
+        F.col("_piece").alias("_g_piece"),
+        "_at", "_low", "_width",
+    )
+    condition = F.col("_piece") == F.col("_g_piece")
     for key in keys:
-        same_group = same_group & F.col(key).eqNullSafe(F.col(f"_g_{key}"))
-    width = F.nullif((F.col("_high") - F.col("_low")) / F.col("_pieces"), F.lit(0.0))
-    piece = F.floor((_position(df, column) - F.col("_low")) / width)
-    return (
-        df.join(marks, same_group, "left")
-        .withColumn("_long", F.col("_pieces").isNotNull())
-        # NULL sorts first; a group with a single position is one piece
-        .withColumn(
-            "_piece",
-            F.when(~F.col("_long"), F.lit(0))
-            .when(F.col(column).isNull(), F.lit(-1))
-            .otherwise(F.coalesce(piece, F.lit(0)))
-            .cast("long"),
-        )
-        .select(*df.columns, "_long", "_piece")
+        condition = condition & F.col(key).eqNullSafe(F.col(f"_g_{key}"))
+    place = F.lit(None).cast("double")
+    for i, name in enumerate(positions):
+        place = F.when(F.col("_at") == i, F.col(name)).otherwise(place)
+    step = F.floor((place - F.col("_low")) / F.col("_width")).cast("bigint")
+    longer = F.when(F.col("_at").isNotNull(), F.concat("_piece", F.array(step))).otherwise(F.col("_piece"))
+    return rows.join(marks, condition, how).select(
+        *[c for c in rows.columns if c != "_piece"], longer.alias("_piece")
     )
 
 
+def _with_pieces(
+    df: DataFrame, levels: Sequence[DataFrame], keys: Sequence[str], order: Sequence[str]
+) -> DataFrame:
+    """Add ``_piece``: empty for short groups, else places that sort as the rows do."""
+    positions = {f"_p{i}": p for i, p in enumerate(_positions(df, order))}
+    rows = df.withColumns({**positions, "_piece": F.array().cast("array<bigint>")})
+    for level in levels:
+        rows = _split(rows, level, keys, list(positions), "left")
+    return rows.drop(*positions)
+
+
 def _rows_before(
     pieces: DataFrame,
     columns: Sequence[str],
@@ -129,7 +186,7 @@ def _rows_before(
     )
     # at most ``back`` rows per piece from here on
     ends = (
-        pieces.where("_long")
+        pieces.where(F.size("_piece") > 0)
         .withColumn("_wanted", wanted)
         .withColumn("_rank", F.row_number().over(last_rows))
         .where(F.col("_rank") <= back)
@@ -156,7 +213,6 @@ def _rows_before(
         ends.select(F.col("_piece"), before.alias("_before"))
         .select("_piece", F.explode("_before").alias("_row"))
         .select(*[F.col("_row")[c].alias(c) for c in columns], "_piece")
-        .withColumn("_long", F.lit(True))
         .withColumn("_copy", F.lit(True))
     )
 

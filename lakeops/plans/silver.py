@@ -413,7 +413,9 @@ _GAMES_SQL = """SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY personi
 )
 def game_logs(t: Tables) -> DataFrame:
     games_per_person = t.read("lineitem").select(
-        F.col("l_suppkey").alias("personid"), F.col("l_shipdate").cast("date").alias("game_date")
+        F.col("l_suppkey").alias("personid"),
+        F.col("l_shipdate").cast("date").alias("game_date"),
+        F.col("l_orderkey").alias("gameid"),
     )
     return marts.game_logs(games(t), sizes_from=games_per_person)
 

@@ -31,12 +31,51 @@ def same(a, b):
     assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
 
 
+def piece_sizes(df, keys, order, max_rows):
+    levels = windows._levels(df, keys, order, max_rows)
+    pieces = windows._with_pieces(df, levels, keys, order)
+    assert pieces.count() == df.count()
+    counted = pieces.groupBy(*keys, "_piece").count().orderBy(*keys, "_piece")
+    return [(r[0], tuple(r["_piece"]), r["count"]) for r in counted.collect()]
+
+
 def test_groups_are_split(series):
-    long = windows._long_groups(series, ["who"], "ts", 7)
-    assert long.count() > 1
-    pieces = windows._with_piece(series, long, ["who"], "ts")
-    assert pieces.where("who = 1").select("_piece").distinct().count() > 20
-    assert pieces.count() == series.count()
+    sizes = piece_sizes(series, ["who"], ["ts", "id"], 7)
+    assert len([s for s in sizes if s[0] == 1]) > 20
+    assert max(n for _, _, n in sizes) <= 7
+    # short groups stay whole
+    assert {who for who, piece, _ in piece_sizes(series, ["who"], ["ts", "id"], 20) if piece == ()} >= {2, 3}
+
+
+def test_outliers_do_not_keep_a_group_together(spark):
+    """Half the rows in one second, one row decades earlier and one without time."""
+    start = dt.datetime(2024, 1, 1)
+    times = [None, dt.datetime(1970, 1, 1)] + [start + dt.timedelta(microseconds=i // 2) for i in range(300)]
+    times += [start + dt.timedelta(days=i) for i in range(300)]
+    df = spark.createDataFrame(
+        [("a", t, i, float(i % 13)) for i, t in enumerate(times)], "who string, ts timestamp_ntz, id int, value double"
+    )
+    sizes = piece_sizes(df, ["who"], ["ts", "id"], 10)
+    assert max(n for _, _, n in sizes) <= 10
+    args = (df, ["who"], ["ts", "id"], "value", "avg")
+    same(windows.rolling_avg(*args), windows.rolling_avg(*args, max_rows=10, small_bytes=0))
+
+
+def test_one_moment_is_split_along_the_next_column(spark):
+    big = 2**53
+    rows = [("a", 5, big + i, i, float(i % 7)) for i in range(80)] + [("b", None, i, i, 1.0) for i in range(40)]
+    df = spark.createDataFrame(rows, "who string, at int, id bigint, tie int, value double")
+    assert max(n for _, _, n in piece_sizes(df, ["who"], ["at", "id"], 10)) <= 10
+    args = (df, ["who"], ["at", "id"], "value", "avg")
+    same(windows.rolling_avg(*args), windows.rolling_avg(*args, max_rows=10, small_bytes=0))
+
+
+def test_ids_of_one_position_stay_in_order(spark):
+    """Ids that are equal as DOUBLE must not be split along the column after them."""
+    rows = [("a", 2**60 + i, -i, float(i % 7)) for i in range(60)]
+    df = spark.createDataFrame(rows, "who string, id bigint, tie int, value double")
+    args = (df, ["who"], ["id", "tie"], "value", "avg")
+    same(windows.rolling_avg(*args), windows.rolling_avg(*args, max_rows=10, small_bytes=0))
 
 
 @pytest.mark.parametrize("rows", [2, 5, 12])
@@ -57,8 +96,8 @@ def test_carry_forward(series, wanted):
     same(windows.carry_forward(*args), windows.carry_forward(*args, **SPLIT))
 
 
-def test_single_moment_is_not_split(spark):
-    df = spark.createDataFrame([(1, 5, i, float(i)) for i in range(50)], "who int, at int, id int, value double")
+def test_text_order_is_not_split(spark):
+    df = spark.createDataFrame([(1, str(i % 9), i, float(i)) for i in range(50)], "who int, at string, id int, value double")
     args = (df, ["who"], ["at", "id"], "value", "avg")
     same(windows.rolling_avg(*args), windows.rolling_avg(*args, **SPLIT))
 

@@ -61,6 +61,36 @@ def upsert(
     )
 
 
+def replace_rows(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], newer_by: str | None = None
+) -> DataFrame:
+    """``upsert`` for a source with every column: matched target rows give way to the source.
+
+    One join that streams the target. A key that the target holds twice is one row after it,
+    so repeating a merge that stopped half-way repairs the table.
+    """
+    names = [*keys, newer_by] if newer_by else list(keys)
+    kept, new = target, source.select(*target.columns)
+
+    def same_key(left: DataFrame, right: DataFrame) -> Column:
+        return _all([left[k] == right[f"_o_{k}"] for k in keys])
+
+    def others(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(c).alias(f"_o_{c}") for c in names])
+
+    from_source, from_target = others(source), others(target)
+    beaten = same_key(target, from_source)
+    if newer_by:
+        late = from_source[f"_o_{newer_by}"] < target[newer_by]
+        beaten = beaten & ~F.coalesce(late, F.lit(False))
+        new = new.join(
+            from_target,
+            same_key(new, from_target) & (new[newer_by] < from_target[f"_o_{newer_by}"]),
+            "left_anti",
+        )
+    return kept.join(from_source, beaten, "left_anti").unionByName(new)
+
+
 def update_matched(
     target: DataFrame,
     source: DataFrame,
@@ -131,10 +161,11 @@ def upsert_table(
     if None in touched:
         one_of = F.coalesce(one_of, F.lit(False)) | F.col(partition).isNull()
 
-    result = stored(upsert(target.where(one_of), rows, keys, newer_by=newer_by), "merge-result")
-    write_table(result, path, mode="overwrite", partition_by=[partition], dynamic=True)
+    result = stored(replace_rows(target.where(one_of), rows, keys, newer_by), "merge-result")
 
-    # dynamic overwrite leaves a partition alone when all of its rows moved away
+    # Dynamic overwrite leaves a partition alone when all of its rows moved away. Those rows
+    # are in the source, so emptying the partition first loses nothing that a repeat of the
+    # merge would not bring back.
     filled = {r[0] for r in result.select(partition).distinct().collect()}
     rest = T.StructType([f for f in schema.fields if f.name != partition])
     for value in touched:
@@ -142,4 +173,5 @@ def upsert_table(
             name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
             empty = spark.createDataFrame([], rest)
             empty.write.mode("overwrite").parquet(f"{path}/{partition}={name}")
+    write_table(result, path, mode="overwrite", partition_by=[partition], dynamic=True)
     return sorted(touched, key=lambda v: (v is not None, v))

@@ -6,7 +6,7 @@ import datetime as dt
 
 import pytest
 
-from lakeops.operators.merge import update_matched, upsert, upsert_table
+from lakeops.operators.merge import replace_rows, update_matched, upsert, upsert_table
 from lakeops.sources.files import ensure_table, write_table
 from lakeops.workspace import new_folder
 
@@ -40,6 +40,26 @@ def test_older_rows_do_not_replace_newer(spark, rows):
     assert rows(upsert(state, feed, ["id"], newer_by="at")) == [(1, 5, "new"), (2, 6, "newer")]
 
 
+def test_replace_rows_equals_upsert(spark, target, rows):
+    source = spark.createDataFrame([(1, None, JAN), (4, "d", MAR), (None, "m", JAN), (2, "z", None)], COLUMNS)
+    assert rows(replace_rows(target, source, ["id"])) == rows(upsert(target, source, ["id"]))
+    for newer in ("month", "v"):
+        got = replace_rows(target, source, ["id"], newer)
+        assert rows(got) == rows(upsert(target, source, ["id"], newer_by=newer))
+
+
+def test_repeat_repairs_a_merge_that_stopped(spark, target, rows):
+    """The new partition was written, the old one not yet: the key is there twice."""
+    path = new_folder(spark, "t")
+    half = target.unionAll(spark.createDataFrame([(1, "a2", MAR)], COLUMNS))
+    write_table(half, path, partition_by=["month"])
+    source = spark.createDataFrame([(1, "a2", MAR)], COLUMNS)
+    upsert_table(spark, path, target.schema, source, ["id"], "month")
+    stored = spark.read.schema(target.schema).parquet(path)
+    assert rows(stored.where("id = 1"), "id", "v", "month") == [(1, "a2", MAR)]
+    assert stored.count() == 4
+
+
 def test_upsert_table(spark, target, rows):
     path = new_folder(spark, "t")
     write_table(target, path, partition_by=["month"])

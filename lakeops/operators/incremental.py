@@ -79,7 +79,7 @@ def run_record(
         F.lit(timestamp).alias("timestamp"),
         F.lit(source).alias("source"),
         F.lit(destination).alias("destination"),
-        F.max(period(date)).alias("last_processed_month"),
+        period(F.max(date)).alias("last_processed_month"),
         F.count("*").alias("total_records_processed"),
         F.array(*[F.lit(p) for p in partitions]).alias("partitions"),
         F.lit("success").alias("status"),

@@ -67,7 +67,7 @@ def missing_days(t: Tables) -> DataFrame:
     SALES_VIEWS,
 )
 def next_period(t: Tables) -> DataFrame:
-    last = sales(t).agg(F.max(period("salesdate")).alias("last_period"))
+    last = sales(t).agg(period(F.max("salesdate")).alias("last_period"))
     return last.withColumn("next_period", period_after("last_period"))
 
 

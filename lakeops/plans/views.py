@@ -113,13 +113,13 @@ def adv(t: Tables) -> DataFrame:
             (F.max("l_quantity") / F.lit(100.0)).alias("pie"),
             F.max("l_extendedprice").alias("offrating"),
             F.min("l_extendedprice").alias("defrating"),
-            F.max("l_returnflag").alias("teamname"),
         )
         .select(
             F.col("l_suppkey").alias("personid"),
             F.col("l_orderkey").cast("string").alias("gameid"),
             F.concat(F.lit("Player "), F.col("l_suppkey").cast("string")).alias("playername"),
-            "teamname", "tspct", "usgpct", "pie", "offrating", "defrating",
+            F.concat(F.lit("Team "), (F.col("l_suppkey") % 30).cast("string")).alias("teamname"),
+            "tspct", "usgpct", "pie", "offrating", "defrating",
             (F.col("offrating") - F.col("defrating")).alias("netrating"),
         )
     )
@@ -221,7 +221,8 @@ VIEW_SQL = {
         SELECT l_suppkey AS personid, CAST(l_orderkey AS VARCHAR) AS gameid,
                MAX(l_discount) * 10 AS tspct, MAX(l_tax) * 10 AS usgpct,
                MAX(l_quantity) / CAST(100 AS DOUBLE) AS pie,
-               'Player ' || CAST(l_suppkey AS VARCHAR) AS playername, MAX(l_returnflag) AS teamname,
+               'Player ' || CAST(l_suppkey AS VARCHAR) AS playername, 
+               'Team ' || CAST(l_suppkey % 30 AS VARCHAR) AS teamname,
                MAX(l_extendedprice) AS offrating, MIN(l_extendedprice) AS defrating,
                MAX(l_extendedprice) - MIN(l_extendedprice) AS netrating
         FROM lineitem GROUP BY l_suppkey, l_orderkey""",

@@ -16,6 +16,10 @@ RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# Settings of a new session. Call sites in error messages cost several calls to the JVM per
+# column expression, which is a good part of the time of a short query.
+SESSION_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the run-time settings to a session made elsewhere."""
@@ -32,6 +36,6 @@ def build_session(
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_SETTINGS, **(settings or {})}.items():
+    for key, value in {**RUNTIME_SETTINGS, **SESSION_SETTINGS, **(settings or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

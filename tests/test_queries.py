@@ -8,9 +8,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from lakeops.plans import load_all
 from tests.conftest import SF_DIR
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = load_all().QUERIES, load_all().ORACLES
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages"
     " benchmark labels conversations"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +24,7 @@ def fold(id_col: str, parts: int) -> Column:
 
 def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
     """Pieces of a batch with about SLICE_BYTES of ``column`` each, one row at least."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     start = held = 0
     for i, size in enumerate(sizes):
         if i > start and held + size > SLICE_BYTES:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import bpe
+from lakeops.llm import bpe, near_vectors
 from lakeops.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -25,5 +25,11 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe,)}
+def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates among all embeddings of a label, at a cosine of 0.98."""
+    found = near_vectors.near_duplicates(table(spark, sf_dir, "embeddings"), 0.98)
+    return found.withColumnRenamed("id", "vec_id")
+
+
+QUERIES = {f.__name__: f for f in (op2_bpe, op10_near_vectors)}
 ORACLES: dict[str, str] = {}

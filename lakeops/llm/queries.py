@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import bpe, near_vectors
+from lakeops.llm import bpe, near_vectors, packing
 from lakeops.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -25,11 +25,26 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token pieces in sequences of at most 2048."""
+    docs = table(spark, sf_dir, "documents")
+    pieces = packing.pack(docs, public_tokenizers.path(WORD_BPE), capacity=2048, end_id=1)
+    return packed_digest(pieces)
+
+
+def packed_digest(pieces: DataFrame) -> DataFrame:
+    """The pieces with a checksum of their ids in place of them."""
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+        "offset",
+    )
+
+
 def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates among all embeddings of a label, at a cosine of 0.98."""
     found = near_vectors.near_duplicates(table(spark, sf_dir, "embeddings"), 0.98)
     return found.withColumnRenamed("id", "vec_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe, op10_near_vectors)}
+QUERIES = {f.__name__: f for f in (op2_bpe, op6_packing, op10_near_vectors)}
 ORACLES: dict[str, str] = {}

@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import bpe, near_vectors, packing
-from lakeops.llm.common import table
+from lakeops.llm import bpe, near_vectors, packing, token_counts, topk
+from lakeops.llm.common import fold, table
+from lakeops.workspace import new_folder, stored
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
@@ -25,6 +26,35 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token totals of all documents after loading, revising, withdrawing and restoring them.
+
+    Documents are loaded with their number of words; batches by fold of the id replace it by
+    the number of tokens. A fold is deleted and inserted again, and one batch is sent twice.
+    """
+    docs = table(spark, sf_dir, "documents")
+    words = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), r"\s+"), lambda w: w != ""))
+    counts = stored(token_counts.counted(docs, public_tokenizers.path(WORD_BPE), "word_bpe_49k"), "counts")
+    totals = token_counts.TokenTotals(spark, new_folder(spark, "totals"))
+    first = stored(
+        docs.select("doc_id", "source", "lang", F.lit("words").alias("tokenizer"), words.cast("long").alias("n_tokens")),
+        "words",
+    )
+    totals.commit("load", token_counts.inserts(first))
+    part = F.coalesce(fold("doc_id", 4), F.lit(0))
+    for i in (0, 1, 2, 3, 2):
+        old, new = first.filter(part == i), counts.filter(part == i)
+        totals.commit(f"revise-{i}", token_counts.revisions(old, new))
+    totals.commit("withdraw", token_counts.deletes(counts.filter(part == 0)))
+    totals.commit("restore", token_counts.inserts(counts.filter(part == 0)))
+    return totals.totals()
+
+
+def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best embeddings for every fiftieth, by integer inner product."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token pieces in sequences of at most 2048."""
     docs = table(spark, sf_dir, "documents")
@@ -46,5 +76,24 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "vec_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe, op6_packing, op10_near_vectors)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op2_bpe, op4_token_counts, op5_top_k, op6_packing, op10_near_vectors)}
+ORACLES: dict[str, str] = {
+    "op5_top_k": """
+        WITH v AS (
+            SELECT vec_id,
+                   list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])) AS BIGINT) AS score
+            FROM (SELECT DISTINCT * FROM v WHERE vec_id % 50 = 0) q
+            JOIN v c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e)),
+        ranked AS (
+            SELECT query_id,
+                   CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+                   vec_id, score
+            FROM scored)
+        SELECT * FROM ranked WHERE rank <= 5""",
+}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import bpe, near_vectors, packing, token_counts, topk
+from lakeops.llm import bpe, near_vectors, packing, quality, token_counts, topk, toxicity
 from lakeops.llm.common import fold, table
 from lakeops.workspace import new_folder, stored
 
@@ -70,13 +70,34 @@ def packed_digest(pieces: DataFrame) -> DataFrame:
     )
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from the labels of four folds of five."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.learn(docs, labels, fold("id", 5) != 0)
+    return judged(docs, quality.quality_score(model, F.col("text")), fold("doc_id", 5) == 0)
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from the labels of three folds of four."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.learn(docs, labels, fold("id", 4) != 2)
+    return judged(docs, toxicity.toxicity_score(model, F.col("text")), fold("doc_id", 4) == 2)
+
+
+def judged(docs: DataFrame, score, held_out) -> DataFrame:
+    """doc_id, held_out, score, predicted of every document; NULL ids were never learned from."""
+    return docs.select(
+        "doc_id", F.coalesce(held_out, F.lit(True)).alias("held_out"), score.alias("score")
+    ).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates among all embeddings of a label, at a cosine of 0.98."""
     found = near_vectors.near_duplicates(table(spark, sf_dir, "embeddings"), 0.98)
     return found.withColumnRenamed("id", "vec_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe, op4_token_counts, op5_top_k, op6_packing, op10_near_vectors)}
+QUERIES = {f.__name__: f for f in (op2_bpe, op4_token_counts, op5_top_k, op6_packing, op7_quality, op8_toxicity, op10_near_vectors)}
 ORACLES: dict[str, str] = {
     "op5_top_k": """
         WITH v AS (

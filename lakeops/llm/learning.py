@@ -5,6 +5,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +32,28 @@ def labelled(
     return texts.join(F.broadcast(chosen), "id")
 
 
+def without_copies(sample: DataFrame, signs: int = 4) -> DataFrame:
+    """The sample (id, text, y) without texts that share one of ``signs`` smallest hashes of
+    three words with a text of a smaller id: copies and most near copies.
+    """
+
+    @F.pandas_udf("array<bigint>")
+    def smallest(texts: pd.Series) -> pd.Series:
+        def least(text):
+            words = text.encode().split()
+            parts = {b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))}
+            return [min(xxhash.xxh3_64_intdigest(p, seed) for p in parts) >> 1 for seed in range(signs)]
+
+        return texts.map(least)
+
+    signed = sample.withColumn("signs", smallest("text"))
+    pairs = signed.select("id", F.posexplode("signs").alias("n", "sign"))
+    later = pairs.join(
+        pairs.groupBy("n", "sign").agg(F.min("id").alias("low")), ["n", "sign"]
+    ).filter("id > low")
+    return sample.join(later.select("id").distinct(), "id", "left_anti")
+
+
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     """Weights (one per column, then the constant) by Newton steps with a small ridge."""
     a = np.c_[x, np.ones(len(x))]

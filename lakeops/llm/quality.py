@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -92,7 +93,7 @@ def learn(docs: DataFrame, labels: DataFrame, keep: Column, sample: int = SAMPLE
     )
 
     @F.pandas_udf("array<binary>")
-    def spread(texts):
+    def spread(texts: pd.Series) -> pd.Series:
         def some(text):
             all_ = pieces(text)
             at = np.unique(np.linspace(0, max(len(all_) - 1, 0), SAMPLE_PIECES).astype(int))
@@ -107,10 +108,13 @@ def learn(docs: DataFrame, labels: DataFrame, keep: Column, sample: int = SAMPLE
     prior = counts.get(1, 0) / all_ if all_ else 0.5
     if not by[0] or not by[1]:
         return Quality(b"", b"", [], prior)
-    good, bad = (dictionary(by[y]) for y in (1, 0))
+    lines = [{x for piece in by[y] for x in piece.split(b"\n")} for y in (0, 1)]
+    both = lines[0] & lines[1]  # lines that both kinds hold say nothing
+    own = {y: [b"\n".join(x for x in p.split(b"\n") if x not in both) for p in by[y]] for y in by}
+    good, bad = (dictionary([p for p in own[y] if p] or by[y]) for y in (1, 0))
 
     @F.pandas_udf("array<double>")
-    def measured(texts):
+    def measured(texts: pd.Series) -> pd.Series:
         made = compressors(good, bad)
         return texts.map(lambda t: features(t, made).tolist())
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import bpe, near_vectors, packing, quality, token_counts, topk, toxicity
+from lakeops.llm import bpe, language, near_vectors, packing, quality, token_counts, topk, toxicity
 from lakeops.llm.common import fold, table
 from lakeops.workspace import new_folder, stored
 
@@ -84,6 +84,14 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(docs, toxicity.toxicity_score(model, F.col("text")), fold("doc_id", 4) == 2)
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from two folds of three."""
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs, language.learn(docs, fold("id", 3) != 1))
+    held_out = F.coalesce(fold("id", 3) == 1, F.lit(True))
+    return found.select(F.col("id").alias("doc_id"), held_out.alias("held_out"), "lang_pred", "score")
+
+
 def judged(docs: DataFrame, score, held_out) -> DataFrame:
     """doc_id, held_out, score, predicted of every document; NULL ids were never learned from."""
     return docs.select(
@@ -97,7 +105,7 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "vec_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe, op4_token_counts, op5_top_k, op6_packing, op7_quality, op8_toxicity, op10_near_vectors)}
+QUERIES = {f.__name__: f for f in (op2_bpe, op4_token_counts, op5_top_k, op6_packing, op7_quality, op8_toxicity, op9_language, op10_near_vectors)}
 ORACLES: dict[str, str] = {
     "op5_top_k": """
         WITH v AS (

@@ -8,18 +8,20 @@ from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.learning import labelled, logistic, scored, sigmoid
+from lakeops.llm.learning import labelled, logistic, scored, sigmoid, without_copies
+from lakeops.workspace import stored
 
 #: Labelled documents of each kind that are learned from, and entries of the learned lexicon.
 SAMPLE, LEXICON = 3000, 4000
 #: Stems are the first letters of words, this many.
 STEM_SIZES = (4, 5, 6, 8)
-#: Documents that must hold a stem, how sure it must be, and its test statistic.
-LEAST_DOCS, LEAST_PRECISION, LEAST_G2 = 3, 0.85, 10.8
+#: Toxic documents that must hold a stem, and how sure it must be.
+LEAST_DOCS, LEAST_PRECISION = 3, 0.85
 
 # Words that open or bend a clause, in the languages of the corpus.
 NEGATION = "not no never none nicht kein keine nie pas ne jamais aucun nunca jamás ningún sin n't".split()
@@ -111,41 +113,41 @@ class Toxicity:
                 return symbol, 0.0
         return (THREATENS, 3.0) if word in THREAT else (OTHER, 0.0)
 
-    def clauses(self, text: str) -> list[float]:
-        """The weight of each clause that matches."""
+    def matches(self, text: str) -> list[tuple[int, str, float]]:
+        """(clause, word, weight) of each match, the clause counted from 0."""
         known = self._known
         if len(known) > 500_000:
             known.clear()
         words = WORDS.findall(text.lower())
         path = []
-        matched = False
         for w in words:
             s = known.get(w)
             if s is None:
                 s = known[w] = self.symbol(w)
-            matched |= s[0] >= THREATENS
             path.append(s)
-        if not matched:
+        if not any(s[0] >= THREATENS for s in path):
             return []
         if not self._machine:
             self._machine.append(grammar())
         step, factor = self._machine[0].step, self._machine[0].factor
-        found, state, weight, aimed = [], 0, 0.0, False
-        for symbol, value in path:
-            if symbol == INSULTS:
-                weight += value * factor[state]
-            elif symbol == THREATENS and aimed:
-                weight += value * factor[state]  # a threat needs its target
+        found, state, clause, aimed = [], 0, 0, False
+        for word, (symbol, value) in zip(words, path):
+            if symbol == INSULTS or symbol == THREATENS and aimed:  # a threat needs its target
+                found.append((clause, word, value * factor[state]))
             aimed = symbol != END and (aimed or symbol == POINTS)
             state = step[state][symbol]
-            if symbol == END and weight:
-                found.append(weight)
-                weight = 0.0
-        return [*found, weight] if weight else found
+            clause += symbol == END
+        return found
 
     def features(self, text: str) -> list[float]:
-        found = self.clauses(text)
-        return [math.log1p(max(found, default=0.0)), math.log1p(sum(found))]
+        """The heaviest clause, and all matched words together, each once, on a log scale."""
+        clauses: dict[int, float] = {}
+        words: dict[str, float] = {}
+        for clause, word, weight in self.matches(text):
+            clauses[clause] = clauses.get(clause, 0.0) + weight
+            words[word] = max(words.get(word, 0.0), weight)
+        total = sum(words.values())
+        return [math.log1p(min(max(clauses.values(), default=0.0), total)), math.log1p(total)]
 
     def score(self, text: str) -> float:
         """How likely the text is toxic; without learned weights, the share of toxic ones."""
@@ -192,7 +194,7 @@ def learn(docs: DataFrame, labels: DataFrame, keep: Column, sample: int = SAMPLE
     """Learn from at most ``sample`` documents of each label for which ``keep`` (of id) holds.
 
     Two thirds give the lexicon: stems and words that stand in toxic documents far more often,
-    the LEXICON most significant. One third calibrates. Without both labels the lexicon is
+    the LEXICON most significant; near copies of a document count once. One third calibrates. Without both labels the lexicon is
     empty and the score the share of toxic documents (0 without labels).
     """
     rows = labelled(docs, labels, "toxic", keep, sample).withColumn(
@@ -211,11 +213,14 @@ def learn(docs: DataFrame, labels: DataFrame, keep: Column, sample: int = SAMPLE
         + F.when(F.col("other") > 0, F.col("other") * F.log(F.col("other") * (p + n) / (held * n))).otherwise(0.0)
     )
     sure = F.col("toxic") / p / (F.col("toxic") / p + F.col("other") / n)
+    stems = stored(
+        _stem_counts(without_copies(rows.filter("build"))).filter(F.col("toxic") >= LEAST_DOCS), "stems"
+    )
+    # so many stems are tested that about one would pass by chance
+    least_g2 = 2 * math.log(max(stems.count(), 1)) + 2
     found = (
-        _stem_counts(rows.filter("build"))
-        .filter(F.col("toxic") >= LEAST_DOCS)
-        .select("stem", F.log(rate[0] / rate[1]).alias("weight"), g2.alias("g2"), sure.alias("sure"))
-        .filter((F.col("g2") >= LEAST_G2) & (F.col("sure") >= LEAST_PRECISION))
+        stems.select("stem", F.log(rate[0] / rate[1]).alias("weight"), g2.alias("g2"), sure.alias("sure"))
+        .filter((F.col("g2") >= least_g2) & (F.col("sure") >= LEAST_PRECISION))
         .orderBy(F.desc("g2"), "stem")
         .limit(LEXICON)
         .collect()
@@ -223,7 +228,7 @@ def learn(docs: DataFrame, labels: DataFrame, keep: Column, sample: int = SAMPLE
     model = Toxicity({r.stem: r.weight for r in found}, [], prior)
 
     @F.pandas_udf("array<double>")
-    def measured(texts):
+    def measured(texts: pd.Series) -> pd.Series:
         return texts.map(model.features)
 
     rest = rows.filter("not build").select("y", measured("text").alias("x")).collect()

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import bpe, language, near_vectors, packing, quality, token_counts, topk, toxicity
+from lakeops.llm import bpe, language, near_vectors, packing, quality, secrets, token_counts, topk, toxicity
 from lakeops.llm.common import fold, table
 from lakeops.workspace import new_folder, stored
 
@@ -26,6 +26,29 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, each distinct text scanned once."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ledger = secrets.BlobLedger(spark, new_folder(spark, "secrets"))
+    return secret_digest(secrets.scan_versions(ledger, "documents", docs))
+
+
+def secret_digest(found: DataFrame) -> DataFrame:
+    """Counts and digest of the base kinds, and all spans."""
+    kinds = [r.kind for r in secrets.BASE]
+
+    def of(*which):
+        return F.filter("spans", lambda s: s.kind.isin(*which))
+
+    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in kinds]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(secrets.joined(of(*kinds)), 256).alias("base_sha256"),
+        secrets.joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token totals of all documents after loading, revising, withdrawing and restoring them.
 
@@ -105,7 +128,7 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "vec_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe, op4_token_counts, op5_top_k, op6_packing, op7_quality, op8_toxicity, op9_language, op10_near_vectors)}
+QUERIES = {f.__name__: f for f in (op2_bpe, op3_secret_scans, op4_token_counts, op5_top_k, op6_packing, op7_quality, op8_toxicity, op9_language, op10_near_vectors)}
 ORACLES: dict[str, str] = {
     "op5_top_k": """
         WITH v AS (

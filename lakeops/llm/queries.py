@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import bpe, language, near_vectors, packing, quality, secrets, token_counts, topk, toxicity
+from lakeops.llm import bpe, language, near_vectors, ngram_join, packing, quality, secrets, token_counts, topk, toxicity
 from lakeops.llm.common import fold, table
 from lakeops.workspace import new_folder, stored
 
@@ -14,6 +14,12 @@ BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose four-word shingles are 85 % alike."""
+    how = ngram_join.Similarity(words=4, percent=85)
+    return ngram_join.ngram_join(table(spark, sf_dir, "documents"), how)
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE of every document, and its round trip."""
     docs = table(spark, sf_dir, "documents")
@@ -128,7 +134,7 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "vec_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe, op3_secret_scans, op4_token_counts, op5_top_k, op6_packing, op7_quality, op8_toxicity, op9_language, op10_near_vectors)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_bpe, op3_secret_scans, op4_token_counts, op5_top_k, op6_packing, op7_quality, op8_toxicity, op9_language, op10_near_vectors)}
 ORACLES: dict[str, str] = {
     "op5_top_k": """
         WITH v AS (

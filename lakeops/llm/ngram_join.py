@@ -418,3 +418,26 @@ def _texts(rows: DataFrame, named: DataFrame, lists: DataFrame, how: Similarity)
             yield batch.filter(pc.equal(batch.column("id"), pa.array(mine, pa.int64())))
 
     return stored(texts.mapInArrow(same, "id bigint, text string").dropDuplicates(["id"]), "texts")
+
+
+def one_of_each(
+    docs: DataFrame, how: Similarity = Similarity(), id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` with the smallest id of each component, all columns as they are.
+
+    Rows with a NULL id or without words stay. Of rows that repeat an id and a text, one stays.
+    """
+    found = stored(ngram_join(docs, how, id_col, text_col), "components")
+    copies = found.filter("component_id <> doc_id").select(F.col("doc_id").alias("_copy_of_one"))
+    few = copies.count() <= BROADCAST_IDS
+    copies = copies.distinct()
+    kept = docs.join(
+        F.broadcast(copies) if few else copies,
+        docs[id_col].cast("long") == copies["_copy_of_one"],
+        "left_anti",
+    )
+    repeated = found.filter("doc_id is not null and n_shingles > 0").groupBy("doc_id").count()
+    if repeated.filter("count > 1").isEmpty():
+        return kept
+    plain = F.col(id_col).isNull() | ~F.coalesce(F.col(text_col), F.lit("")).rlike(r"[^ \t-\r]")
+    return kept.filter(plain).unionByName(kept.filter(~plain).dropDuplicates([id_col, text_col]))

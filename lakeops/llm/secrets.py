@@ -52,6 +52,9 @@ MORE = (
 )
 RULES = BASE + MORE
 
+#: Contents with findings are broadcast to their documents up to this number.
+BROADCAST_BLOBS = 200_000
+
 SPANS = "array<struct<start:int,end:int,nr:int,kind:string>>"
 
 
@@ -199,3 +202,30 @@ def masked(text: Column, spans_col: Column, mark: str = "[SECRET]") -> Column:
         lambda now: F.concat(now.out, F.substring(text, now.at + 1, F.char_length(text))),
     )
     return F.when(F.size(spans_col) > 0, done).otherwise(text)
+
+
+def mask_documents(
+    ledger: BlobLedger, batch: str, docs: DataFrame, text_col: str = "text", length_col: str = "n_chars"
+) -> DataFrame:
+    """The rows of ``docs`` with every span of their text masked, all columns in their order.
+
+    ``length_col``, if there is one, is the new length where the text changed. Only contents
+    with findings are joined; they are broadcast up to BROADCAST_BLOBS.
+    """
+    whole = docs.select(F.struct(*docs.columns).alias("row"), blob_id(docs[text_col]).alias("blob"))
+    found = ledger.scan(batch, whole.select("blob", F.col("row")[text_col].alias("text")))
+    found = stored(found.filter(F.size("spans") > 0), "findings")
+    few = found.count() <= BROADCAST_BLOBS
+    held = whole.join(F.broadcast(found) if few else found, "blob", "left")
+    changed = F.col("spans").isNotNull()
+    text = F.when(changed, masked(F.col("row")[text_col], F.col("spans"))).otherwise(F.col("row")[text_col])
+
+    def column(name: str) -> Column:
+        if name == text_col:
+            return text.alias(name)
+        if name == length_col:
+            kind = docs.schema[name].dataType
+            return F.when(changed, F.char_length(text).cast(kind)).otherwise(F.col("row")[name]).alias(name)
+        return F.col("row")[name].alias(name)
+
+    return held.select(*map(column, docs.columns))

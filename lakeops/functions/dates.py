@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,11 +15,27 @@ FIRST_PERIOD = "2018-01"
 
 
 def lenient_timestamp(text: Column | str, fmt: str | None = None) -> Column:
-    """Text to TIMESTAMP_NTZ; bad text is NULL."""
+    """Text to TIMESTAMP_NTZ; bad text is NULL.
+
+    Text is matched first, as a cast that fails is far dearer.
+    """
     col = as_column(text)
     if fmt is None:
-        return col.try_cast("timestamp_ntz")
-    return F.try_to_timestamp(col, F.lit(fmt)).cast("timestamp_ntz")
+        return F.when(col.rlike(STAMP), col.try_cast("timestamp_ntz"))
+    return F.when(
+        col.rlike(_shape(fmt)), F.try_to_timestamp(col, F.lit(fmt)).cast("timestamp_ntz")
+    )
+
+
+# How a timestamp begins, and what its time may hold.
+STAMP = r"^\s*[+-]?[0-9]{4,6}(-[0-9]{1,2}){0,2}([ T][0-9:. ]*([A-Za-z+-].*)?)?\s*$"
+
+
+def _shape(fmt: str) -> str:
+    """A pattern that every text of the format matches."""
+    fields = re.sub(r"[yMdHhms]+", "\0", re.sub(r"'[^']*'|[A-LN-Za-cefgi-ln-rt-xz]+", "\1", fmt))
+    parts = {"\0": "[0-9A-Za-z+-]+", "\1": ".*"}
+    return "^" + "".join(parts.get(c) or re.escape(c) for c in fields) + "$"
 
 
 def season_start_year(when: Column | str) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,23 +12,41 @@ def as_column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def round_to(value: Column | str, digits: int = 2) -> Column:
-    """Round half up on nine decimals, so that engines agree on binary fractions."""
-    return F.round(as_column(value).cast("decimal(18,9)"), digits).cast("double")
+#: Up to these sizes nine decimals fit into a long, and into a decimal of 38 digits.
+_IN_LONG, _IN_DECIMAL = 1e8, 1e18
+_NANO = 1_000_000_000
 
 
-def cents(value: Column | str) -> Column:
-    """Money as a whole number of cents, half up. Integers add up exactly in any order."""
-    return F.floor(as_column(value) * 100 + 0.5).cast("bigint")
+def round_to(value: Column | str, digits: int = 2) -> Column:
+    """Round half up on nine decimals, so that engines agree on binary fractions.
+
+    Numbers from 1e18 on, infinities and NaN are rounded as doubles.
+    """
+    col = as_column(value).cast("double")
+    return (
+        F.when(F.abs(col) < _IN_LONG, F.round(col.cast("decimal(18,9)"), digits).cast("double"))
+        .when(F.abs(col) < _IN_DECIMAL, F.round(col.cast("decimal(38,9)"), digits).cast("double"))
+        .otherwise(F.round(col, digits))
+    )
 
 
 def exact_sum(value: Column | str) -> Column:
-    """Sum of money amounts without floating-point order effects, as DOUBLE."""
-    return F.sum(cents(value)) / F.lit(100.0)
+    """Sum without floating-point order effects, as the DOUBLE next to the exact sum.
+
+    Each number counts with nine decimals: its whole part and its billionths are added up as
+    integers, which is exact in any order and needs no decimals per row. NULL for an empty
+    group.
+    """
+    col = as_column(value).cast("double")
+    whole = F.floor(col)
+    billionths = F.floor((col - whole) * _NANO + 0.5).cast("bigint")
+    nano = F.lit(Decimal(1).scaleb(-9))
+    total = F.sum(whole).cast("decimal(20,0)") + F.sum(billionths).cast("decimal(20,0)") * nano
+    return total.cast("double")
 
 
 def exact_avg(value: Column | str) -> Column:
-    """Mean of the non-null amounts from an exact sum; NULL for an empty group."""
+    """Mean of the non-null numbers from an exact sum; NULL for an empty group."""
     return exact_sum(value) / F.nullif(F.count(as_column(value)), F.lit(0))
 
 
@@ -53,17 +73,31 @@ def lenient_double(text: Column | str) -> Column:
 
 
 def lenient_int(text: Column | str) -> Column:
-    """Text to INT through DOUBLE ("12.0" is 12); bad text is NULL."""
-    return lenient_double(text).try_cast("int")
+    """Text to INT through DOUBLE ("12.0" is 12); bad text and numbers out of range are NULL."""
+    number = lenient_double(text)
+    return F.when(number.between(-(2.0**31), 2.0**31 - 1), number.cast("int"))
+
+
+# Whole numbers of at most 18 digits, which always fit a BIGINT.
+WHOLE = r"^\s*[+-]?[0-9]{1,18}\s*$"
+# Text that Spark takes for a truth value.
+TRUTH = r"(?i)^\s*(t|true|y|yes|f|false|n|no|1|0)\s*$"
 
 
 def lenient_long(text: Column | str) -> Column:
     """Text to BIGINT; integers stay exact, "12.0" goes through DOUBLE, bad text is NULL."""
     col = as_column(text)
-    return F.coalesce(col.try_cast("bigint"), lenient_double(col).try_cast("bigint"))
+    digits = F.regexp_extract(col, r"^\s*[+-]?([0-9]+)\s*$", 1)
+    number = lenient_double(col)
+    return (
+        F.when(col.rlike(WHOLE), F.trim(col).cast("bigint"))
+        .when(F.length(digits) == 19, F.trim(col).try_cast("bigint"))
+        .when(number.between(-(2.0**63), 2.0**63 - 1024), number.cast("bigint"))
+    )
 
 
 def lenient_flag(text: Column | str) -> Column:
     """0/1, true/false, yes/no text to BOOLEAN; anything else is NULL."""
     col = as_column(text)
-    return F.coalesce(lenient_double(col) != 0, F.trim(col).try_cast("boolean"))
+    number = lenient_double(col)
+    return F.coalesce(number != 0, F.when(col.rlike(TRUTH), F.trim(col).cast("boolean")))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lakeops.functions.numbers import as_column, cents
+from lakeops.functions.numbers import as_column
 
 # Fixed values of the commission rule, in percent: base rate, extra for a sale above the
 # amount, extra for an employee hired more than so many days before the sale.
@@ -34,6 +36,6 @@ def commission_rate(
 
 
 def commission(amount: Column | str, percent: Column | str) -> Column:
-    """Commission on an amount of whole cents, rounded half up to cents in integers."""
-    parts = cents(amount) * as_column(percent)
-    return F.floor((parts + 50) / F.lit(100.0)) / F.lit(100.0)
+    """Commission on the whole amount (nine decimals), rounded half up to cents once."""
+    exact = as_column(amount).cast("decimal(28,9)") * as_column(percent).cast("decimal(3,0)")
+    return F.round(exact * F.lit(Decimal("0.01")), 2).cast("double")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.functions.dates import season_start_year
-from lakeops.functions.numbers import cents, exact_avg, exact_sum, round_to
+from lakeops.functions.numbers import exact_avg, exact_sum, round_to
 from lakeops.operators.windows import with_previous_date
 
 LOG_COUNTERS = (
@@ -198,16 +198,15 @@ def products_by_salesperson(sales: DataFrame) -> DataFrame:
 def customers_by_salesperson(sales: DataFrame) -> DataFrame:
     """Two levels: revenue per customer, then per salesperson over customers."""
     per_customer = sales.groupBy(*_EMPLOYEE, "customerid").agg(
-        F.sum(cents("totalprice")).alias("revenue"),
+        exact_sum("totalprice").alias("revenue"),
         F.max("salesdate").alias("last_sale"),
     )
-    revenue = F.sum("revenue") / F.lit(100.0)
     return (
         per_customer.groupBy(*_EMPLOYEE)
         .agg(
             F.count("customerid").alias("total_unique_customers"),
-            revenue.alias("total_revenue_from_all_customers"),
-            (revenue / F.count("revenue")).alias("avg_revenue_per_customer"),
+            exact_sum("revenue").alias("total_revenue_from_all_customers"),
+            exact_avg("revenue").alias("avg_revenue_per_customer"),
             F.max("last_sale").alias("last_sale_date"),
         )
         .orderBy(F.col("total_revenue_from_all_customers").desc(), "salespersonid")

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Text bytes handled at once inside a task; a longer single text is handled alone.
@@ -62,14 +62,16 @@ def bounded_sample(
 ) -> DataFrame:
     """At most ``per_group`` rows of each group, the ones with the smallest hashed ids.
 
-    The rank filter also runs before the shuffle, so a hot group sends few rows. Rows with
-    a NULL id or group are left out.
+    Only rows below a hash that about twice as many pass are ranked, so that a large group
+    sends few. Rows with a NULL id or group are left out.
     """
-    from pyspark.sql import Window
-
     known = df.filter(F.col(id_col).isNotNull())
     for g in groups:
         known = known.filter(F.col(g).isNotNull())
-    order = Window.partitionBy(*groups).orderBy(F.xxhash64(F.col(id_col), F.lit(seed)), id_col)
-    ranked = known.withColumn("_rank", F.row_number().over(order))
-    return ranked.filter(F.col("_rank") <= per_group).drop("_rank")
+    share = F.least(F.lit(2.0 * per_group + 100) / F.count("*"), F.lit(1.0))
+    limits = known.groupBy(*groups).agg((share * 2.0**64 - 2.0**63).alias("_limit"))
+    hashed = known.withColumn("_hash", F.xxhash64(F.col(id_col), F.lit(seed)))
+    few = hashed.join(limits, groups).filter(F.col("_hash").cast("double") <= F.col("_limit"))
+    order = Window.partitionBy(*groups).orderBy("_hash", id_col)
+    ranked = few.withColumn("_rank", F.row_number().over(order))
+    return ranked.filter(F.col("_rank") <= per_group).drop("_rank", "_hash", "_limit")

@@ -17,7 +17,7 @@ from lakeops.operators.history import add_columns
 from lakeops.operators.merge import update_matched
 from lakeops.operators.quality import coverage
 from lakeops.operators.similarity import BlockRatio, best_match
-from lakeops.sources.files import write_table
+from lakeops.sources.files import csv_options, write_table
 from lakeops.sources.layers import Lake
 
 # Columns added for later seasons and the file columns they come from.
@@ -26,7 +26,7 @@ LATER_SEASONS = {f"salary_{s.replace('-', '_')}": s for s in schemas.SALARY_SEAS
 
 def land_salaries(spark: SparkSession, lake: Lake, csv_path: str) -> None:
     """Replace the raw salary table by a file with a player, a team and season columns."""
-    text = spark.read.option("header", "true").option("inferSchema", "false").csv(csv_path)
+    text = spark.read.options(**csv_options(False)).option("inferSchema", "false").csv(csv_path)
     rows = text.select(
         F.trim("player").alias("fullname"),
         F.col("team").alias("playerteamName"),

@@ -51,17 +51,26 @@ def run_stats(df: DataFrame, group: Sequence[str], value: str, digits: int = 2)
 
 
 def pivot_first(
-    df: DataFrame, rows: Sequence[str], column: str, values: Sequence, value: str, order: str
+    df: DataFrame, rows: Sequence[str], column: str, value: str, order: str, values: Sequence | None = None
 ) -> DataFrame:
-    """Cross table of the first value, in ``order``, per cell."""
-    return df.groupBy(*rows).pivot(column, list(values)).agg(F.min_by(value, order))
+    """Cross table of the first value, in ``order``, per cell.
+
+    The columns are all values of ``column``, which are read first (Spark refuses more than
+    its own limit). ``values`` chooses some of them.
+    """
+    return _pivoted(df, rows, column, values).agg(F.min_by(value, order))
 
 
 def pivot_mean(
-    df: DataFrame, rows: Sequence[str], column: str, values: Sequence, value: str, digits: int = 2
+    df: DataFrame, rows: Sequence[str], column: str, value: str, digits: int = 2, values: Sequence | None = None
 ) -> DataFrame:
-    """Cross table of rounded means per cell."""
-    return df.groupBy(*rows).pivot(column, list(values)).agg(round_to(F.avg(value), digits))
+    """Cross table of rounded means per cell, with columns as in ``pivot_first``."""
+    return _pivoted(df, rows, column, values).agg(round_to(F.avg(value), digits))
+
+
+def _pivoted(df: DataFrame, rows: Sequence[str], column: str, values: Sequence | None):
+    grouped = df.groupBy(*rows)
+    return grouped.pivot(column) if values is None else grouped.pivot(column, list(values))
 
 
 def row_counts(tables: dict[str, DataFrame], total: str = "TOTAL") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,23 +16,23 @@ LOG_COUNTERS = (
 )
 
 
-def _present(df: DataFrame, names: tuple[str, ...]) -> list[str]:
-    known = {c.lower() for c in df.columns}
-    return [n for n in names if n in known]
-
-
 def _player_name() -> Column:
     return F.concat(F.col("firstname"), F.lit(" "), F.col("lastname")).alias("player_name")
 
 
-def game_logs(games: DataFrame, **limits) -> DataFrame:
-    """Played games with the date of the player's game before and a back-to-back flag."""
+def game_logs(
+    games: DataFrame, counters: Sequence[str] = LOG_COUNTERS, **limits
+) -> DataFrame:
+    """Played games with the date of the player's game before and a back-to-back flag.
+
+    A counter that ``games`` lacks is an error; name fewer ``counters`` where there are fewer.
+    """
     played = games.where(F.col("numminutes") > 0).select(
         "personid",
         _player_name(),
         "gameid",
         "playerteamname",
-        *_present(games, LOG_COUNTERS),
+        *counters,
         F.col("numminutes").cast("double").alias("numminutes"),
         F.col("gamedatetimeest").cast("date").alias("game_date"),
     )
@@ -47,7 +47,6 @@ def season_stats(games: DataFrame, salaries: DataFrame, match_season: bool = Fal
     Games are grouped first, so the join sees one row per player, team and season.
     """
     rebounds = F.col("reboundsoffensive") + F.col("reboundsdefensive")
-    extras = _present(games, ("steals", "blocks", "turnovers"))
 
     def mean(value: Column, name: str) -> Column:
         return round_to(F.avg(value.cast("double")), 1).alias(name)
@@ -68,7 +67,7 @@ def season_stats(games: DataFrame, salaries: DataFrame, match_season: bool = Fal
             mean(F.col("assists"), "avg_assists"),
             F.sum(rebounds).alias("total_rebounds_sum"),
             mean(rebounds, "avg_rebounds"),
-            *[F.sum(c).alias(f"total_{c}") for c in extras],
+            *[F.sum(c).alias(f"total_{c}") for c in ("steals", "blocks", "turnovers")],
         )
     )
     keys = ["personid", "season_start_year"] if match_season else ["personid"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,19 +19,29 @@ def _all(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
 
+def _names(newer_by: str | Sequence[str] | None) -> list[str]:
+    return [newer_by] if isinstance(newer_by, str) else list(newer_by or ())
+
+
+def _struct(columns: Sequence[Column]) -> Column:
+    """Columns that are compared in turn; NULL sorts first."""
+    return F.struct(*[c.alias(f"c{i}") for i, c in enumerate(columns)])
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,
     keys: Sequence[str],
     *,
     insert: bool = True,
-    newer_by: str | None = None,
+    newer_by: str | Sequence[str] | None = None,
 ) -> DataFrame:
     """State of ``target`` after merging ``source``, one source row per key.
 
     A matched row takes every source value, NULL included; an unmatched source row is
     inserted. NULL keys match nothing. Target columns the source lacks stay as they are.
-    With ``newer_by`` an older source row does not replace a newer target row.
+    With ``newer_by`` (columns, compared in turn, NULL first) an older source row does not
+    replace a newer target row.
 
     The target is the streamed side of each join: it is not shuffled when the source is
     small enough to broadcast, and a key that many target rows share can be split. The
@@ -43,8 +54,9 @@ def upsert(
     joined = target.join(new, _all([F.col(k) == F.col(f"_s_{k}") for k in keys]), "left")
     take = F.col("_in_source").isNotNull()
     if newer_by:
-        older = F.col(f"_s_{newer_by}") < F.col(newer_by)
-        take = take & ~F.coalesce(older, F.lit(False))
+        order = _names(newer_by)
+        older = _struct([F.col(f"_s_{c}") for c in order]) < _struct([F.col(c) for c in order])
+        take = take & ~older
     updated = joined.select(
         *[
             (F.when(take, F.col(f"_s_{c}")).otherwise(F.col(c)) if c in given else F.col(c)).alias(c)
@@ -62,14 +74,18 @@ def upsert(
 
 
 def replace_rows(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], newer_by: str | None = None
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    newer_by: str | Sequence[str] | None = None,
 ) -> DataFrame:
     """``upsert`` for a source with every column: matched target rows give way to the source.
 
     One join that streams the target. A key that the target holds twice is one row after it,
     so repeating a merge that stopped half-way repairs the table.
     """
-    names = [*keys, newer_by] if newer_by else list(keys)
+    order = _names(newer_by)
+    names = list(dict.fromkeys([*keys, *order]))
     kept, new = target, source.select(*target.columns)
 
     def same_key(left: DataFrame, right: DataFrame) -> Column:
@@ -81,11 +97,12 @@ def replace_rows(
     from_source, from_target = others(source), others(target)
     beaten = same_key(target, from_source)
     if newer_by:
-        late = from_source[f"_o_{newer_by}"] < target[newer_by]
-        beaten = beaten & ~F.coalesce(late, F.lit(False))
+        late = _struct([from_source[f"_o_{c}"] for c in order]) < _struct([target[c] for c in order])
+        beaten = beaten & ~late
         new = new.join(
             from_target,
-            same_key(new, from_target) & (new[newer_by] < from_target[f"_o_{newer_by}"]),
+            same_key(new, from_target)
+            & (_struct([new[c] for c in order]) < _struct([from_target[f"_o_{c}"] for c in order])),
             "left_anti",
         )
     return kept.join(from_source, beaten, "left_anti").unionByName(new)
@@ -129,7 +146,8 @@ def upsert_table(
     keys: Sequence[str],
     partition: str,
     *,
-    newer_by: str | None = None,
+    newer_by: str | Sequence[str] | None = None,
+    sort_by: Sequence[str] = (),
     check_unique: bool = True,
     fixed_partition: bool = False,
 ) -> list:
@@ -141,7 +159,8 @@ def upsert_table(
 
     To find the partitions of matched keys, the keys of the whole target are read. That is
     not needed with ``fixed_partition``: the partition follows from the key, so a row never
-    moves.
+    moves. Only rows between the least and the greatest key of the source can match, so that
+    range is a filter on the target. Files are sorted by ``sort_by``.
     """
     columns = [f.name for f in schema.fields]
     rows = stored(source.select(*columns), "merge-source")
@@ -151,7 +170,8 @@ def upsert_table(
     target = spark.read.schema(schema).parquet(path).select(*columns)
     places = rows.select(partition)
     if not fixed_partition:
-        held = target.join(rows.select(*keys), list(keys), "left_semi").select(partition)
+        held = target.where(_key_range(rows, keys))
+        held = held.join(rows.select(*keys), list(keys), "left_semi").select(partition)
         places = places.unionByName(held)
     # one value per partition directory, not per row
     touched = [r[0] for r in places.distinct().collect()]
@@ -165,13 +185,29 @@ def upsert_table(
 
     # Dynamic overwrite leaves a partition alone when all of its rows moved away. Those rows
     # are in the source, so emptying the partition first loses nothing that a repeat of the
-    # merge would not bring back.
-    filled = {r[0] for r in result.select(partition).distinct().collect()}
+    # merge would not bring back. The folders are found by their rows: Spark escapes values.
+    filled = result.select(partition).distinct().withColumnRenamed(partition, "_filled")
+    left = (
+        target.where(one_of)
+        .select(partition, F.col("_metadata.file_path").alias("_file"))
+        .join(filled, F.col(partition).eqNullSafe(F.col("_filled")), "left_anti")
+        .select(F.regexp_replace("_file", "/[^/]*$", "").alias("folder"))
+        .distinct()
+    )
     rest = T.StructType([f for f in schema.fields if f.name != partition])
-    for value in touched:
-        if value not in filled:
-            name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
-            empty = spark.createDataFrame([], rest)
-            empty.write.mode("overwrite").parquet(f"{path}/{partition}={name}")
-    write_table(result, path, mode="overwrite", partition_by=[partition], dynamic=True)
+    # one folder per partition whose rows all moved away
+    for row in left.collect():
+        spark.createDataFrame([], rest).write.mode("overwrite").parquet(unquote(row.folder))
+    write_table(result, path, mode="overwrite", partition_by=[partition], sort_by=sort_by, dynamic=True)
     return sorted(touched, key=lambda v: (v is not None, v))
+
+
+def _key_range(rows: DataFrame, keys: Sequence[str]) -> Column:
+    """Keys between the least and the greatest of ``rows``, column by column."""
+    ends = rows.agg(*[f(k) for k in keys for f in (F.min, F.max)]).first()
+    inside = [
+        F.col(k).between(F.lit(ends[2 * i]), F.lit(ends[2 * i + 1]))
+        for i, k in enumerate(keys)
+        if ends[2 * i] is not None
+    ]
+    return _all(inside) if inside else F.lit(True)

@@ -9,17 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops.functions.numbers import round_to
-from lakeops.operators.sizes import is_small
 from lakeops.workspace import stored
 
 # A group above this many rows is split along its order; below it, one task sorts it whole.
 MAX_GROUP_ROWS = 2_000_000
-# Inputs below this size need no check: no group can be larger than the input.
-SMALL_BYTES = 64 * 1024 * 1024
 # Pieces per MAX_GROUP_ROWS, so that pieces stay small when the order is unevenly filled.
 PIECES = 16
-# Pieces that are still too large are split again, at most this often.
-MAX_LEVELS = 8
+# Text is placed along its order by so many bytes at a time, and so many times.
+TEXT_BYTES, TEXT_PLACES = 6, 6
 # Where NULL stands among positions: it sorts first.
 BEFORE_ALL = -1e300
 
@@ -36,14 +33,14 @@ def over_long_groups(
     relevant: Column | None = None,
     sizes_from: DataFrame | None = None,
     max_rows: int = MAX_GROUP_ROWS,
-    small_bytes: int = SMALL_BYTES,
 ) -> DataFrame:
     """Add window columns per group, splitting groups of more than ``max_rows`` rows.
 
     ``columns`` maps a name to a function of the ordered window. The functions may look at
     most ``back`` rows back, or, with ``relevant``, at the last relevant row and at rows
     after it. ``order`` is ascending and total; long groups are split along its leading
-    columns that are numbers, dates or timestamps.
+    columns that are numbers, dates, timestamps or text, until their pieces are short.
+    Inputs of at most ``max_rows`` rows hold no longer group and are not looked into.
 
     Each piece of a long group gets copies of the ``back`` rows before it, so the pieces are
     computed by different tasks with the same result. ``sizes_from`` is a cheaper frame that
@@ -52,7 +49,8 @@ def over_long_groups(
     sizes_from = df if sizes_from is None else sizes_from
     sizes_from = sizes_from.select(*keys, *order)
     plain = Window.partitionBy(*keys).orderBy(*order)
-    levels = [] if is_small(sizes_from, small_bytes) else _levels(sizes_from, keys, order, max_rows)
+    short = sizes_from.count() <= max_rows  # a count of plain files reads their footers
+    levels = [] if short else _levels(sizes_from, keys, order, max_rows)
     if not levels:
         return df.withColumns({name: f(plain) for name, f in columns.items()})
 
@@ -65,12 +63,26 @@ def over_long_groups(
     return added.where(~F.col("_copy")).drop("_copy", "_piece")
 
 
-def _positions(df: DataFrame, order: Sequence[str]) -> list[Column]:
-    """The leading order columns as numbers that never decrease along the order."""
+def _positions(df: DataFrame, order: Sequence[str]) -> list[tuple[Column, Column]]:
+    """Numbers that never decrease along the leading order columns, and the values they stand for.
+
+    Text has a number for each few of its bytes: a piece whose texts begin alike is split
+    along the bytes after that.
+    """
     found = []
     for column in order:
         kind = df.select(column).schema[0].dataType
         col = F.col(column)
+        if isinstance(kind, T.StringType):
+            data = col.cast("binary")
+            for i in range(TEXT_PLACES):
+                part = F.substring(data, 1 + i * TEXT_BYTES, TEXT_BYTES)
+                digits = F.rpad(F.hex(part), 2 * TEXT_BYTES, "0")
+                number = F.conv(digits, 16, 10).cast("double")
+                # the last number stands for all that is left of the text
+                value = part if i < TEXT_PLACES - 1 else F.substring(data, 1 + i * TEXT_BYTES, 1 << 30)
+                found.append((F.coalesce(number, F.lit(BEFORE_ALL)), value))
+            continue
         if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
             number = F.unix_micros(col.cast("timestamp"))
         elif isinstance(kind, T.DateType):
@@ -79,7 +91,7 @@ def _positions(df: DataFrame, order: Sequence[str]) -> list[Column]:
             number = col
         else:
             break
-        found.append(F.coalesce(number.cast("double"), F.lit(BEFORE_ALL)))
+        found.append((F.coalesce(number.cast("double"), F.lit(BEFORE_ALL)), col))
     return found
 
 
@@ -91,16 +103,17 @@ def _levels(
     A table has at most (all rows / max_rows) rows. Only rows of the pieces being split are
     read for the next table.
     """
-    names = [f"_p{i}" for i in range(len(_positions(df, order)))]
+    places = _positions(df, order)
+    names = [f"_p{i}" for i in range(len(places))]
     values = [f"_v{i}" for i in range(len(names))]
     rows = df.select(
         *keys,
-        *[p.alias(n) for p, n in zip(_positions(df, order), names, strict=True)],
-        *[F.col(c).alias(v) for c, v in zip(order, values, strict=False)],
+        *[p.alias(n) for (p, _), n in zip(places, names, strict=True)],
+        *[v.alias(n) for (_, v), n in zip(places, values, strict=True)],
         F.array().cast("array<bigint>").alias("_piece"),
     )
     levels: list[DataFrame] = []
-    while names and len(levels) < MAX_LEVELS:
+    while names:
         crowded = (
             rows.groupBy(*keys, "_piece")
             .agg(
@@ -162,7 +175,7 @@ def _with_pieces(
     df: DataFrame, levels: Sequence[DataFrame], keys: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
     """Add ``_piece``: empty for short groups, else places that sort as the rows do."""
-    positions = {f"_p{i}": p for i, p in enumerate(_positions(df, order))}
+    positions = {f"_p{i}": p for i, (p, _) in enumerate(_positions(df, order))}
     rows = df.withColumns({**positions, "_piece": F.array().cast("array<bigint>")})
     for level in levels:
         rows = _split(rows, level, keys, list(positions), "left")

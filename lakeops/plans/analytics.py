@@ -19,6 +19,7 @@ from lakeops.operators.windows import carry_forward, rolling_avg as rolling
 from lakeops.plans.registry import query
 from lakeops.plans.views import Tables, adv, box, sched
 
+# Types in the driver's events, which SQL must name; the queries read them from the data.
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 
@@ -228,12 +229,12 @@ def _pivot_sql(cell: str) -> str:
 
 @query(_pivot_sql("min_by(value, event_id) FILTER (WHERE event_type = '{e}')"))
 def pivot_first(t: Tables) -> DataFrame:
-    return first_by_column(t.read("events"), ["user_id"], "event_type", EVENT_TYPES, "value", "event_id")
+    return first_by_column(t.read("events"), ["user_id"], "event_type", "value", "event_id")
 
 
 @query(_pivot_sql("CAST(ROUND(CAST(AVG({case}) AS DECIMAL(18,9)), 2) AS DOUBLE)"))
 def pivot_mean(t: Tables) -> DataFrame:
-    return mean_by_column(t.read("events"), ["user_id"], "event_type", EVENT_TYPES, "value")
+    return mean_by_column(t.read("events"), ["user_id"], "event_type", "value")
 
 
 @query(

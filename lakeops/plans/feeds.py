@@ -29,8 +29,10 @@ from lakeops.workspace import new_folder
 # The target of the incremental feed was last loaded before this moment.
 LOADED_BEFORE = "2024-01-16"
 
-# Partitions of the table that keeps the latest event of each user.
-USER_BUCKETS = 8
+# Users in a partition of the table that keeps the latest event of each user, about.
+BUCKET_USERS = 50_000
+# Times at which files of events arrive.
+ARRIVALS = 4
 
 
 @query(
@@ -120,10 +122,16 @@ def processing_status(t: Tables) -> DataFrame:
     )
 
 
-def _stream_folder(t: Tables, files: int = 4) -> str:
-    """Events as files that arrive in time order."""
+def _stream_folder(t: Tables, arrivals: int = ARRIVALS) -> str:
+    """Events as files that arrive one after the other, with late rows and equal times in each.
+
+    An event's arrival follows from its id, so that each covers all users and days.
+    """
     path = new_folder(t.spark, "events-landing")
-    write_sorted(t.read("events").repartitionByRange(files, "ts"), path, ["ts"])
+    events = t.read("events")
+    for i in range(arrivals):
+        part = events.where(F.pmod("event_id", F.lit(arrivals)) == arrivals - 1 - i)
+        part.write.mode("append").parquet(path)
     return path
 
 
@@ -134,8 +142,8 @@ def _stream_folder(t: Tables, files: int = 4) -> str:
 )
 def stream_json_ingest(t: Tables) -> DataFrame:
     """Events sent as JSON messages, parsed by a stream and appended; a new field is NULL."""
-    # a pattern, as the table may be one file or a folder of files
-    events = read_files(t.spark, t.path("events") + "*", DRIVER_TABLES["events"])
+    # a pattern for this table alone, which may be one file or a folder of files
+    events = read_files(t.spark, t.path("events")[:-1] + "[t]", DRIVER_TABLES["events"])
     sent = to_messages(
         events.select(
             "event_id", "ts", "user_id", "event_type", "value",
@@ -158,10 +166,15 @@ def stream_json_ingest(t: Tables) -> DataFrame:
 )
 def stream_upsert(t: Tables) -> DataFrame:
     """Latest event per user, kept by merging micro-batches into a table by bucket of users."""
-    events = read_files(t.spark, _stream_folder(t), DRIVER_TABLES["events"], max_files=2)
+    landing = _stream_folder(t)
+    files = t.spark.read.parquet(landing).select(F.input_file_name()).distinct().count()
+    users = t.read("events").agg(F.approx_count_distinct("user_id")).first()[0]
+    buckets = max(8, users // BUCKET_USERS)
+    batch = max(1, files // ARRIVALS)
+    events = read_files(t.spark, landing, DRIVER_TABLES["events"], max_files=batch)
     stream = events.select(
         "user_id", "event_id", "ts", "event_type", "value",
-        F.pmod(F.xxhash64("user_id"), F.lit(USER_BUCKETS)).cast("int").alias("bucket"),
+        F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int").alias("bucket"),
     )
     path, checkpoint = new_folder(t.spark, "last-event"), new_folder(t.spark, "last-event-checkpoint")
     upsert_stream(

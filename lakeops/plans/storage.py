@@ -46,6 +46,25 @@ def csv_roundtrip(t: Tables) -> DataFrame:
     return _orders_report(rows.withColumn("year", F.year("o_orderdate")), "o_orderstatus", "year")
 
 
+@query(
+    r"""SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'a "b" \ ' || chr(10) || text || '\'
+                             ELSE text END AS text FROM documents"""
+)
+def csv_text_roundtrip(t: Tables) -> DataFrame:
+    """Documents with line breaks, quotes, backslashes, empty and NULL text through CSV."""
+    kind = F.col("doc_id") % 5
+    text = (
+        F.when(kind == 0, F.lit(None).cast("string"))
+        .when(kind == 1, F.lit(""))
+        .when(kind == 2, F.concat(F.lit('a "b" \\ \n'), F.col("text"), F.lit("\\")))
+        .otherwise(F.col("text"))
+    )
+    rows = t.spark.read.parquet(t.path("documents")).select("doc_id", text.alias("text"))
+    path = new_folder(t.spark, "documents-csv")
+    write_table(rows, path, fmt="csv")
+    return read_csv(t.spark, path, rows.schema, line_breaks=True)
+
+
 @query(
     f"""SELECT o_orderpriority, count(*) AS orders, {_PRICE} AS revenue,
                COUNT(DISTINCT o_custkey) AS customers, max(o_orderdate) AS last_order

@@ -16,9 +16,6 @@ from lakeops.operators.dedupe import first_per_key
 from lakeops.operators.joins import enrich_left
 from lakeops.schemas import DRIVER_TABLES
 
-SALARY_YEARS = range(1995, 2001)
-
-
 @dataclass(frozen=True)
 class Tables:
     """The driver's tables of one scale factor."""
@@ -189,10 +186,11 @@ def sales_processed(t: Tables) -> DataFrame:
 
 
 def salary_wide(t: Tables) -> DataFrame:
-    price = F.col("o_totalprice")
-    year = F.year("o_orderdate")
-    return t.read("orders").groupBy(F.col("o_custkey").alias("personid")).agg(
-        *[exact_sum(F.when(year == y, price)).alias(f"y{y}") for y in SALARY_YEARS]
+    """One column y<year> for each year of the orders: the years are read from the data."""
+    orders = t.read("orders").withColumn("year", F.year("o_orderdate"))
+    years = sorted(r.year for r in orders.select("year").distinct().collect() if r.year is not None)
+    return orders.groupBy(F.col("o_custkey").alias("personid")).agg(
+        *[exact_sum(F.when(F.col("year") == y, F.col("o_totalprice"))).alias(f"y{y}") for y in years]
     )
 
 
@@ -230,8 +228,8 @@ VIEW_SQL = {
         SELECT l.l_orderkey * 10 + l.l_linenumber AS salesid, l.l_shipdate AS salesdate,
                l.l_suppkey AS salespersonid, o.o_custkey AS customerid, l.l_partkey AS productid,
                CAST(l.l_quantity AS INT) AS quantity,
-               CAST(l.l_extendedprice AS DECIMAL(18,2)) AS totalprice,
-               CAST(l.l_discount AS DECIMAL(4,2)) AS discount
+               CAST(l.l_extendedprice AS DECIMAL(18,9)) AS totalprice,
+               CAST(l.l_discount AS DECIMAL(18,9)) AS discount
         FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""",
     "sales": """
         SELECT salesid, salesdate, salespersonid, customerid, productid, quantity, totalprice, discount
@@ -252,17 +250,18 @@ VIEW_SQL = {
                CAST(0.03 + CASE WHEN s.totalprice > 1000 THEN 0.02 ELSE 0 END
                     + CASE WHEN date_diff('day', e.hiredate, CAST(s.salesdate AS DATE)) > 180
                            THEN 0.01 ELSE 0 END AS DECIMAL(3,2)) AS commissionrate,
-               CAST(ROUND(s.totalprice
+               CAST(ROUND(CAST(s.totalprice AS DECIMAL(28,9))
                     * CAST(0.03 + CASE WHEN s.totalprice > 1000 THEN 0.02 ELSE 0 END
                     + CASE WHEN date_diff('day', e.hiredate, CAST(s.salesdate AS DATE)) > 180
                            THEN 0.01 ELSE 0 END AS DECIMAL(3,2)), 2) AS DECIMAL(18,2)) AS commission
         FROM sales s LEFT JOIN emp e ON s.salespersonid = e.employeeid""",
-    "salary_wide": "SELECT o_custkey AS personid, "
-    + ", ".join(
-        f"SUM(CASE WHEN year(o_orderdate) = {y} THEN CAST(o_totalprice AS DECIMAL(18,2)) END) AS y{y}"
-        for y in SALARY_YEARS
-    )
-    + " FROM orders GROUP BY o_custkey",
+    "salaries": """
+        SELECT personid, y || '-' || lpad(CAST((y + 1) % 100 AS VARCHAR), 2, '0') AS season,
+               CAST(total AS DOUBLE) AS salary_usd
+        FROM (SELECT o_custkey AS personid, year(o_orderdate) AS y,
+                     SUM(CAST(o_totalprice AS DECIMAL(18,9))) AS total
+              FROM orders GROUP BY 1, 2) t
+        WHERE total > 0""",
 }
 
 # Views each view is built from.

@@ -10,14 +10,40 @@ from pyspark.sql import types as T
 
 from lakeops.functions.numbers import lenient_double, lenient_flag, lenient_int, lenient_long
 from lakeops.functions.dates import lenient_timestamp
-from lakeops.workspace import stored
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """CSV with header. Without a schema the types are inferred, which reads the data twice."""
-    reader = spark.read.option("header", "true")
-    reader = reader.schema(schema) if schema else reader.option("inferSchema", "true")
-    return reader.csv(path)
+# Quotes inside text are doubled, so that backslashes stand for themselves; white space is text.
+CSV = {
+    "header": "true", "quote": '"', "escape": '"',
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
+
+
+# Read for empty text in quotes, which Spark would read as NULL, and put back after that.
+EMPTY = "\u0001"
+
+
+def csv_options(line_breaks: bool) -> dict[str, str]:
+    """Reader options. With ``line_breaks`` text may hold them, but a file is read by one task."""
+    return CSV | {"multiLine": str(line_breaks).lower()}
+
+
+def _with_empty_text(df: DataFrame) -> DataFrame:
+    return df.replace(EMPTY, "", subset=[c for c, kind in df.dtypes if kind == "string"] or None)
+
+
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, line_breaks: bool = False
+) -> DataFrame:
+    """CSV with header. Without a schema the types are inferred, which reads the data twice.
+
+    Files whose text may hold line breaks must be read with ``line_breaks``. With a schema,
+    empty text in quotes is empty text; without quotes, and without a schema, it is NULL.
+    """
+    reader = spark.read.options(**csv_options(line_breaks))
+    if schema is None:
+        return reader.option("inferSchema", "true").csv(path)
+    return _with_empty_text(reader.schema(schema).option("emptyValue", EMPTY).csv(path))
 
 
 def lenient_select(
@@ -54,9 +80,10 @@ def read_csv_lenient(
     path: str,
     schema: T.StructType,
     source_names: dict[str, str] | None = None,
+    line_breaks: bool = False,
 ) -> DataFrame:
     """CSV read as text, then cast leniently to ``schema``."""
-    text = spark.read.option("header", "true").option("inferSchema", "false").csv(path)
+    text = spark.read.options(**csv_options(line_breaks)).option("inferSchema", "false").csv(path)
     return lenient_select(text, schema, source_names)
 
 
@@ -91,8 +118,9 @@ def write_table(
     partition_by: Sequence[str] = (),
     sort_by: Sequence[str | Column] = (),
     dynamic: bool = False,
+    options: dict[str, str] | None = None,
 ) -> None:
-    """Write a table by path.
+    """Write a table by path, with ``options`` of the format (compression, for example).
 
     A partitioned write is rebalanced on its partition columns first: few files per
     directory, while a directory with much of the data is still written by many tasks.
@@ -108,8 +136,8 @@ def write_table(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
-        writer = writer.option("header", "true")
-    writer.save(path)
+        writer = writer.options(**CSV)
+    writer.options(**(options or {})).save(path)
 
 
 def write_sorted(
@@ -119,12 +147,18 @@ def write_sorted(
     df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(mode).parquet(path)
 
 
-def write_single_file(df: DataFrame, path: str, max_rows: int = 1_000_000) -> bool:
-    """Overwrite ``path`` with one file if the result is small, else with many; True if one."""
-    rows = stored(df, "single")
-    small = rows.count() <= max_rows
-    (rows.coalesce(1) if small else rows).write.mode("overwrite").parquet(path)
-    return small
+def write_single_file(df: DataFrame, path: str) -> None:
+    """Overwrite ``path`` with one file, of any size: the last stage is one task.
+
+    For reports that a reader wants as a file. Work before the last exchange is still
+    distributed, as the rows meet in one task only to be written.
+    """
+    df.repartition(1).write.mode("overwrite").parquet(path)
+
+
+def drop_table(spark: SparkSession, name: str) -> None:
+    """Drop a table of the catalog by name, if there is one."""
+    spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": name})
 
 
 def ensure_table(

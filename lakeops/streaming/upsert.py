@@ -26,8 +26,8 @@ def upsert_stream(
 ) -> StreamingQuery:
     """Start a query that keeps the newest row of each key.
 
-    A batch is reduced to one row per key and merged; a row older than the stored one is
-    left out. Merging the same batch again changes nothing, so a repeated batch is safe.
+    A batch is reduced to one row per key and merged; a row older than the stored one, by all
+    of ``newest``, is left out. Merging the same batch again changes nothing, so a repeated batch is safe.
     Partition by a bucket of the key (``fixed_partition``) where the table is large: a batch
     then reads only the buckets it has rows for.
     """
@@ -42,7 +42,7 @@ def upsert_stream(
             rows,
             keys,
             partition,
-            newer_by=newest[0],
+            newer_by=list(newest),
             check_unique=False,
             fixed_partition=fixed_partition,
         )

@@ -144,3 +144,23 @@ def test_lenient_select_of_box_scores(spark):
     got = lenient_select(raw, BOX_SCORE_PROCESSED, BOX_SCORE_FILE_NAMES).first()
     assert (got.personId, got.plusMinus, got.win, got.points, got.gameId) == (2544, -7, True, None, None)
     assert got.gameDateTimeEst == dt.datetime(2025, 10, 21, 19, 30)
+
+
+def test_sums_keep_all_decimals(spark):
+    df = spark.createDataFrame([(0.125,), (0.125,), (0.004,), (None,)], "x double")
+    assert df.agg(numbers.exact_avg("x")).first()[0] == 0.254 / 3
+    many = spark.range(1000).select(F.lit(1.004).alias("x"), F.lit(-0.5).alias("y"), F.lit(2e15).alias("z"))
+    assert many.agg(*[numbers.exact_sum(c) for c in "xyz"]).first()[:] == (1004.0, -500.0, 2e18)
+    assert df.where("x > 1").agg(numbers.exact_sum("x"), numbers.exact_avg("x")).first()[:] == (None, None)
+
+
+def test_rounding_has_no_cap(spark):
+    df = spark.createDataFrame([(2e9 + 0.125,), (3e17,), (1e300,), (2.675,), (None,)], "x double")
+    assert one(df.select(numbers.round_to("x"))) == [2000000000.13, 3e17, 1e300, 2.68, None]
+
+
+def test_lenient_casts_of_large_and_bad_text(spark):
+    texts = ["9223372036854775807", "9223372036854775808", "1e30", "99999999999", "x1", "1.5e3", " 7 "]
+    df = spark.createDataFrame([(x,) for x in texts], "x string")
+    assert one(df.select(numbers.lenient_long("x"))) == [2**63 - 1, None, None, 99999999999, None, 1500, 7]
+    assert one(df.select(numbers.lenient_int("x"))) == [None, None, None, None, None, 1500, 7]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import types as T
 
 from lakeops.operators.merge import replace_rows, update_matched, upsert, upsert_table
 from lakeops.sources.files import ensure_table, write_table
@@ -107,3 +108,25 @@ def test_small_source_does_not_shuffle_the_target(spark, tables):
     feed = state.limit(3)
     plan = upsert(state, feed, ["l_orderkey"], insert=False)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_equal_times_are_ordered_by_the_next_column(spark, rows):
+    schema = "id int, at int, event int"
+    target = spark.createDataFrame([(1, 5, 5), (2, 5, 1)], schema)
+    source = spark.createDataFrame([(1, 5, 3), (2, 5, 3), (3, None, 1)], schema)
+    for merge in (upsert, replace_rows):
+        got = merge(target, source, ["id"], newer_by=["at", "event"])
+        assert rows(got) == [(1, 5, 5), (2, 5, 3), (3, None, 1)]
+
+
+@pytest.mark.parametrize("kind, old, new", [
+    ("string", "a:b", "c d/e%"),
+    ("timestamp_ntz", dt.datetime(2024, 1, 1, 10, 30), dt.datetime(2024, 1, 2)),
+])
+def test_emptied_partitions_with_special_characters(spark, rows, kind, old, new):
+    schema = T.StructType.fromDDL(f"id int, part {kind}, value int")
+    path = new_folder(spark, "t")
+    write_table(spark.createDataFrame([(1, old, 1), (2, new, 2)], schema), path, partition_by=["part"])
+    source = spark.createDataFrame([(1, new, 3)], schema)
+    upsert_table(spark, path, schema, source, ["id"], "part", sort_by=["id"])
+    assert rows(spark.read.schema(schema).parquet(path), "id", "value") == [(1, 3), (2, 2)]

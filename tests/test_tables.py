@@ -68,13 +68,29 @@ def test_sorted_files_are_disjoint(spark):
 
 def test_single_file(spark):
     path = new_folder(spark, "t")
-    df = spark.range(100).repartition(3)
-    assert files.write_single_file(df, path)
+    files.write_single_file(spark.range(100).repartition(3), path)
     assert len(spark.read.parquet(path).inputFiles()) == 1
-    assert not files.write_single_file(df, path, max_rows=99)
     assert spark.read.parquet(path).count() == 100
 
 
+def test_csv_keeps_any_text(spark, rows):
+    path = new_folder(spark, "t")
+    texts = ["a\nb", 'say "x", \\n', "back\\", "", None, "plain", '"', "\n", "a,b"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    files.write_table(df, path, fmt="csv")
+    assert rows(files.read_csv(spark, path, df.schema, line_breaks=True)) == rows(df)
+
+
+def test_drop_table_and_write_options(spark):
+    spark.range(3).write.mode("overwrite").saveAsTable("gone")
+    files.drop_table(spark, "gone")
+    files.drop_table(spark, "gone")
+    assert not spark.catalog.tableExists("gone")
+    path = new_folder(spark, "t")
+    files.write_table(spark.range(3), path, options={"compression": "gzip"})
+    assert all(".gz." in f for f in spark.read.parquet(path).inputFiles())
+
+
 def test_ensure_table_keeps_rows(spark):
     path, schema = new_folder(spark, "t"), T.StructType().add("a", "integer")
     files.ensure_table(spark, path, schema)
@@ -182,8 +198,8 @@ def test_reports(spark, rows):
     assert rows(aggregates.run_stats(df, ["q", "engine"], "ms")) == [
         (None, "x", 1, 1.0, 1.0, 1.0, 0.0), ("q1", "x", 2, 15.0, 10.0, 20.0, 7.07), ("q1", "y", 1, 5.0, 5.0, 5.0, 0.0),
     ]
-    assert rows(aggregates.pivot_first(df, ["q"], "engine", ["x", "y"], "ms", "at")) == [(None, 1.0, None), ("q1", 20.0, 5.0)]
-    assert rows(aggregates.pivot_mean(df, ["q"], "engine", ["x", "y"], "ms")) == [(None, 1.0, None), ("q1", 15.0, 5.0)]
+    assert rows(aggregates.pivot_first(df, ["q"], "engine", "ms", "at")) == [(None, 1.0, None), ("q1", 20.0, 5.0)]
+    assert rows(aggregates.pivot_mean(df, ["q"], "engine", "ms", values=["x", "y"])) == [(None, 1.0, None), ("q1", 15.0, 5.0)]
     means = aggregates.group_averages(df, ["q"], {"avg_sum": F.col("at") + F.nullif(F.col("at"), F.lit(2))}, "n")
     # a sum with a NULL part is left out of the mean, not out of the count
     assert rows(means) == [(None, 1, 8.0), ("q1", 3, 4.0)]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lakeops.operators import windows
 from lakeops.operators.dedupe import drop_duplicates_stable, first_per_key, latest_per_key, with_cast_keys
 
-SPLIT = {"max_rows": 7, "small_bytes": 0}
+SPLIT = {"max_rows": 7}
 
 
 @pytest.fixture(scope="module")
@@ -58,7 +58,7 @@ def test_outliers_do_not_keep_a_group_together(spark):
     sizes = piece_sizes(df, ["who"], ["ts", "id"], 10)
     assert max(n for _, _, n in sizes) <= 10
     args = (df, ["who"], ["ts", "id"], "value", "avg")
-    same(windows.rolling_avg(*args), windows.rolling_avg(*args, max_rows=10, small_bytes=0))
+    same(windows.rolling_avg(*args), windows.rolling_avg(*args, max_rows=10))
 
 
 def test_one_moment_is_split_along_the_next_column(spark):
@@ -67,7 +67,7 @@ def test_one_moment_is_split_along_the_next_column(spark):
     df = spark.createDataFrame(rows, "who string, at int, id bigint, tie int, value double")
     assert max(n for _, _, n in piece_sizes(df, ["who"], ["at", "id"], 10)) <= 10
     args = (df, ["who"], ["at", "id"], "value", "avg")
-    same(windows.rolling_avg(*args), windows.rolling_avg(*args, max_rows=10, small_bytes=0))
+    same(windows.rolling_avg(*args), windows.rolling_avg(*args, max_rows=10))
 
 
 def test_ids_of_one_position_stay_in_order(spark):
@@ -75,7 +75,7 @@ def test_ids_of_one_position_stay_in_order(spark):
     rows = [("a", 2**60 + i, -i, float(i % 7)) for i in range(60)]
     df = spark.createDataFrame(rows, "who string, id bigint, tie int, value double")
     args = (df, ["who"], ["id", "tie"], "value", "avg")
-    same(windows.rolling_avg(*args), windows.rolling_avg(*args, max_rows=10, small_bytes=0))
+    same(windows.rolling_avg(*args), windows.rolling_avg(*args, max_rows=10))
 
 
 @pytest.mark.parametrize("rows", [2, 5, 12])
@@ -96,10 +96,14 @@ def test_carry_forward(series, wanted):
     same(windows.carry_forward(*args), windows.carry_forward(*args, **SPLIT))
 
 
-def test_text_order_is_not_split(spark):
-    df = spark.createDataFrame([(1, str(i % 9), i, float(i)) for i in range(50)], "who int, at string, id int, value double")
+def test_text_order_is_split(spark):
+    texts = ["same beginning " + str(i % 40).zfill(2) for i in range(120)] + [None, "é", ""]
+    df = spark.createDataFrame(
+        [(1, x, i, float(i)) for i, x in enumerate(texts)], "who int, at string, id int, value double"
+    )
     args = (df, ["who"], ["at", "id"], "value", "avg")
     same(windows.rolling_avg(*args), windows.rolling_avg(*args, **SPLIT))
+    assert windows._levels(df, ["who"], ["at", "id"], 7)
 
 
 def test_empty_input(series):

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeops.functions.numbers import ratio_pct, round_to
 from lakeops.operators.aggregates import group_averages, group_ratios
 from lakeops.operators.joins import typed_key_join
 from lakeops.operators.windows import rolling_avg, top_per_group, top_rows
@@ -126,3 +127,57 @@ def efficient_players(
 def count_of(df: DataFrame, column: str, value) -> DataFrame:
     """Rows with one value of a column; files without it are skipped by their statistics."""
     return count_rows(df.where(F.col(column) == value))
+
+
+# The same reports where names and teams are in a table of persons, one row each: lines are
+# grouped by person first, so that only sums and counts are shuffled and joined.
+
+
+def _per_person(lines: DataFrame, persons: DataFrame, *sums) -> DataFrame:
+    return lines.groupBy("personid").agg(*sums).join(persons, "personid")
+
+
+def count_rows_of(lines: DataFrame, persons: DataFrame) -> DataFrame:
+    """Lines that have a person."""
+    counts = _per_person(lines, persons.select("personid"), F.count("*").alias("n"))
+    return counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"))
+
+
+def team_averages_of(lines: DataFrame, persons: DataFrame) -> DataFrame:
+    """``team_averages`` from sums and counts by person."""
+    values = {
+        "avg_points": F.col("points"),
+        "avg_assists": F.col("assists"),
+        "avg_rebounds": F.col("reboundsdefensive") + F.col("reboundsoffensive"),
+    }
+    parts = [
+        f(v).alias(f"{name}_{kind}")
+        for name, v in values.items()
+        for f, kind in ((F.sum, "sum"), (F.count, "n"))
+    ]
+    rows = _per_person(lines, persons, F.count("*").alias("n"), *parts)
+    means = [
+        round_to(F.sum(f"{name}_sum") / F.nullif(F.sum(f"{name}_n"), F.lit(0))).alias(name)
+        for name in values
+    ]
+    report = rows.groupBy("playerteamname").agg(F.sum("n").alias("games_played"), *means)
+    return report.orderBy(F.col("avg_points").desc(), "playerteamname")
+
+
+def shooting_efficiency_of(lines: DataFrame, persons: DataFrame) -> DataFrame:
+    """``shooting_efficiency`` from sums by person; each person is one player used."""
+    ratios = {"fg_pct": "fieldgoals", "three_pct": "threepointers", "ft_pct": "freethrows"}
+    sums = [
+        F.sum(f"{column}{part}").alias(f"{column}{part}")
+        for column in ratios.values()
+        for part in ("made", "attempted")
+    ]
+    rows = _per_person(lines, persons, *sums)
+    pcts = [ratio_pct(f"{c}made", f"{c}attempted").alias(name) for name, c in ratios.items()]
+    report = rows.groupBy("playerteamname").agg(*pcts, F.count("*").alias("players_used"))
+    return report.orderBy(F.col("fg_pct").desc(), "playerteamname")
+
+
+def top_scorers_of(lines: DataFrame, persons: DataFrame) -> DataFrame:
+    """``top_scorers`` from sums by person; persons of one name and team are added up."""
+    return top_scorers(_per_person(lines, persons, F.sum("points").alias("points")))

@@ -39,14 +39,21 @@ def game_logs(
     return with_previous_date(played, ["personid"], ["game_date", "gameid"], "game_date", **limits)
 
 
-def season_stats(games: DataFrame, salaries: DataFrame, match_season: bool = False) -> DataFrame:
+def season_stats(
+    games: DataFrame,
+    salaries: DataFrame,
+    match_season: bool = False,
+    persons: DataFrame | None = None,
+) -> DataFrame:
     """Totals and means per player, team and season, with the player's greatest salary.
 
     A traded player has one row per team. The salary is the greatest over all seasons, or
     with ``match_season`` over rows whose ``season_start_year`` is the same; 0 if unknown.
-    Games are grouped first, so the join sees one row per player, team and season.
+    Games are grouped first, so the join sees one row per player, team and season. Names and
+    team may come from ``persons`` (one row each), which is joined after the grouping too.
     """
     rebounds = F.col("reboundsoffensive") + F.col("reboundsdefensive")
+    named = [_player_name(), F.col("playerteamname")] if persons is None else []
 
     def mean(value: Column, name: str) -> Column:
         return round_to(F.avg(value.cast("double")), 1).alias(name)
@@ -55,8 +62,7 @@ def season_stats(games: DataFrame, salaries: DataFrame, match_season: bool = Fal
         games.where(F.col("numminutes") > 0)
         .groupBy(
             "personid",
-            _player_name(),
-            "playerteamname",
+            *named,
             season_start_year("gamedatetimeest").cast("long").alias("season_start_year"),
         )
         .agg(
@@ -70,6 +76,8 @@ def season_stats(games: DataFrame, salaries: DataFrame, match_season: bool = Fal
             *[F.sum(c).alias(f"total_{c}") for c in ("steals", "blocks", "turnovers")],
         )
     )
+    if persons is not None:
+        stats = stats.join(persons.select("personid", _player_name(), "playerteamname"), "personid")
     keys = ["personid", "season_start_year"] if match_season else ["personid"]
     greatest = salaries.groupBy(*keys).agg(F.max("salary_usd").alias("salary_usd"))
     return stats.join(greatest, keys, "left").withColumn(

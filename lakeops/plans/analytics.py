@@ -13,11 +13,11 @@ from lakeops.operators.aggregates import (
     range_profile as profile_range,
     run_stats as stats_of_runs,
 )
-from lakeops.operators.joins import lookup
+from lakeops.operators.joins import lookup, typed_key_join
 from lakeops.operators.quality import null_profile as profile_nulls
 from lakeops.operators.windows import carry_forward, rolling_avg as rolling
 from lakeops.plans.registry import query
-from lakeops.plans.views import Tables, adv, box, sched
+from lakeops.plans.views import Tables, adv, box, lines, persons, ratings, sched
 
 # Types in the driver's events, which SQL must name; the queries read them from the data.
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
@@ -25,7 +25,7 @@ EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 @query("SELECT count(*) AS row_count FROM box", ["box"])
 def count_all(t: Tables) -> DataFrame:
-    return box_queries.count_rows(box(t))
+    return box_queries.count_rows_of(lines(t), persons(t))
 
 
 @query(
@@ -47,7 +47,7 @@ def high_scorers(t: Tables) -> DataFrame:
     ["box"],
 )
 def team_averages(t: Tables) -> DataFrame:
-    return box_queries.team_averages(box(t))
+    return box_queries.team_averages_of(lines(t), persons(t))
 
 
 def _events_with_k(t: Tables) -> DataFrame:
@@ -98,8 +98,24 @@ def join_schedule(t: Tables) -> DataFrame:
     ["box", "adv"],
 )
 def join_advanced(t: Tables) -> DataFrame:
+    """Both sides have typed ids, so that lines and ratings meet where they were grouped."""
     ties = ["gameid", "linenumber", "gamedatetimeest", "price"]
-    return box_queries.with_advanced(box(t), adv(t), ties)
+    return box_queries.with_advanced(box(t), ratings(t), ties)
+
+
+@query(
+    """SELECT p.personid, p.points, a.tspct, a.pie, p.gameid, p.linenumber, p.gamedatetimeest, p.price
+       FROM box p JOIN adv a ON p.personid = a.personid AND CAST(p.gameid AS VARCHAR) = a.gameid
+       WHERE p.points >= 45""",
+    ["box", "adv"],
+)
+def join_mixed_types(t: Tables) -> DataFrame:
+    """The game id is a number on one side and text on the other."""
+    best = box(t, min_points=45)
+    joined = typed_key_join(best, adv(t), {"personid": "bigint", "gameid": "bigint"})
+    return joined.select(
+        "personid", "points", "tspct", "pie", "gameid", "linenumber", "gamedatetimeest", "price"
+    )
 
 
 @query(
@@ -113,38 +129,45 @@ def join_advanced(t: Tables) -> DataFrame:
 )
 def join_three_way(t: Tables) -> DataFrame:
     ties = ["gameid", "linenumber", "gamedatetimeest", "personid", "price"]
-    return box_queries.with_advanced_and_schedule(box(t, min_points=25), adv(t), sched(t), ties)
+    return box_queries.with_advanced_and_schedule(box(t, min_points=25), ratings(t), sched(t), ties)
 
 
 def _pct(part: str, whole: str) -> str:
     return (
-        f"CAST(ROUND(CAST(SUM(CAST({part} AS DOUBLE)) / NULLIF(SUM(CAST({whole} AS DOUBLE)), 0)"
+        f"CAST(ROUND(CAST(CAST({part} AS DOUBLE) / NULLIF(CAST({whole} AS DOUBLE), 0)"
         " * 100 AS DECIMAL(18,9)), 2) AS DOUBLE)"
     )
 
 
 @query(
-    f"""SELECT playerteamname, {_pct('fieldgoalsmade', 'fieldgoalsattempted')} AS fg_pct,
-               {_pct('threepointersmade', 'threepointersattempted')} AS three_pct,
-               {_pct('freethrowsmade', 'freethrowsattempted')} AS ft_pct,
-               COUNT(DISTINCT personid) AS players_used
-        FROM box GROUP BY playerteamname ORDER BY fg_pct DESC, playerteamname""",
+    f"""WITH sums AS (SELECT playerteamname AS team, SUM(fieldgoalsmade) AS f1, SUM(fieldgoalsattempted) AS f2,
+                             SUM(threepointersmade) AS t1, SUM(threepointersattempted) AS t2,
+                             SUM(freethrowsmade) AS s1, SUM(freethrowsattempted) AS s2,
+                             COUNT(DISTINCT personid) AS people
+                      FROM box GROUP BY playerteamname)
+        SELECT team AS playerteamname, {_pct('f1', 'f2')} AS fg_pct, {_pct('t1', 't2')} AS three_pct,
+               {_pct('s1', 's2')} AS ft_pct, people AS players_used
+        FROM sums ORDER BY fg_pct DESC, playerteamname""",
     ["box"],
 )
 def shooting_efficiency(t: Tables) -> DataFrame:
-    return box_queries.shooting_efficiency(box(t))
+    return box_queries.shooting_efficiency_of(lines(t), persons(t))
 
 
 @query(
-    """SELECT playerteamname, firstname, lastname, total_points, rnk FROM (
-         SELECT playerteamname, firstname, lastname, CAST(SUM(points) AS BIGINT) AS total_points,
-                RANK() OVER (PARTITION BY playerteamname ORDER BY SUM(points) DESC) AS rnk
-         FROM box GROUP BY playerteamname, firstname, lastname) r
-       WHERE rnk = 1 ORDER BY total_points DESC, playerteamname, lastname""",
+    """WITH totals AS (SELECT personid, SUM(points) AS scored FROM box GROUP BY personid),
+            named AS (SELECT DISTINCT personid, playerteamname, firstname, lastname FROM box),
+            shown AS (SELECT n.playerteamname, n.firstname, n.lastname,
+                             CAST(SUM(t.scored) AS BIGINT) AS total_points
+                      FROM totals t JOIN named n USING (personid) GROUP BY 1, 2, 3),
+            most AS (SELECT playerteamname, MAX(total_points) AS total_points FROM shown GROUP BY 1)
+       SELECT shown.*, CAST(1 AS BIGINT) AS rnk
+       FROM shown JOIN most USING (playerteamname, total_points)
+       ORDER BY total_points DESC, playerteamname, lastname, firstname""",
     ["box"],
 )
 def top_per_group(t: Tables) -> DataFrame:
-    return box_queries.top_scorers(box(t))
+    return box_queries.top_scorers_of(lines(t), persons(t))
 
 
 @query(

@@ -25,7 +25,7 @@ from lakeops.operators.merge import update_matched, upsert, upsert_table
 from lakeops.operators.quality import coverage as match_coverage
 from lakeops.operators.similarity import THRESHOLD, BlockRatio, EditSimilarity, best_match
 from lakeops.plans.registry import query
-from lakeops.plans.views import Tables, box, games, salary_wide
+from lakeops.plans.views import Tables, box, game_lines, games, persons, salary_wide
 from lakeops.sources.files import write_table
 from lakeops.workspace import new_folder, stored
 
@@ -444,5 +444,5 @@ def game_logs(t: Tables) -> DataFrame:
 def season_stats(t: Tables) -> DataFrame:
     """On one line per person and game; three more counters are made from the line number."""
     line = F.col("linenumber")
-    played = games(t).withColumns({"steals": line % 3, "blocks": line % 2, "turnovers": line % 5})
-    return marts.season_stats(played, salary_unpivot(t))
+    more = {"steals": line % 3, "blocks": line % 2, "turnovers": line % 5}
+    return marts.season_stats(game_lines(t).withColumns(more), salary_unpivot(t), persons=persons(t))

@@ -35,11 +35,12 @@ def _name_parts(name: str) -> tuple:
     return part(1), part(2)
 
 
-def _box_of(line: DataFrame, t: Tables) -> DataFrame:
+def _lines_of(line: DataFrame) -> DataFrame:
+    """Box scores without the persons' names and teams."""
     whole = F.col("l_quantity").cast("int")
     defensive = F.floor(F.col("l_discount") * 100 + 0.5).cast("int")
     offensive = F.floor(F.col("l_tax") * 100 + 0.5).cast("int")
-    lines = line.select(
+    return line.select(
         F.col("l_suppkey").alias("personid"),
         F.col("l_orderkey").alias("gameid"),
         F.col("l_linenumber").alias("linenumber"),
@@ -57,10 +58,17 @@ def _box_of(line: DataFrame, t: Tables) -> DataFrame:
         (whole % 48).alias("numminutes"),
         F.col("l_extendedprice").alias("price"),
     )
-    # names are split once per person; each dimension is joined by itself, so that its own
-    # size decides whether it is broadcast
+
+
+def lines(t: Tables) -> DataFrame:
+    """Box scores with the persons' ids alone, for reports that group before they join."""
+    return _lines_of(t.read("lineitem"))
+
+
+def persons(t: Tables) -> DataFrame:
+    """One row per person: names, split once each, and team. Dimensions are joined first."""
     first, last = _name_parts("s_name")
-    persons = t.read("supplier").select(
+    named = t.read("supplier").select(
         F.col("s_suppkey").alias("personid"),
         first.alias("firstname"),
         last.alias("lastname"),
@@ -69,7 +77,11 @@ def _box_of(line: DataFrame, t: Tables) -> DataFrame:
     teams = t.read("nation").select(
         F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("playerteamname")
     )
-    return lines.join(persons, "personid").join(teams, "s_nationkey").drop("s_nationkey")
+    return named.join(teams, "s_nationkey").drop("s_nationkey")
+
+
+def _box_of(line: DataFrame, t: Tables) -> DataFrame:
+    return _lines_of(line).join(persons(t), "personid")
 
 
 def box(t: Tables, min_points: int | None = None) -> DataFrame:
@@ -87,6 +99,12 @@ def games(t: Tables) -> DataFrame:
     return _box_of(first_per_key(t.read("lineitem"), ["l_suppkey", "l_orderkey"], newest), t)
 
 
+def game_lines(t: Tables) -> DataFrame:
+    """``games`` without the persons' names and teams."""
+    newest = [F.col(c).desc() for c in _GAME_NEWEST]
+    return _lines_of(first_per_key(t.read("lineitem"), ["l_suppkey", "l_orderkey"], newest))
+
+
 _GAME_NEWEST = ("l_shipdate", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 
@@ -99,11 +117,11 @@ def sched(t: Tables) -> DataFrame:
     )
 
 
-def adv(t: Tables) -> DataFrame:
-    """Advanced statistics, one row per person and game; the game id is text."""
+def ratings(t: Tables) -> DataFrame:
+    """Advanced statistics, one row per person and game, with typed ids."""
     return (
         t.read("lineitem")
-        .groupBy("l_suppkey", "l_orderkey")
+        .groupBy(F.col("l_suppkey").alias("personid"), F.col("l_orderkey").alias("gameid"))
         .agg(
             (F.max("l_discount") * 10).alias("tspct"),
             (F.max("l_tax") * 10).alias("usgpct"),
@@ -111,14 +129,19 @@ def adv(t: Tables) -> DataFrame:
             F.max("l_extendedprice").alias("offrating"),
             F.min("l_extendedprice").alias("defrating"),
         )
-        .select(
-            F.col("l_suppkey").alias("personid"),
-            F.col("l_orderkey").cast("string").alias("gameid"),
-            F.concat(F.lit("Player "), F.col("l_suppkey").cast("string")).alias("playername"),
-            F.concat(F.lit("Team "), (F.col("l_suppkey") % 30).cast("string")).alias("teamname"),
-            "tspct", "usgpct", "pie", "offrating", "defrating",
-            (F.col("offrating") - F.col("defrating")).alias("netrating"),
-        )
+        .withColumn("netrating", F.col("offrating") - F.col("defrating"))
+    )
+
+
+def adv(t: Tables) -> DataFrame:
+    """``ratings`` with names; the game id is text."""
+    person = F.col("personid")
+    return ratings(t).select(
+        "personid",
+        F.col("gameid").cast("string").alias("gameid"),
+        F.concat(F.lit("Player "), person.cast("string")).alias("playername"),
+        F.concat(F.lit("Team "), (person % 30).cast("string")).alias("teamname"),
+        "tspct", "usgpct", "pie", "offrating", "defrating", "netrating",
     )
 
 

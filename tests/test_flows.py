@@ -222,7 +222,7 @@ def test_shots(spark, lake, rows):
     )
     want = [("g", 2, "0 - 0"), ("g", 4, "2 - 3"), ("g", 7, "2 - 0"), ("g", 8, "2 - 3"), ("g", 9, "2 - 3"), ("h", 4, "9 - 9")]
     assert rows(shots.running_scores(actions)) == want
-    assert rows(shots.running_scores(actions, max_rows=2, small_bytes=0)) == want
+    assert rows(shots.running_scores(actions, max_rows=2)) == want
     names = [*shots.SHOT_FIELDS, "GAME_EVENT_ID", "SHOT_TYPE", "EVENT_TYPE"]
     values = {"GAME_ID": "g", "PERIOD": 1, "SHOT_DISTANCE": 24, "LOC_X": 1, "LOC_Y": 2, "MINUTES_REMAINING": 3, "SECONDS_REMAINING": 4}
     base = [values.get(n, "t") for n in shots.SHOT_FIELDS]

@@ -188,6 +188,7 @@ def _postings(docs: DataFrame, how: Similarity, counts, light: int) -> DataFrame
                     continue
                 seen.add(me)
                 found = counts.value[(own >> shift).astype(np.int64)]
+                made = 0
                 most = how.prefix(s, SUBSET)
                 if most < s // 2:  # the rest need not be ordered
                     rare = np.argpartition(found, most)[:most]
@@ -198,6 +199,7 @@ def _postings(docs: DataFrame, how: Similarity, counts, light: int) -> DataFrame
                 if s >= reach:
                     top = rare[: how.prefix(s, 1)]
                     keys.append(own[top])
+                    made += len(top)
                     salts.append(found[top] > HOT)
                 if s <= light and how.least_overlap(s) >= SUBSET:
                     pairs = np.array(list(combinations(rare.tolist(), SUBSET)))
@@ -205,11 +207,11 @@ def _postings(docs: DataFrame, how: Similarity, counts, light: int) -> DataFrame
                     for column in pairs.T:
                         key = mix(key * np.uint64(31) + own[column])
                     keys.append(key)
+                    made += len(key)
                     salts.append(found[pairs].min(axis=1) > HOT)
-                made = sum(map(len, keys)) - sum(map(len, ids))
                 ids.append(np.full(made, me, np.int64))
                 sizes.append(np.full(made, s, np.int32))
-            if not ids:
+            if not keys:
                 continue
             me = np.concatenate(ids)
             salt = np.where(np.concatenate(salts), mix(me.astype(np.uint64)) % np.uint64(SALTS), 0)

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops.operators.dedupe import first_per_key
+from lakeops.operators.quality import assert_unique
 from lakeops.sources.files import read_parquet_merged, write_table
+from lakeops.workspace import stored
 
 META = ("_version", "_op")
 UPSERT, DELETE = "upsert", "delete"
@@ -29,7 +31,9 @@ class VersionedTable:
     keys: tuple[str, ...]
 
     def commit(self, rows: DataFrame, version: int, committed_at: str, op: str = UPSERT) -> None:
-        """Store changed rows as one version. Repeating a commit replaces it."""
+        """Store changed rows, one per key, as one version. Repeating a commit replaces it."""
+        rows = stored(rows, "commit")
+        assert_unique(rows, list(self.keys))
         folder = f"_version={version}"
         write_table(rows.withColumn("_op", F.lit(op)), f"{self.path}/rows/{folder}", mode="overwrite")
         record = self.spark.createDataFrame([(committed_at, op)], "committed_at string, operation string")
@@ -47,8 +51,20 @@ class VersionedTable:
         return self._newest(self.changes())
 
     def _newest(self, changes: DataFrame) -> DataFrame:
-        newest = first_per_key(changes, list(self.keys), [F.col("_version").desc()])
-        return newest.where(F.col("_op") != DELETE).drop(*META)
+        """The first version, which is the large one, gives way to the newest later rows.
+
+        Only the later rows are grouped by key; the first version is streamed past them.
+        """
+        keys = list(self.keys)
+        start = read_parquet_merged(self.spark, f"{self.path}/commits").agg(
+            F.min(F.col("_version").cast("long"))
+        )
+        first = start.first()[0]
+        base = changes.where(F.col("_version") == first)
+        later = changes.where(F.col("_version") > first)
+        newest = first_per_key(later, keys, [F.col("_version").desc()])
+        kept = base.join(newest.select(*keys), keys, "left_anti").select(*changes.columns)
+        return kept.unionByName(newest).where(F.col("_op") != DELETE).drop(*META)
 
     def log(self) -> DataFrame:
         """(version, committed_at, operation, changed_rows), newest first."""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops.functions.dates import next_period as period_after, period
+from lakeops.functions.numbers import exact_sum
 from lakeops.functions.text import to_messages
 from lakeops.operators.incremental import (
     STATUS_SCHEMA,
@@ -16,10 +17,11 @@ from lakeops.operators.incremental import (
     missing_days as days_without,
     run_record,
 )
+from lakeops.operators.quality import require_non_empty
 from lakeops.plans.registry import query
 from lakeops.plans.sales import SALES_SQL
 from lakeops.plans.views import SALES_VIEWS, Tables, sales
-from lakeops.schemas import DRIVER_TABLES
+from lakeops.schemas import DAILY_BOX_DATED_MESSAGE, DAILY_BOX_MESSAGE, DRIVER_TABLES, SHOT_MESSAGE
 from lakeops.sources.files import available_periods as periods_of, read_period, write_sorted, write_table
 from lakeops.sources.streams import read_files
 from lakeops.streaming.ingest import UNTIL_DONE, ingest_json_stream, widen_schema
@@ -122,6 +124,121 @@ def processing_status(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    """SELECT CAST(year(salesdate) AS INT) AS year, CAST(month(salesdate) AS INT) AS month,
+              count(*) AS sales_count, CAST(SUM(totalprice) AS DOUBLE) AS revenue
+       FROM sales WHERE strftime(salesdate, '%Y-%m') = '1998-04' GROUP BY 1, 2""",
+    SALES_VIEWS,
+)
+def period_run(t: Tables) -> DataFrame:
+    """Two incremental runs: each reads the status, works on the next month alone and records it."""
+    table, status = _periods_table(t), new_folder(t.spark, "period-status")
+    out = new_folder(t.spark, "period-report")
+    before = table.where((F.col("year") == 1998) & (F.col("month") <= 2))
+    append_status(status, _record(before, 1))
+    for seq in (2, 3):
+        last = require_non_empty(current_status(t.spark, status), "processing status")
+        wanted = last.select(period_after("last_processed_month").alias("next")).first()["next"]
+        rows = read_period(table, *map(int, wanted.split("-")))
+        report = rows.groupBy("year", "month").agg(
+            F.count("*").alias("sales_count"), exact_sum("totalprice").alias("revenue")
+        )
+        write_table(report, out, mode="overwrite")
+        append_status(status, _record(rows, seq))
+    return t.spark.read.parquet(out)
+
+
+def _record(processed: DataFrame, seq: int) -> DataFrame:
+    record = run_record(
+        processed,
+        "salesdate",
+        seq=seq,
+        timestamp=f"2026-02-0{seq}T08:00:00",
+        source="sales-by-month",
+        destination="period-report",
+        partitions=["year", "month"],
+    )
+    return record.select(STATUS_SCHEMA.fieldNames())
+
+
+def _daily_rows(t: Tables) -> DataFrame:
+    """Daily box scores of the first feed, made from lines of orders."""
+    whole = F.col("l_quantity").cast("int")
+    line = F.col("l_linenumber")
+    made = {
+        "slug": F.concat(F.lit("p"), F.col("l_suppkey")),
+        "name": F.concat(F.lit("Player "), F.col("l_suppkey")),
+        "team": F.concat(F.lit("T"), F.col("l_suppkey") % 30),
+        "location": F.when(line % 2 == 0, "HOME").otherwise("AWAY"),
+        "opponent": F.concat(F.lit("T"), F.col("l_partkey") % 30),
+        "outcome": F.when(whole > 25, "WIN").otherwise("LOSS"),
+        "seconds_played": whole * 60,
+        "points": whole,
+        "total_rebounds": line,
+        "game_score": (F.col("l_extendedprice") / 8).cast("float"),
+        "fecha_partido": F.date_format("l_shipdate", "yyyy-MM-dd"),
+    }
+    counters = {
+        f.name: (whole + i) % 13
+        for i, f in enumerate(DAILY_BOX_MESSAGE.fields)
+        if f.name not in made
+    }
+    return t.read("lineitem").select(
+        *[(made | counters)[f.name].cast(f.dataType).alias(f.name) for f in DAILY_BOX_MESSAGE.fields],
+        F.col("l_orderkey").alias("game"),
+        line.cast("int").alias("shot"),
+    )
+
+
+_FEED_SQL = """
+    SELECT {name} AS feed, count(*) AS messages, CAST(SUM(CAST(l_quantity AS INT)) * {per} AS BIGINT) AS total,
+           COUNT(DISTINCT l_suppkey) AS people
+    FROM lineitem"""
+
+
+@query(
+    " UNION ALL ".join(
+        _FEED_SQL.format(name=name, per=per) for name, per in (("'daily'", 1), ("'dated'", 60), ("'shots'", 1))
+    )
+)
+def daily_feeds(t: Tables) -> DataFrame:
+    """Three feeds of different fields, sent as JSON and landed by streams.
+
+    The total is points, seconds played and points.
+    """
+    rows = _daily_rows(t)
+    shots = rows.select(
+        F.col("game").cast("string").alias("GAME_ID"),
+        F.col("name").alias("player_name"),
+        F.col("shot").alias("SHOT_NUMBER"),
+        (F.col("shot") % 4 + 1).alias("PERIOD"),
+        (F.col("seconds_played") / 8).alias("SHOT_DIST"),
+        F.col("outcome").alias("SHOT_RESULT"),
+        F.col("points").alias("PTS"),
+    )
+    feeds = {
+        "daily": (rows.drop("game", "shot"), DAILY_BOX_MESSAGE, "points", "name"),
+        "dated": (rows, DAILY_BOX_DATED_MESSAGE, "seconds_played", "name"),
+        "shots": (shots, SHOT_MESSAGE, "PTS", "player_name"),
+    }
+    reports = []
+    for feed, (sent, schema, total, person) in feeds.items():
+        landing, path, checkpoint = (new_folder(t.spark, f"{feed}-{x}") for x in ("in", "out", "checkpoint"))
+        to_messages(sent.select(schema.fieldNames())).select("value").write.text(landing)
+        messages = read_files(t.spark, landing, T.StructType().add("value", "string"), fmt="text")
+        ingest_json_stream(messages, schema, path, checkpoint, trigger=UNTIL_DONE).awaitTermination()
+        landed = t.spark.read.schema(schema).parquet(path)
+        reports.append(
+            landed.agg(
+                F.lit(feed).alias("feed"),
+                F.count("*").alias("messages"),
+                F.sum(total).alias("total"),
+                F.count_distinct(person).alias("people"),
+            )
+        )
+    return reports[0].unionAll(reports[1]).unionAll(reports[2])
+
+
 def _stream_folder(t: Tables, arrivals: int = ARRIVALS) -> str:
     """Events as files that arrive one after the other, with late rows and equal times in each.
 

@@ -21,10 +21,10 @@ from lakeops.functions.text import (
 from lakeops.operators import marts
 from lakeops.operators.aggregates import unpivot_positive
 from lakeops.operators.dedupe import first_per_key, latest_per_key
-from lakeops.operators.merge import update_matched, upsert, upsert_table
-from lakeops.operators.quality import coverage as match_coverage
+from lakeops.operators.merge import replace_rows, update_matched, upsert_table
+from lakeops.operators.quality import coverage as match_coverage, require_non_empty
 from lakeops.operators.similarity import THRESHOLD, BlockRatio, EditSimilarity, best_match
-from lakeops.plans.registry import query
+from lakeops.plans.registry import ORACLES, query
 from lakeops.plans.views import Tables, box, game_lines, games, persons, salary_wide
 from lakeops.sources.files import write_table
 from lakeops.workspace import new_folder, stored
@@ -89,7 +89,7 @@ def _merge_sides(t: Tables) -> tuple[DataFrame, DataFrame]:
 def merge_upsert(t: Tables) -> DataFrame:
     """Orders updated or inserted from the latest line of each order."""
     target, source = _merge_sides(t)
-    return upsert(target, stored(source, "merge-source"), ["gameid"])
+    return replace_rows(target, stored(source, "merge-source"), ["gameid"])
 
 
 @query(f"SELECT *, CAST(date_trunc('month', updated_at) AS DATE) AS month FROM ({_MERGE_SQL}) m")
@@ -110,6 +110,23 @@ def merge_partitions(t: Tables) -> DataFrame:
     return t.spark.read.schema(by_month.schema).parquet(path).select(*by_month.columns)
 
 
+# Rows that are written into the merge itself.
+_INLINE_ROWS = "(0, 'renamed', 100), (3, 'also renamed', 300), (77, 'new', 7)"
+
+
+@query(
+    f"""WITH s AS (SELECT * FROM (VALUES {_INLINE_ROWS}) v(n_nationkey, n_name, n_regionkey))
+        SELECT n_nationkey, n_name, n_regionkey FROM s
+        UNION ALL SELECT n_nationkey, n_name, n_regionkey FROM nation
+                  WHERE n_nationkey NOT IN (SELECT n_nationkey FROM s)"""
+)
+def merge_inline_rows(t: Tables) -> DataFrame:
+    """Nations after a merge of rows given in the statement; an empty target is refused."""
+    source = t.spark.sql(f"SELECT * FROM VALUES {_INLINE_ROWS} AS s(n_nationkey, n_name, n_regionkey)")
+    target = require_non_empty(t.read("nation"), "nation")
+    return replace_rows(target, source, ["n_nationkey"])
+
+
 _UPDATE_SQL = """
     WITH feed AS (SELECT upper(split_part(c.c_name, '#', 1)) AS fn, split_part(c.c_name, '#', 2) AS ln,
                          o.o_totalprice AS price, o.o_orderpriority AS priority, o.o_orderkey
@@ -446,3 +463,15 @@ def season_stats(t: Tables) -> DataFrame:
     line = F.col("linenumber")
     more = {"steals": line % 3, "blocks": line % 2, "turnovers": line % 5}
     return marts.season_stats(game_lines(t).withColumns(more), salary_unpivot(t), persons=persons(t))
+
+
+@query(ORACLES["season_stats"])
+def warehouse_refresh(t: Tables) -> DataFrame:
+    """The season mart written twice by full refresh, partitioned and sorted, and read back."""
+    path = new_folder(t.spark, "season-mart")
+    for _ in range(2):
+        rows = season_stats(t)
+        write_table(
+            rows, path, mode="overwrite", partition_by=["season_start_year"], sort_by=["playerteamname", "personid"]
+        )
+    return t.spark.read.schema(rows.schema).parquet(path).select(rows.columns)

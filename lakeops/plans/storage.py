@@ -11,7 +11,7 @@ from lakeops.operators.analytics import count_of
 from lakeops.operators.history import add_columns
 from lakeops.plans.registry import query
 from lakeops.plans.views import SALES_VIEWS, Tables, box, sales
-from lakeops.schemas import DRIVER_TABLES
+from lakeops.schemas import ALL_TABLES, DRIVER_TABLES
 from lakeops.sources.files import (
     copy_table,
     ensure_table,
@@ -174,7 +174,7 @@ def single_file_write(t: Tables) -> DataFrame:
 @query()
 def storage_size(t: Tables) -> DataFrame:
     """Files and bytes per table."""
-    return sizes_of(t.spark, {name: t.path(name) for name in DRIVER_TABLES})
+    return sizes_of(t.spark, {name: t.path(name) for name in ALL_TABLES})
 
 
 @query(

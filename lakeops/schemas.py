@@ -84,7 +84,7 @@ SHOT_CHART_MESSAGE = (
     .add("loc_x", "integer").add("loc_y", "integer").add("marcador_previo", "string")
 )
 
-# Daily box scores; both feeds send these columns, in their own order.
+# Daily box scores of the first feed.
 DAILY_BOX_MESSAGE = (
     T.StructType()
     .add("slug", "string").add("name", "string").add("team", "string")
@@ -99,6 +99,20 @@ DAILY_BOX_MESSAGE = (
     .add("fecha_partido", "string")
 )
 
+# Daily box scores of the second feed: date first, no sums, a score in double precision.
+DAILY_BOX_DATED_MESSAGE = (
+    T.StructType()
+    .add("fecha_partido", "string").add("name", "string").add("slug", "string").add("team", "string")
+    .add("location", "string").add("opponent", "string").add("outcome", "string")
+    .add("seconds_played", "integer")
+    .add("made_field_goals", "integer").add("attempted_field_goals", "integer")
+    .add("made_three_point_field_goals", "integer").add("attempted_three_point_field_goals", "integer")
+    .add("made_free_throws", "integer").add("attempted_free_throws", "integer")
+    .add("offensive_rebounds", "integer").add("defensive_rebounds", "integer")
+    .add("assists", "integer").add("steals", "integer").add("blocks", "integer").add("turnovers", "integer")
+    .add("personal_fouls", "integer").add("game_score", "double")
+)
+
 # Shot log file columns and the names they get in the table.
 SHOT_LOG_NAMES = {
     "GAME_ID": "partido_id", "MATCHUP": "emparejamiento", "LOCATION": "local_visitante",
@@ -110,6 +124,11 @@ SHOT_LOG_NAMES = {
     "player_name": "jugador", "player_id": "jugador_id",
 }
 
+ALL_TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+    "embeddings", "pages", "benchmark", "labels", "conversations",
+)
+
 # Driver tables. A given schema saves the pass over the files that infers it.
 DRIVER_TABLES = {
     "nation": T.StructType().add("n_nationkey", "integer").add("n_name", "string").add("n_regionkey", "integer"),

@@ -58,7 +58,7 @@ class Measure:
         raise NotImplementedError
 
     def max_letters(self, n: Column, m: Column) -> Column:
-        """How many letters may occur in one of the names only."""
+        """How many letters, counted with repeats, may stand in one of the names only."""
         raise NotImplementedError
 
     def min_shared(self, n: Column, m: Column) -> Column:
@@ -130,13 +130,34 @@ class BlockRatio(Measure):
         return block_ratio(left, right)
 
 
+#: Occurrences of a letter that are told apart.
+LETTER_LEVELS = 4
+
+
 def _letters(name: Column) -> Column:
-    """Bit set of the characters; two characters may share a bit."""
+    """Bit sets of the characters that occur at least once, twice, and so on.
+
+    Two characters may share a bit, and occurrences beyond the last set are not told apart:
+    both make names look more alike, so a limit on the difference stays an upper bound.
+    """
+
+    def add(sets: Column, char: Column) -> Column:
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.ascii(char) % 64)
+        levels = [sets[f"l{i}"] for i in range(LETTER_LEVELS)]
+        grown = [levels[0].bitwiseOR(bit)]
+        for below, level in zip(levels, levels[1:]):
+            grown.append(level.bitwiseOR(below.bitwiseAND(bit)))
+        return F.struct(*[g.alias(f"l{i}") for i, g in enumerate(grown)])
+
+    empty = F.struct(*[F.lit(0).cast("long").alias(f"l{i}") for i in range(LETTER_LEVELS)])
+    return F.aggregate(F.split(name, ""), empty, add)
 
-    def add(bits: Column, char: Column) -> Column:
-        return bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.ascii(char) % 64))
 
-    return F.aggregate(F.split(name, ""), F.lit(0).cast("long"), add)
+def _different_letters(left: Column, right: Column) -> Column:
+    """A lower bound of the letters, counted with repeats, that stand in one name only."""
+    levels = [f"l{i}" for i in range(LETTER_LEVELS)]
+    counts = [F.bit_count(left[i].bitwiseXOR(right[i])) for i in levels]
+    return sum(counts[1:], counts[0])
 
 
 def _pieces(df: DataFrame, name: str, size: int) -> DataFrame:
@@ -183,7 +204,7 @@ def candidate_pairs(names: DataFrame, registry: DataFrame, measure: Measure) ->
         .select("name", "n", "m", "letters", "max_letters", "reg_pos", "piece")
     )
     same_place = ["piece", "m", "reg_pos"]
-    different = F.bit_count(F.col("letters").bitwiseXOR(F.col("reg_letters")))
+    different = _different_letters(F.col("letters"), F.col("reg_letters"))
     condition = different <= F.col("max_letters")
     for column in same_place:
         condition = condition & (left[column] == right[column])

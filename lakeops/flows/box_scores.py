@@ -60,6 +60,7 @@ def merge_box_scores(spark: SparkSession, lake: Lake) -> list:
         latest.withColumn("month", month_start("gameDateTimeEst")),
         ["gameId", "personId"],
         "month",
+        sort_by=[F.col("playerteamName"), F.col("gameId").desc()],
         check_unique=False,
     )
 
@@ -71,13 +72,18 @@ def refresh_warehouse(spark: SparkSession, lake: Lake) -> None:
     logs = marts.game_logs(games).select(schemas.GAME_LOGS.fieldNames())
     stats = marts.season_stats(games, salaries).select(schemas.SEASON_STATS.fieldNames())
     write_table(
-        logs, lake.path("warehouse", "game_logs"), mode="overwrite", partition_by=["playerteamname"]
+        logs,
+        lake.path("warehouse", "game_logs"),
+        mode="overwrite",
+        partition_by=["playerteamname"],
+        sort_by=[F.col("game_date").desc(), "personid"],
     )
     write_table(
         stats,
         lake.path("warehouse", "player_season_stats"),
         mode="overwrite",
         partition_by=["season_start_year"],
+        sort_by=["playerteamname", F.col("total_points").desc()],
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,19 @@ from lakeops.workspace import stored
 CONTRACT_ROWS = 200_000
 
 
+def stars(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """For n rows linked by the pairs (i, j): the smallest row of each row's component."""
+    label = np.arange(n)
+    while True:
+        low = label.copy()
+        np.minimum.at(low, i, label[j])
+        np.minimum.at(low, j, label[i])
+        low = low[low]
+        if (low == label).all():
+            return label
+        label = low
+
+
 def forest(left: list, right: list) -> tuple[list, list]:
     """Star edges (node, smallest node of its component) of the given edges."""
     parent: dict = {}

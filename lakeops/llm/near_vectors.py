@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.components import components
+from lakeops.llm.components import components, stars
 from lakeops.workspace import stored
 
 
@@ -131,19 +131,6 @@ def _hashed(classes: DataFrame, how: Hashing) -> DataFrame:
     )
 
 
-def _stars(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """For n rows linked by the pairs (i, j): the smallest row of each row's component."""
-    label = np.arange(n)
-    while True:
-        low = label.copy()
-        np.minimum.at(low, i, label[j])
-        np.minimum.at(low, j, label[i])
-        low = low[low]
-        if (low == label).all():
-            return label
-        label = low
-
-
 def _links(rows: pa.Table, threshold: float, how: Hashing) -> pa.Table:
     """Links within each bucket of ``rows``, or between two blocks of a large bucket.
 
@@ -211,7 +198,7 @@ def _links(rows: pa.Table, threshold: float, how: Hashing) -> pa.Table:
     weight = np.zeros(len(nodes), np.int64)
     weight[at] = copies
     counts = np.bincount(i, weight[j], len(nodes)) + np.bincount(j, weight[i], len(nodes))
-    label = _stars(len(nodes), i, j)
+    label = stars(len(nodes), i, j)
     some, moved = np.nonzero(counts)[0], np.nonzero(label != np.arange(len(nodes)))[0]
     return pa.table(
         {

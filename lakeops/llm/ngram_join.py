@@ -8,28 +8,30 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.llm.common import slices
-from lakeops.llm.components import components
+from lakeops.llm.components import components, stars
 from lakeops.llm.shingles import mix, set_id, shingle_sets
 from lakeops.workspace import stored
 
-#: Counters of the frequency sketch (4 bytes each), and blocks in which they are added up.
-COUNTERS, BLOCKS = 1 << 20, 64
+#: Counters of shingles (one byte each, stopping at 255) and of words (four bytes each), and
+#: blocks in which they are added up.
+SHINGLES, WORDS, BLOCKS = 1 << 24, 1 << 20, 64
 #: Text bytes that a task turns into sets at once.
 SLICE = 1 << 20
 #: Elements in a subset of a light set.
 SUBSET = 2
 #: A list whose counter is above this is dealt out over SALTS groups.
-HOT, SALTS = 20_000, 64
-#: Documents to be verified are broadcast by id up to this number, and joined beyond.
-BROADCAST_IDS = 1_000_000
-#: Rounds of hubs before all pairs that are left are compared.
-HUB_ROUNDS = 4
+HOT, SALTS = 250, 64
+#: Documents to be compared are broadcast by id up to this number, and joined beyond.
+BROADCAST_IDS = 500_000
+#: Sets of a block; blocks are compared two at a time, in chunks of so many shared elements.
+BLOCK, CHUNK = 256, 4096
+#: Sets of small pairs of blocks that one call compares, about.
+BUNDLE_SETS = 1024
 
 
 @dataclass(frozen=True)
@@ -47,9 +49,9 @@ class Similarity:
         """Linked sets share their ``take`` first common elements within such prefixes."""
         return size - self.least_overlap(size) + take
 
-    def near(self, a: np.ndarray, b: np.ndarray) -> bool:
-        both = len(np.intersect1d(a, b, assume_unique=True))
-        return both > 0 and 100 * both >= self.percent * (len(a) + len(b) - both)
+    def near(self, both: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """From sizes of intersections and of the sets."""
+        return (both > 0) & (100 * both >= self.percent * (a + b - both))
 
 
 def boundary(sizes: dict[int, int], how: Similarity, scan: float) -> int:
@@ -75,28 +77,34 @@ def boundary(sizes: dict[int, int], how: Similarity, scan: float) -> int:
     return min(range(1, 65), key=cost)
 
 
-def _sets(batch: pa.RecordBatch, words: int):
-    """(row, set) of each non-empty set of a batch, in pieces of bounded size."""
-    at = 0
+def _sets(batch: pa.RecordBatch, words: int, each=None):
+    """The set of each row of a batch, from pieces of a few MB or one text."""
     for piece in slices(batch, "text"):
-        # a piece has at most a few MB, or one text
-        for own in shingle_sets(piece.column("text"), words):
-            yield at, own
-            at += 1
+        yield from shingle_sets(piece.column("text"), words, each)
+
+
+def _counter(hashes: np.ndarray, counters: int) -> np.ndarray:
+    """The counter of each hash."""
+    return (hashes >> np.uint64(64 - counters.bit_length() + 1)).astype(np.int64)
 
 
 def _survey(docs: DataFrame, how: Similarity) -> DataFrame:
     """Rows of kind 0: each document's set size and set id; of kind 1: blocks of counters.
 
-    The counters hold in how many documents each shingle stands, added up by hash.
+    Those of kind 1 hold in how many documents each shingle stands, those of kind 2 how often
+    each word does, both added up by hash.
     """
 
     def run(batches):
-        counts = np.zeros(COUNTERS, np.uint32)
+        counts, words = np.zeros(SHINGLES, np.uint8), np.zeros(WORDS, np.uint32)
+
+        def each(hashes: np.ndarray) -> None:
+            words[:] += np.bincount(_counter(hashes, WORDS), minlength=WORDS).astype(np.uint32)
+
         task = TaskContext.get().partitionId()
         for batch in batches:
             n, ids, pending, held = [], [], [], 0
-            for _, own in _sets(batch, how.words):
+            for own in _sets(batch, how.words, each):
                 n.append(len(own))
                 ids.append(set_id(own) if len(own) else None)
                 pending.append(own)
@@ -117,19 +125,20 @@ def _survey(docs: DataFrame, how: Similarity) -> DataFrame:
                 ],
                 ["kind", "doc_id", "n", "id", "block", "counts"],
             )
-        parts = counts.reshape(BLOCKS, -1)
-        some = [b for b in range(BLOCKS) if parts[b].any()]
-        yield pa.record_batch(
-            [
-                pa.array([1] * len(some), pa.int32()),
-                pa.array([task // 256] * len(some), pa.int64()),
-                pa.nulls(len(some), pa.int64()),
-                pa.nulls(len(some), pa.int64()),
-                pa.array(some, pa.int32()),
-                pa.array([_packed(parts[b]) for b in some], pa.binary()),
-            ],
-            ["kind", "doc_id", "n", "id", "block", "counts"],
-        )
+        for kind, held in ((1, counts), (2, words)):
+            parts = held.reshape(BLOCKS, -1)
+            some = [b for b in range(BLOCKS) if parts[b].any()]
+            yield pa.record_batch(
+                [
+                    pa.array([kind] * len(some), pa.int32()),
+                    pa.array([task // 256] * len(some), pa.int64()),
+                    pa.nulls(len(some), pa.int64()),
+                    pa.nulls(len(some), pa.int64()),
+                    pa.array(some, pa.int32()),
+                    pa.array([_packed(parts[b]) for b in some], pa.binary()),
+                ],
+                ["kind", "doc_id", "n", "id", "block", "counts"],
+            )
 
     return docs.mapInArrow(
         run, "kind int, doc_id bigint, n bigint, id bigint, block int, counts binary"
@@ -138,48 +147,70 @@ def _survey(docs: DataFrame, how: Similarity) -> DataFrame:
 
 def _add(counts: np.ndarray, sets: list[np.ndarray]) -> None:
     if sets:
-        at = np.concatenate(sets) >> np.uint64(64 - COUNTERS.bit_length() + 1)
-        counts += np.bincount(at.astype(np.int64), minlength=COUNTERS).astype(np.uint32)
+        at, times = np.unique(_counter(np.concatenate(sets), SHINGLES), return_counts=True)
+        counts[at] = np.minimum(counts[at] + times, 255)
 
 
 def _packed(counts: np.ndarray) -> bytes:
-    return pa.compress(counts.astype("<u4").tobytes(), codec="zstd", asbytes=True)
+    return pa.compress(counts.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(blob: bytes, kind: int) -> np.ndarray:
+    counters, dtype = ((SHINGLES, np.uint8), (WORDS, np.uint32))[kind - 1]
+    size = counters // BLOCKS * np.dtype(dtype).itemsize
+    return np.frombuffer(pa.decompress(blob, size, codec="zstd"), dtype)
 
 
-def _counts(survey: DataFrame) -> np.ndarray:
-    """The sum of all tasks' counters: 256 tasks at a time, then all; COUNTERS on the driver."""
+def _counts(survey: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of all tasks' counters of shingles and words: 256 tasks at a time, then all.
+
+    The driver holds SHINGLES and WORDS numbers.
+    """
 
     def total(rows: pa.Table) -> pa.Table:
-        size = COUNTERS // BLOCKS
-        out = np.zeros(size, np.uint64)
+        kind = rows.column("kind")[0].as_py()
+        out = 0
         for blob in rows.column("counts").to_pylist():
-            out += np.frombuffer(pa.decompress(blob, 4 * size, codec="zstd"), "<u4")
-        out = np.minimum(out, np.uint64(2**32 - 1)).astype(np.uint32)
-        return pa.table({"block": rows.column("block")[:1], "counts": pa.array([_packed(out)], pa.binary())})
-
-    kind = "block int, counts binary"
-    blocks = survey.filter("kind = 1").select("doc_id", "block", "counts")
-    once = blocks.groupBy("doc_id", "block").applyInArrow(total, kind)
-    counts = np.zeros((BLOCKS, COUNTERS // BLOCKS), np.uint32)
-    for r in once.groupBy("block").applyInArrow(total, kind).collect():
-        counts[r.block] = np.frombuffer(pa.decompress(r.counts, counts[0].nbytes, codec="zstd"), "<u4")
-    return counts.reshape(-1)
+            part = _unpacked(blob, kind)
+            out = np.minimum(part.astype(np.uint64) + out, np.iinfo(part.dtype).max)
+        packed = _packed(out.astype(part.dtype))
+        return rows.select(["kind", "block"]).slice(0, 1).append_column("counts", pa.array([packed], pa.binary()))
+
+    shape = "kind int, block int, counts binary"
+    blocks = survey.filter("kind > 0").select("doc_id", "kind", "block", "counts")
+    once = blocks.groupBy("doc_id", "kind", "block").applyInArrow(total, shape)
+    counts = np.zeros((BLOCKS, SHINGLES // BLOCKS), np.uint8), np.zeros((BLOCKS, WORDS // BLOCKS), np.uint32)
+    for r in once.groupBy("kind", "block").applyInArrow(total, shape).collect():
+        counts[r.kind - 1][r.block] = _unpacked(bytes(r.counts), r.kind)
+    return counts[0].reshape(-1), counts[1].reshape(-1)
+
+
+def _ranks(found: np.ndarray, chance: np.ndarray) -> np.ndarray:
+    """The order of elements: first those that few documents share, among them those of rare
+    words, which unrelated documents do not share by chance.
+    """
+    return (found.astype(np.int64) << 32) + chance
 
 
-def _postings(docs: DataFrame, how: Similarity, counts, light: int) -> DataFrame:
-    """key, salt, id, n: the subsets of light sets and the prefix elements of heavy ones.
+def _postings(docs: DataFrame, how: Similarity, counters, light: int) -> DataFrame:
+    """key, salt, id: the subsets of light sets and the prefix elements of heavy ones.
 
-    Elements are ordered by their counter, then by hash, so that prefixes hold the rare ones.
+    Elements are ordered by ``_ranks``, then by hash, so that prefixes hold the rare ones.
     Copies within a task give their rows once.
     """
-    shift = np.uint64(64 - COUNTERS.bit_length() + 1)
 
     def run(batches):
+        counts, words = counters.value
+        logs = (16 * np.log2(words + 1.0)).astype(np.int64)
+
+        def each(hashes: np.ndarray) -> np.ndarray:
+            return logs[_counter(hashes, WORDS)]
+
         seen: set[int] = set()
         reach = how.least_overlap(light + 1)
         for batch in batches:
-            keys, ids, sizes, salts = [], [], [], []
-            for _, own in _sets(batch, how.words):
+            keys, ids, salts = [], [], []
+            for own, chance in _sets(batch, how.words, each):
                 s = len(own)
                 if not s:
                     continue
@@ -187,15 +218,16 @@ def _postings(docs: DataFrame, how: Similarity, counts, light: int) -> DataFrame
                 if me in seen:
                     continue
                 seen.add(me)
-                found = counts.value[(own >> shift).astype(np.int64)]
+                found = counts[_counter(own, SHINGLES)]
+                rank = _ranks(found, chance)
                 made = 0
                 most = how.prefix(s, SUBSET)
                 if most < s // 2:  # the rest need not be ordered
-                    rare = np.argpartition(found, most)[:most]
-                    rare = np.nonzero(found <= found[rare].max())[0]
+                    rare = np.argpartition(rank, most)[:most]
+                    rare = np.nonzero(rank <= rank[rare].max())[0]
                 else:
                     rare = np.arange(s)
-                rare = rare[np.lexsort((own[rare], found[rare]))][:most]
+                rare = rare[np.lexsort((own[rare], rank[rare]))][:most]
                 if s >= reach:
                     top = rare[: how.prefix(s, 1)]
                     keys.append(own[top])
@@ -210,7 +242,6 @@ def _postings(docs: DataFrame, how: Similarity, counts, light: int) -> DataFrame
                     made += len(key)
                     salts.append(found[pairs].min(axis=1) > HOT)
                 ids.append(np.full(made, me, np.int64))
-                sizes.append(np.full(made, s, np.int32))
             if not keys:
                 continue
             me = np.concatenate(ids)
@@ -220,73 +251,112 @@ def _postings(docs: DataFrame, how: Similarity, counts, light: int) -> DataFrame
                     pa.array(np.concatenate(keys).astype(np.int64)),
                     pa.array(salt.astype(np.int32)),
                     pa.array(me),
-                    pa.array(np.concatenate(sizes)),
                 ],
-                ["key", "salt", "id", "n"],
+                ["key", "salt", "id"],
             )
 
-    return docs.mapInArrow(run, "key bigint, salt int, id bigint, n int")
+    return docs.mapInArrow(run, "key bigint, salt int, id bigint")
 
 
-def _fits(how: Similarity, a: str, b: str):
-    """The sizes allow a link."""
-    small, large = F.least(a, b), F.greatest(a, b)
-    return small * 100 >= large * how.percent
+def _blocks(lists: DataFrame) -> DataFrame:
+    """id, block: sets that share lists stand together, in blocks of about BLOCK.
+
+    A set goes to the set that is first, in one random order for all lists, in most of its
+    lists: near copies mostly agree on it. Where sets go decides the cost alone.
+    """
+    order = Window.partitionBy("key", "salt").orderBy(F.xxhash64("id"), "id")
+    hubs = lists.withColumn("hub", F.first("id").over(order)).groupBy("id", "hub").count()
+    home = hubs.groupBy("id").agg(F.max(F.struct("count", "hub"))["hub"].alias("hub"))
+    home = stored(home, "homes")
+    parts = home.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    part = F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts"))
+    return stored(home.join(parts, "hub").select("id", F.xxhash64("hub", part).alias("block")), "blocks")
 
 
-def _hubs(rows: DataFrame, seed, how: Similarity) -> DataFrame:
-    """Pairs (a, b): in each list, every set with the list's first set in a random order.
+def _meetings(lists: DataFrame, blocks: DataFrame) -> DataFrame:
+    """block, left, right: every pair of blocks that a list brings together, by either block.
 
-    ``seed`` is a column: lists with the same seed prefer the same sets.
+    All sets of a list are in these pairs, so no link is lost. Rows are pairs of blocks, not
+    of sets, and each block meets itself.
     """
-    order = Window.partitionBy("key", "salt").orderBy(F.xxhash64("id", seed), "id")
-    first = F.first(F.struct("id", "n")).over(order)
-    hubs = rows.withColumn("hub", first)
-    paired = hubs.filter("id <> hub.id").select(
-        F.col("hub.id").alias("a"), F.col("hub.n").alias("an"), F.col("id").alias("b"), F.col("n").alias("bn")
-    )
-    # lists that were dealt out: the hubs of their groups with one another
-    few = hubs.filter("salt > 0 and id = hub.id")
-    whole = Window.partitionBy("key").orderBy("salt")
-    over = few.withColumn("hub", F.first(F.struct("id", "n")).over(whole)).filter("id <> hub.id")
-    over = over.select(
-        F.col("hub.id").alias("a"), F.col("hub.n").alias("an"), F.col("id").alias("b"), F.col("n").alias("bn")
+    held = stored(lists.select("key", "id").join(blocks, "id").select("key", "block").distinct(), "held")
+    left = held.select("key", F.col("block").alias("left"))
+    right = held.select("key", F.col("block").alias("right"))
+    pairs = left.join(right, "key").filter(F.col("left") < F.col("right")).select("left", "right").distinct()
+    own = blocks.select(F.col("block").alias("left"), F.col("block").alias("right")).distinct()
+    every = pairs.unionByName(own)
+    return stored(
+        every.select(F.explode(F.array_distinct(F.array("left", "right"))).alias("block"), "left", "right"),
+        "meetings",
     )
-    return paired.unionByName(over).filter(_fits(how, "an", "bn")).select("a", "b").distinct()
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, how: Similarity) -> DataFrame:
-    """The pairs (u, v) that link. ``texts`` has id and text of every set in ``pairs``."""
-    both = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b").join(
-        texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a"
-    )
-
-    def run(batches):
-        last, hub = None, None  # rows come sorted by a after the join
-        for batch in batches:
-            a = batch.column("a").to_pylist()
-            keep = []
-            at = 0
-            for piece in slices(batch, "text_b"):
-                others = shingle_sets(piece.column("text_b"), how.words)
-                for k, other in enumerate(others):
-                    if a[at] != last:
-                        last = a[at]
-                        hub = shingle_sets(piece.column("text_a").slice(k, 1), how.words)[0]
-                    keep.append(how.near(hub, other))
-                    at += 1
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    found = both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint")
-    return found.select(F.col("a").alias("u"), F.col("b").alias("v"))
-
-
-def _open(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """The entries of lists that hold sets of several components, with their component."""
-    own = rows.select("key", "salt", "id", "n").join(groups, F.col("id") == F.col("node"), "left")
-    own = own.select("key", "salt", "id", "n", F.coalesce("component", "id").alias("comp"))
-    mixed = own.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
-    return own.join(mixed.select("key"), "key")
+def _compared(rows: DataFrame, named: DataFrame, lists: DataFrame, how: Similarity) -> DataFrame:
+    """The links (u, v) as forests of each pair of blocks."""
+    blocks = _blocks(lists)
+    one = named.join(blocks, "id").groupBy("id", "block").agg(F.min("doc_id").alias("doc_id"))
+    meets = one.join(_meetings(lists, blocks), "block").withColumnRenamed("doc_id", "_doc_id")
+    meets = stored(meets.select("_doc_id", "id", "block", "left", "right"), "meets")
+    n = meets.count()
+    bundle = F.pmod(F.xxhash64("left", "right"), F.lit(max(1, n // BUNDLE_SETS)))
+    texts = rows.join(
+        F.broadcast(meets) if n <= BROADCAST_IDS else meets, F.col("doc_id") == F.col("_doc_id")
+    ).select("id", "block", "left", "right", "text", bundle.alias("bundle"))
+
+    def run(bundle_rows: pa.Table) -> pa.Table:
+        by = bundle_rows.sort_by([(c, "ascending") for c in ("left", "right", "id")]).combine_chunks()
+        ends = np.stack([by.column(c).to_numpy() for c in ("left", "right")], axis=1)
+        cuts = np.r_[0, np.nonzero((ends[1:] != ends[:-1]).any(1))[0] + 1, len(ends)]
+        u, v = [], []
+        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            ids, low = _links_of(by.slice(lo, hi - lo), how)
+            moved = np.nonzero(low != np.arange(len(ids)))[0]
+            u.append(ids[moved])
+            v.append(ids[low[moved]])
+        return pa.table({"u": pa.array(np.concatenate(u), pa.int64()), "v": pa.array(np.concatenate(v), pa.int64())})
+
+    return texts.groupBy("bundle").applyInArrow(run, "u bigint, v bigint")
+
+
+def _links_of(rows: pa.Table, how: Similarity) -> tuple[np.ndarray, np.ndarray]:
+    """The sets of two blocks, and the first set of each set's component by links between them.
+
+    The inverted lists of the blocks are scanned in chunks: a chunk is a matrix of sets and
+    elements, and its product with itself counts what every two sets share.
+    """
+    ids = rows.column("id").to_numpy()
+    block = rows.column("block").to_numpy()
+    within = rows.column("left")[0] == rows.column("right")[0]
+    sets = []
+    for batch in rows.select(["text"]).to_batches():
+        for piece in slices(batch, "text"):
+            sets += shingle_sets(piece.column("text"), how.words)
+    # an id of documents that repeats may stand for other texts, and for copies
+    mine = [k for k, (s, i) in enumerate(zip(sets, ids.tolist())) if len(s) and set_id(s) == i]
+    mine = [k for k, before in zip(mine, [-1, *mine]) if before < 0 or ids[k] != ids[before]]
+    sets, ids, block = [sets[k] for k in mine], ids[mine], block[mine]
+    sizes = np.array([len(s) for s in sets], np.int64)
+    own = np.repeat(np.arange(len(sets)), sizes)
+    every = np.concatenate([*sets, np.zeros(0, np.uint64)])
+    order = np.argsort(every, kind="stable")
+    every, own = every[order], own[order]
+    fresh = np.r_[True, every[1:] != every[:-1]][: len(every)]
+    column = np.cumsum(fresh) - 1
+    shared = np.bincount(column) > 1 if len(column) else np.zeros(0, bool)
+    number = np.cumsum(shared) - 1
+    held = shared[column]
+    column, own = number[column[held]], own[held]
+    first = block == rows.column("left")[0].as_py()
+    a = np.nonzero(first)[0]
+    b = a if within else np.nonzero(~first)[0]
+    both = np.zeros((len(a), len(b)), np.float32)
+    starts = np.searchsorted(column, np.arange(0, int(shared.sum()) + CHUNK, CHUNK))
+    for k, (lo, hi) in enumerate(zip(starts[:-1], starts[1:])):
+        chunk = np.zeros((len(sets), CHUNK), np.float32)
+        chunk[own[lo:hi], column[lo:hi] - k * CHUNK] = 1
+        both += chunk[a] @ chunk[b].T
+    i, j = np.nonzero(how.near(both, sizes[a][:, None], sizes[b][None, :]))
+    return ids, stars(len(ids), a[i], b[j])
 
 
 def ngram_join(
@@ -301,22 +371,21 @@ def ngram_join(
     is the smallest id that links reach. All links count: the join is exact up to 64-bit
     hashes of shingles and sets.
 
-    1. Documents with equal sets are one set with one id. A sketch counts in how many
-       documents each shingle stands; its size is fixed, so it is broadcast.
-    2. With elements in order of frequency, linked sets share their first common elements
+    1. Documents with equal sets are one set with one id. Sketches count in how many documents
+       each shingle and how often each word stands; their size is fixed, so they are broadcast.
+    2. With elements in order of rarity, linked sets share their first common elements
        within short prefixes. Light sets write all subsets of two of their prefix, heavy
        sets their prefix as entries of inverted lists; ``boundary`` chooses what is light.
-    3. Lists are scanned: each set meets its list's hub, links are verified on whole texts
-       and joined to components. Lists within one component are done. A few rounds with
-       other hubs join most copies without comparing all their pairs.
-    4. What is left in a list, sets of different components, is compared pair by pair, each
-       pair once. Nothing is dropped, whatever the length of a list.
+    3. Sets that share lists are put into common blocks of bounded size. Every two blocks
+       that a list brings together are one unit of work, which gets their whole texts once.
+    4. A unit scans the inverted lists of all elements of its sets, which gives the size of
+       every intersection, and passes on a forest of the links: pairs of sets never become
+       rows, and no list is too long.
 
     NULL and empty texts, and texts without words, have no shingles and link with nothing.
     NULL ids stay NULL, link with nothing and have no component. Repeated rows are members of
     one component. No documents give no rows. Other columns are not read.
     """
-    spark = docs.sparkSession
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     survey = stored(_survey(rows, how), "survey")
     members = survey.filter("kind = 0").select("doc_id", "n", "id")
@@ -340,12 +409,13 @@ def ngram_join(
 
 
 def _links(rows: DataFrame, survey: DataFrame, named: DataFrame, how: Similarity) -> DataFrame:
-    spark = rows.sparkSession
-    counts = _counts(survey)
+    counts, words = _counts(survey)
     sizes = named.filter("n <= 128").groupBy("n").agg(F.count("*").alias("docs")).collect()
-    scan = max(1.0, float(np.quantile(counts[counts > 0], 0.15) / max(counts.mean(), 1))) if counts.any() else 1.0
+    # prefixes hold about the rarest seventh of a set, whose lists are this long at most
+    times = np.bincount(counts, minlength=256) * np.arange(256)
+    scan = float(np.searchsorted(np.cumsum(times), 0.15 * times.sum()))
     light = boundary({int(r.n): int(r.docs) for r in sizes}, how, scan)
-    shared = spark.sparkContext.broadcast(counts)
+    shared = rows.sparkSession.sparkContext.broadcast((counts, words))
     order = Window.partitionBy("key", "salt").orderBy("id")
     entries = _postings(rows, how, shared, light)
     # each set once in a list, and only lists with several sets
@@ -353,73 +423,8 @@ def _links(rows: DataFrame, survey: DataFrame, named: DataFrame, how: Similarity
     lists = lists.withColumn("after", F.lead("id").over(order)).filter(
         "before is not null or after is not null or salt > 0"
     )
-    lists = stored(lists.select("key", "salt", "id", "n"), "lists")
-    texts = _texts(rows, named, lists, how)
-
-    links = stored(_verified(_hubs(lists, F.lit(0), how), texts, how), "links")
-    rest = lists
-    last = None
-    for turn in range(1, HUB_ROUNDS):
-        groups = components(links)
-        rest = stored(_open(rest, groups), "open")
-        left = rest.select("comp").distinct().count()
-        if not left or (last is not None and left > 0.9 * last):
-            break
-        last = left
-        # lists now prefer different hubs; sets of the hub's component need no look
-        pairs = _hubs(rest, F.col("key") + turn, how)
-        more = stored(_verified(_apart(pairs, groups), texts, how), "links")
-        links = stored(links.unionByName(more), "links")
-    else:
-        rest = stored(_open(rest, components(links)), "open")
-    return links.unionByName(_verified(_left(rest, how), texts, how))
-
-
-def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs whose ends are not known to be in one component."""
-    a = groups.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-    b = groups.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-    return (
-        pairs.join(a, "a", "left")
-        .join(b, "b", "left")
-        .filter("coalesce(ca, a) <> coalesce(cb, b)")
-        .select("a", "b")
-    )
-
-
-def _left(rest: DataFrame, how: Similarity) -> DataFrame:
-    """All pairs of different components that share a list, each at its first common list."""
-    own = rest.groupBy("id").agg(F.collect_set("key").alias("keys"))
-    full = rest.join(own, "id")
-    a = full.select("key", *(F.col(c).alias(f"{c}_a") for c in ("id", "n", "comp", "keys")))
-    b = full.select("key", *(F.col(c).alias(f"{c}_b") for c in ("id", "n", "comp", "keys")))
-    met = a.join(
-        b,
-        (a["key"] == b["key"])
-        & (F.col("id_a") < F.col("id_b"))
-        & (F.col("comp_a") != F.col("comp_b"))
-        & _fits(how, "n_a", "n_b")
-        & (a["key"] == F.array_min(F.array_intersect("keys_a", "keys_b"))),
-    )
-    return met.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
-
-
-def _texts(rows: DataFrame, named: DataFrame, lists: DataFrame, how: Similarity) -> DataFrame:
-    """id and text of the sets in ``lists``, from the smallest document of each."""
-    wanted = lists.select("id").distinct()
-    one = stored(
-        named.join(wanted, "id").groupBy("id").agg(F.min("doc_id").alias("doc_id")), "wanted"
-    )
-    few = one.count() <= BROADCAST_IDS
-    texts = rows.join(F.broadcast(one) if few else one, "doc_id").select("id", "text")
-
-    # an id of documents that repeats may stand for other texts too
-    def same(batches):
-        for batch in batches:
-            mine = [set_id(own) if len(own) else None for _, own in _sets(batch, how.words)]
-            yield batch.filter(pc.equal(batch.column("id"), pa.array(mine, pa.int64())))
-
-    return stored(texts.mapInArrow(same, "id bigint, text string").dropDuplicates(["id"]), "texts")
+    lists = stored(lists.select("key", "salt", "id"), "lists")
+    return _compared(rows, named, lists, how)
 
 
 def one_of_each(

@@ -80,13 +80,17 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return mix(hashes), np.searchsorted(starts, offsets)
 
 
-def shingle_sets(column: pa.Array, words: int) -> list[np.ndarray]:
+def shingle_sets(column: pa.Array, words: int, each=None) -> list:
     """Sorted distinct shingle hashes of each text.
 
     Texts with fewer than ``words`` words have their whole sequence as one shingle; texts
-    without words have none.
+    without words have none. ``each`` is called with the hashes of all words in order; if it
+    returns a whole number for each word, a text's result is (hashes, sums of a shingle's
+    numbers).
     """
     hashes, bounds = word_hashes(column)
+    numbers = each(hashes) if each else None
+    total = None if numbers is None else np.r_[0, np.cumsum(numbers)]
 
     def joined(parts: list[np.ndarray]) -> np.ndarray:
         out = mix(parts[0] + np.uint64(len(parts)))
@@ -99,16 +103,30 @@ def shingle_sets(column: pa.Array, words: int) -> list[np.ndarray]:
     out = []
     for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
         if e - s >= words:
-            own = np.sort(grams[s : e - words + 1])
-            fresh = np.r_[True, own[1:] != own[:-1]]
-            out.append(own[fresh])
+            own, size = grams[s : e - words + 1], words
         elif e > s:
-            out.append(joined([hashes[i : i + 1] for i in range(s, e)]))
+            own, size = joined([hashes[i : i + 1] for i in range(s, e)]), e - s
         else:
-            out.append(hashes[:0])
+            own, size = hashes[:0], 0
+        if total is None:
+            own = np.sort(own)
+            out.append(own[_fresh(own)])
+        else:
+            order = np.argsort(own, kind="stable")
+            own = own[order]
+            first = _fresh(own)
+            at = s + order[first]
+            out.append((own[first], total[at + size] - total[at]))
     return out
 
 
+def _fresh(ordered: np.ndarray) -> np.ndarray:
+    """Where a value differs from the one before."""
+    first = np.ones(len(ordered), bool)
+    first[1:] = ordered[1:] != ordered[:-1]
+    return first
+
+
 def set_id(own: np.ndarray) -> int:
     """A hash of the whole set, as a signed long."""
     return xxhash.xxh3_64_intdigest(own.tobytes()) - (1 << 63)

@@ -64,13 +64,24 @@ def corpus(seed, n=120):
 def test_all_links_are_found(spark, monkeypatch, words, percent, hot):
     if hot is not None:
         monkeypatch.setattr(ngram_join, "HOT", hot)
-        monkeypatch.setattr(ngram_join, "HUB_ROUNDS", 1)
+        monkeypatch.setattr(ngram_join, "BLOCK", 3)
+        monkeypatch.setattr(ngram_join, "CHUNK", 8)
+        monkeypatch.setattr(ngram_join, "BUNDLE_SETS", 5)
+        monkeypatch.setattr(ngram_join, "BROADCAST_IDS", 0)
     docs = corpus(words)
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     got = ngram_join.ngram_join(df, Similarity(words, percent)).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(docs, words, percent)
 
 
+def test_ids_that_repeat_with_other_texts(spark):
+    base = [f"w{i}" for i in range(40)]
+    texts = {(1, " ".join(base)), (1, "z " * 9), (1, " ".join(base[:39])), (2, " ".join([*base[1:], "x"])), (2, "q r s t u")}
+    df = spark.createDataFrame([*texts, *texts], "doc_id long, text string")
+    got = {(r.n_shingles, r.component_id) for r in ngram_join.ngram_join(df, Similarity(4, 85)).collect()}
+    assert got == {(37, 1), (36, 1), (1, 1), (2, 2)}
+
+
 def test_odd_documents(odd_docs):
     got = ngram_join.ngram_join(odd_docs, Similarity(4, 85)).collect()
     assert len(got) == odd_docs.count()

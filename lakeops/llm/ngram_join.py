@@ -28,8 +28,9 @@ SUBSET = 2
 HOT, SALTS = 250, 64
 #: Documents to be compared are broadcast by id up to this number, and joined beyond.
 BROADCAST_IDS = 500_000
-#: Sets of a block; blocks are compared two at a time, in chunks of so many shared elements.
-BLOCK, CHUNK = 256, 4096
+#: Sets and elements of a block; blocks are compared two at a time, in chunks of so many
+#: shared elements.
+BLOCK, BLOCK_ELEMENTS, CHUNK = 2048, 1 << 20, 2048
 #: Sets of small pairs of blocks that one call compares, about.
 BUNDLE_SETS = 1024
 
@@ -195,6 +196,8 @@ def _ranks(found: np.ndarray, chance: np.ndarray) -> np.ndarray:
 def _postings(docs: DataFrame, how: Similarity, counters, light: int) -> DataFrame:
     """key, salt, id: the subsets of light sets and the prefix elements of heavy ones.
 
+    The salt is 0 for lists that are not dealt out.
+
     Elements are ordered by ``_ranks``, then by hash, so that prefixes hold the rare ones.
     Copies within a task give their rows once.
     """
@@ -245,7 +248,8 @@ def _postings(docs: DataFrame, how: Similarity, counters, light: int) -> DataFra
             if not keys:
                 continue
             me = np.concatenate(ids)
-            salt = np.where(np.concatenate(salts), mix(me.astype(np.uint64)) % np.uint64(SALTS), 0)
+            dealt = 1 + (mix(me.astype(np.uint64)) % np.uint64(SALTS)).astype(np.int32)
+            salt = np.where(np.concatenate(salts), dealt, 0)
             yield pa.record_batch(
                 [
                     pa.array(np.concatenate(keys).astype(np.int64)),
@@ -258,45 +262,62 @@ def _postings(docs: DataFrame, how: Similarity, counters, light: int) -> DataFra
     return docs.mapInArrow(run, "key bigint, salt int, id bigint")
 
 
-def _blocks(lists: DataFrame) -> DataFrame:
-    """id, block: sets that share lists stand together, in blocks of about BLOCK.
+def _sized(lists: DataFrame, sizes: DataFrame, how: Similarity) -> DataFrame:
+    """The lists, each cut into sets of sizes that allow a link; key and id of what is left.
+
+    Sizes are cut into steps of the greatest ratio of linked sets; a set stands in its own
+    step and the next, so any two sets that can link share one.
+    """
+    ratio = math.log(100 / how.percent) * (1 + 1e-9)
+    step = F.floor(F.log(F.col("n").cast("double")) / ratio)
+    own = lists.join(sizes, "id").withColumn("step", F.explode(F.array(step, step + 1)))
+    own = own.select(F.xxhash64("key", "step").alias("key"), "id")
+    several = own.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo <> hi")
+    return stored(own.join(several.select("key"), "key"), "sized")
+
+
+def _blocks(lists: DataFrame, sizes: DataFrame) -> DataFrame:
+    """id, block: sets that share lists stand together, in blocks of bounded size.
 
     A set goes to the set that is first, in one random order for all lists, in most of its
     lists: near copies mostly agree on it. Where sets go decides the cost alone.
     """
-    order = Window.partitionBy("key", "salt").orderBy(F.xxhash64("id"), "id")
-    hubs = lists.withColumn("hub", F.first("id").over(order)).groupBy("id", "hub").count()
-    home = hubs.groupBy("id").agg(F.max(F.struct("count", "hub"))["hub"].alias("hub"))
-    home = stored(home, "homes")
-    parts = home.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    first = F.min(F.struct(F.xxhash64("id").alias("turn"), "id"))["id"]
+    hubs = lists.groupBy("key").agg(first.alias("hub"))
+    votes = lists.join(hubs, "key").groupBy("id", "hub").count()
+    home = votes.groupBy("id").agg(F.max(F.struct("count", "hub"))["hub"].alias("hub"))
+    home = stored(home.join(sizes, "id"), "homes")
+    needed = F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_ELEMENTS)
+    parts = home.groupBy("hub").agg(F.ceil(needed).alias("parts"))
     part = F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts"))
     return stored(home.join(parts, "hub").select("id", F.xxhash64("hub", part).alias("block")), "blocks")
 
 
 def _meetings(lists: DataFrame, blocks: DataFrame) -> DataFrame:
-    """block, left, right: every pair of blocks that a list brings together, by either block.
+    """id, block, left, right: the pairs of blocks in which a set is compared.
 
-    All sets of a list are in these pairs, so no link is lost. Rows are pairs of blocks, not
-    of sets, and each block meets itself.
+    A set meets its own block, and those sets of other blocks that share lists with it: from
+    each block, the sets that are in a list with some set of the other. All sets of a list
+    meet, so no link is lost; rows are sets and blocks, never pairs of sets.
     """
-    held = stored(lists.select("key", "id").join(blocks, "id").select("key", "block").distinct(), "held")
-    left = held.select("key", F.col("block").alias("left"))
-    right = held.select("key", F.col("block").alias("right"))
-    pairs = left.join(right, "key").filter(F.col("left") < F.col("right")).select("left", "right").distinct()
-    own = blocks.select(F.col("block").alias("left"), F.col("block").alias("right")).distinct()
-    every = pairs.unionByName(own)
-    return stored(
-        every.select(F.explode(F.array_distinct(F.array("left", "right"))).alias("block"), "left", "right"),
-        "meetings",
+    held = stored(lists.join(blocks, "id").select("key", "id", "block"), "held")
+    several = held.groupBy("key").agg(F.min("block").alias("lo"), F.max("block").alias("hi")).filter("lo <> hi")
+    mixed = held.join(several.select("key"), "key")
+    others = mixed.select("key", F.col("block").alias("other")).distinct()
+    cross = mixed.join(others, "key").filter("block <> other").select("id", "block", "other").distinct()
+    own = blocks.select("id", "block", F.col("block").alias("other"))
+    return own.unionByName(cross).select(
+        "id", "block", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right")
     )
 
 
 def _compared(rows: DataFrame, named: DataFrame, lists: DataFrame, how: Similarity) -> DataFrame:
     """The links (u, v) as forests of each pair of blocks."""
-    blocks = _blocks(lists)
-    one = named.join(blocks, "id").groupBy("id", "block").agg(F.min("doc_id").alias("doc_id"))
-    meets = one.join(_meetings(lists, blocks), "block").withColumnRenamed("doc_id", "_doc_id")
-    meets = stored(meets.select("_doc_id", "id", "block", "left", "right"), "meets")
+    sizes = named.select("id", "n").distinct()
+    lists = _sized(lists, sizes, how)
+    blocks = _blocks(lists, sizes)
+    one = named.groupBy("id").agg(F.min("doc_id").alias("_doc_id"))
+    meets = stored(_meetings(lists, blocks).join(one, "id"), "meets")
     n = meets.count()
     bundle = F.pmod(F.xxhash64("left", "right"), F.lit(max(1, n // BUNDLE_SETS)))
     texts = rows.join(
@@ -376,8 +397,9 @@ def ngram_join(
     2. With elements in order of rarity, linked sets share their first common elements
        within short prefixes. Light sets write all subsets of two of their prefix, heavy
        sets their prefix as entries of inverted lists; ``boundary`` chooses what is light.
-    3. Sets that share lists are put into common blocks of bounded size. Every two blocks
-       that a list brings together are one unit of work, which gets their whole texts once.
+    3. Lists are cut by size, as sets that link are of like size. Sets that share lists are put
+       into common blocks of bounded size. Each block, and every two blocks that a list brings
+       together, is one unit of work, which gets the whole texts of the sets that meet there.
     4. A unit scans the inverted lists of all elements of its sets, which gives the size of
        every intersection, and passes on a forest of the links: pairs of sets never become
        rows, and no list is too long.

@@ -60,10 +60,11 @@ def corpus(seed, n=120):
     return list(enumerate(docs))
 
 
-@pytest.mark.parametrize("words, percent, hot", [(4, 85, None), (5, 80, 0)])
+@pytest.mark.parametrize("words, percent, hot", [(4, 85, None), (5, 80, 0), (4, 85, 0)])
 def test_all_links_are_found(spark, monkeypatch, words, percent, hot):
     if hot is not None:
         monkeypatch.setattr(ngram_join, "HOT", hot)
+        monkeypatch.setattr(ngram_join, "SALTS", 2)
         monkeypatch.setattr(ngram_join, "BLOCK", 3)
         monkeypatch.setattr(ngram_join, "CHUNK", 8)
         monkeypatch.setattr(ngram_join, "BUNDLE_SETS", 5)

@@ -30,9 +30,9 @@ HOT, SALTS = 250, 64
 BROADCAST_IDS = 500_000
 #: Sets and elements of a block; blocks are compared two at a time, in chunks of so many
 #: shared elements.
-BLOCK, BLOCK_ELEMENTS, CHUNK = 2048, 1 << 20, 2048
+BLOCK, BLOCK_ELEMENTS, CHUNK = 1024, 1 << 19, 2048
 #: Sets of small pairs of blocks that one call compares, about.
-BUNDLE_SETS = 1024
+BUNDLE_SETS = 256
 
 
 @dataclass(frozen=True)
@@ -276,57 +276,41 @@ def _sized(lists: DataFrame, sizes: DataFrame, how: Similarity) -> DataFrame:
     return stored(own.join(several.select("key"), "key"), "sized")
 
 
-def _blocks(lists: DataFrame, sizes: DataFrame) -> DataFrame:
-    """id, block: sets that share lists stand together, in blocks of bounded size.
+def _meetings(lists: DataFrame, sizes: DataFrame) -> DataFrame:
+    """id, hub, part, left, right: the units of work in which a set is compared.
 
-    A set goes to the set that is first, in one random order for all lists, in most of its
-    lists: near copies mostly agree on it. Where sets go decides the cost alone.
+    All sets of a list meet at its hub, the set that is first in one random order for all
+    lists: near copies mostly have the same hub, so most sets have few. A hub with more sets
+    than a block has one unit for every two parts of them. No link is lost, and rows are sets
+    and units, never pairs of sets.
     """
     first = F.min(F.struct(F.xxhash64("id").alias("turn"), "id"))["id"]
     hubs = lists.groupBy("key").agg(first.alias("hub"))
-    votes = lists.join(hubs, "key").groupBy("id", "hub").count()
-    home = votes.groupBy("id").agg(F.max(F.struct("count", "hub"))["hub"].alias("hub"))
-    home = stored(home.join(sizes, "id"), "homes")
+    held = stored(lists.join(hubs, "key").select("id", "hub").distinct().join(sizes, "id"), "held")
     needed = F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_ELEMENTS)
-    parts = home.groupBy("hub").agg(F.ceil(needed).alias("parts"))
-    part = F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts"))
-    return stored(home.join(parts, "hub").select("id", F.xxhash64("hub", part).alias("block")), "blocks")
-
-
-def _meetings(lists: DataFrame, blocks: DataFrame) -> DataFrame:
-    """id, block, left, right: the pairs of blocks in which a set is compared.
-
-    A set meets its own block, and those sets of other blocks that share lists with it: from
-    each block, the sets that are in a list with some set of the other. All sets of a list
-    meet, so no link is lost; rows are sets and blocks, never pairs of sets.
-    """
-    held = stored(lists.join(blocks, "id").select("key", "id", "block"), "held")
-    several = held.groupBy("key").agg(F.min("block").alias("lo"), F.max("block").alias("hi")).filter("lo <> hi")
-    mixed = held.join(several.select("key"), "key")
-    others = mixed.select("key", F.col("block").alias("other")).distinct()
-    cross = mixed.join(others, "key").filter("block <> other").select("id", "block", "other").distinct()
-    own = blocks.select("id", "block", F.col("block").alias("other"))
-    return own.unionByName(cross).select(
-        "id", "block", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right")
+    parts = held.groupBy("hub").agg(F.ceil(needed).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts")).cast("int")
+    met = held.join(parts, "hub").withColumn("part", part)
+    met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return met.select(
+        "id", "hub", "part", F.least("part", "other").alias("left"), F.greatest("part", "other").alias("right")
     )
 
 
 def _compared(rows: DataFrame, named: DataFrame, lists: DataFrame, how: Similarity) -> DataFrame:
-    """The links (u, v) as forests of each pair of blocks."""
+    """The links (u, v) as a forest of each unit of work."""
     sizes = named.select("id", "n").distinct()
-    lists = _sized(lists, sizes, how)
-    blocks = _blocks(lists, sizes)
     one = named.groupBy("id").agg(F.min("doc_id").alias("_doc_id"))
-    meets = stored(_meetings(lists, blocks).join(one, "id"), "meets")
+    meets = stored(_meetings(_sized(lists, sizes, how), sizes).join(one, "id"), "meets")
     n = meets.count()
-    bundle = F.pmod(F.xxhash64("left", "right"), F.lit(max(1, n // BUNDLE_SETS)))
+    bundle = F.pmod(F.xxhash64("hub", "left", "right"), F.lit(max(1, n // BUNDLE_SETS)))
     texts = rows.join(
         F.broadcast(meets) if n <= BROADCAST_IDS else meets, F.col("doc_id") == F.col("_doc_id")
-    ).select("id", "block", "left", "right", "text", bundle.alias("bundle"))
+    ).select("id", "hub", "part", "left", "right", "text", bundle.alias("bundle"))
 
     def run(bundle_rows: pa.Table) -> pa.Table:
-        by = bundle_rows.sort_by([(c, "ascending") for c in ("left", "right", "id")]).combine_chunks()
-        ends = np.stack([by.column(c).to_numpy() for c in ("left", "right")], axis=1)
+        by = bundle_rows.sort_by([(c, "ascending") for c in ("hub", "left", "right", "id")]).combine_chunks()
+        ends = np.stack([by.column(c).to_numpy() for c in ("hub", "left", "right")], axis=1)
         cuts = np.r_[0, np.nonzero((ends[1:] != ends[:-1]).any(1))[0] + 1, len(ends)]
         u, v = [], []
         for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
@@ -340,13 +324,13 @@ def _compared(rows: DataFrame, named: DataFrame, lists: DataFrame, how: Similari
 
 
 def _links_of(rows: pa.Table, how: Similarity) -> tuple[np.ndarray, np.ndarray]:
-    """The sets of two blocks, and the first set of each set's component by links between them.
+    """The sets of one unit, and the first set of each set's component by links between them.
 
-    The inverted lists of the blocks are scanned in chunks: a chunk is a matrix of sets and
+    The inverted lists of its blocks are scanned in chunks: a chunk is a matrix of sets and
     elements, and its product with itself counts what every two sets share.
     """
     ids = rows.column("id").to_numpy()
-    block = rows.column("block").to_numpy()
+    block = rows.column("part").to_numpy()
     within = rows.column("left")[0] == rows.column("right")[0]
     sets = []
     for batch in rows.select(["text"]).to_batches():
@@ -376,8 +360,10 @@ def _links_of(rows: pa.Table, how: Similarity) -> tuple[np.ndarray, np.ndarray]:
         chunk = np.zeros((len(sets), CHUNK), np.float32)
         chunk[own[lo:hi], column[lo:hi] - k * CHUNK] = 1
         both += chunk[a] @ chunk[b].T
-    i, j = np.nonzero(how.near(both, sizes[a][:, None], sizes[b][None, :]))
-    return ids, stars(len(ids), a[i], b[j])
+    found = [np.nonzero(how.near(row, sizes[k], sizes[b]))[0] for k, row in zip(a.tolist(), both)]
+    i = np.repeat(a, [len(f) for f in found])
+    j = b[np.concatenate([*found, np.zeros(0, np.int64)]).astype(np.int64)]
+    return ids, stars(len(ids), i, j)
 
 
 def ngram_join(
@@ -397,9 +383,9 @@ def ngram_join(
     2. With elements in order of rarity, linked sets share their first common elements
        within short prefixes. Light sets write all subsets of two of their prefix, heavy
        sets their prefix as entries of inverted lists; ``boundary`` chooses what is light.
-    3. Lists are cut by size, as sets that link are of like size. Sets that share lists are put
-       into common blocks of bounded size. Each block, and every two blocks that a list brings
-       together, is one unit of work, which gets the whole texts of the sets that meet there.
+    3. Lists are cut by size, as sets that link are of like size. All sets of a list meet at its
+       hub; a hub's sets, or every two blocks of them if they are many, are one unit of work,
+       which gets their whole texts.
     4. A unit scans the inverted lists of all elements of its sets, which gives the size of
        every intersection, and passes on a forest of the links: pairs of sets never become
        rows, and no list is too long.

@@ -22,12 +22,14 @@ def fold(id_col: str, parts: int) -> Column:
     return F.crc32(F.col(id_col).cast("string")) % F.lit(parts)
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Pieces of a batch with about SLICE_BYTES of ``column`` each, one row at least."""
+def slices(
+    batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Pieces of a batch with about ``most`` bytes of ``column`` each, one row at least."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     start = held = 0
     for i, size in enumerate(sizes):
-        if i > start and held + size > SLICE_BYTES:
+        if i > start and held + size > most:
             yield batch.slice(start, i - start)
             start, held = i, 0
         held += size

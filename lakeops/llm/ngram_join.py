@@ -79,8 +79,8 @@ def boundary(sizes: dict[int, int], how: Similarity, scan: float) -> int:
 
 
 def _sets(batch: pa.RecordBatch, words: int, each=None):
-    """The set of each row of a batch, from pieces of a few MB or one text."""
-    for piece in slices(batch, "text"):
+    """The set of each row of a batch, from pieces of about a MB or one text."""
+    for piece in slices(batch, "text", SLICE):
         yield from shingle_sets(piece.column("text"), words, each)
 
 
@@ -334,7 +334,7 @@ def _links_of(rows: pa.Table, how: Similarity) -> tuple[np.ndarray, np.ndarray]:
     within = rows.column("left")[0] == rows.column("right")[0]
     sets = []
     for batch in rows.select(["text"]).to_batches():
-        for piece in slices(batch, "text"):
+        for piece in slices(batch, "text", SLICE):
             sets += shingle_sets(piece.column("text"), how.words)
     # an id of documents that repeats may stand for other texts, and for copies
     mine = [k for k, (s, i) in enumerate(zip(sets, ids.tolist())) if len(s) and set_id(s) == i]

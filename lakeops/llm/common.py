@@ -9,6 +9,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lakeops.workspace import stored
+
 #: Text bytes handled at once inside a task; a longer single text is handled alone.
 SLICE_BYTES = 4 << 20
 
@@ -77,3 +79,32 @@ def bounded_sample(
     order = Window.partitionBy(*groups).orderBy("_hash", id_col)
     ranked = few.withColumn("_rank", F.row_number().over(order))
     return ranked.filter(F.col("_rank") <= per_group).drop("_rank", "_hash", "_limit")
+
+
+def numbered(df: DataFrame, order: list[Column], name: str = "number") -> DataFrame:
+    """The rows with their place (from 0) in the order of ``order``.
+
+    Rows are dealt by ranges of the order and numbered there; the sizes of the ranges give
+    where each starts. Rows that ``order`` ties are numbered in any order among themselves.
+    The result is written, so the numbers do not change when a task runs again.
+    """
+    spread = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = stored(spread.withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    placed = placed.withColumn("_part", F.shiftright("_at", 33))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("_part").agg(F.count("*").alias("_rows"))
+    starts = starts.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    # one row for each partition of the shuffle
+    found = placed.join(F.broadcast(starts), "_part")
+    within = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return found.withColumn(name, within + F.col("_before")).drop("_at", "_part", "_before")
+
+
+def blocks(data: bytes, size: int, stop: bytes) -> Iterator[bytes]:
+    """``data`` in pieces of about ``size`` bytes, cut before ``stop``."""
+    at = 0
+    while at < len(data):
+        end = data.find(stop, at + size)
+        end = len(data) if end < 0 else end
+        yield data[at:end]
+        at = end

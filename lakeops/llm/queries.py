@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import bpe, language, near_vectors, ngram_join, packing, quality, secrets, token_counts, topk, toxicity
+from lakeops.llm import (
+    bpe, collocations, language, mixing, near_vectors, ngram_join, packing, quality, resampling, secrets, token_counts,
+    topk, toxicity,
+)
 from lakeops.llm.common import fold, table
 from lakeops.workspace import new_folder, stored
 
@@ -134,7 +137,27 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "vec_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_bpe, op3_secret_scans, op4_token_counts, op5_top_k, op6_packing, op7_quality, op8_toxicity, op9_language, op10_near_vectors)}
+def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of all sources, weighed 5, 2, 1 in turn, takes from every document."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), pattern=[5, 2, 1], limit=3)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the documents, drawn by their likeness to the benchmark texts."""
+    return resampling.resample(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=25, buckets=10_000, least_words=20, seed=7
+    )
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 phrases of each language whose words occur together most."""
+    return collocations.collocations(
+        table(spark, sf_dir, "documents"), least=30, most_words=4, share=80, top=2000, scale=2_000_000
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_bpe, op3_secret_scans, op4_token_counts, op5_top_k, op6_packing, op7_quality, op8_toxicity, op9_language, op10_near_vectors, op11_source_mix, op12_resampling, op13_collocations)}
 ORACLES: dict[str, str] = {
     "op5_top_k": """
         WITH v AS (
@@ -154,4 +177,83 @@ ORACLES: dict[str, str] = {
                    vec_id, score
             FROM scored)
         SELECT * FROM ranked WHERE rank <= 5""",
+    "op12_resampling": """
+        WITH texts AS (
+            SELECT doc_id AS id, true AS own, text FROM documents
+            UNION ALL SELECT item_id, false, text FROM benchmark),
+        split AS (
+            SELECT row_number() OVER () AS row, id, own,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+            FROM texts),
+        features AS (
+            SELECT row, own, unnest(w) AS feature FROM split
+            UNION ALL
+            SELECT row, own, w[i] || ' ' || w[i + 1]
+            FROM (SELECT row, own, w, unnest(range(1, len(w))) AS i FROM split)),
+        steps AS (  -- each byte, then seven zeros: one element for every bit
+            SELECT feature, h, list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(0, len(h) * 4),
+                     lambda i: CASE WHEN i % 8 = 0 THEN
+                       (instr('0123456789ABCDEF', h[i // 4 + 1]) - 1) * 16 + instr('0123456789ABCDEF', h[i // 4 + 2]) - 1
+                       ELSE 0 END)) AS x
+            FROM (SELECT feature, hex(feature) AS h FROM (SELECT DISTINCT feature FROM features))),
+        crc AS (
+            SELECT feature, xor(list_reduce(x, lambda c, b: xor(xor(c, b) >> 1, (xor(c, b) & 1) * 3988292384)), 4294967295)
+                     % 10000 AS bucket
+            FROM steps),
+        counts AS (
+            SELECT bucket, count(*) FILTER (own) AS s, count(*) FILTER (NOT own) AS t
+            FROM features JOIN crc USING (feature) GROUP BY bucket),
+        gain AS (
+            SELECT bucket, CAST(floor(1000 * ln(CAST(t + 1 AS DOUBLE) * CAST((SELECT sum(s) FROM counts) + 10000 AS DOUBLE)
+                     / (CAST(s + 1 AS DOUBLE) * CAST((SELECT sum(t) FROM counts) + 10000 AS DOUBLE)))) AS BIGINT) AS gain
+            FROM counts),
+        weighed AS (
+            SELECT row, count(*) AS n, CAST(floor(sum(gain) / count(*)) AS BIGINT) AS weight
+            FROM features JOIN crc USING (feature) JOIN gain USING (bucket) WHERE own GROUP BY row),
+        scored AS (
+            SELECT id AS doc_id, len(w) AS words, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+                   coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('7:' || coalesce(CAST(id AS VARCHAR), '')), 1, 8)
+                     AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+            FROM split LEFT JOIN weighed USING (row) WHERE own),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY words >= 20 ORDER BY score DESC, doc_id NULLS LAST) AS place FROM scored)
+        SELECT doc_id, n_features, weight, score,
+               CASE WHEN words >= 20 AND place <= 25 * (SELECT count(*) FROM scored WHERE words >= 20) // 100
+                    THEN place END AS rank
+        FROM ranked""",
+    "op13_collocations": """
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[.,;:!?\\x0A-\\x0D]')) AS piece
+            FROM documents),
+        words AS (
+            SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM pieces),
+        starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+        f AS (
+            SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS a
+            FROM starts CROSS JOIN (VALUES (1), (2), (3), (4)) lengths(k)
+            WHERE i + k - 1 <= len(w) GROUP BY ALL),
+        totals AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+        found AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND a >= 30),
+        cuts AS (
+            SELECT c.lang, c.phrase, c.a, c.k, j, l.a AS l, r.a AS r,
+                   CAST(CAST(2000000 AS HUGEINT) * c.a // (l.a + r.a) AS BIGINT) AS score
+            FROM (SELECT *, unnest(range(1, k)) AS j FROM found) c
+            JOIN f l ON l.lang = c.lang AND l.k = j AND l.phrase = array_to_string(c.w[1:j], ' ')
+            JOIN f r ON r.lang = c.lang AND r.k = c.k - j AND r.phrase = array_to_string(c.w[j + 1:c.k], ' ')),
+        best AS (
+            SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS place FROM cuts)
+            WHERE place = 1),
+        inside AS (
+            SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS longer
+            FROM (SELECT lang, w, k, a, m, unnest(range(1, k - m + 2)) AS i
+                  FROM found CROSS JOIN (VALUES (2), (3)) sizes(m) WHERE m < k) GROUP BY ALL),
+        kept AS (
+            SELECT best.* FROM best LEFT JOIN inside USING (lang, phrase)
+            WHERE longer IS NULL OR 100 * longer < 80 * a),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""",
 }

@@ -30,19 +30,54 @@ def round_to(value: Column | str, digits: int = 2) -> Column:
     )
 
 
+#: Numbers below this in size are added up exactly, in limbs of so many bits.
+_EXACT, _LIMB = 1e18, 15
+_MASK = (1 << _LIMB) - 1
+
+
+def _limbs(col: Column) -> tuple[list[Column], list[Column]]:
+    """The limbs of a number's whole part (4, the last with the sign) and of its billionths (2)."""
+    small = F.when(F.abs(col) < _EXACT, col)
+    whole = F.floor(small)
+    billionths = F.floor((small - whole) * _NANO + 0.5).cast("bigint")
+
+    def cut(number: Column, parts: int) -> list[Column]:
+        low = [F.shiftright(number, _LIMB * i).bitwiseAND(F.lit(_MASK)) for i in range(parts - 1)]
+        return low + [F.shiftright(number, _LIMB * (parts - 1))]
+
+    return cut(whole, 4), cut(billionths, 2)
+
+
+def _carried(sums: list[Column]) -> Column:
+    """The number whose limbs have these sums, as a decimal without fraction."""
+    parts = [s.cast("decimal(19,0)") * F.lit(Decimal(1 << _LIMB * i)) for i, s in enumerate(sums)]
+    return sum(parts[1:], parts[0]).cast("decimal(38,0)")
+
+
+def exact_total(whole: list[Column], billionths: list[Column]) -> Column:
+    """The DOUBLE next to the number with these sums of limbs; NULL if they are NULL."""
+    nano = F.lit(Decimal(_NANO))
+    units = _carried(billionths)
+    over = F.call_function("div", units, nano)
+    rest = (units - over.cast("decimal(19,0)") * nano).cast("decimal(9,0)")
+    total = (_carried(whole) + over.cast("decimal(19,0)")).cast("decimal(38,0)")
+    exact = total.cast("decimal(28,0)") + rest * F.lit(Decimal(1).scaleb(-9))
+    return F.when(F.abs(total) < F.lit(Decimal(10**28)), exact.cast("double")).otherwise(total.cast("double"))
+
+
 def exact_sum(value: Column | str) -> Column:
     """Sum without floating-point order effects, as the DOUBLE next to the exact sum.
 
-    Each number counts with nine decimals: its whole part and its billionths are added up as
-    integers, which is exact in any order and needs no decimals per row. NULL for an empty
-    group.
+    Each number below 1e18 in size counts with nine decimals: its whole part and its
+    billionths are cut into limbs of 15 bits, whose sums hold 2^47 rows, and the carries are
+    added at the end. That needs no decimals per row. Larger numbers, infinities and NaN are
+    added as doubles. NULL for an empty group.
     """
     col = as_column(value).cast("double")
-    whole = F.floor(col)
-    billionths = F.floor((col - whole) * _NANO + 0.5).cast("bigint")
-    nano = F.lit(Decimal(1).scaleb(-9))
-    total = F.sum(whole).cast("decimal(20,0)") + F.sum(billionths).cast("decimal(20,0)") * nano
-    return total.cast("double")
+    whole, billionths = ([F.sum(x) for x in part] for part in _limbs(col))
+    large = F.sum(F.when(~(F.abs(col) < _EXACT), col))
+    small = exact_total(whole, billionths)
+    return F.when(large.isNull(), small).otherwise(large + F.coalesce(small, F.lit(0.0)))
 
 
 def exact_avg(value: Column | str) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -164,3 +165,22 @@ def test_lenient_casts_of_large_and_bad_text(spark):
     df = spark.createDataFrame([(x,) for x in texts], "x string")
     assert one(df.select(numbers.lenient_long("x"))) == [2**63 - 1, None, None, 99999999999, None, 1500, 7]
     assert one(df.select(numbers.lenient_int("x"))) == [None, None, None, None, None, 1500, 7]
+
+
+def test_exact_sum_holds_any_group(spark):
+    """Large numbers, infinities and NaN add up as in a plain sum, and limbs of 2e10 rows carry."""
+    total = lambda *xs: spark.createDataFrame([(float(x),) for x in xs], "x double").agg(numbers.exact_sum("x")).first()[0]
+    assert total(5e18, 5e18) == 1e19 and total(1e19) == 1e19 and total(-1e300, 1) == -1e300
+    assert total("inf", 1) == float("inf") and total("-inf", 0.5) == float("-inf")
+    assert total(1, "nan") != total(1, "nan") and total("inf", "-inf") != total("inf", "-inf")
+    assert total(-0.5, -0.25, 2**53, 1, -(2.0**53)) == 0.25
+    assert total(9e17, 9e17, -9e17, 0.125) == 9e17
+    xs = [0.5, 123456789.987654321, -77777.25, 999999999999.999, -1e17]
+    rows = 20_000_000_000
+    one = spark.createDataFrame([(x,) for x in xs], "x double")
+    for x in xs:
+        whole, billionths = numbers._limbs(F.lit(x))
+        scaled = [[F.sum(limb * F.lit(rows)) for limb in part] for part in (whole, billionths)]
+        got = one.limit(1).agg(numbers.exact_total(*scaled)).first()[0]
+        want = (int(math.floor(x)) * 10**9 + math.floor((x - math.floor(x)) * 10**9 + 0.5)) * rows
+        assert got == want / 10**9

@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import math
+import os
+import subprocess
+import sys
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -82,6 +86,24 @@ def test_entry(spark):
     assert contract.entry(spark).count() > 0
 
 
+@pytest.mark.parametrize("without", [["lakeops/llm"], ["lakeops/llm", "corpus_pipeline.py"], ["corpus_pipeline.py"]])
+def test_entry_without_training_data_operators(tmp_path, without):
+    """A copy without those parts imports, and has the other queries."""
+    root = Path(contract.__file__).parent
+    copied = [f for f in root.rglob("*.py") if f.relative_to(root).parts[0] in ("lakeops", "corpus_pipeline.py", "__spark_entry__.py")]
+    for f in copied:
+        name = f.relative_to(root)
+        if not any(str(name).startswith(w) for w in without):
+            (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+            (tmp_path / name).write_text(f.read_text())
+    code = "import __spark_entry__ as e; print(' '.join(e.queries())); assert set(e.oracle_sql()) <= set(e.queries())"
+    run = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={**os.environ, "PYTHONPATH": str(tmp_path)}, capture_output=True, text=True)
+    assert run.returncode == 0, run.stderr
+    names = set(run.stdout.split())
+    assert set(QUERIES) <= names and "pipeline" not in names
+    assert any(n.startswith("op1_") for n in names) == ("lakeops/llm" not in without)
+
+
 def test_filter_reaches_the_scan(spark):
     plan = QUERIES["high_scorers"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(l_quantity,30.0)" in plan

@@ -13,6 +13,8 @@ from lakeops.workspace import stored
 
 #: Text bytes handled at once inside a task; a longer single text is handled alone.
 SLICE_BYTES = 4 << 20
+#: Groups of a sample whose limits are broadcast.
+SENT_GROUPS = 10_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,6 +77,9 @@ def bounded_sample(
     share = F.least(F.lit(2.0 * per_group + 100) / F.count("*"), F.lit(1.0))
     limits = known.groupBy(*groups).agg((share * 2.0**64 - 2.0**63).alias("_limit"))
     hashed = known.withColumn("_hash", F.xxhash64(F.col(id_col), F.lit(seed)))
+    # one row for each group: sent to all tasks if there are few, so that most rows are never shuffled
+    limits = stored(limits, "limits")
+    limits = F.broadcast(limits) if limits.count() <= SENT_GROUPS else limits
     few = hashed.join(limits, groups).filter(F.col("_hash").cast("double") <= F.col("_limit"))
     order = Window.partitionBy(*groups).orderBy("_hash", id_col)
     ranked = few.withColumn("_rank", F.row_number().over(order))

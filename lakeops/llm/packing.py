@@ -12,6 +12,8 @@ from lakeops.llm.tokens import id_type, load
 
 #: Documents in a randomised group, on average; groups are packed apart from each other.
 GROUP_DOCS = 2048
+#: Letters of text in a group, on average.
+GROUP_LETTERS = 16 << 20
 
 
 class Tournament:
@@ -111,31 +113,39 @@ def plan(lengths: list[int], capacity: int) -> list[list[list[int]]]:
     return full + _even(packed, capacity)
 
 
-def encode(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str, groups: int):
-    """(doc_id, group, ids): the ids of each text and ``end_id``, and a random group.
+def encode(docs: DataFrame, path: str, capacity: int, end_id: int, id_col: str, text_col: str, groups: int):
+    """(doc_id, group, start, ids, doc_tokens): each text's ids and ``end_id``, cut at capacities.
 
-    The group hashes the row's place in the scan, so that repeated rows and ids spread.
+    The random group hashes the row's place in the scan and the piece's, so that repeated
+    rows, ids, and the pieces of a long text spread over all groups.
     """
 
     def make():
         coder = load(path)
         end = np.array([end_id], coder.dtype).tobytes()
+        width = len(end)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            ids = [x + end for x in coder.encode(texts(batch, "text"))]
-            return pa.record_batch(
-                [batch.column("doc_id"), batch.column("group"), pa.array(ids, pa.binary())],
-                ["doc_id", "group", "ids"],
-            )
+            doc_ids, places = batch.column("doc_id").to_pylist(), batch.column("place").to_numpy()
+            rows = []
+            for doc, place, ids in zip(doc_ids, places.tolist(), coder.encode(texts(batch, "text"))):
+                ids += end
+                for at in range(0, len(ids), capacity * width):
+                    piece = at // (capacity * width)
+                    rows.append((doc, (place + piece * 0x9E3779B1) % groups, at // width, ids[at : at + capacity * width], len(ids) // width))
+            columns = list(zip(*rows)) or [()] * 5
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
+            names = ["doc_id", "group", "start", "ids", "doc_tokens"]
+            return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
         return work
 
     chosen = docs.select(
         docs[id_col].cast("long").alias("doc_id"),
         docs[text_col].alias("text"),
-        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)).alias("group"),
+        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 31)).alias("place"),
     )
-    return map_slices(chosen, "text", make, "doc_id bigint, group bigint, ids binary")
+    return map_slices(chosen, "text", make, "doc_id bigint, group bigint, start bigint, ids binary, doc_tokens bigint")
 
 
 def pack(
@@ -146,6 +156,7 @@ def pack(
     id_col: str = "doc_id",
     text_col: str = "text",
     group_docs: int = GROUP_DOCS,
+    group_letters: int = GROUP_LETTERS,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids, doc_tokens, sequence_id, offset.
 
@@ -155,15 +166,18 @@ def pack(
     integers. Sequence ids are unique: the group's number and a number within it.
 
     NULL and empty texts are the end id alone. Repeated rows are packed each; NULL ids stay
-    NULL. No documents give no pieces. Groups hold ``group_docs`` documents on average, so a
-    task holds the ids of that many at once.
+    NULL. No documents give no pieces. A text is cut at capacities before it is dealt out, so
+    a long one spreads over the groups; a task that encodes it holds its ids. Groups hold the
+    pieces of ``group_docs`` documents and ``group_letters`` letters at most on average. They
+    depend on the rows' places in the scan: reruns over the same files agree.
     """
-    groups = max(1, -(-docs.count() // group_docs))
-    coded = encode(docs, path, end_id, id_col, text_col, groups)
+    size = docs.agg(F.count("*"), F.sum(F.length(docs[text_col]).cast("long"))).first()
+    groups = max(1, -(-size[0] // group_docs), -(-(size[1] or 0) // group_letters))
+    coded = encode(docs, path, capacity, end_id, id_col, text_col, groups)
     dtype = id_type(path)
 
     def run(key, rows):
-        doc_ids = rows.column("doc_id").to_pylist()
+        doc_ids, starts, of = (rows.column(c).to_pylist() for c in ("doc_id", "start", "doc_tokens"))
         ids = [np.frombuffer(x, dtype) for x in rows.column("ids").to_pylist()]
         bins = plan([len(x) for x in ids], capacity)
         flat = [(d, s, n, b) for b, pieces in enumerate(bins) for d, s, n in pieces]
@@ -172,10 +186,10 @@ def pack(
         return pa.table(
             {
                 "doc_id": pa.array([doc_ids[d] for d, _, _, _ in flat], pa.int64()),
-                "start": pa.array([s for _, s, _, _ in flat], pa.int64()),
+                "start": pa.array([starts[d] + s for d, s, _, _ in flat], pa.int64()),
                 "length": pa.array([n for _, _, n, _ in flat], pa.int64()),
                 "ids": pa.array([ids[d][s : s + n].astype("<u4").tobytes() for d, s, n, _ in flat], pa.binary()),
-                "doc_tokens": pa.array([len(ids[d]) for d, _, _, _ in flat], pa.int64()),
+                "doc_tokens": pa.array([of[d] for d, _, _, _ in flat], pa.int64()),
                 "sequence_id": pa.array([base + b for _, _, _, b in flat], pa.int64()),
                 "offset": pa.array(offsets, pa.int64()),
             }

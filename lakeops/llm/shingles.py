@@ -7,8 +7,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-#: Bytes of text that are hashed at once; longer words are hashed by themselves.
+#: Bytes of text that are hashed at once.
 SEGMENT = 1 << 20
+#: Longer words are hashed by themselves: a polynomial modulo a power of two has words that
+#: anyone can write down with the same value, but only long ones.
+LONG_WORD = 64
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD6E8FEB86659FD93 | 5  # odd, and not near 1 modulo a power of two
@@ -41,7 +44,7 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each word of all texts in order, and the first word of each text (and the end).
 
     Words are runs without ASCII white space; A-Z are lower-cased. A word's hash is a
-    polynomial of its bytes, from sums over the whole buffer.
+    polynomial of its bytes, from sums over the whole buffer; above LONG_WORD bytes it is xxh3.
     """
     column = pc.fill_null(column.cast(pa.large_string()), "")
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
@@ -67,16 +70,15 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     while w < len(starts):
         lo = starts[w]
         e = max(int(np.searchsorted(ends, lo + SEGMENT, "right")), w + 1)
-        if ends[w] - lo > SEGMENT:
-            long = data[lo : ends[w]].tobytes().translate(_LOWER)
-            hashes[w] = xxhash.xxh3_64_intdigest(long)
-        else:
+        if ends[w] - lo <= SEGMENT:
             part = data[lo : ends[e - 1]]
             total = np.zeros(len(part) + 1, np.uint64)
             np.cumsum(_VALUE[part] * up[: len(part)], out=total[1:])
             s, t = starts[w:e] - lo, ends[w:e] - lo
             hashes[w:e] = (total[t] - total[s]) * down[s] + (t - s).astype(np.uint64) * _ODD
         w = e
+    for w in np.flatnonzero(ends - starts > LONG_WORD):
+        hashes[w] = xxhash.xxh3_64_intdigest(data[starts[w] : ends[w]].tobytes().translate(_LOWER))
     return mix(hashes), np.searchsorted(starts, offsets)
 
 

@@ -1,23 +1,96 @@
-"""Token ids from a vocabulary file of the tokenizers library, with a cache of pieces."""
+"""Token ids from a vocabulary file of the tokenizers library, with caches of bounded size."""
 
 from __future__ import annotations
 
 import json
+import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Encoded pieces that a worker process keeps; a full cache is emptied.
-CACHE_ENTRIES = 1_000_000
+from lakeops.llm.bpe import byte_letters
+
+#: Bytes that a worker process keeps of encoded words.
+CACHE_BYTES = 64 << 20
+#: Longer words are not kept. What an entry takes besides its letters and ids.
+LONGEST, ENTRY = 64, 220
+#: Letters of a text whose words are held at once.
+BLOCK = 1 << 20
+
+# Fixed value: the pattern by which the file's model splits words, without its special tokens.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Text of ASCII and the letters of Latin-1; and the same pattern for it, which splits it alike.
+_PLAIN = re.compile("[\t-\r\x20-\x7eÀ-ÖØ-öø-ÿ]*")
+_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-z0-9ß-öø-ÿ]+")
+#: Pieces of a text between ASCII white space, and a place where a text may be cut.
+_PIECES, _GAP = re.compile("[^\t-\r ]+"), re.compile("[\t-\r ]")
+#: Marks a piece that is encoded as it is.
+_AS_IT_IS = "\x00"
+
+
+class Kept:
+    """A dictionary of bounded size: what was not asked for in a long time goes."""
+
+    def __init__(self, most: int):
+        self.most, self.size = most // 2, 0
+        self.new: dict = {}
+        self.old: dict = {}
+
+    def missing(self, keys) -> list:
+        """The keys that are in neither half; those of the old half move to the new one."""
+        out, new, old = [], self.new, self.old
+        for k in [k for k in keys if k not in new]:
+            found = old.get(k)
+            if found is None:
+                out.append(k)
+            else:
+                self.add(k, found)
+        return out
+
+    def add(self, key, value: bytes) -> None:
+        self.new[key] = value
+        self.size += len(key) + len(value) + ENTRY
+
+    def tidy(self) -> None:
+        """Call when no looked-up key is needed any more."""
+        if self.size > self.most:
+            self.old, self.new, self.size = self.new, {}, 0
+
+
+def words_of(text: str) -> list[str]:
+    """The words of a text, in lower case; pieces with other letters are kept whole, and marked."""
+    if _PLAIN.fullmatch(text) and "<|" not in text:
+        return _WORDS.findall(text.lower())
+    out = []
+    for p in _PIECES.findall(text):
+        if _PLAIN.fullmatch(p) and "<|" not in p:
+            out += _WORDS.findall(p.lower())
+        else:
+            out.append(_AS_IT_IS + p)
+    return out
+
+
+def _blocks(text: str):
+    """A long text in parts, cut at white space."""
+    at = 0
+    while len(text) - at > BLOCK:
+        gap = _GAP.search(text, at + BLOCK)
+        if not gap:
+            break
+        yield text[at : gap.start()]
+        at = gap.start()
+    yield text[at:] if at else text
 
 
 class PieceEncoder:
     """Encodes texts as ``Tokenizer.encode`` does without special tokens added.
 
-    Where the file's model drops white space and never looks across it, texts are cut at
-    ASCII white space and each distinct piece is encoded once. Other models get whole texts.
-    Ids are little-endian unsigned integers of 16 bits if the vocabulary allows, else 32.
+    Where the file's model drops white space and never looks across words, each word is
+    encoded once as long as it is kept; pieces of letters beyond ASCII and Latin-1 count as a
+    word. Other models get whole texts. Ids are little-endian unsigned integers of 16 bits if
+    the vocabulary allows, else 32.
     """
 
     def __init__(self, path: str):
@@ -28,22 +101,52 @@ class PieceEncoder:
             spec = json.load(f)
         self.dtype = id_type(path)
         self.cuts = _forgets_space(spec)
-        self.known: dict[bytes, bytes] = {}
+        self.kept = Kept(CACHE_BYTES)
+        self.model = self.tokenizer.model
+        self.code = "H" if self.dtype == "<u2" else "I"
+        letters = byte_letters()
+        self.letters = {c: "".join(letters[b] for b in chr(c).encode()) for c in range(128, 256)}
+
+    def _merged(self, word: str) -> bytes:
+        """The ids of a word that the model's splitting and folding leave as it is."""
+        found = self.model.tokenize(word if word.isascii() else word.translate(self.letters))
+        return array(self.code, [t.id for t in found]).tobytes()
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, self.dtype).tobytes() for x in found]
 
+    def _joined(self, many: list[list[str]]) -> list[bytes]:
+        """The ids of each list of words; every word is looked up once for all of them."""
+        kept, long = self.kept, {}
+        for w in kept.missing(set().union(*many)):
+            ids = self._ids([w[1:]])[0] if w[0] == _AS_IT_IS else self._merged(w)
+            if len(w) <= LONGEST:
+                kept.add(w, ids)
+            else:
+                long[w] = ids
+        known = kept.new
+        if long:
+            found = [b"".join([long[w] if w in long else known[w] for w in words]) for words in many]
+        else:
+            found = [b"".join(map(known.__getitem__, words)) for words in many]
+        kept.tidy()
+        return found
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.cuts:
             return self._ids(texts)
-        split = [t.encode().split() for t in texts]
-        known = self.known
-        if len(known) >= CACHE_ENTRIES:
-            known.clear()
-        new = list({p for pieces in split for p in pieces if p not in known})
-        known.update(zip(new, self._ids([p.decode() for p in new])))
-        return [b"".join([known[p] for p in pieces]) for pieces in split]
+        out, held, size = [], [], 0
+        for text in texts:
+            if held and size + len(text) > BLOCK:
+                out += self._joined(held)
+                held, size = [], 0
+            if len(text) > BLOCK:
+                out.append(b"".join([self._joined([words_of(part)])[0] for part in _blocks(text)]))
+            else:
+                held.append(words_of(text))
+                size += len(text)
+        return out + (self._joined(held) if held else [])
 
 
 def id_type(path: str) -> str:
@@ -58,17 +161,20 @@ def _forgets_space(spec: dict) -> bool:
     steps = (spec["normalizer"] or {}).get("normalizers", [])
     kinds = [s["type"] for s in steps]
     parts = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
-    plain_marks = all(not (t["lstrip"] or t["rstrip"] or t["single_word"]) for t in spec["added_tokens"])
+    plain_marks = all(
+        t["content"].startswith("<|") and not (t["lstrip"] or t["rstrip"] or t["single_word"]) for t in spec["added_tokens"]
+    )
     return (
         kinds == ["NFC", "Replace", "Lowercase"]
         and steps[1]["pattern"] == {"Regex": r"\s+"}
         and steps[1]["content"] == " "
         and [p["type"] for p in parts] == ["Split", "ByteLevel"]
         and (parts[0]["behavior"], parts[0]["invert"]) == ("Removed", True)
-        and r"[^\s\p{L}\p{N}]+" in parts[0]["pattern"].get("Regex", "")
+        and parts[0]["pattern"].get("Regex", "").endswith(SPLIT)
         and not parts[1]["add_prefix_space"]
         and plain_marks
         and spec["post_processor"] is None
+        and spec["model"]["type"] == "BPE"
     )
 
 

@@ -18,6 +18,8 @@ from lakeops.workspace import stored
 
 #: Labelled documents of each kind that are learned from, and entries of the learned lexicon.
 SAMPLE, LEXICON = 3000, 4000
+#: Words whose symbol a worker process keeps; a full table is emptied.
+KNOWN_WORDS = 100_000
 #: Stems are the first letters of words, this many.
 STEM_SIZES = (4, 5, 6, 8)
 #: Toxic documents that must hold a stem, and how sure it must be.
@@ -116,7 +118,7 @@ class Toxicity:
     def matches(self, text: str) -> list[tuple[int, str, float]]:
         """(clause, word, weight) of each match, the clause counted from 0."""
         known = self._known
-        if len(known) > 500_000:
+        if len(known) > KNOWN_WORDS:
             known.clear()
         words = WORDS.findall(text.lower())
         path = []

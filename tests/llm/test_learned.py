@@ -135,3 +135,14 @@ def test_fold(spark):
 
     got = spark.range(50).select("id", fold("id", 5).alias("f")).collect()
     assert all(r.f == zlib.crc32(str(r.id).encode()) % 5 for r in got)
+
+
+def test_samples_send_few_rows_of_a_group(spark):
+    """The hash limit stands below the exchange by group, also in the plan that ran."""
+    rows = spark.range(50_000).select(F.col("id"), (F.col("id") % 2).alias("y"))
+    chosen = bounded_sample(rows, "id", ["y"], 100)
+    assert {r["count"] for r in chosen.groupBy("y").count().collect()} == {100}
+    chosen.collect()
+    plan = chosen._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    window = plan[plan.index("Window") :]
+    assert window.index("Exchange") < window.index("BroadcastHashJoin")  # the join is below the exchange

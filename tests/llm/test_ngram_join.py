@@ -158,3 +158,12 @@ def test_components(spark):
 def test_mix_is_one_to_one():
     x = np.arange(100_000, dtype=np.uint64)
     assert len(np.unique(shingles.mix(x))) == len(x)
+
+
+def test_long_words_that_a_polynomial_takes_for_one():
+    """A word of the Thue-Morse sequence and its complement, of two lengths."""
+    for bits in (5, 6, 11, 13):
+        turns = [bin(i).count("1") % 2 for i in range(1 << bits)]
+        words = ["".join("ab"[t ^ flip] for t in turns) for flip in (0, 1)]
+        a, b = shingles.word_hashes(pa.array(words))[0].tolist()
+        assert a != b

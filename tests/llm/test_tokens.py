@@ -53,8 +53,11 @@ def test_other_vocabularies_are_refused():
         bpe.ByteBpe(WORD)
 
 
+@pytest.mark.parametrize("most", [64 << 20, 4000])
 @pytest.mark.parametrize("path", [BYTE, WORD])
-def test_pieces(strange, path):
+def test_pieces(strange, path, most, monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_BYTES", most)
+    monkeypatch.setattr(tokens, "BLOCK", 500 if most < 5000 else tokens.BLOCK)
     own, their = tokens.PieceEncoder(path), Tokenizer.from_file(path)
     for ids, want in zip(own.encode(strange), their.encode_batch(strange, add_special_tokens=False)):
         assert np.frombuffer(ids, own.dtype).tolist() == want.ids
@@ -140,3 +143,35 @@ def test_totals_follow_changes(spark, odd_docs, rows):
     assert totals.totals().count() == 0
     with pytest.raises(ValueError):
         totals.commit("a/b", token_counts.inserts(counts))
+
+
+def test_words_of_plain_text_are_the_models(strange):
+    """ASCII and Latin-1 letters in any order, with contractions, digits, signs and special tokens."""
+    rng = random.Random(9)
+    signs = [*"aZéÀÖ×÷ßÿ0192'.,-\"!<|> \t\n\x0b\x1c", "'s", "n't", "<|endoftext|>", "'LL", "Ø", "\x7f", "ª", "İ", "e\u0301"]
+    made = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 60))) for _ in range(3000)]
+    own, their = tokens.PieceEncoder(WORD), Tokenizer.from_file(WORD)
+    for ids, want in zip(own.encode(made), their.encode_batch(made, add_special_tokens=False)):
+        assert np.frombuffer(ids, own.dtype).tolist() == want.ids
+
+
+def test_caches_keep_what_is_used_and_stay_small():
+    kept = tokens.Kept(20 * (tokens.ENTRY + 10))
+    for i in range(1000):
+        for k in kept.missing({"often", f"w{i}"}):
+            kept.add(k, b"12")
+        assert "often" in kept.new and len(kept.new) + len(kept.old) <= 24
+        kept.tidy()
+
+
+def test_long_text_is_cut_into_pieces_that_spread(spark):
+    text = "Some words, of one very long text. " * 600_000
+    docs = spark.createDataFrame([(1, text), (2, "short")], "doc_id long, text string")
+    pieces = packing.pack(docs, WORD)
+    got = pieces.drop("ids").collect()
+    want = len(tokens.PieceEncoder(WORD).encode([text])[0]) // 2 + 1
+    own = sorted((r.start, r.length) for r in got if r.doc_id == 1)
+    assert sum(n for _, n in own) == want == max(r.doc_tokens for r in got)
+    assert all(a + n == b for (a, n), (b, _) in zip(own, own[1:]))
+    groups = {r.sequence_id >> 32 for r in got}
+    assert len(groups) == 2  # by letters, as there are two documents

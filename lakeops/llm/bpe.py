@@ -6,14 +6,13 @@ import heapq
 import json
 import re
 from array import array
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from lakeops.llm.common import map_slices, texts
+from lakeops.llm.common import kept, map_slices, texts
 
 #: Encoded words that a worker process keeps, and pieces between spaces; a full cache is emptied.
 CACHE_ENTRIES = 1_000_000
@@ -169,10 +168,9 @@ class ByteBpe:
         return out.decode("utf-8", "replace")
 
 
-@lru_cache(maxsize=4)
 def load(path: str) -> ByteBpe:
     """One instance for each worker process and file."""
-    return ByteBpe(path)
+    return kept(path, lambda: ByteBpe(path))
 
 
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text"):

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -17,6 +20,33 @@ SLICE_BYTES = 4 << 20
 SENT_GROUPS = 10_000
 
 
+#: What this worker process keeps between tasks, and the kind of task it is for.
+_kept: dict = {}
+_kind: list[str] = [""]
+
+
+def begin(kind: str) -> None:
+    """Call when a task starts: what tasks of another kind kept is dropped, and memory given back.
+
+    Workers outlive stages; without this each would hold the caches of all stages so far.
+    """
+    if _kind[0] == kind:
+        return
+    _kind[0] = kind
+    _kept.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries do this by themselves
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def kept(key: str, make: Callable):
+    """``make()`` of an earlier task of the same kind in this process, or a new one."""
+    if key not in _kept:
+        _kept[key] = make()
+    return _kept[key]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -48,8 +78,10 @@ def map_slices(
     schema: str,
 ) -> DataFrame:
     """Apply ``make()(piece)`` to pieces of bounded size; ``make`` runs once in each task."""
+    kind = make.__module__
 
     def run(batches):
+        begin(kind)
         work = make()
         for batch in batches:
             for piece in slices(batch, column):

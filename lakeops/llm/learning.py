@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.common import bounded_sample
+from lakeops.llm.common import begin, bounded_sample
 
 
 def labelled(
@@ -88,6 +88,7 @@ def scored(score: Callable[[str], float]):
 
     @F.pandas_udf("double")
     def column(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        begin(score.__qualname__)
         for batch in batches:
             yield batch.fillna("").map(score).astype(float)
 

@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeops.llm.common import slices
+from lakeops.llm.common import begin, slices
 from lakeops.llm.components import components, stars
 from lakeops.llm.shingles import mix, set_id, shingle_sets
 from lakeops.workspace import stored
@@ -97,6 +97,7 @@ def _survey(docs: DataFrame, how: Similarity) -> DataFrame:
     """
 
     def run(batches):
+        begin(__name__)
         counts, words = np.zeros(SHINGLES, np.uint8), np.zeros(WORDS, np.uint32)
 
         def each(hashes: np.ndarray) -> None:
@@ -203,6 +204,7 @@ def _postings(docs: DataFrame, how: Similarity, counters, light: int) -> DataFra
     """
 
     def run(batches):
+        begin(__name__)
         counts, words = counters.value
         logs = (16 * np.log2(words + 1.0)).astype(np.int64)
 

@@ -5,12 +5,12 @@ from __future__ import annotations
 import json
 import re
 from array import array
-from functools import lru_cache
 
 import numpy as np
 from tokenizers import Tokenizer
 
 from lakeops.llm.bpe import byte_letters
+from lakeops.llm.common import kept as kept_object
 
 #: Bytes that a worker process keeps of encoded words.
 CACHE_BYTES = 64 << 20
@@ -178,7 +178,6 @@ def _forgets_space(spec: dict) -> bool:
     )
 
 
-@lru_cache(maxsize=4)
 def load(path: str) -> PieceEncoder:
     """One instance for each worker process and file."""
-    return PieceEncoder(path)
+    return kept_object(path, lambda: PieceEncoder(path))

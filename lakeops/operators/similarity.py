@@ -1,11 +1,14 @@
 """Best match of names in a registry, by edit distance or by matching blocks.
 
-Names that agree exactly are joined directly. For the others, pairs come from an equi join
-on (piece of a few characters, its position, registry name length). The join emits a pair
-only if the letters of both names are nearly the same, and it is kept when it shares as many
-pieces as the threshold needs. All limits are upper bounds for the measure, so no pair at or
-above the threshold is lost. (Positional q-gram filtering: Gravano et al., "Approximate
-String Joins in a Database (Almost) for Free", 2001.)
+Names that agree exactly are joined directly. For the others, all pieces of two letters are
+put in one order, the rare ones first. Names at or above the threshold share so many pieces
+that they share one within the first few of each, so only these rare prefixes are joined, on
+(piece, length). A pair is emitted only if the piece stands at nearly the same place, enough
+pieces are left after it in both orders, and the letters are nearly the same. What is left is
+compared by all pieces, then by the longest common subsequence. All limits are upper bounds
+for the measure, so no pair at or above the threshold is lost. (Positional q-grams: Gravano et
+al., 2001; prefixes by rarity with a positional bound: Xiao et al., 2008; common subsequences
+by bits: Crochemore et al., 2001.)
 """
 
 from __future__ import annotations
@@ -14,7 +17,7 @@ from dataclasses import dataclass
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +27,9 @@ from lakeops.workspace import stored
 # Fixed value: least score of an accepted match.
 THRESHOLD = 0.80
 
+#: Letters of a piece. Short pieces give the strongest bound on how many are shared.
+PIECE = 2
+
 # Absorbs floating-point error in the limits; it only ever widens them.
 _SLACK = 1e-9
 
@@ -43,8 +49,11 @@ class Measure:
 
     threshold: float = THRESHOLD
 
-    def piece_size(self) -> int:
-        """Longest piece of which such names always share at least one."""
+    #: Names below this threshold may share no piece.
+    lowest = 0.0
+
+    def matched(self, n: Column, m: Column) -> Column:
+        """How many letters a common subsequence has at least."""
         raise NotImplementedError
 
     def shortest(self, n: Column) -> Column:
@@ -72,8 +81,10 @@ class Measure:
 class EditSimilarity(Measure):
     """1 - edits / longer length. An edit breaks at most q pieces and changes two letters."""
 
-    def piece_size(self) -> int:
-        return min(6, int(1 / (1 - self.threshold) + _SLACK))
+    lowest = 0.5
+
+    def matched(self, n: Column, m: Column) -> Column:
+        return F.greatest(n, m) - self._edits(n, m)
 
     def _edits(self, n: Column, m: Column) -> Column:
         return F.floor((1 - self.threshold) * F.greatest(n, m) + _SLACK)
@@ -91,8 +102,7 @@ class EditSimilarity(Measure):
         return 2 * self._edits(n, m)
 
     def min_shared(self, n: Column, m: Column) -> Column:
-        q = self.piece_size()
-        return F.greatest(n, m) + (q - 1) - q * self._edits(n, m)
+        return F.greatest(n, m) + (PIECE - 1) - PIECE * self._edits(n, m)
 
     def score(self, left: Column, right: Column) -> Column:
         longer = F.greatest(F.length(left), F.length(right))
@@ -104,10 +114,9 @@ class BlockRatio(Measure):
     are separated by unmatched characters: at most U + 1 runs, each of which breaks q - 1
     pieces; markers at both ends add q - 1 pieces each."""
 
-    def piece_size(self) -> int:
-        return min(6, 1 + int(self.threshold / 2 / (1 - self.threshold) + _SLACK))
+    lowest = 2 / 3
 
-    def _matched(self, n: Column, m: Column) -> Column:
+    def matched(self, n: Column, m: Column) -> Column:
         return F.ceil(self.threshold * (n + m) / 2 - _SLACK)
 
     def shortest(self, n: Column) -> Column:
@@ -117,14 +126,13 @@ class BlockRatio(Measure):
         return F.floor(n * ((2 - self.threshold) / self.threshold) + _SLACK)
 
     def max_shift(self, n: Column, m: Column) -> Column:
-        return F.greatest(n, m) - self._matched(n, m)
+        return F.greatest(n, m) - self.matched(n, m)
 
     def max_letters(self, n: Column, m: Column) -> Column:
-        return n + m - 2 * self._matched(n, m)
+        return n + m - 2 * self.matched(n, m)
 
     def min_shared(self, n: Column, m: Column) -> Column:
-        q = self.piece_size()
-        return self._matched(n, m) + (q - 1) - (q - 1) * self.max_letters(n, m)
+        return self.matched(n, m) + (PIECE - 1) - (PIECE - 1) * self.max_letters(n, m)
 
     def score(self, left: Column, right: Column) -> Column:
         return block_ratio(left, right)
@@ -160,61 +168,110 @@ def _different_letters(left: Column, right: Column) -> Column:
     return sum(counts[1:], counts[0])
 
 
-def _pieces(df: DataFrame, name: str, size: int) -> DataFrame:
-    """(name, n, letters, pos, piece): pieces of ``size`` with markers at both ends."""
-    before, after = F.lit("\u0002" * (size - 1)), F.lit("\u0003" * (size - 1))
-    text = F.concat(before, F.col(name), after)
-    length = F.length(name)
-    at = F.sequence(F.lit(1), length + (size - 1))
-    cut = F.transform(at, lambda i: F.substring(text, i, F.lit(size)))
-    return df.select(
-        F.col(name),
-        length.alias("n"),
-        _letters(F.col(name)).alias("letters"),
-        F.posexplode(cut).alias("pos", "piece"),
-    )
+def _cut(name: Column) -> Column:
+    """All pieces of a name with a marker at both ends, in order."""
+    text = F.concat(F.lit("\u0002" * (PIECE - 1)), name, F.lit("\u0003" * (PIECE - 1)))
+    at = F.sequence(F.lit(1), F.length(name) + (PIECE - 1))
+    return F.transform(at, lambda i: F.substring(text, i, F.lit(PIECE)))
+
+
+def _ordered(pieces: DataFrame, frequency: DataFrame) -> DataFrame:
+    """(name, n, letters, pos, piece, place): the place of each piece in the name's order.
+
+    The order is the same for all names: rare pieces first, equal ones by position.
+    """
+    rare_first = Window.partitionBy("name").orderBy("held", "piece", "pos")
+    ranked = pieces.join(frequency, "piece").withColumn("place", F.row_number().over(rare_first))
+    return ranked.select("name", "n", "letters", "pos", "piece", "place")
+
+
+def _prefix(n: Column, shared: Column) -> Column:
+    """How many of a name's ordered pieces hold the first one that is shared."""
+    return n + (PIECE - 1) - shared + 1
 
 
 def candidate_pairs(names: DataFrame, registry: DataFrame, measure: Measure) -> DataFrame:
     """(name, reg_name) pairs that may reach the threshold; both inputs are distinct."""
-    size = measure.piece_size()
-    if size < 2:
+    if measure.threshold + _SLACK < measure.lowest or measure.threshold > 1:
         raise ValueError(f"threshold {measure.threshold} is too low to find pairs by shared pieces")
-    right = _pieces(registry.select("reg_name"), "reg_name", size).select(
-        "reg_name",
-        F.col("n").alias("m"),
-        F.col("letters").alias("reg_letters"),
-        F.col("pos").alias("reg_pos"),
-        "piece",
-    )
+    cut = [
+        df.select(F.col(c).alias("name")).select(
+            "name", F.length("name").alias("n"), _letters(F.col("name")).alias("letters"),
+            F.posexplode(_cut(F.col("name"))).alias("pos", "piece"),
+        )
+        for df, c in ((names, "name"), (registry, "reg_name"))
+    ]
+    both = cut[0].select("piece").unionByName(cut[1].select("piece"))
+    frequency = both.groupBy("piece").agg(F.count("*").alias("held"))
     n, m = F.col("n"), F.col("m")
-    # each name looks in the few lengths and positions where a match can be
+
+    # a registry name's prefix for the shortest bound of all lengths it can meet
+    least = F.array_min(F.transform(F.sequence(measure.shortest(m), measure.longest(m)), lambda k: measure.min_shared(k, m)))
+    right = _ordered(cut[1], frequency).select(
+        F.col("name").alias("reg_name"), F.col("n").alias("m"), F.col("letters").alias("reg_letters"),
+        F.col("pos").alias("reg_pos"), "piece", F.col("place").alias("reg_place"),
+    ).where(F.col("reg_place") <= _prefix(m, least))
+    # each name looks in the few lengths where a match can be
     left = (
-        _pieces(names.select("name"), "name", size)
+        _ordered(cut[0], frequency)
         .withColumn("m", F.explode(F.sequence(measure.shortest(n), measure.longest(n))))
         .withColumn("m", m.cast("int"))
-        .withColumn("shift", measure.max_shift(n, m).cast("int"))
-        .withColumn(
-            "reg_pos",
-            F.explode(
-                F.sequence(F.greatest(F.col("pos") - F.col("shift"), F.lit(0)), F.col("pos") + F.col("shift"))
-            ),
-        )
+        .withColumn("needed", measure.min_shared(n, m).cast("int"))
+        .where(F.col("place") <= _prefix(n, F.col("needed")))
         .withColumn("max_letters", measure.max_letters(n, m))
-        .select("name", "n", "m", "letters", "max_letters", "reg_pos", "piece")
+        .withColumn("shift", measure.max_shift(n, m))
     )
-    same_place = ["piece", "m", "reg_pos"]
-    different = _different_letters(F.col("letters"), F.col("reg_letters"))
-    condition = different <= F.col("max_letters")
-    for column in same_place:
-        condition = condition & (left[column] == right[column])
-    return (
-        left.join(right, condition)
-        .groupBy("name", "reg_name", "n", left["m"].alias("m"))
-        .agg(F.count("*").alias("shared"))
-        .where(F.col("shared") >= measure.min_shared(n, m))
-        .select("name", "reg_name")
+    after = F.least(n - F.col("place"), right["m"] - F.col("reg_place")) + (PIECE - 1)
+    condition = (
+        (left["piece"] == right["piece"])
+        & (left["m"] == right["m"])
+        & (F.abs(F.col("pos") - F.col("reg_pos")) <= F.col("shift"))
+        & (after + 1 >= F.col("needed"))
+        & (_different_letters(F.col("letters"), F.col("reg_letters")) <= F.col("max_letters"))
     )
+    pairs = left.join(right, condition).select("name", "reg_name").distinct()
+    n, m = F.length("name"), F.length("reg_name")
+    needed = measure.min_shared(n, m)
+
+    def missing(one: str, other: str, size: Column) -> Column:
+        return F.size(F.array_except(_cut(F.col(one)), _cut(F.col(other)))) <= size + (PIECE - 1) - needed
+
+    near = pairs.where(missing("name", "reg_name", n) & missing("reg_name", "name", m))
+    known = names.select(F.col("name").alias("_of"), _places(F.col("name")).alias("_places"))
+    placed = near.join(known, F.col("name") == F.col("_of"))
+    common = _common(F.col("_places"), n, F.col("reg_name"))
+    return placed.where((n > LONGEST) | (common >= measure.matched(n, m))).select("name", "reg_name")
+
+
+#: Letters of the longest name whose places fit into the bits of a number.
+LONGEST = 60
+
+
+def _places(name: Column) -> Column:
+    """For each letter of a name, the places where it stands, as bits."""
+
+    def bits(letter: Column) -> Column:
+        add = lambda all_, i: F.when(F.substring(name, i, F.lit(1)) == letter, all_.bitwiseOR(_bit(i - 1))).otherwise(all_)
+        return F.aggregate(F.sequence(F.lit(1), F.length(name)), F.lit(0).cast("long"), add)
+
+    letters = F.array_distinct(F.split(name, ""))
+    entries = F.transform(letters, lambda c: F.struct(c.alias("letter"), bits(c).alias("bits")))
+    return F.when(F.length(name) <= LONGEST, F.map_from_entries(entries))
+
+
+def _bit(place: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), place.cast("int"))
+
+
+def _common(places: Column, n: Column, other: Column) -> Column:
+    """Length of the longest common subsequence of a name (by its places) and another."""
+    full = _bit(F.least(n, F.lit(LONGEST))) - 1
+
+    def step(row: Column, letter: Column) -> Column:
+        met = row.bitwiseAND(F.coalesce(F.try_element_at(places, letter), F.lit(0).cast("long")))
+        return (row + met).bitwiseOR(row - met).bitwiseAND(full)
+
+    return n - F.bit_count(F.aggregate(F.split(other, ""), full, step))
 
 
 def best_match(

@@ -7,7 +7,9 @@ from difflib import SequenceMatcher
 
 import pytest
 
-from lakeops.operators.similarity import BlockRatio, EditSimilarity, best_match, candidate_pairs
+from pyspark.sql import functions as F
+
+from lakeops.operators.similarity import BlockRatio, EditSimilarity, _common, _places, best_match, candidate_pairs
 
 
 def edit_similarity(a, b):
@@ -104,6 +106,59 @@ def test_players(spark, rows):
     assert nobody.where("match_id is not null").count() == 0 and nobody.count() == 6
 
 
+def common(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(row[j] + 1 if x == y else max(new[-1], row[j + 1]))
+        row = new
+    return row[-1]
+
+
+def test_common_subsequences(spark, names):
+    asked, registry = names
+    pairs = [(a, b) for a in [*asked[:40], "x" * 60, "ab" * 30] for b in [*registry[:40], "xa" * 50]]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    got = df.select("a", "b", _common(_places(F.col("a")), F.length("a"), F.col("b")).alias("k")).collect()
+    assert all(r.k == common(r.a, r.b) for r in got)
+
+
+@pytest.mark.parametrize(("measure", "similarity"), MEASURES)
+def test_scored_pairs_of_common_first_names(spark, measure, similarity):
+    """A third of the people have one first name: at 4,000, 1.8 million pairs share it. What is
+    scored stays below two pairs a person.
+    """
+    rng = random.Random(8)
+
+    def people(n):
+        last = ["".join(rng.choice("aabcdeefghiiklmnoprstuvz") for _ in range(rng.randint(6, 10))) for _ in range(n)]
+        first = ["michael" if i % 3 == 0 else "".join(rng.choice("abcdefghijklmnopr") for _ in range(7)) for i in range(n)]
+        return sorted({f"{a} {b}" for a, b in zip(first, last)})
+
+    scored = []
+    for n in (1000, 2000, 4000):
+        registry = people(n)
+        asked = sorted({x[:9] + x[10:] for x in registry})
+        pairs = candidate_pairs(
+            spark.createDataFrame([(x,) for x in asked], "name string"),
+            spark.createDataFrame([(x,) for x in registry], "reg_name string"),
+            measure(0.8),
+        )
+        scored.append(pairs.count())
+        assert n - 10 <= scored[-1] <= 2 * n
+
+
+def test_long_names(spark):
+    long_ = "ab cd " * 15
+    asked = [long_, long_[:-3] + "xyz", "short"]
+    got = best_match(
+        spark.createDataFrame([(x,) for x in asked], "who string"),
+        spark.createDataFrame([(long_ + "q", 1), ("shorty", 2)], "known string, id int"), "who", "known", "id", BlockRatio(),
+    )
+    assert sorted(r.match_id for r in got.collect()) == [1, 1, 2]
+
+
 def test_low_threshold_is_refused(spark):
     empty = spark.createDataFrame([], "name string, reg_name string")
     with pytest.raises(ValueError, match="too low"):

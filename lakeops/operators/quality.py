@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lakeops.functions.numbers import round_to
@@ -42,6 +42,10 @@ def quality_report(
         (f"positive_{positive}", total, F.col("positive")),
         *[(f"null_{c}", zero, F.col(f"null_{c}")) for c in critical],
     ]
+    return _report(measured, checks)
+
+
+def _report(measured: DataFrame, checks: Sequence[tuple[str, Column, Column]]) -> DataFrame:
     rows = F.array(
         *[
             F.struct(
@@ -56,6 +60,40 @@ def quality_report(
     return measured.select(F.inline(rows))
 
 
+def checked_write(
+    df: DataFrame, write: Callable[[DataFrame], None], positive: str, critical: Sequence[str]
+) -> DataFrame:
+    """Run ``write(df)`` and report on the rows in the pass that writes them.
+
+    (check_name, expected, actual, status): some rows, positive amount, no critical nulls.
+    The input is read once. A unique key needs all rows of a key together, see
+    ``quality_report``. If a task runs again because an executor was lost, its rows may be
+    counted twice on both sides of a check, so the status stays right.
+    """
+    seen = Observation()
+    measures = [
+        F.count(F.lit(1)).alias("total"),
+        F.count_if(F.col(positive) > 0).alias("positive"),
+        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in critical],
+    ]
+    write(df.observe(seen, *measures))
+    found = seen.get
+    names = ["total", "positive", *[f"null_{c}" for c in critical]]
+    measured = df.sparkSession.createDataFrame(
+        [tuple(found[n] for n in names)], ", ".join(f"`{n}` long" for n in names)
+    )
+    total, zero = F.col("total"), F.lit(0).cast("long")
+    some = F.greatest(total, F.lit(1).cast("long"))
+    return _report(
+        measured,
+        [
+            ("some_rows", some, total),
+            (f"positive_{positive}", total, F.col("positive")),
+            *[(f"null_{c}", zero, F.col(f"null_{c}")) for c in critical],
+        ],
+    )
+
+
 def null_profile(df: DataFrame, tests: dict[str, Column]) -> DataFrame:
     """(column_name, null_count, null_pct) for named null tests, in one aggregate."""
     total = F.count("*")

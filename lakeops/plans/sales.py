@@ -10,10 +10,12 @@ from lakeops.functions.numbers import exact_sum
 from lakeops.operators import marts
 from lakeops.operators.aggregates import row_counts
 from lakeops.operators.joins import with_child_count
-from lakeops.operators.quality import quality_report
+from lakeops.operators.quality import checked_write, quality_report
 from lakeops.plans.registry import query
 from lakeops.plans.views import PROCESSED_VIEWS, SALES_VIEWS, Tables, emp, sales, sales_processed, sales_raw
 from lakeops.workspace import stored
+from lakeops.sources.files import write_table
+from lakeops.workspace import new_folder
 
 # Date that tenure is measured to, instead of the day of the run.
 TENURE_DATE = "2002-01-01"
@@ -101,6 +103,31 @@ def quality_checks(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    """WITH m AS (SELECT count(*) AS total, count(*) FILTER (WHERE totalprice > 0) AS positive,
+                         count(*) FILTER (WHERE salesid IS NULL) AS n1,
+                         count(*) FILTER (WHERE salesdate IS NULL) AS n2,
+                         count(*) FILTER (WHERE totalprice IS NULL) AS n3 FROM sales_raw),
+            r AS (SELECT 'some_rows' AS check_name, greatest(total, 1) AS expected, total AS actual FROM m
+                  UNION ALL SELECT 'positive_totalprice', total, positive FROM m
+                  UNION ALL SELECT 'null_salesid', 0, n1 FROM m
+                  UNION ALL SELECT 'null_salesdate', 0, n2 FROM m
+                  UNION ALL SELECT 'null_totalprice', 0, n3 FROM m)
+       SELECT check_name, CAST(expected AS BIGINT) AS expected, actual,
+              CASE WHEN expected = actual THEN 'PASS' ELSE 'FAIL' END AS status FROM r""",
+    ["sales_raw"],
+)
+def checks_while_writing(t: Tables) -> DataFrame:
+    """The raw sales stored by month, and checked by the job that stores them."""
+    rows = sales_raw(t).withColumns({"year": F.year("salesdate"), "month": F.month("salesdate")})
+    path = new_folder(t.spark, "sales-checked")
+
+    def write(df: DataFrame) -> None:
+        write_table(df, path, partition_by=["year", "month"])
+
+    return checked_write(rows, write, "totalprice", ["salesid", "salesdate", "totalprice"])
+
+
 _EMPLOYEE = "salespersonid, employeefirstname, employeelastname"
 _PRICE = "CAST(SUM(totalprice) AS DOUBLE)"
 _AVG_PRICE = "CAST(SUM(totalprice) AS DOUBLE) / COUNT(totalprice)"

@@ -12,6 +12,7 @@ from lakeops.operators.history import add_columns
 from lakeops.plans.registry import query
 from lakeops.plans.views import SALES_VIEWS, Tables, box, sales
 from lakeops.schemas import ALL_TABLES, DRIVER_TABLES
+from lakeops.sources.bucketed import write_clustered
 from lakeops.sources.files import (
     copy_table,
     ensure_table,
@@ -20,7 +21,6 @@ from lakeops.sources.files import (
     read_parquet_merged,
     storage_size as sizes_of,
     write_single_file,
-    write_sorted,
     write_table,
 )
 from lakeops.workspace import new_folder
@@ -183,10 +183,10 @@ def storage_size(t: Tables) -> DataFrame:
     ["box"],
 )
 def data_skipping(t: Tables) -> DataFrame:
-    """Box scores sorted by team and person, then counted for one team and for one person."""
+    """Box scores clustered by team and person, then counted for one team and for one person."""
     rows = box(t)
-    path = new_folder(t.spark, "box-sorted")
-    write_sorted(rows, path, ["playerteamname", F.col("gamedatetimeest").desc(), "personid"])
+    path = new_folder(t.spark, "box-clustered")
+    write_clustered(rows, path, ["playerteamname", "personid"], bloom={"personid": 100_000})
     stored = t.spark.read.schema(rows.schema).parquet(path)
 
     team = count_of(stored, "playerteamname", "NATION_7").withColumn("filter", F.lit("team"))

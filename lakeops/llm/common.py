@@ -16,6 +16,8 @@ from lakeops.workspace import stored
 
 #: Text bytes handled at once inside a task; a longer single text is handled alone.
 SLICE_BYTES = 4 << 20
+#: Bytes that Spark sends to Python at once.
+BATCH_BYTES = 8 << 20
 #: Groups of a sample whose limits are broadcast.
 SENT_GROUPS = 10_000
 
@@ -47,6 +49,17 @@ def kept(key: str, make: Callable):
     return _kept[key]
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let Spark send documents to Python by a few MB, unless the session says otherwise.
+
+    A batch stands in memory on both sides; one with a longer text holds that text alone.
+    """
+    for key, value in {"maxBytesPerBatch": str(BATCH_BYTES), "maxRecordsPerBatch": "2000"}.items():
+        name = f"spark.sql.execution.arrow.{key}"
+        if spark.conf.get(name, None) is None:
+            spark.conf.set(name, value)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -10,7 +10,7 @@ from lakeops.llm import (
     bpe, collocations, language, mixing, near_vectors, ngram_join, packing, quality, resampling, secrets, token_counts,
     topk, toxicity,
 )
-from lakeops.llm.common import fold, table
+from lakeops.llm.common import fold, small_batches, table
 from lakeops.workspace import new_folder, stored
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -19,6 +19,7 @@ WORD_BPE = "word_bpe_49k.json"
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose four-word shingles are 85 % alike."""
+    small_batches(spark)
     how = ngram_join.Similarity(words=4, percent=85)
     return ngram_join.ngram_join(table(spark, sf_dir, "documents"), how)
 

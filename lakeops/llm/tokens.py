@@ -13,11 +13,11 @@ from lakeops.llm.bpe import byte_letters
 from lakeops.llm.common import kept as kept_object
 
 #: Bytes that a worker process keeps of encoded words.
-CACHE_BYTES = 64 << 20
+CACHE_BYTES = 24 << 20
 #: Longer words are not kept. What an entry takes besides its letters and ids.
 LONGEST, ENTRY = 64, 220
 #: Letters of a text whose words are held at once.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 
 # Fixed value: the pattern by which the file's model splits words, without its special tokens.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -99,8 +99,9 @@ class PieceEncoder:
         self.tokenizer.no_padding()
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.dtype = id_type(path)
+        self.dtype = _id_type(spec)
         self.cuts = _forgets_space(spec)
+        del spec
         self.kept = Kept(CACHE_BYTES)
         self.model = self.tokenizer.model
         self.code = "H" if self.dtype == "<u2" else "I"
@@ -151,7 +152,10 @@ class PieceEncoder:
 
 def id_type(path: str) -> str:
     with open(path, encoding="utf-8") as f:
-        spec = json.load(f)
+        return _id_type(json.load(f))
+
+
+def _id_type(spec: dict) -> str:
     ids = [*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])]
     return "<u2" if max(ids) < 1 << 16 else "<u4"
 

@@ -17,7 +17,7 @@ from lakeops.workspace import stored
 #: Text bytes handled at once inside a task; a longer single text is handled alone.
 SLICE_BYTES = 4 << 20
 #: Bytes that Spark sends to Python at once.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 #: Groups of a sample whose limits are broadcast.
 SENT_GROUPS = 10_000
 
@@ -36,6 +36,11 @@ def begin(kind: str) -> None:
         return
     _kind[0] = kind
     _kept.clear()
+    give_back()
+
+
+def give_back() -> None:
+    """Call when a task ends: memory that it used goes back to the machine."""
     gc.collect()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # other C libraries do this by themselves
@@ -99,6 +104,7 @@ def map_slices(
         for batch in batches:
             for piece in slices(batch, column):
                 yield work(piece)
+        give_back()
 
     return df.mapInArrow(run, schema)
 

@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.common import begin, bounded_sample
+from lakeops.llm.common import begin, bounded_sample, give_back
 
 
 def labelled(
@@ -91,5 +91,6 @@ def scored(score: Callable[[str], float]):
         begin(score.__qualname__)
         for batch in batches:
             yield batch.fillna("").map(score).astype(float)
+        give_back()
 
     return column

@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeops.llm.common import begin, slices
+from lakeops.llm.common import begin, give_back, slices
 from lakeops.llm.components import components, stars
 from lakeops.llm.shingles import mix, set_id, shingle_sets
 from lakeops.workspace import stored
@@ -141,6 +141,7 @@ def _survey(docs: DataFrame, how: Similarity) -> DataFrame:
                 ],
                 ["kind", "doc_id", "n", "id", "block", "counts"],
             )
+        give_back()
 
     return docs.mapInArrow(
         run, "kind int, doc_id bigint, n bigint, id bigint, block int, counts binary"
@@ -260,6 +261,7 @@ def _postings(docs: DataFrame, how: Similarity, counters, light: int) -> DataFra
                 ],
                 ["key", "salt", "id"],
             )
+        give_back()
 
     return docs.mapInArrow(run, "key bigint, salt int, id bigint")
 

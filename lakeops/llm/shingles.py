@@ -8,7 +8,7 @@ import pyarrow.compute as pc
 import xxhash
 
 #: Bytes of text that are hashed at once.
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 #: Longer words are hashed by themselves: a polynomial modulo a power of two has words that
 #: anyone can write down with the same value, but only long ones.
 LONG_WORD = 64

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import re
 from array import array
 
@@ -183,5 +184,6 @@ def _forgets_space(spec: dict) -> bool:
 
 
 def load(path: str) -> PieceEncoder:
-    """One instance for each worker process and file."""
+    """One instance for each worker process and file; Spark's tasks are the only threads."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     return kept_object(path, lambda: PieceEncoder(path))

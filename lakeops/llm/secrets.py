@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeops.llm.batches import BatchFolder
 from lakeops.workspace import stored
 
 
@@ -52,8 +53,11 @@ MORE = (
 )
 RULES = BASE + MORE
 
-#: Contents with findings are broadcast to their documents up to this number.
-BROADCAST_BLOBS = 200_000
+#: Findings are broadcast to their documents up to this number of spans and contents together;
+#: each takes about 100 bytes.
+BROADCAST_SPANS = 500_000
+#: Code points of a text that are read to find one place in it.
+BLOCK = 2048
 
 SPANS = "array<struct<start:int,end:int,nr:int,kind:string>>"
 
@@ -63,6 +67,27 @@ def blob_id(text: Column) -> Column:
     return F.sha2(F.coalesce(text, F.lit("")), 256)
 
 
+def running(items: Column, add: Callable[[Column, Column], Column]) -> Column:
+    """The array's running totals by ``add``, which is associative: n log n steps for n items.
+
+    Each step adds the item 1, 2, 4, ... places before, so no array grows item by item.
+    """
+    steps = F.array(*(F.lit(1 << k) for k in range(31)))
+    return F.aggregate(
+        steps,
+        items,
+        lambda now, step: F.when(
+            step < F.size(now),
+            F.transform(now, lambda x, i: F.when(i >= step, add(F.get(now, i - step), x)).otherwise(x)),
+        ).otherwise(now),
+    )
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def spans(text: Column, rule: Rule, nr: int) -> Column:
     """Where a rule matches, leftmost and without overlap, in code points, end exclusive.
 
@@ -72,29 +97,25 @@ def spans(text: Column, rule: Rule, nr: int) -> Column:
     gaps = F.split(text, rule.pattern, -1)
     found = F.regexp_extract_all(text, pattern, F.lit(0))
     long_enough = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else found
-    place = F.aggregate(
+    sizes = F.transform(
         F.arrays_zip(gaps.alias("gap"), found.alias("hit"), long_enough.alias("part")),
-        F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as {SPANS})").alias("out")),
-        lambda now, x: F.struct(
-            (now.at + F.char_length(x.gap) + F.coalesce(F.char_length(x.hit), F.lit(0))).alias("at"),
-            F.when(
-                F.char_length(x.part) >= rule.least,
-                F.concat(
-                    now.out,
-                    F.array(
-                        F.struct(
-                            (now.at + F.char_length(x.gap)).alias("start"),
-                            (now.at + F.char_length(x.gap) + F.char_length(x.hit)).alias("end"),
-                            F.lit(nr).alias("nr"),
-                            F.lit(rule.kind).alias("kind"),
-                        )
-                    ),
-                ),
-            )
-            .otherwise(now.out)
-            .alias("out"),
+        lambda x: F.struct(
+            (F.char_length(x.gap) + F.coalesce(F.char_length(x.hit), F.lit(0))).alias("end"),
+            F.char_length(x.hit).alias("size"),
+            F.char_length(x.part).alias("part"),
+        ),
+    )
+    ends = running(
+        sizes, lambda a, b: F.struct((a.end + b.end).alias("end"), b["size"].alias("size"), b.part.alias("part"))
+    )
+    place = F.transform(
+        F.filter(ends, lambda x: x.part >= rule.least),
+        lambda x: F.struct(
+            (x.end - x["size"]).alias("start"),
+            x.end.alias("end"),
+            F.lit(nr).alias("nr"),
+            F.lit(rule.kind).alias("kind"),
         ),
-        lambda now: now.out,
     )
     none = F.expr(f"cast(array() as {SPANS})")
     return F.when(text.rlike(rule.hint or rule.pattern), place).otherwise(none)
@@ -109,41 +130,35 @@ def findings(text: Column, rules=RULES) -> Column:
 class BlobLedger:
     """Which contents were scanned by which rule versions, and what was found in them.
 
-    A folder of Parquet tables: one sub-folder per batch, one row per content and rule, with
-    the spans. A batch scans each content once, however many paths and versions hold it, and
-    only by the rules that no earlier batch applied to it. Writing a batch again replaces it.
+    A folder of batches, one row per content and rule, with the spans. A batch scans each
+    content once, however many paths and versions hold it, and only by the rules that no
+    earlier batch applied to it. Writing a batch again replaces it (see ``BatchFolder``).
     """
 
-    schema = f"blob string, rule string, spans {SPANS}, batch string"
+    rows = f"blob string, rule string, spans {SPANS}"
+    schema = f"{rows}, batch string"
 
     def __init__(self, spark: SparkSession, path: str, rules=RULES):
         self.spark, self.path, self.rules = spark, path.rstrip("/"), tuple(rules)
-
-    def _known(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(self.schema).parquet(self.path)
-        except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
+        self.batches = BatchFolder(spark, path, self.rows)
 
     def scan(self, batch: str, contents: DataFrame) -> DataFrame:
-        """Add the unseen among ``contents`` (blob, text) and return all findings by blob.
+        """Add the unseen among ``contents`` (blob, text) and return their findings: blob, spans.
 
-        The result has a row for each blob of the ledger: blob, spans.
+        The result has a row for each blob of ``contents``. Of the ledger only these blobs are
+        grouped. A text of any length is scanned whole, in n log n steps for n findings.
         """
-        known = self._known()
-        if known is not None:
-            known = known.filter(F.col("batch") != batch)
-        seen = None
-        if known is not None:
-            seen = known.groupBy("blob").agg(F.collect_set("rule").alias("seen"))
+        earlier = not self.batches.names().filter(F.col("batch") != batch).isEmpty()
         # copies of a content meet in one row; each task merges its own copies first
         new = contents.groupBy("blob").agg(F.first("text").alias("text"))
-        if seen is not None:
-            new = new.join(seen, "blob", "left").withColumn("seen", F.coalesce("seen", F.array().cast("array<string>")))
+        none = F.array().cast("array<string>")
+        if earlier:
+            ids = stored(contents.select("blob").distinct(), "blobs")
+            known = self.batches.read().filter(F.col("batch") != batch).join(ids, "blob", "left_semi")
+            seen = known.groupBy("blob").agg(F.collect_set("rule").alias("seen"))
+            new = new.join(seen, "blob", "left").withColumn("seen", F.coalesce("seen", none))
         else:
-            new = new.withColumn("seen", F.array().cast("array<string>"))
+            new = new.withColumn("seen", none)
         left = [r.key for r in self.rules]
         new = new.filter(F.size(F.array_except(F.array(*map(F.lit, left)), F.col("seen"))) > 0)
         text = F.coalesce("text", F.lit(""))
@@ -157,11 +172,11 @@ class BlobLedger:
             )
         )
         rows = new.select("blob", F.explode(F.filter(scanned, lambda x: x.isNotNull())).alias("x"))
-        rows.select("blob", "x.rule", "x.spans").write.mode("overwrite").parquet(
-            f"{self.path}/batch={batch}"
-        )
+        self.batches.write(batch, rows.select("blob", "x.rule", "x.spans"))
         order = F.array_sort("spans", lambda a, b: F.when(a.start != b.start, a.start - b.start).otherwise(a.nr - b.nr))
-        every = self._known().filter(F.col("rule").isin(left))
+        every = self.batches.read().filter(F.col("rule").isin(left))
+        if earlier:
+            every = every.join(ids, "blob", "left_semi")
         return (
             every.groupBy("blob")
             .agg(F.flatten(F.collect_list("spans")).alias("spans"))
@@ -173,10 +188,12 @@ def scan_versions(ledger: BlobLedger, batch: str, versions: DataFrame, text_col:
     """The versions with the spans of their content: all columns but the text, and blob, spans.
 
     NULL text is the empty content. A path may come any number of times, with any versions.
+    Columns of the versions that are called blob or spans give way to the new ones.
     """
-    named = versions.withColumn("blob", blob_id(F.col(text_col)))
-    found = ledger.scan(batch, named.select("blob", F.col(text_col).alias("text")))
-    return named.drop(text_col).join(found, "blob", "left")
+    own = [c for c in versions.columns if c not in (text_col, "blob", "spans")]
+    named = versions.select(*own, blob_id(versions[text_col]).alias("blob"), versions[text_col].alias("_text"))
+    found = ledger.scan(batch, named.select("blob", F.col("_text").alias("text")))
+    return named.drop("_text").join(found, "blob", "left").select(*own, "blob", "spans")
 
 
 def joined(spans_col: Column) -> Column:
@@ -188,19 +205,44 @@ def joined(spans_col: Column) -> Column:
 
 
 def masked(text: Column, spans_col: Column, mark: str = "[SECRET]") -> Column:
-    """The text with every span replaced by ``mark``; overlapping spans are one."""
-    done = F.aggregate(
-        spans_col,
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda now, s: F.when(
-            s.start >= now.at,
-            F.struct(
-                s.end.alias("at"),
-                F.concat(now.out, F.substring(text, now.at + 1, s.start - now.at), F.lit(mark)).alias("out"),
+    """The text with every span replaced by ``mark``; overlapping spans are one.
+
+    ``spans_col`` is ordered by start. The text is cut into blocks once, and what is kept is
+    taken from them, as a place in a long text is only found by reading up to it.
+    """
+
+    def between(blocks: Column, start: Column, end: Column) -> Column:
+        """The text from start to end, from the blocks it lies in."""
+        first, last = F.floor(start / BLOCK).cast("int"), F.floor((end - 1) / BLOCK).cast("int")
+        parts = F.transform(
+            F.sequence(first, last),
+            lambda b: F.substring(
+                F.get(blocks, b), F.greatest(start - b * BLOCK, F.lit(0)) + 1, F.least(end - b * BLOCK, F.lit(BLOCK))
+                - F.greatest(start - b * BLOCK, F.lit(0))
             ),
-        ).otherwise(F.struct(F.greatest(s.end, now.at).alias("at"), now.out.alias("out"))),
-        lambda now: F.concat(now.out, F.substring(text, now.at + 1, F.char_length(text))),
-    )
+        )
+        return F.when(end > start, F.array_join(parts, "")).otherwise("")
+
+    def keep(blocks: Column) -> Column:
+        reach = running(F.transform(spans_col, lambda s: s.end), F.greatest)
+
+        def rest(reached: Column) -> Column:
+            before = F.transform(
+                spans_col,
+                lambda s, i: F.struct(
+                    F.when(i > 0, F.get(reached, i - 1)).otherwise(0).alias("at"), s.start.alias("start")
+                ),
+            )
+            cut = F.transform(
+                F.filter(before, lambda s: s.start >= s["at"]),
+                lambda s: F.concat(between(blocks, s["at"], s.start), F.lit(mark)),
+            )
+            tail = between(blocks, F.element_at(reached, -1), F.char_length(text))
+            return F.concat(F.array_join(cut, ""), tail)
+
+        return bound(reach, rest)
+
+    done = bound(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)), keep)
     return F.when(F.size(spans_col) > 0, done).otherwise(text)
 
 
@@ -210,12 +252,12 @@ def mask_documents(
     """The rows of ``docs`` with every span of their text masked, all columns in their order.
 
     ``length_col``, if there is one, is the new length where the text changed. Only contents
-    with findings are joined; they are broadcast up to BROADCAST_BLOBS.
+    with findings are joined; they are broadcast up to BROADCAST_SPANS spans in all.
     """
     whole = docs.select(F.struct(*docs.columns).alias("row"), blob_id(docs[text_col]).alias("blob"))
     found = ledger.scan(batch, whole.select("blob", F.col("row")[text_col].alias("text")))
     found = stored(found.filter(F.size("spans") > 0), "findings")
-    few = found.count() <= BROADCAST_BLOBS
+    few = (found.agg(F.sum(F.size("spans") + 1)).first()[0] or 0) <= BROADCAST_SPANS
     held = whole.join(F.broadcast(found) if few else found, "blob", "left")
     changed = F.col("spans").isNotNull()
     text = F.when(changed, masked(F.col("row")[text_col], F.col("spans"))).otherwise(F.col("row")[text_col])

@@ -6,6 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeops.llm.batches import BatchFolder
 from lakeops.llm.common import map_slices, texts
 from lakeops.llm.tokens import load
 
@@ -13,7 +14,10 @@ KEYS = ["source", "lang", "tokenizer"]
 
 
 def counted(docs: DataFrame, path: str, tokenizer: str, id_col="doc_id", text_col="text") -> DataFrame:
-    """doc_id, source, lang, tokenizer, n_tokens of every row; NULL and empty texts have none."""
+    """doc_id, source, lang, tokenizer, n_tokens of every row; NULL and empty texts have none.
+
+    Texts of any length are counted whole.
+    """
 
     def make():
         coder = load(path)
@@ -52,33 +56,36 @@ def revisions(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 class TokenTotals:
-    """Additive totals in a folder: one sub-folder of summed changes for each batch.
+    """Additive totals in a folder of batches of summed changes.
 
-    A batch is written as a whole or not at all, and writing it again replaces it, so a
-    batch that is repeated after a failure counts once. Totals are the sum over batches.
-    NULL sources and languages are keys of their own; a NULL count adds no tokens; a batch
-    without changes is committed as an empty one.
+    A batch counts as a whole or not at all, and once however often it is sent: sending it
+    again replaces it, and readers see the earlier one until then (see ``BatchFolder``).
+    Totals are the sum over batches, none before the first. NULL sources and languages are
+    keys of their own; a NULL count adds no tokens; a batch without changes is an empty one.
     """
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+        kind = "source string, lang string, tokenizer string, docs bigint, tokens bigint"
+        self.batches = BatchFolder(spark, path, kind)
+
+    @staticmethod
+    def _summed(changes: DataFrame) -> DataFrame:
+        return (
+            changes.groupBy(*KEYS)
+            .agg(F.sum("docs").alias("docs"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"))
+            .filter("docs <> 0 or tokens <> 0")
+        )
 
     def commit(self, batch: str, changes: DataFrame) -> None:
         """Add the signed ``changes`` (source, lang, tokenizer, docs, tokens) as one batch."""
-        if not batch or not all(c.isalnum() or c in "-_" for c in batch):
-            raise ValueError("a batch is named by letters, digits, - and _")
-        summed = changes.groupBy(*KEYS).agg(
-            F.sum("docs").alias("docs"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens")
-        )
-        summed.filter("docs <> 0 or tokens <> 0").write.mode("overwrite").parquet(
-            f"{self.path}/batch={batch}"
-        )
+        self.batches.write(batch, self._summed(changes))
+
+    def compact(self) -> None:
+        """Add up all batches into one. Their names stay known: sent again, they change nothing."""
+        self.batches.fold(self._summed)
 
     def totals(self) -> DataFrame:
         """source, lang, tokenizer, n_docs, n_tokens of all batches; keys without rest are left out."""
-        kind = "source string, lang string, tokenizer string, docs bigint, tokens bigint, batch string"
-        found = self.spark.read.schema(kind).parquet(self.path)
-        summed = found.groupBy(*KEYS).agg(
-            F.sum("docs").alias("n_docs"), F.sum("tokens").alias("n_tokens")
+        return self._summed(self.batches.read()).select(
+            *KEYS, F.col("docs").alias("n_docs"), F.col("tokens").alias("n_tokens")
         )
-        return summed.filter("n_docs <> 0 or n_tokens <> 0")

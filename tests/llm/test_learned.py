@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -80,15 +81,72 @@ def test_grammar():
 
 
 def test_composition_is_the_product():
-    parts = [toxicity.window(toxicity.NEGATES, 2, 0.5), toxicity.rest_of_clause(toxicity.REPORTS, 0.3)]
-    both = toxicity.Composed(parts)
+    parts = [toxicity.window(toxicity.NEGATES, 2, 0.5), toxicity.in_clause(toxicity.REPORTS, 0.3), toxicity.threat()]
+    both = toxicity.composed(parts)
     rng = random.Random(1)
-    states, state = [0, 0], 0
+    states, state = [0, 0, 0], 0
     for _ in range(500):
         x = rng.randrange(7)
         states = [p.step[s][x] for p, s in zip(parts, states)]
         state = both.step[state][x]
         assert both.factor[state] == pytest.approx(np.prod([p.factor[s] for p, s in zip(parts, states)]))
+        assert both.final[state] == pytest.approx(np.prod([p.final[s] for p, s in zip(parts, states)]))
+        assert both.accepts[state] == frozenset().union(*(p.accepts[s] for p, s in zip(parts, states)))
+
+
+def test_words_bend_a_clause_from_both_sides():
+    model = toxicity.Toxicity({"idiot$": 4.0}, [1.0, 1.0, -2.0], 0.1)
+
+    def weights(text):
+        return [w for _, _, w in model.matches(text)]
+
+    assert weights("I will kill you") == weights("kill you") == weights("you, I will kill") == [4.5]
+    assert weights("they never kill") == [2.25] and weights("kill time. you") == []
+    assert weights("you idiot") == weights("idiot, you") == [6.0]
+    assert weights("you idiot, she said") == weights("she said you idiot") == [3.0]
+    for apostrophe in "'’":
+        assert weights(f"aren{apostrophe}t an idiot") == [2.0]
+    assert weights("l'idiot") == weights("an idiot's") == [4.0]
+
+
+def test_matches_equal_a_plain_reading():
+    """Scores of random texts, worked out clause by clause without a machine."""
+    model = toxicity.Toxicity({"idiot$": 4.0, "scum": 3.0}, [1.0, 0.5, -2.0], 0.1)
+    rng = random.Random(8)
+    vocabulary = ["idiot", "scummy", "kill", "beat", "you", "said", "not", "the", "a", "house", ".", "!", "didn't"]
+
+    def plain(text):
+        kinds = {}
+        for clause in re.split(r"[.!?;:\n]", text):
+            words = clause.replace("n't", " n't").split()
+            insults = {"idiot": 4.0, "scummy": 3.0}
+            near = lambda i: 0.5 if {"not", "n't"} & set(words[max(0, i - 3) : i]) else 1.0
+            whole = (1.5 if "you" in words else 1.0) * (0.5 if "said" in words else 1.0)
+            found = {}
+            for i, w in enumerate(words):
+                if w in insults:
+                    found[w] = max(found.get(w, 0.0), insults[w] * near(i) * whole)
+            threats = [(3.0 * near(i) * whole, -i, w) for i, w in enumerate(words) if w in ("kill", "beat")]
+            if threats and "you" in words:
+                found[max(threats)[2]] = max(threats)[0]
+            if found:
+                key = frozenset(found)
+                kinds[key] = max(kinds.get(key, 0.0), sum(found.values()))
+        return np.log1p([max(kinds.values(), default=0.0), sum(kinds.values())])
+
+    for _ in range(500):
+        text = " ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 40)))
+        assert model.features(text) == pytest.approx(plain(text).tolist())
+
+
+def test_a_long_text_is_read_whole(spark):
+    """20 MB in one text: the insult at its end counts, for the score and for the language."""
+    text = "a plain sentence about the weather.\n" * 560_000 + "you idiot"
+    model = toxicity.Toxicity({"idiot$": 4.0}, [1.0, 1.0, -2.0], 0.1)
+    assert len(text) > 20_000_000
+    docs = spark.createDataFrame([(1, text), (2, text[:-9])], "doc_id long, text string")
+    got = docs.select("doc_id", toxicity.toxicity_score(model, F.col("text")).alias("s")).collect()
+    assert {r.doc_id: r.s > 0.5 for r in got} == {1: True, 2: False}
 
 
 def test_mixtures_are_found():

@@ -21,9 +21,24 @@ N = 3
 #: Steps of the mixture, and what a further language must add to the log likelihood.
 STEPS, PENALTY = 12, 3.0
 
+#: Characters of a text that are split into words at once, and words whose likelihoods a worker keeps.
+PIECE, KNOWN_WORDS = 1 << 20, 300_000
+
 WORDS = re.compile(r"[^\W\d_]+")
 
 
+def word_counts(text: str) -> Counter:
+    """The distinct words of a whole text in lower case, with their numbers."""
+    counts: Counter = Counter()
+    at = 0
+    while at < len(text):
+        end = text.find(" ", at + PIECE) if at + PIECE < len(text) else -1
+        end = len(text) if end < 0 else end
+        counts.update(WORDS.findall(text[at:end].lower()))
+        at = end
+    return counts
+
+
 def ngrams(word: str) -> list[str]:
     padded = f" {word} "
     return [padded[i : i + N] for i in range(max(1, len(padded) - N + 1))]
@@ -36,65 +51,78 @@ class Languages:
     names: list[str]
     grams: dict[str, int]
     table: np.ndarray  # one row per n-gram, the last for unknown ones
-    _rows: dict = field(default_factory=dict, repr=False, compare=False)
+    _places: dict = field(default_factory=dict, repr=False, compare=False)
+    _shares: list = field(default_factory=list, repr=False, compare=False)
 
     def __getstate__(self):
-        return {**self.__dict__, "_rows": {}}
-
-    def _words(self, new: list[str]) -> None:
-        """Work out the likelihoods of unseen words; words without a letter get None."""
+        return {**self.__dict__, "_places": {}, "_shares": []}
+
+    def _likelihoods(self, words: list[str]) -> np.ndarray:
+        """A row for each word: its likelihood in each language, over the greatest of them."""
+        parts = [[self.grams.get(g, -1) for g in ngrams(w)] for w in words]
+        starts = np.cumsum([0] + [len(p) for p in parts[:-1]])
+        flat = self.table[np.concatenate([np.array(p) for p in parts])]
+        sums = np.add.reduceat(flat, starts, axis=0)
+        return np.exp(np.maximum(sums - sums.max(axis=1, keepdims=True), -60.0))
+
+    def _learn_words(self, batch: list[Counter]) -> None:
+        """Work out the likelihoods of unseen words; words without a letter get no place."""
+        places = self._places
+        new = [w for w in dict.fromkeys(w for counts in batch for w in counts) if w not in places]
         spelled = [w for w in new if any(c.isalpha() for c in w)]
-        self._rows.update(dict.fromkeys(new))
+        places.update(dict.fromkeys(new, -1))
         if spelled:
-            parts = [[self.grams.get(g, -1) for g in ngrams(w)] for w in spelled]
-            starts = np.cumsum([0] + [len(p) for p in parts[:-1]])
-            flat = self.table[np.concatenate([np.array(p) for p in parts])]
-            sums = np.add.reduceat(flat, starts, axis=0)
-            shares = np.exp(np.maximum(sums - sums.max(axis=1, keepdims=True), -60.0))
-            self._rows.update(zip(spelled, shares))
+            held = self._shares[0] if self._shares else np.zeros((0, len(self.table[0])))
+            places.update((w, len(held) + i) for i, w in enumerate(spelled))
+            self._shares[:] = [np.concatenate([held, self._likelihoods(spelled)])]
 
     def mixtures(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Language shares of each text, and whether it has a word at all."""
-        if len(self._rows) > 300_000:
-            self._rows.clear()
-        rows = self._rows
-        split = [WORDS.findall(t.lower()) for t in batch]
-        new = {w for words in split for w in words if w not in rows}
-        if new:
-            self._words(list(new))
-        held = [[r for w in words if (r := rows[w]) is not None] for words in split]
+        """Language shares of each text, and whether it has a word at all.
+
+        A text counts as its distinct words with their numbers, so that memory is bounded by
+        the vocabulary of the batch, however long its texts are.
+        """
+        if len(self._places) > KNOWN_WORDS:
+            self._places.clear(), self._shares.clear()
+        counted = [word_counts(t) for t in batch]
+        self._learn_words(counted)
+        places = self._places
+        held = [[(at, n) for w, n in counts.items() if (at := places[w]) >= 0] for counts in counted]
         sizes = np.array([len(h) for h in held])
         some = sizes > 0
         shares = np.zeros((len(batch), len(self.names)))
         if some.any():
-            p = np.array([r for h in held for r in h])
-            shares[some] = mixture(p, sizes[some])
+            rows = np.array([r for h in held for r in h])
+            shares[some] = mixture(self._shares[0][rows[:, 0]], sizes[some], rows[:, 1].astype(float))
         return shares, some
 
 
-def mixture(p: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def mixture(p: np.ndarray, sizes: np.ndarray, times: np.ndarray | None = None, steps: int = STEPS) -> np.ndarray:
     """Shares of the columns in each run of rows, from likelihoods by row.
 
-    Expectation maximisation from equal shares; then languages leave one by one, the
-    smallest first, as long as that costs less likelihood than the penalty saves.
+    ``times`` says how often each row counts (once, if not given). Expectation maximisation
+    from equal shares; then languages leave one by one, the smallest first, as long as that
+    costs less likelihood than the penalty saves.
     """
     n, m = len(sizes), p.shape[1]
+    times = np.ones(len(p)) if times is None else times
     starts = np.cumsum(np.r_[0, sizes[:-1]])
-    penalty = PENALTY + 0.5 * np.log(sizes)
+    totals = np.add.reduceat(times, starts)
+    penalty = PENALTY + 0.5 * np.log(totals)
 
-    def fit(share: np.ndarray, which: np.ndarray, rows: np.ndarray, steps: int):
+    def fit(share: np.ndarray, which: np.ndarray, rows: np.ndarray, count: np.ndarray, steps: int):
         at = np.cumsum(np.r_[0, sizes[which][:-1]])
         own = np.repeat(np.arange(len(which)), sizes[which])
         for _ in range(steps):
             joint = rows * share[own]
-            joint /= joint.sum(axis=1, keepdims=True)
-            share = np.add.reduceat(joint, at, axis=0) / sizes[which][:, None]
-        likelihood = np.log((rows * share[own]).sum(axis=1))
+            joint *= (count / joint.sum(axis=1))[:, None]
+            share = np.add.reduceat(joint, at, axis=0) / totals[which][:, None]
+        likelihood = np.log((rows * share[own]).sum(axis=1)) * count
         return share, np.add.reduceat(likelihood, at)
 
-    share, value = fit(np.full((n, m), 1.0 / m), np.arange(n), p, STEPS)
-    value = value - penalty * m
-    used, live = np.full(n, m), np.arange(n)
+    share, value = fit(np.full((n, m), 1.0 / m), np.arange(n), p, times, steps)
+    used, live = (share > 0).sum(axis=1), np.arange(n)
+    value = value - penalty * used
     row_of = np.repeat(np.arange(n), sizes)
     while len(live):
         live = live[used[live] > 1]
@@ -107,12 +135,12 @@ def mixture(p: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         fewer /= fewer.sum(axis=1, keepdims=True)
         mask = np.zeros(n, bool)
         mask[live] = True
-        tried, worth = fit(fewer, live, p[mask[row_of]], 4)
+        tried, worth = fit(fewer, live, p[mask[row_of]], times[mask[row_of]], max(1, steps // 3))
         worth = worth - penalty[live] * (used[live] - 1)
         better = worth >= value[live]
         moved = live[better]
         share[moved], value[moved] = tried[better], worth[better]
-        used[moved] -= 1
+        used[moved] = (share[moved] > 0).sum(axis=1)
         live = moved
     return share
 
@@ -132,7 +160,7 @@ def learn(docs: DataFrame, keep: Column, sample: int = SAMPLE) -> Languages:
         counts: dict[str, Counter] = {}
         for batch in batches:
             for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
-                words = Counter(WORDS.findall(text.lower()))
+                words = word_counts(text)
                 mine = counts.setdefault(lang, Counter())
                 for word, times in words.items():
                     for g in ngrams(word):
@@ -163,6 +191,7 @@ def identify(docs: DataFrame, model: Languages, id_col: str = "doc_id", text_col
     The predicted language has the largest share of the text's words, which is the score;
     ties go to the first name. NULL text, text without a letter, and a model without
     languages give ``und`` with score 0 and no shares. Repeated rows and NULL ids are kept.
+    Texts of any length are read whole; their distinct words are held.
     """
 
     def make():

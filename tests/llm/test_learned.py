@@ -156,6 +156,60 @@ def test_mixtures_are_found():
     assert (shares[1] > 0).sum() == 1 and shares.sum(axis=1) == pytest.approx([1, 1])
 
 
+def test_counts_stand_for_repeated_words():
+    rng = np.random.default_rng(4)
+    p, times = rng.dirichlet([1, 1, 1], 40), rng.integers(1, 6, 40)
+    once = language.mixture(p, np.array([25, 15]), times.astype(float))
+    each = language.mixture(np.repeat(p, times, axis=0), np.array([times[:25].sum(), times[25:].sum()]))
+    assert once == pytest.approx(each)
+
+
+def test_scores_equal_a_plain_estimation(spark):
+    """The mixture of whole documents once more, word by word, and with many more steps."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text", "lang")
+    model = language.learn(docs, fold("id", 3) != 1)
+    got = {r.id: r for r in language.identify(docs, model).collect()}
+
+    def plain(text, steps):
+        words = [w for w in re.findall(r"[^\W\d_]+", text.lower()) if any(c.isalpha() for c in w)]
+        rows = np.array([np.sum([model.table[model.grams.get(g, -1)] for g in language.ngrams(w)], axis=0) for w in words])
+        rows = np.exp(np.maximum(rows - rows.max(axis=1, keepdims=True), -60.0))
+
+        def fit(share, steps):
+            for _ in range(steps):
+                share = np.mean([r * share / (r @ share) for r in rows], axis=0)
+            return share, sum(np.log(r @ share) for r in rows)
+
+        m = rows.shape[1]
+        price = language.PENALTY + 0.5 * np.log(len(words))
+        share, value = fit(np.full(m, 1 / m), steps)
+        value -= price * (share > 0).sum()
+        while (share > 0).sum() > 1:
+            fewer = share.copy()
+            fewer[np.where(share > 0, share, np.inf).argmin()] = 0
+            fewer = np.where(fewer > 0, fewer + 1e-6, 0)
+            tried, worth = fit(fewer / fewer.sum(), max(1, steps // 3))
+            worth -= price * ((share > 0).sum() - 1)
+            if worth < value:
+                break
+            share, value = tried, worth
+        return share
+
+    texts = [(r.doc_id, r.text) for r in docs.filter("length(text) between 20 and 3000").orderBy(F.xxhash64("doc_id")).limit(40).collect()]
+    for doc, text in texts:
+        assert got[doc].score == pytest.approx(plain(text, language.STEPS).max(), abs=1e-6)
+        assert model.names[plain(text, 5 * language.STEPS).argmax()] == got[doc].lang_pred
+
+
+def test_a_long_text_is_one_mixture():
+    names = ["en", "fr"]
+    grams = {g: i for i, g in enumerate([" th", "the", "he ", " le", "le "])}
+    table = np.log(np.array([[9, 1]] * 3 + [[1, 9]] * 2 + [[1, 1]]) / 30)
+    model = language.Languages(names, grams, table)
+    shares, some = model.mixtures(["the " * 5_000_000 + "le " * 1_000_000, "", "le"])
+    assert some.tolist() == [True, False, True] and shares[0, 0] == pytest.approx(5 / 6, abs=0.02) and shares[2, 1] == 1
+
+
 def test_one_language_is_not_split():
     rng = np.random.default_rng(1)
     p = rng.dirichlet([8, 2, 2], 200)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +10,7 @@ from lakeops.functions.dates import days_between
 from lakeops.functions.sales import commission, commission_percent
 from lakeops.operators import marts
 from lakeops.operators.dedupe import drop_duplicates_stable
-from lakeops.operators.incremental import append_status, run_record
+from lakeops.operators.incremental import append_status, current_status, run_record
 from lakeops.operators.joins import enrich_left, with_child_count
 from lakeops.operators.quality import quality_report
 from lakeops.sources.files import read_parquet_merged, write_single_file, write_table
@@ -21,13 +22,50 @@ PERIOD_REPORTS = (
 )
 
 
-def process_sales(spark: SparkSession, lake: Lake, *, run: int, timestamp: str, as_of: str) -> DataFrame:
+def first_open_month(spark: SparkSession, status: str) -> str | None:
+    """The month (``yyyy-MM``) that the newest run reached, which may have got more sales since.
+
+    None if there was no run yet: then everything is open.
+    """
+    try:
+        last = current_status(spark, status).first()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return last.last_processed_month if last else None
+
+
+def from_month(rows: DataFrame, month: str | None, date: str = "SalesDate") -> DataFrame:
+    """Rows of ``month`` and later, of all months if it is None; the filter reaches the scan."""
+    if month is None:
+        return rows
+    return rows.where(F.col(date) >= F.lit(f"{month}-01").cast(rows.schema[date].dataType))
+
+
+def from_period(table: DataFrame, month: str | None) -> DataFrame:
+    """``from_month`` for a table partitioned by year and month: earlier folders are not read."""
+    if month is None:
+        return table
+    year, number = map(int, month.split("-"))
+    return table.where((F.col("year") > year) | ((F.col("year") == year) & (F.col("month") >= number)))
+
+
+def process_sales(
+    spark: SparkSession, lake: Lake, *, run: int, timestamp: str, as_of: str, full: bool = False
+) -> DataFrame:
     """Landed sales, employees and customers to processed tables and the ten reports.
 
-    Months in the input are replaced. ``as_of`` is the date that tenure is measured to.
-    Returns the quality report of the processed sales.
+    The status decides the work: sales of the last processed month and later are processed,
+    and of the reports by month those months are replaced; the other reports cover all months.
+    With ``full``, for changes in earlier months, everything is done again. Repeated lines of
+    a sale must lie in the months that a run processes. ``as_of`` is the date that tenure is
+    measured to. Returns the quality report of the processed sales.
     """
-    raw = read_parquet_merged(spark, lake.path("landing", "sales"))
+    status = lake.path("processed", "_processing_status")
+    month = None if full else first_open_month(spark, status)
+    landed = read_parquet_merged(spark, lake.path("landing", "sales"))
+    raw = from_month(landed, month)
     employees = read_parquet_merged(spark, lake.path("landing", "employees"))
     customers = read_parquet_merged(spark, lake.path("landing", "customers"))
 
@@ -55,7 +93,7 @@ def process_sales(spark: SparkSession, lake: Lake, *, run: int, timestamp: str,
     stored = spark.read.schema(processed.schema).parquet(path)
 
     record = run_record(
-        stored,
+        from_period(stored, month),
         "SalesDate",
         seq=run,
         timestamp=timestamp,
@@ -63,19 +101,24 @@ def process_sales(spark: SparkSession, lake: Lake, *, run: int, timestamp: str,
         destination=path,
         partitions=["year", "month"],
     )
-    append_status(lake.path("processed", "_processing_status"), record)
+    reached = F.coalesce("last_processed_month", F.lit(month))  # a run may find nothing new
+    append_status(status, record.withColumn("last_processed_month", reached))
 
     days = days_between(F.lit(as_of).cast("date"), "HireDate")
     tenure = employees.withColumn("DaysEmployed", days).withColumn("YearsEmployed", days / F.lit(365.0))
     write_single_file(tenure, lake.path("processed", "employees"))
     counted = with_child_count(
-        drop_duplicates_stable(customers, ["CustomerID"]), raw, "CustomerID", "TotalPurchases"
+        drop_duplicates_stable(customers, ["CustomerID"]), landed, "CustomerID", "TotalPurchases"
     )
     write_single_file(counted, lake.path("processed", "customers"))
 
     for name, report in marts.SALES_MARTS.items():
-        periods = ["year", "month"] if name in PERIOD_REPORTS else []
+        by_month = name in PERIOD_REPORTS
         write_table(
-            report(stored), lake.path("processed", name), mode="overwrite", partition_by=periods
+            report(from_period(stored, month) if by_month else stored),
+            lake.path("processed", name),
+            mode="overwrite",
+            partition_by=["year", "month"] if by_month else [],
+            dynamic=by_month and month is not None,
         )
     return quality_report(stored, "SalesID", "TotalPrice", ["SalesID", "SalesDate", "TotalPrice"])

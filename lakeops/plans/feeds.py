@@ -306,3 +306,27 @@ def stream_upsert(t: Tables) -> DataFrame:
         fixed_partition=True,
     ).awaitTermination()
     return t.spark.read.schema(stream.schema).parquet(path).drop("bucket")
+
+
+@query("SELECT DISTINCT event_id, ts, user_id, event_type, value FROM events")
+def stream_once(t: Tables) -> DataFrame:
+    """Events that are sent twice, the second time with the next arrival, and landed once.
+
+    Arrivals come in batches of their own; state is kept for as long as the events reach.
+    """
+    schema = T.StructType([f for f in DRIVER_TABLES["events"].fields if f.name != "props"])
+    events = t.read("events").select(schema.fieldNames())
+    landing = new_folder(t.spark, "repeats-landing")
+    arrival = F.pmod(F.xxhash64("event_id"), F.lit(ARRIVALS)).cast("int")
+    sent = events.withColumn("arrival", F.explode(F.array(arrival, arrival + 1)))
+    first, last = sent.agg(F.min("ts"), F.max("ts")).first()
+    for i in range(ARRIVALS + 1):
+        part = sent.where(F.col("arrival") == i).drop("arrival")
+        to_messages(part.coalesce(ARRIVALS)).select("value").write.mode("append").text(landing)
+    messages = read_files(t.spark, landing, T.StructType().add("value", "string"), fmt="text", max_files=ARRIVALS)
+    path, checkpoint = new_folder(t.spark, "once"), new_folder(t.spark, "once-checkpoint")
+    reach = f"{int((last - first).total_seconds()) + 1 if first else 1} seconds"
+    ingest_json_stream(
+        messages, schema, path, checkpoint, trigger=UNTIL_DONE, once=(["event_id"], "ts", reach)
+    ).awaitTermination()
+    return t.spark.read.schema(schema).parquet(path)

@@ -160,6 +160,42 @@ def test_sales(spark, rows):
     assert rows(top.where("year = 2018 and month = 3"), "productid", "total_revenue") == [(3, 100.25), (4, 50.0)]
 
 
+def test_the_second_run_processes_new_months_only(spark, lake, rows):
+    kind = (
+        "SalesID int, SalesPersonID int, CustomerID int, ProductID int, Quantity int, Discount double,"
+        " TotalPrice double, SalesDate timestamp"
+    )
+
+    def land(*made):
+        sales = spark.createDataFrame([(i, 10, 5, p, 1, 0.0, x, d) for i, p, x, d in made], kind.replace("timestamp", "string"))
+        write_table(sales.withColumn("SalesDate", F.col("SalesDate").cast("timestamp")), lake.path("landing", "sales"), mode="append")
+
+    people = spark.createDataFrame([(10, "Ana", "B", "2010-01-01")], "EmployeeID int, FirstName string, LastName string, HireDate string")
+    write_table(people.withColumn("HireDate", F.col("HireDate").cast("date")), lake.path("landing", "employees"))
+    write_table(spark.createDataFrame([(5, "x")], "CustomerID int, Name string"), lake.path("landing", "customers"))
+
+    def run(n, **how):
+        sales_flow.process_sales(spark, lake, run=n, timestamp=f"2026-01-0{n}T08:00:00", as_of="2020-01-01", **how)
+        newest = current_status(spark, lake.path("processed", "_processing_status")).first()
+        month = {(r.year, r.month): r.total_revenue for r in lake.read(spark, "processed", "products_by_period").collect()}
+        whole = lake.read(spark, "processed", "products_global").first().total_revenue
+        return newest.last_processed_month, newest.total_records_processed, month, whole
+
+    land((1, 3, 10.0, "2018-02-03"), (2, 3, 20.0, "2018-03-04"))
+    assert run(1) == ("2018-03", 2, {(2018, 2): 10.0, (2018, 3): 20.0}, 30.0)
+    # more of the last month, a new month, and a change in a month that is done
+    land((3, 3, 1.0, "2018-03-31 23:59:59"), (4, 3, 5.0, "2019-01-01"), (5, 3, 7.0, "2018-02-28"))
+    assert run(2) == ("2019-01", 3, {(2018, 2): 10.0, (2018, 3): 21.0, (2019, 1): 5.0}, 36.0)
+    assert run(3) == ("2019-01", 1, {(2018, 2): 10.0, (2018, 3): 21.0, (2019, 1): 5.0}, 36.0)
+    assert run(4, full=True) == ("2019-01", 5, {(2018, 2): 17.0, (2018, 3): 21.0, (2019, 1): 5.0}, 43.0)
+    # files of one month are read, and the filter on the landed rows reaches their scan
+    stored = sales_flow.from_period(lake.read(spark, "processed", "sales"), "2019-01")
+    folders = {f.split("year=")[1].rsplit("/", 1)[0] for f in (r.f for r in stored.select(F.input_file_name().alias("f")).distinct().collect())}
+    assert folders == {"2019/month=1"}
+    landed = sales_flow.from_month(spark.read.parquet(lake.path("landing", "sales")), "2019-01")
+    assert "GreaterThanOrEqual(SalesDate" in landed._jdf.queryExecution().executedPlan().toString()
+
+
 def test_tables_by_name_in_sql(spark, lake):
     lake.register(spark, "processed", tables.BOX, tables.BOX_MONTHLY)
     assert spark.sql(f"SELECT COUNT(*) FROM {tables.BOX} WHERE points >= 30").first()[0] == 0

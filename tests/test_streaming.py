@@ -9,7 +9,7 @@ from lakeops.functions.text import to_messages
 from lakeops.operators.dedupe import latest_per_key
 from lakeops.schemas import DRIVER_TABLES
 from lakeops.sources.streams import read_files
-from lakeops.streaming.ingest import UNTIL_DONE, ingest_json_stream, widen_schema
+from lakeops.streaming.ingest import UNTIL_DONE, ingest_json_stream, run_to_idle, widen_schema
 from lakeops.streaming.upsert import upsert_stream
 from lakeops.workspace import new_folder
 
@@ -57,3 +57,39 @@ def test_upsert_stream_keeps_the_newest(spark, tables, rows):
     assert run(checkpoint) == wanted
     # every batch again, as after a lost checkpoint
     assert run(new_folder(spark, "cp2")) == wanted
+
+
+TIMED = T.StructType().add("id", "integer").add("at", "timestamp")
+
+
+def test_a_message_sent_twice_lands_once(spark, rows):
+    """Repeats within a batch, in a later batch and after a restart; state follows the delay."""
+    folder, path, checkpoint = (new_folder(spark, n) for n in ("in", "out", "cp"))
+    sent, metrics = [], []
+    for batch in range(6):
+        own = [(10 * batch + i, f"2024-01-01 {batch:02d}:{i:02d}:00") for i in range(10)]
+        repeats = own[:3] + sent[-2:]  # and two of the batch before
+        late = [(999, "2023-12-31 00:00:00")] if batch == 5 else []
+        made = spark.createDataFrame(own + repeats + late, "id int, at string").withColumn("at", F.col("at").cast("timestamp"))
+        to_messages(made).select("value").coalesce(1).write.mode("append").text(folder)
+        messages = read_files(spark, folder, T.StructType().add("value", "string"), fmt="text")
+        # the query is started anew for each batch, at an interval
+        query = ingest_json_stream(
+            messages, TIMED, path, checkpoint, trigger={"processingTime": "1 second"}, once=(["id"], "at", "90 minutes")
+        )
+        metrics += run_to_idle(query).collect()
+        sent += own
+    assert rows(spark.read.schema(TIMED).parquet(path), "id") == [(i,) for i in range(60)]
+    assert [m.rows for m in metrics] == [13, 15, 15, 15, 15, 16]
+    assert max(m.state_rows for m in metrics) <= 40  # not all 60 keys
+    assert sum(m.late_rows for m in metrics) == 1
+
+
+def test_an_interval_takes_two_batches(spark, rows):
+    folder, path, checkpoint = (new_folder(spark, n) for n in ("in", "out", "cp"))
+    for i in range(2):
+        spark.createDataFrame([(f'{{"id":{i}}}',)], "value string").coalesce(1).write.mode("append").text(folder)
+    messages = read_files(spark, folder, T.StructType().add("value", "string"), fmt="text", max_files=1)
+    query = ingest_json_stream(messages, TIMED, path, checkpoint, trigger={"processingTime": "1 second"})
+    assert rows(run_to_idle(query), "rows") == [(1,), (1,)] and not query.isActive
+    assert rows(spark.read.schema(TIMED).parquet(path), "id") == [(0,), (1,)]

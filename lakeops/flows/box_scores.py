@@ -14,9 +14,10 @@ from lakeops.operators import marts
 from lakeops.operators.dedupe import latest_per_key, with_cast_keys
 from lakeops.operators.incremental import incremental_rows
 from lakeops.operators.merge import upsert_table
-from lakeops.operators.quality import null_profile, require_non_empty
+from lakeops.operators.quality import assert_unique, null_profile, require_non_empty
 from lakeops.sources.files import read_csv_lenient, write_table
 from lakeops.sources.layers import Lake
+from lakeops.sources.published import publish
 from lakeops.streaming.ingest import ingest_json_stream
 
 # First day of the second size tier, write order inside the files of a tier.
@@ -66,22 +67,29 @@ def merge_box_scores(spark: SparkSession, lake: Lake) -> list:
 
 
 def refresh_warehouse(spark: SparkSession, lake: Lake) -> None:
-    """Rebuild the marts from the processed tables."""
+    """Rebuild the marts from the processed tables.
+
+    Each is written aside and published once it has rows and unique keys; until then, and if
+    the refresh fails, readers have the version before.
+    """
     games = lake.read(spark, "processed", BOX, BOX_MONTHLY)
     salaries = lake.read(spark, "processed", SALARIES, schemas.SALARY_PROCESSED)
     logs = marts.game_logs(games).select(schemas.GAME_LOGS.fieldNames())
     stats = marts.season_stats(games, salaries).select(schemas.SEASON_STATS.fieldNames())
-    write_table(
+    publish(
         logs,
         lake.path("warehouse", "game_logs"),
-        mode="overwrite",
+        check=lambda rows: assert_unique(require_non_empty(rows, "game logs"), ["personid", "gameid"]),
         partition_by=["playerteamname"],
         sort_by=[F.col("game_date").desc(), "personid"],
     )
-    write_table(
+    publish(
         stats,
         lake.path("warehouse", "player_season_stats"),
-        mode="overwrite",
+        check=lambda rows: assert_unique(
+            require_non_empty(rows, "season statistics"),
+            ["personid", "player_name", "playerteamname", "season_start_year"],
+        ),
         partition_by=["season_start_year"],
         sort_by=["playerteamname", F.col("total_points").desc()],
     )

@@ -22,11 +22,12 @@ from lakeops.operators import marts
 from lakeops.operators.aggregates import unpivot_positive
 from lakeops.operators.dedupe import first_per_key, latest_per_key
 from lakeops.operators.merge import replace_rows, update_matched, upsert_table
-from lakeops.operators.quality import coverage as match_coverage, require_non_empty
+from lakeops.operators.quality import assert_unique, coverage as match_coverage, require_non_empty
 from lakeops.operators.similarity import THRESHOLD, BlockRatio, EditSimilarity, best_match
 from lakeops.plans.registry import ORACLES, query
 from lakeops.plans.views import Tables, box, game_lines, games, persons, salary_wide
 from lakeops.sources.files import write_table
+from lakeops.sources.published import publish, read_published
 from lakeops.workspace import new_folder, stored
 
 _LINE_KEYS = ["l_orderkey", "l_linenumber"]
@@ -501,13 +502,35 @@ def season_stats(t: Tables) -> DataFrame:
     return marts.season_stats(game_lines(t).withColumns(more), salary_unpivot(t), persons=persons(t))
 
 
+def _refreshed_twice(t: Tables, rows: DataFrame, name: str, keys: list[str], **layout) -> DataFrame:
+    """``rows`` published twice as a mart; each version is shown only if its keys are unique."""
+    path = new_folder(t.spark, name)
+    for _ in range(2):
+        publish(rows, path, check=lambda df: assert_unique(require_non_empty(df, name), keys), **layout)
+    return read_published(t.spark, path, rows.schema).select(rows.columns)
+
+
 @query(ORACLES["season_stats"])
 def warehouse_refresh(t: Tables) -> DataFrame:
     """The season mart written twice by full refresh, partitioned and sorted, and read back."""
-    path = new_folder(t.spark, "season-mart")
-    for _ in range(2):
-        rows = season_stats(t)
-        write_table(
-            rows, path, mode="overwrite", partition_by=["season_start_year"], sort_by=["playerteamname", "personid"]
-        )
-    return t.spark.read.schema(rows.schema).parquet(path).select(rows.columns)
+    return _refreshed_twice(
+        t,
+        season_stats(t),
+        "season-mart",
+        ["personid", "player_name", "playerteamname", "season_start_year"],
+        partition_by=["season_start_year"],
+        sort_by=["playerteamname", "personid"],
+    )
+
+
+@query(ORACLES["game_logs"])
+def game_log_refresh(t: Tables) -> DataFrame:
+    """The game log mart written twice by full refresh, by team, and read back."""
+    return _refreshed_twice(
+        t,
+        game_logs(t),
+        "game-log-mart",
+        ["personid", "gameid"],
+        partition_by=["playerteamname"],
+        sort_by=[F.col("game_date").desc(), "personid"],
+    )

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from lakeops.sources.published import read_published
+
 LAYERS = ("landing", "processed", "warehouse")
 
 
@@ -24,7 +26,12 @@ class Lake:
     def read(
         self, spark: SparkSession, layer: str, table: str, schema: T.StructType | None = None
     ) -> DataFrame:
-        """The table; a schema is needed while a partitioned table is still empty."""
+        """The table, a mart in its newest version.
+
+        A schema is needed while a partitioned table is still empty.
+        """
+        if layer == "warehouse":
+            return read_published(spark, self.path(layer, table), schema)
         reader = spark.read.schema(schema) if schema else spark.read
         return reader.parquet(self.path(layer, table))
 

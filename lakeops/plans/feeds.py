@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeops.flows.shots import land_shot_chart, running_scores
 from lakeops.functions.dates import next_period as period_after, period
 from lakeops.functions.numbers import exact_sum
 from lakeops.functions.text import to_messages
@@ -21,12 +22,12 @@ from lakeops.operators.quality import require_non_empty
 from lakeops.plans.registry import query
 from lakeops.plans.sales import SALES_SQL
 from lakeops.plans.views import SALES_VIEWS, Tables, sales
-from lakeops.schemas import DAILY_BOX_DATED_MESSAGE, DAILY_BOX_MESSAGE, DRIVER_TABLES, SHOT_MESSAGE
+from lakeops.schemas import DAILY_BOX_DATED_MESSAGE, DAILY_BOX_MESSAGE, DRIVER_TABLES, SHOT_CHART_MESSAGE, SHOT_MESSAGE
 from lakeops.sources.files import available_periods as periods_of, read_period, write_sorted, write_table
 from lakeops.sources.streams import read_files
 from lakeops.streaming.ingest import UNTIL_DONE, ingest_json_stream, widen_schema
 from lakeops.streaming.upsert import upsert_stream
-from lakeops.workspace import new_folder
+from lakeops.workspace import new_folder, stored
 
 # The target of the incremental feed was last loaded before this moment.
 LOADED_BEFORE = "2024-01-16"
@@ -239,6 +240,69 @@ def daily_feeds(t: Tables) -> DataFrame:
     return reports[0].unionAll(reports[1]).unionAll(reports[2])
 
 
+@query(
+    """WITH actions AS (SELECT user_id, event_id, event_id // 2 AS action,
+                               json_extract_string(props, '$.k') AS home,
+                               CASE WHEN event_type <> 'error' THEN CAST(event_id % 50 AS VARCHAR) END AS away
+                        FROM events),
+            carried AS (SELECT user_id, action, event_id,
+                               COALESCE(LAST_VALUE(CASE WHEN regexp_matches(home, '^[0-9]+$') AND away IS NOT NULL
+                                                        THEN home || ' - ' || away END IGNORE NULLS)
+                                        OVER (PARTITION BY user_id ORDER BY event_id
+                                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), '0 - 0') AS score
+                        FROM actions),
+            scores AS (SELECT user_id, action, arg_max(score, event_id) AS score FROM carried GROUP BY 1, 2)
+       SELECT CAST(e.user_id AS VARCHAR) AS id_partido, strftime(e.ts, '%Y-%m-%d') AS fecha_partido,
+              CAST(e.event_id % 4 + 1 AS INT) AS cuarto, CAST(e.event_id % 12 AS INT) AS minutos_restantes,
+              CAST(e.event_id % 60 AS INT) AS segundos_restantes,
+              'H' || CAST(e.user_id % 30 AS VARCHAR) AS equipo_local,
+              'V' || CAST(e.user_id % 29 AS VARCHAR) AS equipo_visitante, e.event_type AS equipo_tira,
+              'Player ' || CAST(e.user_id AS VARCHAR) AS jugador, CAST(e.event_id % 30 AS INT) AS distancia_pies,
+              CASE WHEN e.event_id % 3 = 1 THEN 3 ELSE 2 END AS valor_tiro,
+              CASE WHEN e.event_type = 'purchase' THEN 1 ELSE 0 END AS anotado,
+              CAST(e.event_id % 500 - 250 AS INT) AS loc_x, CAST(e.event_id % 400 AS INT) AS loc_y,
+              COALESCE(s.score, '0 - 0') AS marcador_previo
+       FROM events e LEFT JOIN scores s
+         ON s.user_id = e.user_id AND s.action = e.event_id // 2 + CASE WHEN e.event_id % 3 = 0 THEN 1 ELSE 0 END"""
+)
+def shot_feed(t: Tables) -> DataFrame:
+    """The shot feed of 15 fields: events as a stream of shots, each with the score carried to it.
+
+    Users stand for games, and two events share an action number; some shots have no action.
+    """
+    number = F.col("event_id")
+    away = F.when(F.col("event_type") != "error", (number % 50).cast("string"))
+    actions = t.read("events").select(
+        F.col("user_id").alias("GAME_ID"),
+        number.alias("position"),
+        F.expr("event_id div 2").alias("actionNumber"),
+        F.get_json_object("props", "$.k").alias("scoreHome"),
+        away.alias("scoreAway"),
+    )
+    scores = stored(running_scores(actions), "scores")
+    events = read_files(t.spark, t.path("events")[:-1] + "[t]", DRIVER_TABLES["events"])
+    shots = events.select(
+        F.col("user_id").alias("GAME_ID"),
+        (F.expr("event_id div 2") + F.when(number % 3 == 0, 1).otherwise(0)).alias("GAME_EVENT_ID"),
+        F.date_format("ts", "yyyy-MM-dd").alias("GAME_DATE"),
+        (number % 4 + 1).alias("PERIOD"),
+        (number % 12).alias("MINUTES_REMAINING"),
+        (number % 60).alias("SECONDS_REMAINING"),
+        F.concat(F.lit("H"), F.col("user_id") % 30).alias("HTM"),
+        F.concat(F.lit("V"), F.col("user_id") % 29).alias("VTM"),
+        F.col("event_type").alias("TEAM_NAME"),
+        F.concat(F.lit("Player "), F.col("user_id")).alias("PLAYER_NAME"),
+        (number % 30).alias("SHOT_DISTANCE"),
+        (number % 500 - 250).alias("LOC_X"),
+        (number % 400).alias("LOC_Y"),
+        F.when(number % 3 == 1, "3PT Field Goal").otherwise("2PT Field Goal").alias("SHOT_TYPE"),
+        F.when(F.col("event_type") == "purchase", "Made Shot").otherwise("Missed Shot").alias("EVENT_TYPE"),
+    )
+    path, checkpoint = new_folder(t.spark, "shot-chart"), new_folder(t.spark, "shot-chart-checkpoint")
+    land_shot_chart(shots, scores, path, checkpoint, UNTIL_DONE).awaitTermination()
+    return t.spark.read.schema(SHOT_CHART_MESSAGE).parquet(path)
+
+
 def _stream_folder(t: Tables, arrivals: int = ARRIVALS) -> str:
     """Events as files that arrive one after the other, with late rows and equal times in each.
 

@@ -18,6 +18,7 @@ from lakeops.sources.files import (
     ensure_table,
     read_csv,
     read_csv_lenient,
+    read_csv_records,
     read_parquet_merged,
     storage_size as sizes_of,
     write_single_file,
@@ -46,12 +47,12 @@ def csv_roundtrip(t: Tables) -> DataFrame:
     return _orders_report(rows.withColumn("year", F.year("o_orderdate")), "o_orderstatus", "year")
 
 
-@query(
-    r"""SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'a "b" \ ' || chr(10) || text || '\'
+_TEXTS_SQL = r"""SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'a "b" \ ' || chr(10) || text || '\'
                              ELSE text END AS text FROM documents"""
-)
-def csv_text_roundtrip(t: Tables) -> DataFrame:
-    """Documents with line breaks, quotes, backslashes, empty and NULL text through CSV."""
+
+
+def _odd_texts(t: Tables) -> DataFrame:
+    """Documents with line breaks, quotes, backslashes, empty and NULL text."""
     kind = F.col("doc_id") % 5
     text = (
         F.when(kind == 0, F.lit(None).cast("string"))
@@ -59,12 +60,27 @@ def csv_text_roundtrip(t: Tables) -> DataFrame:
         .when(kind == 2, F.concat(F.lit('a "b" \\ \n'), F.col("text"), F.lit("\\")))
         .otherwise(F.col("text"))
     )
-    rows = t.spark.read.parquet(t.path("documents")).select("doc_id", text.alias("text"))
+    return t.spark.read.parquet(t.path("documents")).select("doc_id", text.alias("text"))
+
+
+@query(_TEXTS_SQL)
+def csv_text_roundtrip(t: Tables) -> DataFrame:
+    """Odd texts through CSV, each file read by one task."""
+    rows = _odd_texts(t)
     path = new_folder(t.spark, "documents-csv")
     write_table(rows, path, fmt="csv")
     return read_csv(t.spark, path, rows.schema, line_breaks=True)
 
 
+@query(_TEXTS_SQL)
+def csv_records_roundtrip(t: Tables) -> DataFrame:
+    """Odd texts through CSV, records found by their quotes, each file read by many tasks."""
+    rows = _odd_texts(t)
+    path = new_folder(t.spark, "documents-csv")
+    write_table(rows, path, fmt="csv")
+    return read_csv_records(t.spark, path, rows.schema)
+
+
 @query(
     f"""SELECT o_orderpriority, count(*) AS orders, {_PRICE} AS revenue,
                COUNT(DISTINCT o_custkey) AS customers, max(o_orderdate) AS last_order

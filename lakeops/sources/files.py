@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,17 +20,19 @@ CSV = {
 }
 
 
-# Read for empty text in quotes, which Spark would read as NULL, and put back after that.
-EMPTY = "\u0001"
-
-
 def csv_options(line_breaks: bool) -> dict[str, str]:
     """Reader options. With ``line_breaks`` text may hold them, but a file is read by one task."""
     return CSV | {"multiLine": str(line_breaks).lower()}
 
 
-def _with_empty_text(df: DataFrame) -> DataFrame:
-    return df.replace(EMPTY, "", subset=[c for c, kind in df.dtypes if kind == "string"] or None)
+def _reads_empty_text(read: Callable[[str], DataFrame]) -> DataFrame:
+    """What ``read`` (with a value for empty text in quotes) gives, with that text as it is.
+
+    Spark would read it as NULL. The value is random, so that no text of the file equals it.
+    """
+    mark = f"empty-{uuid.uuid4().hex}"
+    df = read(mark)
+    return df.replace(mark, "", subset=[c for c, kind in df.dtypes if kind == "string"] or None)
 
 
 def read_csv(
@@ -37,13 +40,77 @@ def read_csv(
 ) -> DataFrame:
     """CSV with header. Without a schema the types are inferred, which reads the data twice.
 
-    Files whose text may hold line breaks must be read with ``line_breaks``. With a schema,
-    empty text in quotes is empty text; without quotes, and without a schema, it is NULL.
+    Files whose text may hold line breaks must be read with ``line_breaks``, or by
+    ``read_csv_records`` if they are large. With a schema, empty text in quotes is empty text;
+    without quotes, and without a schema, it is NULL.
     """
     reader = spark.read.options(**csv_options(line_breaks))
     if schema is None:
         return reader.option("inferSchema", "true").csv(path)
-    return _with_empty_text(reader.schema(schema).option("emptyValue", EMPTY).csv(path))
+    return _reads_empty_text(lambda mark: reader.schema(schema).option("emptyValue", mark).csv(path))
+
+
+def csv_records(spark: SparkSession, path: str) -> DataFrame:
+    """(record) of CSV files whose text may hold line breaks, without their headers.
+
+    A line starts a record if an even number of quotes stands before it in its file. Quotes are
+    added up within each block of a file that one task reads (``maxPartitionBytes``), then over
+    the blocks, so that many tasks read one file. A block's lines and a record's lines meet in
+    one task; a file's do not. Quotes must stand around whole values and be doubled inside, as
+    they are written here.
+    """
+    text = spark.read.option("lineSep", "\n").text(path)
+    lines = text.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+        F.col("value").alias("line"),
+    )
+    along = Window.partitionBy("file", "block").orderBy("at")
+    quotes = F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))
+    before = F.coalesce(F.sum(quotes).over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    lines = lines.withColumns({"quotes": quotes, "odd": before % 2})
+
+    # one row per block: whether it starts inside quotes, and the last record begun before it
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = lines.groupBy("file", "block").agg(
+        F.sum("quotes").alias("quotes"),
+        F.count_if(F.col("odd") == 0).alias("even_lines"),
+        F.count_if(F.col("odd") == 1).alias("odd_lines"),
+    )
+    blocks = blocks.withColumn("inside", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2)
+    begun = F.when(F.col("inside") == 0, F.col("even_lines")).otherwise(F.col("odd_lines"))
+    blocks = blocks.withColumn("begun", begun)
+    newest = F.when(F.col("begun") > 0, F.struct(F.col("block").alias("from"), F.col("begun").alias("record")))
+    blocks = blocks.select(
+        "file", "block", "inside", F.last(newest, ignorenulls=True).over(earlier).alias("open")
+    )
+
+    starts = (F.col("odd") == F.col("inside")).cast("long")
+    placed = lines.join(blocks, ["file", "block"]).withColumn("record", F.sum(starts).over(along))
+    here = F.struct(F.col("block").alias("from"), "record")
+    placed = placed.select("file", F.when(F.col("record") > 0, here).otherwise(F.col("open")).alias("of"),
+                           F.struct("block", "at", "line").alias("part"))
+    whole = placed.groupBy("file", "of").agg(F.sort_array(F.collect_list("part"))["line"].alias("lines"))
+    header = (F.col("of")["from"] == 0) & (F.col("of")["record"] == 1)
+    record = F.regexp_replace(F.array_join("lines", "\n"), "\r$", "")
+    return whole.where(~header).select(record.alias("record")).where("record <> ''")
+
+
+def read_csv_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """``read_csv`` with ``line_breaks`` for large files: many tasks read one file.
+
+    Values are read by position. Line ends inside text stay as they are.
+    """
+    records = csv_records(spark, path)
+    options = {k: v for k, v in csv_options(True).items() if k != "header"}
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+    def read(mark: str) -> DataFrame:
+        row = F.from_csv("record", columns, options | {"emptyValue": mark})
+        return records.select(row.alias("row")).select("row.*")
+
+    return _reads_empty_text(read)
 
 
 def lenient_select(
@@ -82,8 +149,9 @@ def read_csv_lenient(
     source_names: dict[str, str] | None = None,
     line_breaks: bool = False,
 ) -> DataFrame:
-    """CSV read as text, then cast leniently to ``schema``."""
-    text = spark.read.options(**csv_options(line_breaks)).option("inferSchema", "false").csv(path)
+    """CSV read as text, then cast leniently to ``schema``; empty text as in ``read_csv``."""
+    reader = spark.read.options(**csv_options(line_breaks)).option("inferSchema", "false")
+    text = _reads_empty_text(lambda mark: reader.option("emptyValue", mark).csv(path))
     return lenient_select(text, schema, source_names)
 
 

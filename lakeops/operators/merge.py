@@ -173,23 +173,19 @@ def upsert_table(
         held = target.where(_key_range(rows, keys))
         held = held.join(rows.select(*keys), list(keys), "left_semi").select(partition)
         places = places.unionByName(held)
-    # one value per partition directory, not per row
-    touched = [r[0] for r in places.distinct().collect()]
-    if not touched:
-        return []
-    one_of = F.col(partition).isin([v for v in touched if v is not None])
-    if None in touched:
-        one_of = F.coalesce(one_of, F.lit(False)) | F.col(partition).isNull()
+    # a row per partition directory; Spark reads those partitions of the target alone
+    touched = stored(places.groupBy(partition).agg(F.count("*").alias("_rows")), "merge-places")
+    held_rows = _in_partitions(target, touched, partition)
 
-    result = stored(replace_rows(target.where(one_of), rows, keys, newer_by), "merge-result")
+    result = stored(replace_rows(held_rows, rows, keys, newer_by), "merge-result")
 
     # Dynamic overwrite leaves a partition alone when all of its rows moved away. Those rows
     # are in the source, so emptying the partition first loses nothing that a repeat of the
     # merge would not bring back. The folders are found by their rows: Spark escapes values.
     filled = result.select(partition).distinct().withColumnRenamed(partition, "_filled")
+    files = target.select(partition, F.col("_metadata.file_path").alias("_file"))
     left = (
-        target.where(one_of)
-        .select(partition, F.col("_metadata.file_path").alias("_file"))
+        _in_partitions(files, touched, partition)
         .join(filled, F.col(partition).eqNullSafe(F.col("_filled")), "left_anti")
         .select(F.regexp_replace("_file", "/[^/]*$", "").alias("folder"))
         .distinct()
@@ -199,7 +195,20 @@ def upsert_table(
     for row in left.collect():
         spark.createDataFrame([], rest).write.mode("overwrite").parquet(unquote(row.folder))
     write_table(result, path, mode="overwrite", partition_by=[partition], sort_by=sort_by, dynamic=True)
-    return sorted(touched, key=lambda v: (v is not None, v))
+    return [r[0] for r in touched.select(partition).orderBy(F.asc_nulls_first(partition)).collect()]
+
+
+def _in_partitions(table: DataFrame, touched: DataFrame, partition: str) -> DataFrame:
+    """Rows of the partitions that ``touched`` names, NULL too.
+
+    The list is a table that is joined: its values prune the scan as it starts (dynamic
+    partition pruning, for which Spark wants a filter on the list), however many they are.
+    """
+    named = touched.where("_rows > 0").select(partition)
+    inside = table.join(named, partition, "left_semi").select(*table.columns)
+    if touched.where(F.col(partition).isNull()).isEmpty():
+        return inside
+    return inside.unionByName(table.where(F.col(partition).isNull()))
 
 
 def _key_range(rows: DataFrame, keys: Sequence[str]) -> Column:

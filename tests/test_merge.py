@@ -7,7 +7,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import types as T
 
-from lakeops.operators.merge import replace_rows, update_matched, upsert, upsert_table
+from lakeops.operators.merge import _in_partitions, replace_rows, update_matched, upsert, upsert_table
 from lakeops.sources.files import ensure_table, write_table
 from lakeops.workspace import new_folder
 
@@ -130,3 +130,21 @@ def test_emptied_partitions_with_special_characters(spark, rows, kind, old, new)
     source = spark.createDataFrame([(1, new, 3)], schema)
     upsert_table(spark, path, schema, source, ["id"], "part", sort_by=["id"])
     assert rows(spark.read.schema(schema).parquet(path), "id", "value") == [(1, 3), (2, 2)]
+
+
+def test_touched_partitions_are_a_joined_table(spark, rows):
+    """Of 300 partitions the merge reads 120, NULL among them, by pruning at run time."""
+    schema = T.StructType.fromDDL("id int, value int, part int")
+    path = new_folder(spark, "t")
+    spark.range(300).selectExpr("cast(id as int) id", "0 value", "cast(if(id = 0, null, id) as int) part").repartition(
+        1
+    ).write.partitionBy("part").parquet(path)
+    source = spark.range(120).selectExpr("cast(id as int) id", "1 value", "cast(if(id = 0, null, id) as int) part")
+    assert len(upsert_table(spark, path, schema, source, ["id"], "part")) == 120
+    stored = spark.read.schema(schema).parquet(path)
+    assert rows(stored, "id", "value") == [(i, int(i < 120)) for i in range(300)]
+
+    touched = source.groupBy("part").count().withColumnRenamed("count", "_rows")
+    found = _in_partitions(stored, touched.where("part is not null"), "part")
+    assert found.count() == 119
+    assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString()

@@ -50,11 +50,15 @@ def _bounds(df: DataFrame, columns: Sequence[str]) -> dict[str, list]:
 
 
 def _range_of(value: Column, cuts: list) -> Column:
-    """How many of the cuts are not above the value; 0 for NULL."""
-    if not cuts:
-        return F.lit(0).cast("long")
-    below = F.filter(F.array(*map(F.lit, cuts)), lambda v: v <= value)
-    return F.when(value.isNotNull(), F.size(below)).otherwise(0).cast("long")
+    """How many of the cuts are not above the value, found by halving; 0 for NULL."""
+
+    def found(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low).cast("long")
+        mid = (low + high) // 2
+        return F.when(value < F.lit(cuts[mid]), found(low, mid)).otherwise(found(mid + 1, high))
+
+    return F.when(value.isNull(), F.lit(0).cast("long")).otherwise(found(0, len(cuts)))
 
 
 def curve(df: DataFrame, columns: Sequence[str]) -> Column:
@@ -71,6 +75,19 @@ def curve(df: DataFrame, columns: Sequence[str]) -> Column:
     return out
 
 
+def clustered(df: DataFrame, columns: Sequence[str], files: int | None = None) -> DataFrame:
+    """``df`` dealt to partitions, and sorted in them, by the place on ``curve``.
+
+    The place is a column until then: an expression in the order would be worked out again for
+    each comparison of two rows.
+    """
+    place = f"_place_{uuid.uuid4().hex}"
+    order = [place, *columns]
+    placed = df.withColumn(place, curve(df, columns))
+    dealt = placed.repartitionByRange(files, *order) if files else placed.repartitionByRange(*order)
+    return dealt.sortWithinPartitions(*order).drop(place)
+
+
 def write_clustered(
     df: DataFrame, path: str, columns: Sequence[str], bloom: dict[str, int] | None = None, files: int | None = None
 ) -> None:
@@ -81,9 +98,7 @@ def write_clustered(
     file's least and greatest that it does not hold is skipped too. A value with many rows
     spreads over several files.
     """
-    order = [curve(df, columns), *(F.col(c) for c in columns)]
-    dealt = df.repartitionByRange(files, *order) if files else df.repartitionByRange(*order)
-    writer = dealt.sortWithinPartitions(*order).write
+    writer = clustered(df, columns, files).write
     for column, values in (bloom or {}).items():
         writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
         writer = writer.option(f"parquet.bloom.filter.expected.ndv#{column}", str(values))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lakeops.operators.quality import checked_write
 from lakeops.plans.analytics import BucketedTables, bucketed_three_way
 from lakeops.plans.views import box
-from lakeops.sources.bucketed import curve, store_bucketed, write_clustered
+from lakeops.sources.bucketed import _range_of, clustered, curve, store_bucketed, write_clustered
 from lakeops.workspace import new_folder
 from tests.conftest import SF_DIR
 
@@ -91,6 +91,25 @@ def test_curve_takes_any_values(spark):
     assert empty.select(curve(empty, ["s", "x"])).count() == 0
 
 
+def test_rows_are_clustered_by_a_column(spark):
+    """The place on the curve is worked out once for each row, not for each comparison of the sort."""
+    df = spark.range(1000).select((F.col("id") % 37).alias("k"), "id")
+    dealt = clustered(df, ["k", "id"], 4)
+    order = [n for n in nodes(dealt._jdf.queryExecution().executedPlan()) if n.getClass().getSimpleName() == "SortExec"]
+    keys = [k.child().getClass().getSimpleName() for n in order for k in (n.sortOrder().apply(i) for i in range(3))]
+    assert keys == ["AttributeReference"] * 3
+    assert "rangepartitioning(_place_" in dealt._jdf.queryExecution().executedPlan().toString()
+    assert dealt.columns == df.columns and dealt.exceptAll(df).count() == 0 and dealt.count() == 1000
+
+
+@pytest.mark.parametrize("cuts", [[], ["b"], ["b", "d"], ["b", "d", "e", "é"], list("bdefg")])
+def test_ranges_are_found_by_halving(spark, cuts):
+    values = [None, "", "a", "b", "c", "d", "dd", "e", "g", "z", "é"]
+    df = spark.createDataFrame([(v,) for v in values], "s string").select("s", _range_of(F.col("s"), cuts).alias("n"))
+    assert {r.s: r.n for r in df.collect()} == {v: sum(v is not None and c <= v for c in cuts) for v in values}
+    assert "lambda" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_checks_in_the_pass_that_writes(spark):
     """The report takes no job of its own, and the input is read once."""
     reads = spark.sparkContext.accumulator(0)

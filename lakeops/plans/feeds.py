@@ -24,7 +24,7 @@ from lakeops.plans.sales import SALES_SQL
 from lakeops.plans.views import SALES_VIEWS, Tables, sales
 from lakeops.schemas import DAILY_BOX_DATED_MESSAGE, DAILY_BOX_MESSAGE, DRIVER_TABLES, SHOT_CHART_MESSAGE, SHOT_MESSAGE
 from lakeops.sources.files import available_periods as periods_of, read_period, write_sorted, write_table
-from lakeops.sources.streams import read_files
+from lakeops.sources.streams import read_files, write_messages
 from lakeops.streaming.ingest import UNTIL_DONE, ingest_json_stream, widen_schema
 from lakeops.streaming.upsert import upsert_stream
 from lakeops.workspace import new_folder, stored
@@ -34,6 +34,8 @@ LOADED_BEFORE = "2024-01-16"
 
 # Users in a partition of the table that keeps the latest event of each user, about.
 BUCKET_USERS = 50_000
+# Messages of a daily feed in a file, at most.
+FILE_MESSAGES = 1_000_000
 # Times at which files of events arrive.
 ARRIVALS = 4
 
@@ -225,7 +227,7 @@ def daily_feeds(t: Tables) -> DataFrame:
     reports = []
     for feed, (sent, schema, total, person) in feeds.items():
         landing, path, checkpoint = (new_folder(t.spark, f"{feed}-{x}") for x in ("in", "out", "checkpoint"))
-        to_messages(sent.select(schema.fieldNames())).select("value").write.text(landing)
+        write_messages(to_messages(sent.select(schema.fieldNames())), landing, per_file=FILE_MESSAGES)
         messages = read_files(t.spark, landing, T.StructType().add("value", "string"), fmt="text")
         ingest_json_stream(messages, schema, path, checkpoint, trigger=UNTIL_DONE).awaitTermination()
         landed = t.spark.read.schema(schema).parquet(path)
@@ -386,7 +388,7 @@ def stream_once(t: Tables) -> DataFrame:
     first, last = sent.agg(F.min("ts"), F.max("ts")).first()
     for i in range(ARRIVALS + 1):
         part = sent.where(F.col("arrival") == i).drop("arrival")
-        to_messages(part.coalesce(ARRIVALS)).select("value").write.mode("append").text(landing)
+        write_messages(to_messages(part.coalesce(ARRIVALS)), landing, mode="append")
     messages = read_files(t.spark, landing, T.StructType().add("value", "string"), fmt="text", max_files=ARRIVALS)
     path, checkpoint = new_folder(t.spark, "once"), new_folder(t.spark, "once-checkpoint")
     reach = f"{int((last - first).total_seconds()) + 1 if first else 1} seconds"

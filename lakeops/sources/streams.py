@@ -37,3 +37,13 @@ def read_files(
     return (
         spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", max_files).load(path)
     )
+
+
+def write_messages(messages: DataFrame, path: str, mode: str = "errorifexists", per_file: int = 0) -> None:
+    """Land the ``value`` of a batch of messages as lines of compressed text files.
+
+    JSON repeats every name in every message, so its files are many times the rows they come
+    from. A task reads a compressed file whole: ``per_file`` limits the messages in one.
+    """
+    writer = messages.select("value").write.mode(mode).option("compression", "gzip")
+    writer.option("maxRecordsPerFile", str(per_file)).text(path)

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops.functions.text import to_messages
 from lakeops.operators.dedupe import latest_per_key
+from lakeops.plans import load_all
 from lakeops.schemas import DRIVER_TABLES
-from lakeops.sources.streams import read_files
+from lakeops.sources.streams import read_files, write_messages
 from lakeops.streaming.ingest import UNTIL_DONE, ingest_json_stream, run_to_idle, widen_schema
 from lakeops.streaming.upsert import upsert_stream
-from lakeops.workspace import new_folder
+from lakeops.workspace import new_folder, shared_folder
+from tests.conftest import SF_DIR
 
 EVENTS = DRIVER_TABLES["events"]
 
@@ -93,3 +97,26 @@ def test_an_interval_takes_two_batches(spark, rows):
     query = ingest_json_stream(messages, TIMED, path, checkpoint, trigger={"processingTime": "1 second"})
     assert rows(run_to_idle(query), "rows") == [(1,), (1,)] and not query.isActive
     assert rows(spark.read.schema(TIMED).parquet(path), "id") == [(0,), (1,)]
+
+
+def test_messages_land_compressed(spark, tables, rows):
+    """In files of limited size, as one task reads a compressed file; the stream reads them as they are."""
+    plain, folder, path, checkpoint = (new_folder(spark, n) for n in ("plain", "in", "out", "cp"))
+    all_rows = tables.read("events").coalesce(1)
+    to_messages(all_rows).select("value").write.text(plain)
+    write_messages(to_messages(all_rows), folder, per_file=300)
+    files = list(Path(folder).glob("part-*"))
+    assert len(files) == -(-all_rows.count() // 300) and all(f.suffix == ".gz" for f in files)
+    assert 3 * sum(f.stat().st_size for f in files) < sum(f.stat().st_size for f in Path(plain).glob("part-*"))
+    messages = read_files(spark, folder, T.StructType().add("value", "string"), fmt="text")
+    ingest_json_stream(messages, EVENTS, path, checkpoint, trigger=UNTIL_DONE).awaitTermination()
+    assert rows(spark.read.schema(EVENTS).parquet(path)) == rows(all_rows)
+
+
+def test_feeds_send_compressed_messages(spark):
+    made = Path(shared_folder(spark), "lakeops")
+    for query, kind in (("daily_feeds", "*-in-*"), ("stream_once", "repeats-landing-*")):
+        before = set(made.glob(kind))
+        load_all().QUERIES[query](spark, SF_DIR).collect()
+        files = [f for d in set(made.glob(kind)) - before for f in d.glob("part-*")]
+        assert files and all(f.suffix == ".gz" for f in files)

@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 import os
 import re
-from array import array
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -13,10 +12,10 @@ from tokenizers import Tokenizer
 from lakeops.llm.bpe import byte_letters
 from lakeops.llm.common import kept as kept_object
 
-#: Bytes that a worker process keeps of encoded words.
-CACHE_BYTES = 24 << 20
+#: Bytes that a worker process keeps of encoded words and pieces of texts.
+CACHE_BYTES = 64 << 20
 #: Longer words are not kept. What an entry takes besides its letters and ids.
-LONGEST, ENTRY = 64, 220
+LONGEST, ENTRY = 64, 160
 #: Letters of a text whose words are held at once.
 BLOCK = 1 << 18
 
@@ -25,18 +24,32 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Text of ASCII and the letters of Latin-1; and the same pattern for it, which splits it alike.
 _PLAIN = re.compile("[\t-\r\x20-\x7eÀ-ÖØ-öø-ÿ]*")
 _WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-z0-9ß-öø-ÿ]+")
-#: Pieces of a text between ASCII white space, and a place where a text may be cut.
-_PIECES, _GAP = re.compile("[^\t-\r ]+"), re.compile("[\t-\r ]")
-#: Marks a piece that is encoded as it is.
-_AS_IT_IS = "\x00"
+#: A word of letters in lower case, and signs that often follow one and are a word of their own there.
+_LETTERS, _MARKS = re.compile("[a-zß-öø-ÿ]+"), frozenset(b"%c" % c for c in b".,;:!?")
+#: A place where a text may be cut: ASCII white space, at which ``bytes.split`` cuts as well.
+_GAP = re.compile("[\t-\r ]")
+
+
+class _Asking(dict):
+    """Asks ``find`` for what it does not hold."""
+
+    def __init__(self, find):
+        self.find = find
+
+    def __missing__(self, key):
+        return self.find(key)
 
 
 class Kept:
-    """A dictionary of bounded size: what was not asked for in a long time goes."""
+    """A dictionary of bounded size: what was not asked for in a long time goes.
 
-    def __init__(self, most: int):
-        self.most, self.size = most // 2, 0
-        self.new: dict = {}
+    With ``make``, ``new`` answers for every key: what it lacks comes from the old half or is
+    made, and stays unless its key is long.
+    """
+
+    def __init__(self, most: int, make=None):
+        self.most, self.size, self.make = most // 2, 0, make
+        self.new: dict = _Asking(self.find)
         self.old: dict = {}
 
     def missing(self, keys) -> list:
@@ -54,23 +67,18 @@ class Kept:
         self.new[key] = value
         self.size += len(key) + len(value) + ENTRY
 
+    def find(self, key) -> bytes:
+        found = self.old.get(key)
+        if found is None:
+            found = self.make(key)
+        if len(key) <= LONGEST:
+            self.add(key, found)
+        return found
+
     def tidy(self) -> None:
         """Call when no looked-up key is needed any more."""
         if self.size > self.most:
-            self.old, self.new, self.size = self.new, {}, 0
-
-
-def words_of(text: str) -> list[str]:
-    """The words of a text, in lower case; pieces with other letters are kept whole, and marked."""
-    if _PLAIN.fullmatch(text) and "<|" not in text:
-        return _WORDS.findall(text.lower())
-    out = []
-    for p in _PIECES.findall(text):
-        if _PLAIN.fullmatch(p) and "<|" not in p:
-            out += _WORDS.findall(p.lower())
-        else:
-            out.append(_AS_IT_IS + p)
-    return out
+            self.old, self.new, self.size = self.new, _Asking(self.find), 0
 
 
 def _blocks(text: str):
@@ -88,10 +96,11 @@ def _blocks(text: str):
 class PieceEncoder:
     """Encodes texts as ``Tokenizer.encode`` does without special tokens added.
 
-    Where the file's model drops white space and never looks across words, each word is
-    encoded once as long as it is kept; pieces of letters beyond ASCII and Latin-1 count as a
-    word. Other models get whole texts. Ids are little-endian unsigned integers of 16 bits if
-    the vocabulary allows, else 32.
+    Where the file's model drops white space and never looks across words, texts are cut at
+    ASCII white space, and each piece, and each word of it in lower case, is encoded once as
+    long as it is kept. Pieces of letters beyond ASCII and Latin-1 count as a word. Other
+    models get whole texts. Ids are little-endian unsigned integers of 16 bits if the
+    vocabulary allows, else 32.
     """
 
     def __init__(self, path: str):
@@ -102,53 +111,48 @@ class PieceEncoder:
             spec = json.load(f)
         self.dtype = _id_type(spec)
         self.cuts = _forgets_space(spec)
-        del spec
-        self.kept = Kept(CACHE_BYTES)
+        self.kept = Kept(CACHE_BYTES, self._piece)
         self.model = self.tokenizer.model
-        self.code = "H" if self.dtype == "<u2" else "I"
+        self.id_bytes = [np.array([i], self.dtype).tobytes() for i in range(_greatest_id(spec) + 1)]
+        del spec
         letters = byte_letters()
         self.letters = {c: "".join(letters[b] for b in chr(c).encode()) for c in range(128, 256)}
 
-    def _merged(self, word: str) -> bytes:
-        """The ids of a word that the model's splitting and folding leave as it is."""
-        found = self.model.tokenize(word if word.isascii() else word.translate(self.letters))
-        return array(self.code, [t.id for t in found]).tobytes()
+    def _piece(self, piece: bytes) -> bytes:
+        """The ids of a piece: of its words, or of itself if it is one word in lower case."""
+        new = self.kept.new
+        if piece[-1:] in _MARKS and piece[:-1].isalpha():
+            return new[piece[:-1].lower()] + new[piece[-1:]]
+        if piece.isalpha() and not piece.islower():
+            return new[piece.lower()]
+        text = piece.decode()
+        if not _LETTERS.fullmatch(text):
+            if "<|" in text or not _PLAIN.fullmatch(text):
+                return self._ids([text])[0]
+            words = _WORDS.findall(text.lower())
+            if words != [text]:
+                return b"".join([new[w.encode()] for w in words])
+        # the model's splitting and folding leave such a word as it is
+        found = self.model.tokenize(text if text.isascii() else text.translate(self.letters))
+        if len(found) == 1:
+            return self.id_bytes[found[0].id]
+        return b"".join([self.id_bytes[t.id] for t in found])
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, self.dtype).tobytes() for x in found]
 
-    def _joined(self, many: list[list[str]]) -> list[bytes]:
-        """The ids of each list of words; every word is looked up once for all of them."""
-        kept, long = self.kept, {}
-        for w in kept.missing(set().union(*many)):
-            ids = self._ids([w[1:]])[0] if w[0] == _AS_IT_IS else self._merged(w)
-            if len(w) <= LONGEST:
-                kept.add(w, ids)
-            else:
-                long[w] = ids
-        known = kept.new
-        if long:
-            found = [b"".join([long[w] if w in long else known[w] for w in words]) for words in many]
-        else:
-            found = [b"".join(map(known.__getitem__, words)) for words in many]
-        kept.tidy()
+    def _joined(self, text: str) -> bytes:
+        found = b"".join(map(self.kept.new.__getitem__, text.encode().split()))
+        self.kept.tidy()
         return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.cuts:
             return self._ids(texts)
-        out, held, size = [], [], 0
-        for text in texts:
-            if held and size + len(text) > BLOCK:
-                out += self._joined(held)
-                held, size = [], 0
-            if len(text) > BLOCK:
-                out.append(b"".join([self._joined([words_of(part)])[0] for part in _blocks(text)]))
-            else:
-                held.append(words_of(text))
-                size += len(text)
-        return out + (self._joined(held) if held else [])
+        return [
+            self._joined(text) if len(text) <= BLOCK else b"".join(map(self._joined, _blocks(text))) for text in texts
+        ]
 
 
 def id_type(path: str) -> str:
@@ -156,9 +160,12 @@ def id_type(path: str) -> str:
         return _id_type(json.load(f))
 
 
+def _greatest_id(spec: dict) -> int:
+    return max(*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"]))
+
+
 def _id_type(spec: dict) -> str:
-    ids = [*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])]
-    return "<u2" if max(ids) < 1 << 16 else "<u4"
+    return "<u2" if _greatest_id(spec) < 1 << 16 else "<u4"
 
 
 def _forgets_space(spec: dict) -> bool:

@@ -175,3 +175,16 @@ def test_long_text_is_cut_into_pieces_that_spread(spark):
     assert all(a + n == b for (a, n), (b, _) in zip(own, own[1:]))
     groups = {r.sequence_id >> 32 for r in got}
     assert len(groups) == 2  # by letters, as there are two documents
+
+
+def test_pieces_are_encoded_once():
+    """Pieces between white space are looked up whole: words are split off only in pieces not seen yet."""
+    own, their, made = tokens.PieceEncoder(WORD), Tokenizer.from_file(WORD), []
+    make = own.kept.make
+    own.kept.make = lambda piece: made.append(piece) or make(piece)
+    parts = ["The", "cat,", "CAT.", "Été", "été,", "don't", "<|endoftext|>", "漢字", "a1."]
+    for ids, want in zip(own.encode([" ".join(parts)] * 50), their.encode_batch([" ".join(parts)] * 50, add_special_tokens=False)):
+        assert np.frombuffer(ids, own.dtype).tolist() == want.ids
+    assert len(made) == len(set(made)) and {p.encode() for p in parts} <= set(made)
+    own.encode(["x" * 100] * 2)  # a long piece is not kept
+    assert made[-2:] == [b"x" * 100] * 2 and b"x" * 100 not in own.kept.new

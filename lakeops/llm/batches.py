@@ -8,6 +8,7 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 class BatchFolder:
@@ -31,7 +32,8 @@ class BatchFolder:
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], schema)
+            # not from Python rows: they start a further daemon in every executor, with workers of its own
+            return self.spark.range(0).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(schema)))
 
     def current(self) -> DataFrame:
         """batch, attempt, at, folded: the attempt that counts for each batch."""
@@ -63,8 +65,8 @@ class BatchFolder:
         if not self.current().filter((F.col("batch") == batch) & F.col("folded")).isEmpty():
             return False
         attempt = self._attempt(batch, rows)
-        row = (batch, attempt, time.time_ns(), False)
-        self._commit(self.spark.createDataFrame([row], self.commits_schema))
+        row = {"batch": batch, "attempt": attempt, "at": time.time_ns(), "folded": False}
+        self._commit(self.spark.range(1).select(*(F.lit(v).alias(c) for c, v in row.items())))
         return True
 
     def fold(self, merge) -> None:

@@ -47,7 +47,8 @@ def without_copies(sample: DataFrame, signs: int = 4) -> DataFrame:
         return texts.map(least)
 
     signed = sample.withColumn("signs", smallest("text"))
-    pairs = signed.select("id", F.posexplode("signs").alias("n", "sign"))
+    # outer: else Spark drops texts without signs first, by a second call of the function in the same task
+    pairs = signed.select("id", F.posexplode_outer("signs").alias("n", "sign"))
     later = pairs.join(
         pairs.groupBy("n", "sign").agg(F.min("id").alias("low")), ["n", "sign"]
     ).filter("id > low")

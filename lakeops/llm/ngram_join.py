@@ -402,7 +402,9 @@ def ngram_join(
     survey = stored(_survey(rows, how), "survey")
     members = survey.filter("kind = 0").select("doc_id", "n", "id")
     named = members.filter("doc_id is not null and n > 0")
-    links = _links(rows.filter("doc_id is not null"), survey, named, how)
+    # written, as the components' first step is Python too: a task with two steps takes two workers,
+    # and workers that stay each fill a cache of their own in later stages
+    links = stored(_links(rows.filter("doc_id is not null"), survey, named, how), "links")
     groups = components(links)
     least = named.groupBy("id").agg(F.min("doc_id").alias("low"))
     placed = least.join(groups, F.col("id") == F.col("node"), "left").select(
